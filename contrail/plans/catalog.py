@@ -2,6 +2,8 @@
 
 Every query reads the driver's test tables (through the stand-in builders in
 ``contrail.sources.fixtures``) and runs the library's operators over all rows.
+Track queries use the events point table: one user is one track, ground below
+1500 ft, legs longer than 86,400 s with more than 3 points.
 """
 
 from __future__ import annotations
@@ -9,19 +11,383 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from contrail.functions import from_hex, iso_utc, json_int, to_hex
+from contrail.operators import geometry as G
+from contrail.operators import ingest as I
 from contrail.operators import legs as L
+from contrail.operators import places as P
 from contrail.sources import fixtures as X
+from contrail.sources import traces as TR
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+C = X.EVENT_TRACK
+LP = X.EVENT_LEG_PARAMS
+
+
+def _points(spark, sf_dir):
+    return X.track_points(spark, sf_dir)
+
+
+# ---------------------------------------------------------------- legs (central result)
+
 
 def leg_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flagship: leg segmentation + one-pass summary + significance + place labels."""
-    return L.leg_summary(X.track_points(spark, sf_dir), X.EVENT_TRACK, X.EVENT_LEG_PARAMS)
+    """Flagship: segmentation, one-pass leg summary, significance filter, place labels."""
+    return L.leg_summary(_points(spark, sf_dir), C, LP)
+
+
+def ground_flag(spark, sf_dir):
+    """Every point with its ground flag."""
+    return L.flag_ground(_points(spark, sf_dir), C, LP.ground_below).select("entity", "idx", "alt", "is_ground")
+
+
+def takeoff_edges(spark, sf_dir):
+    """W1 + P4: LAG of the ground flag (default 1) and the takeoff edge, every point."""
+    return L.mark_takeoffs(_points(spark, sf_dir), C, LP.ground_below, LP.chunk_size).select(
+        "entity", "idx", "is_ground", "prev_ground", "is_takeoff"
+    )
+
+
+def leg_numbers(spark, sf_dir):
+    """P5 + W2: airborne points with their running leg number."""
+    return L.number_legs(_points(spark, sf_dir), C, LP.ground_below, LP.chunk_size).select(
+        "entity", "idx", "flight_num"
+    )
+
+
+def leg_extents(spark, sf_dir):
+    """Per leg min/max time and ordinal, point count (all legs)."""
+    return L.summarise_points(_points(spark, sf_dir), C, LP, extents=True, endpoints=False)
+
+
+def leg_endpoints(spark, sf_dir):
+    """W3 + W4 as min_by / max_by: per leg first and last position (all legs)."""
+    return L.summarise_points(_points(spark, sf_dir), C, LP, extents=False, endpoints=True)
+
+
+def _numbered(spark, sf_dir):
+    return L.number_legs(_points(spark, sf_dir), C, LP.ground_below, LP.chunk_size)
+
+
+def leg_endpoints_join(spark, sf_dir):
+    """Extents joined with leg points on (track, leg, ordinal) for both endpoints."""
+    return L.endpoints_by_join(_numbered(spark, sf_dir), C).select(
+        "entity", "flight_num", "takeoff_idx", "landing_idx", "num_points",
+        "takeoff_lat", "takeoff_lng", "takeoff_altitude", "landing_lat", "landing_lng", "landing_altitude",
+    )
+
+
+def first_last_windowed(spark, sf_dir):
+    """W3/W4 windowed form: every airborne point with its leg's first and last position."""
+    return L.first_last_windowed(_numbered(spark, sf_dir), C).select(
+        "entity", "idx", "flight_num", "takeoff_lat", "takeoff_lng", "takeoff_altitude",
+        "landing_lat", "landing_lng", "landing_altitude",
+    )
+
+
+def leg_keys_distinct(spark, sf_dir):
+    """SELECT DISTINCT track, leg over the numbered airborne points."""
+    return L.leg_keys(_numbered(spark, sf_dir), C)
+
+
+def significant_legs(spark, sf_dir):
+    """P6 + P7: legs lasting more than 86,400 s with more than 3 points."""
+    ext = L.summarise_points(_points(spark, sf_dir), C, LP, extents=True, endpoints=False)
+    return L.significant(ext, LP.min_seconds, LP.min_points).select(
+        "entity", "flight_num", "takeoff_time", "landing_time", "num_points"
+    )
+
+
+def _all_legs(spark, sf_dir):
+    return L.summarise_points(_points(spark, sf_dir), C, LP)
+
+
+def takeoff_places(spark, sf_dir):
+    """P8 + P10: takeoff place of every leg (unguarded rule chain)."""
+    legs = _all_legs(spark, sf_dir)
+    return legs.select(
+        "entity", "flight_num",
+        P.label("takeoff_lat", "takeoff_lng", None, P.TAKEOFF_PLACES).alias("takeoff_location"),
+    )
+
+
+def landing_places(spark, sf_dir):
+    """Landing place of every leg (altitude-guarded rules)."""
+    legs = _all_legs(spark, sf_dir)
+    return legs.select(
+        "entity", "flight_num", F.col("landing_altitude"),
+        P.label("landing_lat", "landing_lng", "landing_altitude", P.LANDING_PLACES).alias("landing_location"),
+    )
+
+
+def places_range_join(spark, sf_dir):
+    """Landing places through a range join with the places table (first by priority)."""
+    legs = _all_legs(spark, sf_dir).select(
+        "entity", "flight_num", "landing_lat", "landing_lng", "landing_altitude"
+    )
+    places = P.places_frame(spark, P.LANDING_PLACES)
+    return P.label_by_join(
+        legs, ["entity", "flight_num"], "landing_lat", "landing_lng", "landing_altitude", places,
+        out="landing_location",
+    ).select("entity", "flight_num", "landing_location")
+
+
+def places_grid_join(spark, sf_dir):
+    """J5, large-table form: the same labels through the grid-cell equi-join."""
+    legs = _all_legs(spark, sf_dir).select(
+        "entity", "flight_num", "landing_lat", "landing_lng", "landing_altitude"
+    )
+    places = P.places_frame(spark, P.LANDING_PLACES)
+    return P.label_by_join(
+        legs, ["entity", "flight_num"], "landing_lat", "landing_lng", "landing_altitude", places,
+        out="landing_location", grid_degrees=2.0,
+    ).select("entity", "flight_num", "landing_location")
+
+
+def point_total(spark, sf_dir):
+    """Number of points."""
+    return _points(spark, sf_dir).agg(F.count(F.lit(1)).alias("total_points"))
+
+
+def leg_total(spark, sf_dir):
+    """Number of significant legs."""
+    return leg_summary(spark, sf_dir).agg(F.count(F.lit(1)).alias("total_flights"))
+
+
+def report_points(spark, sf_dir):
+    """The report's column subset of the point table (5 of the columns)."""
+    return _points(spark, sf_dir).select("entity", "lat", "lng", "alt", iso_utc("t").alias("time_text"))
+
+
+def report_legs(spark, sf_dir):
+    """The leg summary ordered by track and leg."""
+    return leg_summary(spark, sf_dir).orderBy("entity", "flight_num")
+
+
+# ---------------------------------------------------------------- geometry
+
+
+def track_altitude_range(spark, sf_dir):
+    """A11 + P13: per track min and max of the positive altitudes."""
+    return G.track_stats(_points(spark, sf_dir), C).select("entity", "min_alt", "max_alt")
+
+
+def track_counts(spark, sf_dir):
+    """Points per track."""
+    return G.track_stats(_points(spark, sf_dir), C).select("entity", "num_points")
+
+
+def coordinate_total(spark, sf_dir):
+    """All coordinates over all tracks."""
+    return _points(spark, sf_dir).agg(F.count(F.lit(1)).alias("total_coordinates"))
+
+
+def point_pairs(spark, sf_dir):
+    """Valid consecutive pairs of non-zero length."""
+    pairs = G.pair_points(_points(spark, sf_dir), C, LP.chunk_size)
+    return (
+        pairs.withColumn("dx", F.col("next_lng") - F.col("lng"))
+        .withColumn("dy", F.col("next_lat") - F.col("lat"))
+        .withColumn("length", F.sqrt(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy")))
+        .filter(F.col("length") > 0)
+        .select("entity", "idx", "lng", "lat", "next_lng", "next_lat", "avg_alt", "length")
+    )
+
+
+def altitude_colour(spark, sf_dir):
+    """Each valid pair's ratio in its track's range, and colour."""
+    return G.coloured_pairs(_points(spark, sf_dir), C, LP.chunk_size).select(
+        "entity", "idx", "avg_alt", "min_alt", "max_alt", "ratio", "color"
+    )
+
+
+def ribbon_polygons(spark, sf_dir):
+    """Ribbon ring corners and extrusion sizes of every drawable pair."""
+    rib = G.ribbons(G.coloured_pairs(_points(spark, sf_dir), C, LP.chunk_size), C)
+    return rib.select(
+        "entity", "idx", "color", F.col("avg_alt").alias("altitude"), "extrusion_height", "extrusion_base",
+        "x0", "y0", "x1", "y1", "x2", "y2", "x3", "y3",
+    )
+
+
+def geojson_features(spark, sf_dir):
+    """One GeoJSON Feature (JSON text) per ribbon."""
+    rib = G.ribbons(G.coloured_pairs(_points(spark, sf_dir), C, LP.chunk_size), C)
+    return G.features(rib, C).select("entity", "idx", "geojson")
+
+
+def track_paths(spark, sf_dir):
+    """A10: ordered track paths in bounded pieces (micro-degree text)."""
+    return G.path_pieces(_points(spark, sf_dir), C, piece_size=4096)
+
+
+# ---------------------------------------------------------------- flattening
+
+
+def flatten_points(spark, sf_dir):
+    """Nested trace documents -> typed point table."""
+    docs = X.trace_documents(spark, sf_dir)
+    pts = TR.flatten(docs)
+    return pts.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+def trace_leg_summary(spark, sf_dir):
+    """Flatten + segmentation with the reference defaults (2000 ft, 900 s, 50 points)."""
+    pts = TR.flatten(X.trace_documents(spark, sf_dir))
+    params = L.LegParams(min_seconds=60, min_points=2)
+    return L.leg_summary(pts, L.TrackCols(), params)
+
+
+def embedding_values(spark, sf_dir):
+    """U1 + U2 on a numeric array: one row per element with its 1-based position."""
+    emb = X.table(spark, sf_dir, "embeddings")
+    return emb.select("vec_id", F.posexplode("embedding").alias("pos", "value")).select(
+        "vec_id", (F.col("pos") + 1).cast("bigint").alias("idx"), "value"
+    )
+
+
+def props_int(spark, sf_dir):
+    """JSON field to INT (``$.k`` of events.props)."""
+    ev = X.table(spark, sf_dir, "events")
+    return ev.select("event_id", json_int(F.get_json_object("props", "$.k")).alias("k"))
+
+
+# ---------------------------------------------------------------- ingest bookkeeping
+
+
+def _expected(spark, sf_dir):
+    return I.expected_days(X.entity_spans(spark, sf_dir), ["entity"])
+
+
+def _latest(spark, sf_dir):
+    return I.latest_status(X.manifest_history(spark, sf_dir))
+
+
+def expected_days(spark, sf_dir):
+    """Every (entity, day) from first to last day, with names."""
+    return _expected(spark, sf_dir)
+
+
+def missing_days(spark, sf_dir):
+    """Expected days that have no cache entry at all."""
+    return I.missing_days(_expected(spark, sf_dir), _latest(spark, sf_dir)).select(
+        "entity", "day", "file_name"
+    )
+
+
+def day_status(spark, sf_dir):
+    """Every expected day with its latest cached status (``unknown`` without one)."""
+    return I.with_status(_expected(spark, sf_dir), _latest(spark, sf_dir)).select(
+        "entity", "day", "status", "outcome"
+    )
+
+
+def manifest_latest(spark, sf_dir):
+    """Latest status, source and time per (entity, day)."""
+    return _latest(spark, sf_dir)
+
+
+def outcome_counts(spark, sf_dir):
+    """Days per run outcome, plus the total."""
+    return I.outcome_counts(I.with_status(_expected(spark, sf_dir), _latest(spark, sf_dir)))
+
+
+def source_choice(spark, sf_dir):
+    """T1 + T3: per (entity, day) the primary feed's payload, else the fallback's."""
+    primary, fallback = X.feeds(spark, sf_dir)
+    return I.choose_source(primary, fallback).select("entity", "day", "source", "n_points", "first_seen")
+
+
+def archive_paths(spark, sf_dir):
+    """F26 + F30: archive path and file name of every day with events."""
+    days = X.event_days(spark, sf_dir).select("day").distinct()
+    return days.select(
+        "day",
+        F.date_format("day", "yyyy/MM/dd").alias("archive_path"),
+        F.concat(F.lit("flight-track-"), F.date_format("day", "yyyy-MM-dd"), F.lit(".json")).alias("file_name"),
+    )
+
+
+def hex_ids(spark, sf_dir):
+    """entity ids to hex text and back."""
+    users = X.table(spark, sf_dir, "events").select("user_id").distinct()
+    return users.select("user_id", to_hex("user_id").alias("hex_id")).withColumn(
+        "back", from_hex("hex_id")
+    )
+
+
+# Fixed values for the pages payload check: a page is a usable primary payload when it
+# has a navigation block, a fallback payload when it is French.
+PRIMARY_KEY = "<nav"
+FALLBACK_KEY = 'lang="fr"'
+
+
+def valid_payloads(spark, sf_dir):
+    """P17 + F31: non-empty payloads containing the primary (else the fallback) key."""
+    pages = X.table(spark, sf_dir, "pages")
+    html = F.col("html")
+    kind = (
+        F.when(I.valid_payload(html, PRIMARY_KEY), F.lit("primary"))
+        .when(I.valid_payload(html, FALLBACK_KEY), F.lit("fallback"))
+    )
+    return (
+        pages.select("page_id", kind.alias("source"), I.valid_payload(html, FALLBACK_KEY).alias("is_fr"),
+                     F.length(html).cast("bigint").alias("n_chars"))
+        .filter(F.col("source").isNotNull())
+    )
+
+
+def status_lines(spark, sf_dir):
+    """F29 + S11 text form: latest statuses as ``yyyy-MM-dd:status`` lines, parsed back."""
+    latest = _latest(spark, sf_dir)
+    line = I.status_line(F.col("day"), F.col("status"))
+    day, status = I.parse_status_line(line)
+    return latest.select("entity", line.alias("line"), day.alias("day"), status.alias("status"))
 
 
 def queries() -> dict[str, Query]:
     return {
         "leg_summary": leg_summary,
+        "ground_flag": ground_flag,
+        "takeoff_edges": takeoff_edges,
+        "leg_numbers": leg_numbers,
+        "leg_extents": leg_extents,
+        "leg_endpoints": leg_endpoints,
+        "leg_endpoints_join": leg_endpoints_join,
+        "first_last_windowed": first_last_windowed,
+        "leg_keys_distinct": leg_keys_distinct,
+        "significant_legs": significant_legs,
+        "takeoff_places": takeoff_places,
+        "landing_places": landing_places,
+        "places_range_join": places_range_join,
+        "places_grid_join": places_grid_join,
+        "point_total": point_total,
+        "leg_total": leg_total,
+        "report_points": report_points,
+        "report_legs": report_legs,
+        "track_altitude_range": track_altitude_range,
+        "track_counts": track_counts,
+        "coordinate_total": coordinate_total,
+        "point_pairs": point_pairs,
+        "altitude_colour": altitude_colour,
+        "ribbon_polygons": ribbon_polygons,
+        "geojson_features": geojson_features,
+        "track_paths": track_paths,
+        "flatten_points": flatten_points,
+        "trace_leg_summary": trace_leg_summary,
+        "embedding_values": embedding_values,
+        "props_int": props_int,
+        "expected_days": expected_days,
+        "missing_days": missing_days,
+        "day_status": day_status,
+        "manifest_latest": manifest_latest,
+        "outcome_counts": outcome_counts,
+        "source_choice": source_choice,
+        "archive_paths": archive_paths,
+        "hex_ids": hex_ids,
+        "valid_payloads": valid_payloads,
+        "status_lines": status_lines,
     }

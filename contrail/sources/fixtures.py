@@ -56,3 +56,92 @@ def track_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal(pos, ["entity"], ["ts", "event_id"], "idx").select(
         "entity", "idx", "t", "lat", "lng", "alt"
     )
+
+
+# Trace documents (``trace_documents``), from ``embeddings``: one document per vector,
+# one point per 4 numbers e0..e3 of the vector (i = point position from 0):
+#   offset   = i * 30.5 + floor(|e0| * 100)        seconds after the base
+#   lat      = e1 * 50                            lng = 40 + e2 * 10
+#   altitude = 'ground' when e3 < -0.3, null when e3 < -0.25, else e3 * 20000 + 5000
+#   a fifth element 'x' on even positions (ignored by the reader)
+#   icao = lower hex of vec_id, base = 2024-05-01 + vec_id days, file named by that day
+TRACE_BASE_EPOCH = 1714521600.0
+
+
+def trace_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested documents (source_file, icao, timestamp, trace) as the JSON reader yields them."""
+    emb = table(spark, sf_dir, "embeddings")
+
+    def e(i, k):
+        return F.get(F.col("embedding"), i * 4 + k).cast("double")
+
+    def as_text(c):
+        return c.cast("string")
+
+    def point(i):
+        alt = e(i, 3)
+        alt_text = (
+            F.when(alt < F.lit(-0.3), F.lit("ground"))
+            .when(alt < F.lit(-0.25), F.lit(None).cast("string"))
+            .otherwise(as_text(alt * F.lit(20000.0) + F.lit(5000.0)))
+        )
+        offset = i.cast("double") * F.lit(30.5) + F.floor(F.abs(e(i, 0)) * F.lit(100.0))
+        core = F.array(as_text(offset), as_text(e(i, 1) * F.lit(50.0)),
+                       as_text(F.lit(40.0) + e(i, 2) * F.lit(10.0)), alt_text)
+        return F.when(i % 2 == 0, F.concat(core, F.array(F.lit("x")))).otherwise(core)
+
+    n = F.floor(F.size("embedding") / F.lit(4)).cast("int")
+    positions = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    base = F.lit(TRACE_BASE_EPOCH) + F.col("vec_id").cast("double") * F.lit(86400.0)
+    return emb.select(
+        F.concat(F.lit("flight-track-"), F.date_format(F.timestamp_seconds(base), "yyyy-MM-dd"),
+                 F.lit(".json")).alias("source_file"),
+        F.lower(F.hex("vec_id")).alias("icao"),
+        base.alias("timestamp"),
+        F.transform(positions, point).alias("trace"),
+    )
+
+
+def event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(entity, day, event_type, ts) per event."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select(F.col("user_id").alias("entity"), F.to_date("ts").alias("day"), "event_type", "ts")
+
+
+def entity_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per entity: first and last day with any event (the window to be covered)."""
+    return event_days(spark, sf_dir).groupBy("entity").agg(
+        F.min("day").alias("first_day"), F.max("day").alias("last_day")
+    )
+
+
+# Manifest history (``manifest_history``), from ``events``: every event is one look at
+# the (entity, day) payload. Status no_data for 'error' events, else has_data; source
+# primary for 'view' and 'click', else fallback; seen_at = ts.
+PRIMARY_EVENT_TYPES = ("view", "click")
+
+
+def manifest_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = event_days(spark, sf_dir)
+    return d.select(
+        "entity",
+        "day",
+        F.when(F.col("event_type") == "error", F.lit("no_data")).otherwise(F.lit("has_data")).alias("status"),
+        F.when(F.col("event_type").isin(*PRIMARY_EVENT_TYPES), F.lit("primary"))
+        .otherwise(F.lit("fallback"))
+        .alias("source"),
+        F.col("ts").alias("seen_at"),
+    )
+
+
+def feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two feeds of per-(entity, day) payload summaries: primary and fallback events."""
+    d = event_days(spark, sf_dir)
+    is_primary = F.col("event_type").isin(*PRIMARY_EVENT_TYPES)
+
+    def feed(rows, name):
+        return rows.groupBy("entity", "day").agg(
+            F.count(F.lit(1)).alias("n_points"), F.min("ts").alias("first_seen")
+        ).withColumn("source", F.lit(name))
+
+    return feed(d.filter(is_primary), "primary"), feed(d.filter(~is_primary), "fallback")
