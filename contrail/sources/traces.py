@@ -82,9 +82,13 @@ def read_trace_text(spark: SparkSession, path: str, schema: T.StructType = TRACE
 
 
 def split_quarantine(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good documents, quarantined raw records)."""
+    """(good documents, quarantined raw records).
+
+    The quarantine keeps a data column next to ``_corrupt_record``: Spark rejects a
+    raw-file query whose only data column is the corrupt-record column.
+    """
     bad = F.col(CORRUPT).isNotNull()
-    return docs.filter(~bad).drop(CORRUPT), docs.filter(bad).select("source_file", CORRUPT)
+    return docs.filter(~bad).drop(CORRUPT), docs.filter(bad).select("source_file", "icao", CORRUPT)
 
 
 def flatten(

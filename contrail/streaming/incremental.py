@@ -38,7 +38,7 @@ def stream_traces(
         good = batch.filter(F.col(CORRUPT).isNull())
         flatten(good).write.mode("append").partitionBy("flight_date").parquet(points_path)
         if quarantine_path:
-            batch.filter(F.col(CORRUPT).isNotNull()).select("source_file", CORRUPT).write.mode(
+            batch.filter(F.col(CORRUPT).isNotNull()).select("source_file", "icao", CORRUPT).write.mode(
                 "append"
             ).parquet(quarantine_path)
 

@@ -1,0 +1,85 @@
+"""Trace files -> points: schema, quarantine, file-name dates, concatenated roots,
+sinks and dynamic partition overwrite."""
+
+import json
+import os
+
+from pyspark.sql import functions as F
+
+from contrail.sources import sinks, traces
+
+
+def write(folder, name, text):
+    with open(os.path.join(folder, name), "w") as f:
+        f.write(text)
+
+
+DOC = {
+    "icao": "20104f",
+    "timestamp": 1746057600.5,
+    "trace": [
+        [0, -25.9, 32.57, "ground", 1],
+        [10.25, -25.8, 32.6, 3025.5, None, "extra"],
+        [20, -25.7, 32.7, None],
+        [30, -25.6, 32.8, -50],
+        [40, -25.5, 32.9, 1e12],
+        [50, -25.4, 33.0],
+        [60, -25.3, 33.1, 3026.5],
+    ],
+}
+
+
+def test_read_and_flatten(spark, scratch):
+    write(scratch, "flight-track-2025-05-01.json", json.dumps(DOC, indent=2))
+    write(scratch, "flight-track-2025-05-02.json", json.dumps({"icao": "20104f", "timestamp": 1.0, "trace": []}))
+    write(scratch, "flight-track-2025-05-03.json", json.dumps({"icao": "20104f", "timestamp": 1.0, "trace": None}))
+    write(scratch, "flight-track-2025-05-04.json", json.dumps({"icao": "20104f", "path": [[1, 2, 3, 4]]}))
+    write(scratch, "flight-track-2025-05-05.json", '{"icao": "20104f", "trace": [[1, 2')
+    write(scratch, "notes.json", json.dumps({"icao": "x", "timestamp": 0.0, "trace": [[1, 2, 3, 4000]]}))
+    docs = traces.read_traces(spark, scratch)
+    good, bad = traces.split_quarantine(docs)
+    assert [r.source_file for r in bad.collect()] == ["flight-track-2025-05-05.json"]
+    pts = traces.flatten(good)
+    rows = sorted(pts.collect(), key=lambda r: (r.flight_date, r.idx))
+    assert [r.flight_date for r in rows] == [""] + ["2025-05-01"] * 7
+    day = [r for r in rows if r.flight_date]
+    assert [r.idx for r in day] == list(range(1, 8))
+    assert [r.altitude_ft for r in day] == [0, 3026, 0, -50, 0, 0, 3026]
+    assert day[1].time_offset == 10.25 and day[1].lat == -25.8
+    assert day[1].timestamp.isoformat().startswith("2025-05-01T00:00:10.75")
+
+
+def test_concatenated_roots(spark, scratch):
+    a = json.dumps({"icao": "a", "timestamp": 0.0, "trace": [[1, 2, 3, 4000]]})
+    b = json.dumps({"icao": "b", "timestamp": 0.0, "trace": [[1, 2, 3, 4000], [2, 2, 3, 10]]})
+    write(scratch, "flight-track-2025-05-01.json", a + "\n" + b)
+    # the JSON reader keeps only the first root; the text reader keeps both
+    assert traces.read_traces(spark, scratch).count() == 1
+    docs = traces.read_trace_text(spark, scratch)
+    assert sorted(r.icao for r in docs.collect()) == ["a", "b"]
+    assert traces.flatten(traces.split_quarantine(docs)[0]).count() == 3
+
+
+def test_points_sink_and_day_overwrite(spark, scratch):
+    rows = [("e", f"2025-05-0{d}", 0.0, i, float(i), 1.0, 2.0, 3000, None) for d in (1, 2, 3) for i in (1, 2)]
+    df = spark.createDataFrame(
+        rows, "entity string, flight_date string, base_timestamp double, idx long, time_offset double, "
+        "lat double, lng double, altitude_ft int, timestamp timestamp")
+    out = os.path.join(scratch, "points")
+    sinks.write_points(df, out)
+    assert sinks.read_points(spark, out).count() == 6
+    # replace day 2 only (dynamic partition overwrite)
+    sinks.write_points(df.filter("flight_date = '2025-05-02' and idx = 1"), out)
+    back = sinks.read_points(spark, out)
+    assert back.count() == 5
+    assert back.schema["flight_date"].dataType.simpleString() == "string"
+
+
+def test_manifest_lines_roundtrip(spark, scratch):
+    df = spark.createDataFrame([("2025-05-01", "has_data"), ("2025-05-02", "no_data")], "d string, status string")
+    latest = df.select(F.to_date("d").alias("day"), "status")
+    out = os.path.join(scratch, "cache")
+    sinks.write_manifest(latest, out)
+    back = sinks.read_manifest(spark, out)
+    assert sorted((str(r.day), r.status) for r in back.collect()) == [
+        ("2025-05-01", "has_data"), ("2025-05-02", "no_data")]
