@@ -81,14 +81,8 @@ def mark_takeoffs(
     flagged = flag_ground(points, cols, below)
     paired = neighbours(flagged, cols.keys, ["is_ground"], cols.order, chunk_size, previous=True)
     prev = F.coalesce(F.col("prev_is_ground"), F.lit(START_ON_GROUND))
-    return (
-        paired.withColumn("prev_ground", prev)
-        .withColumn(
-            "is_takeoff",
-            F.when((F.col("prev_ground") == 1) & (F.col("is_ground") == 0), F.lit(1)).otherwise(F.lit(0)),
-        )
-        .drop("prev_is_ground")
-    )
+    takeoff = F.when((prev == 1) & (F.col("is_ground") == 0), F.lit(1)).otherwise(F.lit(0))
+    return paired.withColumns({"prev_ground": prev, "is_takeoff": takeoff}).drop("prev_is_ground")
 
 
 def local_legs(

@@ -99,25 +99,15 @@ def with_halo(
     """
     idx = F.col(order)
     home = chunk_of(order, chunk_size)
-    members = [F.struct(home.alias("c"), F.lit(False).alias("h"))]
+    placed = F.array(F.struct(home.alias("c"), F.lit(False).alias("h")))
+    # when/concat rather than a lambda filter: stays inside whole-stage codegen
     if previous:
-        members.append(
-            F.when(idx % chunk_size == 0, F.struct((home + 1).alias("c"), F.lit(True).alias("h")))
-        )
+        copy = F.array(F.struct((home + 1).alias("c"), F.lit(True).alias("h")))
+        placed = F.when(idx % chunk_size == 0, F.concat(placed, copy)).otherwise(placed)
     if following:
-        members.append(
-            F.when(
-                (idx % chunk_size == 1 % chunk_size) & (home > 0),
-                F.struct((home - 1).alias("c"), F.lit(True).alias("h")),
-            )
-        )
-    placed = F.explode(F.filter(F.array(*members), lambda m: m.isNotNull())).alias("_m")
-    return (
-        df.select("*", placed)
-        .withColumn(CHUNK, F.col("_m.c"))
-        .withColumn(HALO, F.col("_m.h"))
-        .drop("_m")
-    )
+        copy = F.array(F.struct((home - 1).alias("c"), F.lit(True).alias("h")))
+        placed = F.when((idx % chunk_size == 1 % chunk_size) & (home > 0), F.concat(placed, copy)).otherwise(placed)
+    return df.select("*", F.inline(placed).alias(CHUNK, HALO))
 
 
 def chunk_window(keys: Sequence[str] | str, order: str = "idx"):
@@ -142,12 +132,13 @@ def neighbours(
     """
     w = chunk_window(keys, order)
     out = with_halo(df, order, chunk_size, previous, following)
+    added = {}
     for c in columns:
         if previous:
-            out = out.withColumn(f"prev_{c}", F.lag(c).over(w))
+            added[f"prev_{c}"] = F.lag(c).over(w)
         if following:
-            out = out.withColumn(f"next_{c}", F.lead(c).over(w))
-    return out.filter(~F.col(HALO)).drop(HALO)
+            added[f"next_{c}"] = F.lead(c).over(w)
+    return out.withColumns(added).filter(~F.col(HALO)).drop(HALO)
 
 
 def chunk_prefix(

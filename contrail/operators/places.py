@@ -68,38 +68,44 @@ LANDING_PLACES: tuple[Place, ...] = (
 )
 
 
-def _lit(x) -> Column:
-    return F.lit(float(x))
+def _num(x) -> str:
+    """A DOUBLE literal in SQL text (exact: repr round-trips the float)."""
+    return f"CAST({float(x)!r} AS DOUBLE)"
 
 
-def rule_matches(place: Place, lat: Column, lng: Column, alt: Column) -> Column:
-    """Boolean Column: the point lies inside the rule's open box (and passes its guard)."""
+def rule_sql(place: Place, lat: str, lng: str, alt: str | None) -> str:
+    """SQL condition: the point lies inside the rule's open box (and passes its guard)."""
     if place.is_centre:
-        cond = (F.abs(lat - _lit(place.lat)) < _lit(place.tol)) & (
-            F.abs(lng - _lit(place.lng)) < _lit(place.tol)
+        cond = (
+            f"abs({lat} - {_num(place.lat)}) < {_num(place.tol)} "
+            f"AND abs({lng} - {_num(place.lng)}) < {_num(place.tol)}"
         )
     else:
         cond = (
-            (lat < _lit(place.lat_hi))
-            & (lat > _lit(place.lat_lo))
-            & (lng > _lit(place.lng_lo))
-            & (lng < _lit(place.lng_hi))
+            f"{lat} < {_num(place.lat_hi)} AND {lat} > {_num(place.lat_lo)} "
+            f"AND {lng} > {_num(place.lng_lo)} AND {lng} < {_num(place.lng_hi)}"
         )
     if place.min_alt is not None:
-        cond = cond & (F.coalesce(alt, F.lit(GUARD_DEFAULT_ALT)) > F.lit(place.min_alt))
+        alt_sql = alt if alt is not None else "CAST(NULL AS INT)"
+        cond += f" AND coalesce({alt_sql}, {GUARD_DEFAULT_ALT}) > {int(place.min_alt)}"
     return cond
 
 
-def label(lat, lng, alt=None, rules: Sequence[Place] = TAKEOFF_PLACES) -> Column:
-    """First matching rule's label, else ``UNKNOWN`` (a CASE chain, fully codegen'd)."""
-    lat = F.col(lat) if isinstance(lat, str) else lat
-    lng = F.col(lng) if isinstance(lng, str) else lng
-    alt = F.lit(None).cast("int") if alt is None else (F.col(alt) if isinstance(alt, str) else alt)
-    expr = None
-    for place in rules:
-        cond = rule_matches(place, lat, lng, alt)
-        expr = F.when(cond, F.lit(place.label)) if expr is None else expr.when(cond, F.lit(place.label))
-    return F.lit(UNKNOWN) if expr is None else expr.otherwise(F.lit(UNKNOWN))
+def _quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def label(lat: str, lng: str, alt: str | None = None, rules: Sequence[Place] = TAKEOFF_PLACES) -> Column:
+    """First matching rule's label, else ``UNKNOWN``: one CASE expression over column
+    names (parsed once by the JVM; a built-in, codegen'd expression)."""
+    if not rules:
+        return F.lit(UNKNOWN)
+    lat_q, lng_q = _quote(lat), _quote(lng)
+    alt_q = _quote(alt) if alt is not None else None
+    branches = " ".join(
+        f"WHEN {rule_sql(p, lat_q, lng_q, alt_q)} THEN '{p.label}'" for p in rules
+    )
+    return F.expr(f"CASE {branches} ELSE '{UNKNOWN}' END")
 
 
 _PLACE_SCHEMA = T.StructType(
@@ -170,6 +176,7 @@ def label_by_join(
     places: DataFrame,
     out: str = "location",
     grid_degrees: float | None = None,
+    places_rows: int | None = None,
 ) -> DataFrame:
     """Label every row of ``df`` through a join with a places table.
 
@@ -180,13 +187,16 @@ def label_by_join(
     Larger ones are joined on grid cells: each place is copied into the cells its
     extent touches (at most 4 with ``grid_degrees`` >= the widest extent) and each
     point looks only at its own cell, so the join is an equi-join with no product.
+    ``places_rows`` is the table's known size (e.g. ``len(rules)``); without it the
+    size is checked with a bounded count.
     """
     key = list(key)
     plat, plng = F.col(f"_p.{lat}"), F.col(f"_p.{lng}")
     palt = F.col(f"_p.{alt}") if alt else F.lit(None).cast("int")
     points = df.select(*key, lat, lng, *([alt] if alt else [])).alias("_p")
-    n_places = places.limit(BROADCAST_PLACES_MAX_ROWS + 1).count()
+    n_places = places_rows if places_rows is not None else places.limit(BROADCAST_PLACES_MAX_ROWS + 1).count()
     if n_places <= BROADCAST_PLACES_MAX_ROWS and grid_degrees is None:
+        # size checked above: the broadcast holds at most BROADCAST_PLACES_MAX_ROWS rows
         matched = points.join(F.broadcast(places.alias("_r")), _table_match(plat, plng, palt), "inner")
     else:
         g = grid_degrees or places.agg(
@@ -211,7 +221,13 @@ def label_by_join(
             & _table_match(plat, plng, palt),
             "inner",
         )
-    best = matched.groupBy(*[F.col(f"_p.{k}").alias(k) for k in key]).agg(
-        F.min_by(F.col("_r.label"), F.col("_r.priority")).alias(out)
+    # min(priority) is a hash aggregate on an int (min_by on a string label would
+    # fall back to a sort aggregate); the label comes back through priority.
+    first = matched.groupBy(*[F.col(f"_p.{k}").alias(k) for k in key]).agg(
+        F.min(F.col("_r.priority")).alias("_priority")
     )
+    labels = places.select(F.col("priority").alias("_priority"), F.col("label").alias(out))
+    if n_places <= BROADCAST_PLACES_MAX_ROWS:
+        labels = F.broadcast(labels)
+    best = first.join(labels, "_priority", "inner").drop("_priority")
     return df.join(best, key, "left").withColumn(out, F.coalesce(F.col(out), F.lit(UNKNOWN)))

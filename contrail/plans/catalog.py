@@ -131,7 +131,7 @@ def places_range_join(spark, sf_dir):
     places = P.places_frame(spark, P.LANDING_PLACES)
     return P.label_by_join(
         legs, ["entity", "flight_num"], "landing_lat", "landing_lng", "landing_altitude", places,
-        out="landing_location",
+        out="landing_location", places_rows=len(P.LANDING_PLACES),
     ).select("entity", "flight_num", "landing_location")
 
 
@@ -143,7 +143,7 @@ def places_grid_join(spark, sf_dir):
     places = P.places_frame(spark, P.LANDING_PLACES)
     return P.label_by_join(
         legs, ["entity", "flight_num"], "landing_lat", "landing_lng", "landing_altitude", places,
-        out="landing_location", grid_degrees=2.0,
+        out="landing_location", grid_degrees=2.0, places_rows=len(P.LANDING_PLACES),
     ).select("entity", "flight_num", "landing_location")
 
 
