@@ -234,6 +234,12 @@ def flatten_points(spark, sf_dir):
     return pts.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
+def trace_text_flatten(spark, sf_dir):
+    """File texts with two root objects each -> split, parse, quarantine, flatten."""
+    good, _bad = TR.split_quarantine(TR.parse_documents(X.trace_file_texts(spark, sf_dir)))
+    return TR.flatten(good).drop("timestamp")
+
+
 def trace_leg_summary(spark, sf_dir):
     """Flatten + segmentation with the reference defaults (2000 ft, 900 s, 50 points)."""
     pts = TR.flatten(X.trace_documents(spark, sf_dir))
@@ -377,6 +383,7 @@ def queries() -> dict[str, Query]:
         "geojson_features": geojson_features,
         "track_paths": track_paths,
         "flatten_points": flatten_points,
+        "trace_text_flatten": trace_text_flatten,
         "trace_leg_summary": trace_leg_summary,
         "embedding_values": embedding_values,
         "props_int": props_int,

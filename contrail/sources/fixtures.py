@@ -161,3 +161,32 @@ def feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         ).withColumn("source", F.lit(name))
 
     return feed(d.filter(is_primary), "primary"), feed(d.filter(~is_primary), "fallback")
+
+
+def _json_value(v):
+    """A trace element (text) as JSON: numbers as they are, words quoted, null."""
+    return (
+        F.when(v.isNull(), F.lit("null"))
+        .when(v.try_cast("double").isNull(), F.concat(F.lit('"'), v, F.lit('"')))
+        .otherwise(v)
+    )
+
+
+def _json_document(icao, base, points):
+    point_text = F.transform(
+        points, lambda p: F.concat(F.lit("["), F.array_join(F.transform(p, _json_value), ", "), F.lit("]"))
+    )
+    return F.concat(
+        F.lit('{"icao": "'), icao, F.lit('", "timestamp": '), base.cast("string"),
+        F.lit(', "trace": ['), F.array_join(point_text, ", "), F.lit("]}"),
+    )
+
+
+def trace_file_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File texts holding two root objects each: the document of ``trace_documents``
+    split after its 8th point; the second part's entity gets the suffix ``b``."""
+    docs = trace_documents(spark, sf_dir)
+    first = _json_document(F.col("icao"), F.col("timestamp"), F.slice("trace", 1, 8))
+    second = _json_document(F.concat(F.col("icao"), F.lit("b")), F.col("timestamp"),
+                            F.slice("trace", 9, F.greatest(F.size("trace") - 8, F.lit(0))))
+    return docs.select("source_file", F.concat(first, F.lit("\n"), second).alias("value"))

@@ -65,20 +65,32 @@ def read_traces(spark: SparkSession, path: str, schema: T.StructType = TRACE_SCH
 _ROOT_SPLIT = r"(?<=\})\s*(?=\{)"
 
 
+def parse_documents(texts: DataFrame, text: str = "value", source_file: str = "source_file",
+                    schema: T.StructType = TRACE_SCHEMA) -> DataFrame:
+    """Whole file texts -> one row per root object (S2 for concatenated documents).
+
+    The text is split between root objects (``}`` then ``{``, whitespace allowed) and
+    every part is parsed with the schema; a part that is not valid JSON keeps its text
+    in ``_corrupt_record``. The split is textual: a string value containing ``}{`` would
+    be cut.
+    """
+    parts = texts.select(F.col(source_file).alias("source_file"),
+                         F.explode(F.split(F.col(text), _ROOT_SPLIT)).alias("doc"))
+    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = parts.select("source_file", F.from_json("doc", schema, opts).alias("d"))
+    return parsed.select(*[F.col(f"d.{f.name}").alias(f.name) for f in schema.fields], "source_file")
+
+
 def read_trace_text(spark: SparkSession, path: str, schema: T.StructType = TRACE_SCHEMA) -> DataFrame:
     """S2 for files holding several concatenated root objects.
 
     ``multiLine`` JSON keeps only the first root object of a file; this reads each
-    file as one text value, splits it between root objects and parses every part.
-    The split is textual: a string value containing ``}{`` would be cut.
+    file as one text value and parses every root object in it.
     """
     raw = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_name").alias("source_file"), F.col("value")
     )
-    parts = raw.select("source_file", F.explode(F.split("value", _ROOT_SPLIT)).alias("doc"))
-    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = parts.select("source_file", F.from_json("doc", schema, opts).alias("d"))
-    return parsed.select(*[F.col(f"d.{f.name}").alias(f.name) for f in schema.fields], "source_file")
+    return parse_documents(raw, "value", "source_file", schema)
 
 
 def split_quarantine(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -83,3 +83,34 @@ def test_manifest_lines_roundtrip(spark, scratch):
     back = sinks.read_manifest(spark, out)
     assert sorted((str(r.day), r.status) for r in back.collect()) == [
         ("2025-05-01", "has_data"), ("2025-05-02", "no_data")]
+
+
+def test_parse_documents_quarantines_bad_parts(spark):
+    texts = spark.createDataFrame(
+        [("f1", '{"icao": "a", "timestamp": 0.0, "trace": [[1, 2, 3, 4000]]}{"icao": "b", "trace": [[1, 2'),
+         ("f2", '{"icao": "c", "timestamp": 1.0, "trace": []}')],
+        "source_file string, value string")
+    good, bad = traces.split_quarantine(traces.parse_documents(texts))
+    assert sorted(r.icao for r in good.collect()) == ["a", "c"]
+    assert [r.source_file for r in bad.collect()] == ["f1"]
+
+
+def test_feature_and_leg_sinks(spark, scratch):
+    from contrail.operators import geometry as G
+    from contrail.operators import legs as L
+
+    rows = [("e", "2025-05-01", 0.0, i, 60.0 * i, -11.0 + 0.01 * i, 40.0 + 0.01 * i, 500 if i in (1, 60) else 3000)
+            for i in range(1, 61)]
+    pts = spark.createDataFrame(
+        rows, "entity string, flight_date string, base_timestamp double, idx long, time_offset double, "
+        "lat double, lng double, altitude_ft int")
+    cols = L.TrackCols()
+    feats = G.features(G.ribbons(G.coloured_pairs(pts, cols), cols), cols)
+    out = os.path.join(scratch, "features")
+    sinks.write_features(feats, out)
+    lines = spark.read.text(os.path.join(out, "flight_date=2025-05-01")).collect()
+    assert len(lines) == 59 and all(json.loads(r.value)["type"] == "Feature" for r in lines)
+    legs = L.leg_summary(pts, cols, L.LegParams(min_seconds=0, min_points=0))
+    sinks.write_legs(legs, os.path.join(scratch, "legs"))
+    back = spark.read.parquet(os.path.join(scratch, "legs")).collect()
+    assert len(back) == 1 and back[0].flight_num == 1 and back[0].flight_duration_minutes == 57.0
