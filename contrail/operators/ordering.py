@@ -59,14 +59,17 @@ def ordinal(
     """
     keys, order = _keys(keys), _keys(order)
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     checkpoint_dir(spark)
+    # Without an explicit count, AQE may coalesce the range partitions; it merges
+    # adjacent ones, so every partition is still one contiguous key range.
+    ranged = (
+        df.repartitionByRange(partitions, *keys, *order) if partitions else df.repartitionByRange(*keys, *order)
+    )
     # The range bounds come from a sample whose seed depends on the RDD; a second
     # consumer of an un-materialised plan could see other bounds. The checkpoint
     # (shared folder, survives executor loss) pins one assignment for both uses.
     local = (
-        df.repartitionByRange(n, *keys, *order)
-        .withColumn("_part", F.spark_partition_id())
+        ranged.withColumn("_part", F.spark_partition_id())
         .withColumn("_local", F.row_number().over(Window.partitionBy("_part", *keys).orderBy(*order)))
         .checkpoint(eager=True)
     )

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.functions import from_hex, iso_utc, json_int, to_hex
+from contrail.functions import archive_path, from_hex, iso_utc, json_int, to_hex, track_file_name
 from contrail.operators import geometry as G
 from contrail.operators import ingest as I
 from contrail.operators import legs as L
@@ -310,11 +310,7 @@ def source_choice(spark, sf_dir):
 def archive_paths(spark, sf_dir):
     """F26 + F30: archive path and file name of every day with events."""
     days = X.event_days(spark, sf_dir).select("day").distinct()
-    return days.select(
-        "day",
-        F.date_format("day", "yyyy/MM/dd").alias("archive_path"),
-        F.concat(F.lit("flight-track-"), F.date_format("day", "yyyy-MM-dd"), F.lit(".json")).alias("file_name"),
-    )
+    return days.select("day", archive_path("day").alias("archive_path"), track_file_name("day").alias("file_name"))
 
 
 def hex_ids(spark, sf_dir):

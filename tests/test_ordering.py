@@ -16,13 +16,26 @@ def hot_rows(n=3000, seed=7):
     return rows
 
 
-def test_ordinal_equals_row_number_with_hot_key(spark):
+@pytest.mark.parametrize("partitions", [7, None])
+def test_ordinal_equals_row_number_with_hot_key(spark, partitions):
     df = spark.createDataFrame(hot_rows(), "k long, ts long, id long, v int")
-    got = ordinal(df, ["k"], ["ts", "id"], "idx", partitions=7)
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2k")  # several coalesced ranges
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1k")
+    try:
+        got = ordinal(df, ["k"], ["ts", "id"], "idx", partitions=partitions)
+        ranged = df.repartitionByRange(partitions, "k", "ts", "id") if partitions else df.repartitionByRange(
+            "k", "ts", "id")
+        n_parts = ranged.select(F.spark_partition_id().alias("p")).distinct().count()
+        assert n_parts > 1  # the hot key spans several ranges
+        rows_got = sorted(got.select("k", "id", "idx").collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.parallelismFirst")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionSize")
     want = df.withColumn("idx", F.row_number().over(Window.partitionBy("k").orderBy("ts", "id")))
-    a = sorted(got.select("k", "id", "idx").collect())
-    b = sorted(want.select("k", "id", "idx").collect())
-    assert a == b
+    assert rows_got == sorted(want.select("k", "id", "idx").collect())
 
 
 @pytest.mark.parametrize("chunk", [1, 2, 3, 5, 64, 1 << 20])

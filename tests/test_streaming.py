@@ -31,3 +31,8 @@ def test_each_file_once(spark):
     assert back.count() == 3
     assert sorted(str(r.flight_date) for r in back.select("flight_date").distinct().collect()) == [
         "2025-05-01", "2025-05-02"]
+    # the incremental result equals a batch read of the same files
+    from contrail.sources.traces import flatten, read_traces, split_quarantine
+    batch = flatten(split_quarantine(read_traces(spark, src))[0])
+    cols = ["entity", "idx", "time_offset", "lat", "lng", "altitude_ft"]
+    assert sorted(back.select(cols).collect()) == sorted(batch.select(cols).collect())
