@@ -307,13 +307,14 @@ def endpoints_by_join(legs: DataFrame, cols: TrackCols = TrackCols(), leg: str =
     )
 
 
-def first_last_windowed(legs: DataFrame, cols: TrackCols = TrackCols(), leg: str = "flight_num") -> DataFrame:
-    """W3/W4 in windowed form: every airborne point with its leg's first and last position.
-
-    ``FIRST_VALUE`` over the default frame and ``LAST_VALUE`` over the full frame give,
-    on every row, the leg's first / last values; computing the per-leg value once
-    (hash aggregate) and joining it back on the leg key gives the same rows while the
-    join, unlike a window, can be split by adaptive skew handling when one leg is huge.
+def first_last_per_point(legs: DataFrame, cols: TrackCols = TrackCols(), leg: str = "flight_num") -> DataFrame:
+    """W3/W4 per point: every airborne point with its leg's first and last position.
+
+    Same rows as ``FIRST_VALUE`` over the default frame and ``LAST_VALUE`` over the full
+    frame of a window per leg. The per-leg values are computed once (hash aggregate
+    with partial aggregation) and joined back on the leg key: unlike a window, the
+    join can be split by adaptive skew handling when one leg holds a large share of
+    all points.
     """
     ends = summarise(legs, cols, leg, extents=False, endpoints=True)
     return legs.select(*cols.keys, leg, cols.order).join(ends, [*cols.keys, leg], "inner")

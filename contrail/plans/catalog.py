@@ -80,9 +80,11 @@ def leg_endpoints_join(spark, sf_dir):
     )
 
 
-def first_last_windowed(spark, sf_dir):
-    """W3/W4 windowed form: every airborne point with its leg's first and last position."""
-    return L.first_last_windowed(_numbered(spark, sf_dir), C).select(
+def first_last_per_point(spark, sf_dir):
+    """W3/W4 per-point form: every airborne point with its leg's first and last
+    position (FIRST_VALUE / full-frame LAST_VALUE semantics), computed as a per-leg
+    aggregate joined back on the leg key instead of a window over the whole leg."""
+    return L.first_last_per_point(_numbered(spark, sf_dir), C).select(
         "entity", "idx", "flight_num", "takeoff_lat", "takeoff_lng", "takeoff_altitude",
         "landing_lat", "landing_lng", "landing_altitude",
     )
@@ -241,7 +243,9 @@ def trace_text_flatten(spark, sf_dir):
 
 
 def trace_leg_summary(spark, sf_dir):
-    """Flatten + segmentation with the reference defaults (2000 ft, 900 s, 50 points)."""
+    """Flatten + leg summary per (entity, flight_date): ground below 2000 ft (the
+    reference default); legs longer than 60 s with more than 2 points, since these
+    16-point documents cannot meet 900 s / 50 points."""
     pts = TR.flatten(X.trace_documents(spark, sf_dir))
     params = L.LegParams(min_seconds=60, min_points=2)
     return L.leg_summary(pts, L.TrackCols(), params)
@@ -359,7 +363,7 @@ def queries() -> dict[str, Query]:
         "leg_extents": leg_extents,
         "leg_endpoints": leg_endpoints,
         "leg_endpoints_join": leg_endpoints_join,
-        "first_last_windowed": first_last_windowed,
+        "first_last_per_point": first_last_per_point,
         "leg_keys_distinct": leg_keys_distinct,
         "significant_legs": significant_legs,
         "takeoff_places": takeoff_places,

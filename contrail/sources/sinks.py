@@ -16,11 +16,12 @@ from contrail.operators.ingest import parse_status_line, status_line
 def write_points(points: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Point table partitioned by ``flight_date``.
 
-    Rows are clustered by ``(flight_date, entity)`` (not by day alone, so one busy
-    day is spread over many writers) and sorted by ordinal inside each file.
+    Rows are range-partitioned on ``(flight_date, entity, idx)``: each writer gets a
+    contiguous slice (few files per task, sorted by track and ordinal inside), and a
+    busy day or a busy track is split over several writers instead of one.
     """
     (
-        points.repartition("flight_date", "entity")
+        points.repartitionByRange("flight_date", "entity", "idx")
         .sortWithinPartitions("flight_date", "entity", "idx")
         .write.mode(mode)
         .partitionBy("flight_date")

@@ -144,6 +144,6 @@ def test_join_and_window_forms_agree(spark):
         "entity", "flight_date", "flight_num", "takeoff_lat", "landing_lat", "landing_altitude")
     join = L.endpoints_by_join(legs, COLS).select(
         "entity", "flight_date", "flight_num", "takeoff_lat", "landing_lat", "landing_altitude")
-    win = L.first_last_windowed(legs, COLS).select(
+    win = L.first_last_per_point(legs, COLS).select(
         "entity", "flight_date", "flight_num", "takeoff_lat", "landing_lat", "landing_altitude").distinct()
     assert sorted(one.collect()) == sorted(join.collect()) == sorted(win.collect())
