@@ -57,6 +57,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.serializer", "org.apache.spark.serializer.KryoSerializer")
     )
     for key, value in {**_RESULT_CONF, **_SCALE_CONF}.items():
         builder = builder.config(key, value)

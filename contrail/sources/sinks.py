@@ -41,6 +41,25 @@ def read_points(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+# Fixed value: the report's columns of the point table.
+REPORT_COLUMNS = ("flight_date", "lat", "lng", "altitude_ft", "timestamp")
+
+
+def read_report_points(spark: SparkSession, path: str, first_day: str | None = None,
+                       last_day: str | None = None) -> DataFrame:
+    """The report's 5 columns of the point table, optionally for a day range.
+
+    Only these columns are read (Parquet column pruning) and only the day folders in
+    the range are listed (partition pruning on ``flight_date``).
+    """
+    pts = read_points(spark, path)
+    if first_day is not None:
+        pts = pts.filter(F.col("flight_date") >= F.lit(first_day))
+    if last_day is not None:
+        pts = pts.filter(F.col("flight_date") <= F.lit(last_day))
+    return pts.select(*REPORT_COLUMNS, "entity", "idx")
+
+
 def write_legs(legs: DataFrame, path: str, mode: str = "overwrite") -> None:
     """The leg summary table."""
     legs.write.mode(mode).parquet(path)
