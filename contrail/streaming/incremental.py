@@ -1,19 +1,67 @@
 """Process each arriving day file once.
 
-A file-source stream over the trace folder, flattened and appended to the point
-table with an ``availableNow`` trigger: every run handles only files it has not
-seen (tracked in the checkpoint), then stops. Leg segmentation needs a complete
-day, so it stays a batch job over the touched ``flight_date`` partitions.
+A file-source stream over the trace folder with an ``availableNow`` trigger: every
+run handles only files it has not seen (tracked in the stream checkpoint), then
+stops. Each micro-batch
+
+* flattens the valid documents and writes their points,
+* keeps malformed files in a quarantine table,
+* records one status-cache entry per file (``has_data`` for a parsed document with
+  an id, else ``no_data``) in the manifest history, whose latest entry per
+  ``(entity, day)`` is the cached status (``ingest.latest_status``).
+
+``foreachBatch`` is at-least-once: a batch can be replayed after a failure. Every
+table is therefore written into its own ``ingest_batch=<id>`` partitions with
+dynamic partition overwrite, so a replay replaces exactly what that batch wrote
+before instead of appending it twice.
+
+Leg segmentation needs a complete day, so it stays a batch job over the touched
+``flight_date`` partitions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from contrail.operators.ingest import HAS_DATA, NO_DATA
 from contrail.session import checkpoint_dir
 from contrail.sources.traces import CORRUPT, TRACE_SCHEMA, flatten
+from contrail.functions.scalar import TRACK_FILE_DATE_PATTERN
+
+BATCH = "ingest_batch"
+
+
+def _write(df: DataFrame, path: str, partitions: list[str]) -> None:
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partitions)
+        .parquet(path)
+    )
+
+
+def process_batch(batch: DataFrame, batch_id: int, points_path: str,
+                  quarantine_path: str | None = None, manifest_path: str | None = None) -> None:
+    """Write one micro-batch of trace documents (idempotent per ``batch_id``)."""
+    tag = F.lit(int(batch_id)).cast("bigint")
+    good = batch.filter(F.col(CORRUPT).isNull())
+    _write(flatten(good).withColumn(BATCH, tag), points_path, ["flight_date", BATCH])
+    if quarantine_path:
+        bad = batch.filter(F.col(CORRUPT).isNotNull()).select("source_file", "icao", CORRUPT)
+        _write(bad.withColumn(BATCH, tag), quarantine_path, [BATCH])
+    if manifest_path:
+        usable = F.col(CORRUPT).isNull() & F.col("icao").isNotNull()
+        entries = batch.select(
+            F.col("icao").alias("entity"),
+            F.to_date(F.regexp_extract("source_file", TRACK_FILE_DATE_PATTERN, 1)).alias("day"),
+            F.when(usable, F.lit(HAS_DATA)).otherwise(F.lit(NO_DATA)).alias("status"),
+            F.lit("primary").alias("source"),
+            F.current_timestamp().alias("seen_at"),
+            "source_file",
+        )
+        _write(entries.withColumn(BATCH, tag), manifest_path, [BATCH])
 
 
 def stream_traces(
@@ -22,8 +70,9 @@ def stream_traces(
     points_path: str,
     checkpoint: str | None = None,
     quarantine_path: str | None = None,
+    manifest_path: str | None = None,
 ) -> StreamingQuery:
-    """Start an availableNow run: new files -> flattened points (append, by day)."""
+    """Start an availableNow run: new files -> points, quarantine, manifest entries."""
     ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/stream_traces"
     docs = (
         spark.readStream.schema(TRACE_SCHEMA)
@@ -33,17 +82,10 @@ def stream_traces(
         .json(source_dir)
         .withColumn("source_file", F.col("_metadata.file_name"))
     )
-
-    def write_batch(batch, _epoch_id):
-        good = batch.filter(F.col(CORRUPT).isNull())
-        flatten(good).write.mode("append").partitionBy("flight_date").parquet(points_path)
-        if quarantine_path:
-            batch.filter(F.col(CORRUPT).isNotNull()).select("source_file", "icao", CORRUPT).write.mode(
-                "append"
-            ).parquet(quarantine_path)
-
     return (
-        docs.writeStream.foreachBatch(write_batch)
+        docs.writeStream.foreachBatch(
+            lambda batch, batch_id: process_batch(batch, batch_id, points_path, quarantine_path, manifest_path)
+        )
         .option("checkpointLocation", ckpt)
         .trigger(availableNow=True)
         .start()

@@ -2,37 +2,60 @@ import json
 import os
 import tempfile
 
-from contrail.streaming.incremental import stream_traces
+from pyspark.sql import functions as F
+
+from contrail.operators.ingest import latest_status
+from contrail.sources.traces import TRACE_SCHEMA, flatten, read_traces, split_quarantine
+from contrail.streaming.incremental import process_batch, stream_traces
 
 
 def write(folder, name, doc):
     with open(os.path.join(folder, name), "w") as f:
-        json.dump(doc, f)
+        f.write(doc if isinstance(doc, str) else json.dumps(doc))
 
 
-def run(spark, src, out, ckpt):
-    q = stream_traces(spark, src, out, checkpoint=ckpt)
+def run(spark, src, root):
+    q = stream_traces(spark, src, os.path.join(root, "points"), checkpoint=os.path.join(root, "ckpt"),
+                      quarantine_path=os.path.join(root, "bad"), manifest_path=os.path.join(root, "manifest"))
     q.awaitTermination()
 
 
 def test_each_file_once(spark):
     root = tempfile.mkdtemp(prefix="contrail-stream-")
-    src, out, ckpt = (os.path.join(root, x) for x in ("in", "points", "ckpt"))
+    src, out = os.path.join(root, "in"), os.path.join(root, "points")
     os.makedirs(src)
     doc = {"icao": "a", "timestamp": 0.0, "trace": [[0, 1, 2, 3000], [1, 1, 2, 3000]]}
     write(src, "flight-track-2025-05-01.json", doc)
-    run(spark, src, out, ckpt)
+    run(spark, src, root)
     assert spark.read.parquet(out).count() == 2
-    run(spark, src, out, ckpt)  # nothing new
+    run(spark, src, root)  # nothing new
     assert spark.read.parquet(out).count() == 2
     write(src, "flight-track-2025-05-02.json", dict(doc, trace=[[0, 1, 2, 10]]))
-    run(spark, src, out, ckpt)
+    write(src, "flight-track-2025-05-03.json", '{"icao": "a", "trace": [[0, 1')
+    run(spark, src, root)
     back = spark.read.parquet(out)
     assert back.count() == 3
     assert sorted(str(r.flight_date) for r in back.select("flight_date").distinct().collect()) == [
         "2025-05-01", "2025-05-02"]
     # the incremental result equals a batch read of the same files
-    from contrail.sources.traces import flatten, read_traces, split_quarantine
     batch = flatten(split_quarantine(read_traces(spark, src))[0])
     cols = ["entity", "idx", "time_offset", "lat", "lng", "altitude_ft"]
     assert sorted(back.select(cols).collect()) == sorted(batch.select(cols).collect())
+    # the malformed file is quarantined and cached as no_data; the others as has_data
+    assert spark.read.parquet(os.path.join(root, "bad")).count() == 1
+    latest = latest_status(spark.read.parquet(os.path.join(root, "manifest")), ["day"])
+    assert sorted((str(r.day), r.status) for r in latest.collect()) == [
+        ("2025-05-01", "has_data"), ("2025-05-02", "has_data"), ("2025-05-03", "no_data")]
+
+
+def test_replayed_batch_is_not_duplicated(spark):
+    root = tempfile.mkdtemp(prefix="contrail-replay-")
+    src, out = os.path.join(root, "in"), os.path.join(root, "points")
+    os.makedirs(src)
+    write(src, "flight-track-2025-05-01.json", {"icao": "a", "timestamp": 0.0, "trace": [[0, 1, 2, 3000]]})
+    batch = (spark.read.schema(TRACE_SCHEMA).option("multiLine", True).json(src)
+             .withColumn("source_file", F.col("_metadata.file_name")))
+    process_batch(batch, 7, out)
+    process_batch(batch, 7, out)  # the same batch again, as after a failure
+    process_batch(batch, 8, out)
+    assert spark.read.parquet(out).count() == 2
