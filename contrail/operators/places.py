@@ -163,8 +163,9 @@ def _table_match(lat: Column, lng: Column, alt: Column) -> Column:
     return (centre | box) & guard
 
 
-# A places table up to this many rows is broadcast; beyond it the grid join is used.
-BROADCAST_PLACES_MAX_ROWS = 100_000
+# A places table up to this many rows is broadcast into a nested-loop join (legs x
+# places comparisons); beyond it the grid-cell equi-join is used.
+BROADCAST_PLACES_MAX_ROWS = 256
 
 
 def label_by_join(
@@ -183,8 +184,9 @@ def label_by_join(
     First match by ``priority`` per row (``min_by(label, priority)``), NULL-free:
     rows without a match get ``UNKNOWN``. ``key`` must identify a row of ``df``.
 
-    Small places tables (size checked) are broadcast into a nested-loop range join.
-    Larger ones are joined on grid cells: each place is copied into the cells its
+    Small places tables (size checked, at most ``BROADCAST_PLACES_MAX_ROWS``) are
+    broadcast into a nested-loop range join, which compares every row with every
+    place. Larger ones are joined on grid cells: each place is copied into the cells its
     extent touches (at most 4 with ``grid_degrees`` >= the widest extent) and each
     point looks only at its own cell, so the join is an equi-join with no product.
     ``places_rows`` is the table's known size (e.g. ``len(rules)``); without it the
