@@ -147,3 +147,22 @@ def test_join_and_window_forms_agree(spark):
     win = L.first_last_per_point(legs, COLS).select(
         "entity", "flight_date", "flight_num", "takeoff_lat", "landing_lat", "landing_altitude").distinct()
     assert sorted(one.collect()) == sorted(join.collect()) == sorted(win.collect())
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    tracks=st.lists(st.lists(st.sampled_from([None, -5, 0, 1999, 2000, 35000]), min_size=1, max_size=40),
+                    min_size=1, max_size=4),
+    chunk=st.integers(min_value=1, max_value=9),
+)
+def test_numbering_property(spark, tracks, chunk):
+    rows = []
+    for t, alts in enumerate(tracks):
+        rows += track([0 if a is None else a for a in alts], entity=f"e{t}")
+    df = L.number_legs(points(spark, rows), COLS, chunk_size=chunk)
+    got = {(r.entity, r.flight_date, r.idx): r.flight_num for r in df.collect()}
+    assert got == brute_force_legs(rows)
