@@ -132,8 +132,10 @@ def chunk_partials(local: DataFrame, cols: TrackCols = TrackCols()) -> DataFrame
 def chunk_offsets(partials: DataFrame, cols: TrackCols = TrackCols()) -> DataFrame:
     """(keys, _chunk) -> number of takeoffs in all earlier chunks of the track.
 
-    The takeoffs of a chunk are its largest local leg number. One row per chunk, so
-    the window over a track's chunks holds ``points / chunk_size`` rows at most.
+    ``partials`` is any frame with ``keys, _chunk, _local_leg`` (the chunk partials or
+    the windowed points). The takeoffs of a chunk are its largest local leg number.
+    One row per chunk, so the window over a track's chunks holds
+    ``points / chunk_size`` rows at most.
     """
     totals = partials.groupBy(*cols.keys, CHUNK).agg(F.max("_local_leg").alias("_tk"))
     before = Window.partitionBy(*cols.keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
@@ -155,11 +157,12 @@ def number_legs(
 ) -> DataFrame:
     """Airborne points with their leg number 1..k (running takeoff count), BIGINT.
 
-    ``leg = takeoffs in earlier chunks + local running count``. The offset table has
-    one row per chunk and joins on the window's own partitioning ``(keys, _chunk)``.
+    ``leg = takeoffs in earlier chunks + local running count``. The per-chunk takeoff
+    counts are a partial hash aggregate of the windowed rows (one row per chunk); the
+    offset table joins back on the window's own partitioning ``(keys, _chunk)``.
     """
     local = local_legs(points, cols, below, chunk_size)
-    offsets = chunk_offsets(chunk_partials(local, cols), cols)
+    offsets = chunk_offsets(local, cols)
     return (
         local.join(offsets, [*cols.keys, CHUNK], "inner")
         .select(*[c for c in local.columns if not c.startswith("_")], _leg_number(name))
