@@ -112,32 +112,27 @@ def ribbons(coloured: DataFrame, cols: TrackCols = TrackCols(), width: float = R
     lat, lng = F.col(cols.lat), F.col(cols.lng)
     lat2, lng2 = F.col(f"next_{cols.lat}"), F.col(f"next_{cols.lng}")
     w = F.lit(float(width))
+    dx, dy, length = F.col("dx"), F.col("dy"), F.col("length")
     with_len = (
-        coloured.withColumn("dx", lng2 - lng)
-        .withColumn("dy", lat2 - lat)
-        .withColumn("length", F.sqrt(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy")))
-        .filter(F.col("length") > 0)
+        coloured.withColumns({"dx": lng2 - lng, "dy": lat2 - lat})
+        .withColumn("length", F.sqrt(dx * dx + dy * dy))
+        .filter(length > 0)
     )
-    nx = -F.col("dy") / F.col("length") * w
-    ny = F.col("dx") / F.col("length") * w
-    avg = F.col("avg_alt")
-    return (
-        with_len.withColumn("nx", nx)
-        .withColumn("ny", ny)
-        .withColumn("x0", lng - F.col("nx"))
-        .withColumn("y0", lat - F.col("ny"))
-        .withColumn("x1", lng + F.col("nx"))
-        .withColumn("y1", lat + F.col("ny"))
-        .withColumn("x2", lng2 + F.col("nx"))
-        .withColumn("y2", lat2 + F.col("ny"))
-        .withColumn("x3", lng2 - F.col("nx"))
-        .withColumn("y3", lat2 - F.col("ny"))
-        .withColumn("extrusion_height", F.greatest(F.lit(MIN_HEIGHT), avg * F.lit(HEIGHT_SCALE)))
-        .withColumn("extrusion_base", F.greatest(F.lit(0.0), avg * F.lit(HEIGHT_SCALE) - F.lit(BASE_DROP)))
+    normal = with_len.withColumns({"nx": -dy / length * w, "ny": dx / length * w})
+    nx, ny, avg = F.col("nx"), F.col("ny"), F.col("avg_alt")
+    return normal.withColumns(
+        {
+            "x0": lng - nx, "y0": lat - ny,
+            "x1": lng + nx, "y1": lat + ny,
+            "x2": lng2 + nx, "y2": lat2 + ny,
+            "x3": lng2 - nx, "y3": lat2 - ny,
+            "extrusion_height": F.greatest(F.lit(MIN_HEIGHT), avg * F.lit(HEIGHT_SCALE)),
+            "extrusion_base": F.greatest(F.lit(0.0), avg * F.lit(HEIGHT_SCALE) - F.lit(BASE_DROP)),
+        }
     )
 
 
-def ring(prefix: str = "") -> Column:
+def ring() -> Column:
     """The closed ring as ``array<array<double>>`` from the corner columns."""
     pts = [F.array(F.col(f"x{i}"), F.col(f"y{i}")) for i in (0, 1, 2, 3, 0)]
     return F.array(*pts)

@@ -14,7 +14,6 @@ which stay hash-based), instead of aggregate + join back + windows + DISTINCT.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Window

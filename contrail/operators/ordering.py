@@ -142,19 +142,3 @@ def neighbours(
         if following:
             added[f"next_{c}"] = F.lead(c).over(w)
     return out.withColumns(added).filter(~F.col(HALO)).drop(HALO)
-
-
-def chunk_prefix(
-    df: DataFrame, keys: Sequence[str] | str, value: str, name: str = "_offset"
-) -> DataFrame:
-    """Per ``(keys, _chunk)``: the sum of ``value`` over all *earlier* chunks.
-
-    One row per chunk, so the window over chunks of a track holds
-    ``points / chunk_size`` rows even for the largest track.
-    """
-    keys = _keys(keys)
-    totals = df.groupBy(*keys, CHUNK).agg(F.sum(value).alias("_total"))
-    before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    return totals.select(
-        *keys, CHUNK, F.coalesce(F.sum("_total").over(before), F.lit(0)).cast("bigint").alias(name)
-    )

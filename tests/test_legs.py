@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from contrail.operators import legs as L
-from contrail.operators.places import LANDING_PLACES, TAKEOFF_PLACES
+from contrail.operators.places import TAKEOFF_PLACES
 
 COLS = L.TrackCols(keys=("entity", "flight_date"), time="time_offset", base="base_timestamp")
 SCHEMA = ("entity string, flight_date string, base_timestamp double, idx long, time_offset double, "

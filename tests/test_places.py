@@ -1,7 +1,5 @@
 import random
 
-from pyspark.sql import functions as F
-
 from contrail.operators.places import LANDING_PLACES, label, label_by_join, places_frame
 
 
