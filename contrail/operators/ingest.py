@@ -55,6 +55,12 @@ def latest_status(history: DataFrame, keys: Sequence[str] = ("entity", "day")) -
     )
 
 
+def upsert(manifest: DataFrame, updates: DataFrame, keys: Sequence[str] = ("entity", "day")) -> DataFrame:
+    """W7 as a table operation: new looks replace old ones per key (the cache deletes
+    a day's line and appends the new one). Union by name, then latest per key."""
+    return latest_status(manifest.unionByName(updates, allowMissingColumns=True), keys)
+
+
 def missing_days(expected: DataFrame, latest: DataFrame, keys: Sequence[str] = ("entity", "day")) -> DataFrame:
     """Expected days with no cache entry at all (neither present nor known empty)."""
     return expected.join(latest.select(*keys), list(keys), "left_anti")
