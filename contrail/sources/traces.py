@@ -109,12 +109,16 @@ def flatten(
     base: str = "timestamp",
     trace: str = "trace",
     source_file: str = "source_file",
+    strict: bool = True,
 ) -> DataFrame:
     """One row per point, typed like the point table.
 
     * ``flight_date`` = the date in the file name (``''`` when the name has none);
     * ``idx`` = 1-based position in the trace (``posexplode`` + 1, dense per document);
-    * offset, lat, lng = strict DOUBLE casts (a non-numeric value fails the job);
+    * offset, lat, lng = strict DOUBLE casts (a non-numeric value fails the job, as in
+      the reference); with ``strict=False`` such values become NULL instead, so a
+      single bad value in a large input can be filtered out with ``bad_points``
+      rather than stopping the job;
     * ``altitude_ft`` = JSON-style INT of the 4th element, 0 when NULL or not numeric;
     * ``timestamp`` = ``base + offset`` seconds since the epoch.
 
@@ -126,20 +130,26 @@ def flatten(
         F.col(base).alias("base_timestamp"),
         F.posexplode(trace).alias("pos", "point"),
     )
-    offset = strict_double(element("point", 1))
+    to_double = strict_double if strict else (lambda c: c.try_cast("double"))
+    offset = to_double(element("point", 1))
     return exploded.select(
         "entity",
         "flight_date",
         "base_timestamp",
         (F.col("pos") + 1).cast("bigint").alias("idx"),
         offset.alias("time_offset"),
-        strict_double(element("point", 2)).alias("lat"),
-        strict_double(element("point", 3)).alias("lng"),
+        to_double(element("point", 2)).alias("lat"),
+        to_double(element("point", 3)).alias("lng"),
         F.coalesce(json_int(element("point", 4)), F.lit(0)).alias("altitude_ft"),
         F.timestamp_seconds(F.col("base_timestamp") + offset).alias("timestamp"),
     )
 
 
+def bad_points(points: DataFrame) -> DataFrame:
+    """Points of a lenient ``flatten`` whose offset or position did not parse."""
+    return points.filter(F.col("time_offset").isNull() | F.col("lat").isNull() | F.col("lng").isNull())
+
+
 def fallback_as_traces(docs: DataFrame) -> DataFrame:
     """Map the fallback feed's columns onto the trace document columns."""
     return docs.select(

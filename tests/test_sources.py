@@ -114,3 +114,15 @@ def test_feature_and_leg_sinks(spark, scratch):
     sinks.write_legs(legs, os.path.join(scratch, "legs"))
     back = spark.read.parquet(os.path.join(scratch, "legs")).collect()
     assert len(back) == 1 and back[0].flight_num == 1 and back[0].flight_duration_minutes == 57.0
+
+
+def test_strict_and_lenient_casts(spark):
+    import pytest
+    docs = spark.createDataFrame(
+        [("flight-track-2025-05-01.json", "a", 0.0, [["1", "2", "3", "4000"], ["x", "2", "3", "4000"]])],
+        "source_file string, icao string, timestamp double, trace array<array<string>>")
+    with pytest.raises(Exception):
+        traces.flatten(docs).collect()
+    lenient = traces.flatten(docs, strict=False)
+    assert lenient.count() == 2
+    assert [r.idx for r in traces.bad_points(lenient).collect()] == [2]
