@@ -166,3 +166,36 @@ def test_numbering_property(spark, tracks, chunk):
     df = L.number_legs(points(spark, rows), COLS, chunk_size=chunk)
     got = {(r.entity, r.flight_date, r.idx): r.flight_num for r in df.collect()}
     assert got == brute_force_legs(rows)
+
+
+def brute_force_summary(rows, below=2000):
+    """Per leg: (min t, max t, count, first lat/alt, last lat/alt), plain Python."""
+    numbers = brute_force_legs(rows, below)
+    legs = {}
+    for r in sorted(rows, key=lambda r: (r[0], r[1], r[3])):
+        key = (r[0], r[1], r[3])
+        if key not in numbers:
+            continue
+        k = (r[0], r[1], numbers[key])
+        legs.setdefault(k, []).append(r)
+    return {
+        k: (min(p[4] for p in v), max(p[4] for p in v), len(v), v[0][5], v[0][7], v[-1][5], v[-1][7])
+        for k, v in legs.items()
+    }
+
+
+@pytest.mark.parametrize("chunk", [3, 5])
+def test_summary_matches_brute_force_with_hot_track(spark, chunk):
+    rnd = random.Random(chunk)
+    hot = [rnd.choice([0, 1500, 2500, 2500, 8000]) for _ in range(300)]  # most points in one track
+    rows = track(hot, entity="hot")
+    for t in range(4):
+        rows += track([rnd.choice([0, 3000]) for _ in range(rnd.randint(1, 12))], entity=f"c{t}")
+    rows = [r[:5] + (r[5] + 1e-4 * (r[3] % 17),) + r[6:] for r in rows]  # distinct latitudes
+    got = L.summarise_points(points(spark, rows), COLS, L.LegParams(chunk_size=chunk))
+    got = {
+        (r.entity, r.flight_date, r.flight_num): (r.takeoff_time, r.landing_time, r.num_points, r.takeoff_lat,
+                                                  r.takeoff_altitude, r.landing_lat, r.landing_altitude)
+        for r in got.collect()
+    }
+    assert got == brute_force_summary(rows)
