@@ -97,7 +97,9 @@ def split_quarantine(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good documents, quarantined raw records).
 
     The quarantine keeps a data column next to ``_corrupt_record``: Spark rejects a
-    raw-file query whose only data column is the corrupt-record column.
+    raw-file query whose only data column is the corrupt-record column. For the same
+    reason write (or collect) the quarantine rather than ``count()`` it directly: a
+    count prunes the read down to the corrupt-record column.
     """
     bad = F.col(CORRUPT).isNotNull()
     return docs.filter(~bad).drop(CORRUPT), docs.filter(bad).select("source_file", "icao", CORRUPT)

@@ -126,3 +126,15 @@ def test_strict_and_lenient_casts(spark):
     lenient = traces.flatten(docs, strict=False)
     assert lenient.count() == 2
     assert [r.idx for r in traces.bad_points(lenient).collect()] == [2]
+
+
+def test_fallback_feed_maps_onto_traces(spark, scratch):
+    write(scratch, "flight-track-2025-05-04.json",
+          json.dumps({"icao24": "20104f", "startTime": 100.0, "path": [[0, -11.0, 40.5, 3000], [5, -11.1, 40.6, 3100]]}))
+    docs = traces.fallback_as_traces(traces.read_traces(spark, scratch, traces.FALLBACK_SCHEMA))
+    good, bad = traces.split_quarantine(docs)
+    assert bad.collect() == []
+    rows = sorted(traces.flatten(good).collect(), key=lambda r: r.idx)
+    assert [(r.entity, r.flight_date, r.idx, r.altitude_ft) for r in rows] == [
+        ("20104f", "2025-05-04", 1, 3000), ("20104f", "2025-05-04", 2, 3100)]
+    assert rows[1].timestamp.isoformat().endswith("00:01:45")
