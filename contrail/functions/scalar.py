@@ -76,12 +76,12 @@ def safe_div(num: ColumnOrName, den: ColumnOrName, when_zero: float | None = Non
 
 
 def to_hex(c: ColumnOrName) -> Column:
-    """Integer id -> lower-case hex text (``2101327`` -> ``'20104f'``)."""
+    """Integer id -> lower-case hex text (``11256099`` -> ``'abc123'``)."""
     return F.lower(F.hex(_col(c)))
 
 
 def from_hex(c: ColumnOrName) -> Column:
-    """Hex text -> BIGINT (``'20104f'`` -> 2101327)."""
+    """Hex text -> BIGINT (``'abc123'`` -> 11256099)."""
     return F.conv(_col(c), 16, 10).cast("bigint")
 
 

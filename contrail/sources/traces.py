@@ -2,7 +2,7 @@
 
 A document is one JSON object per entity-day file ``flight-track-<yyyy-MM-dd>.json``::
 
-    {"icao": "20104f", "timestamp": 1746057600.0,
+    {"icao": "abc123", "timestamp": 1746057600.0,
      "trace": [[offset_s, lat, lng, altitude_ft | "ground" | null, ...], ...]}
 
 Only the first four elements of a point are used. The reader passes an explicit

@@ -15,7 +15,7 @@ def write(folder, name, text):
 
 
 DOC = {
-    "icao": "20104f",
+    "icao": "abc123",
     "timestamp": 1746057600.5,
     "trace": [
         [0, -25.9, 32.57, "ground", 1],
@@ -31,10 +31,10 @@ DOC = {
 
 def test_read_and_flatten(spark, scratch):
     write(scratch, "flight-track-2025-05-01.json", json.dumps(DOC, indent=2))
-    write(scratch, "flight-track-2025-05-02.json", json.dumps({"icao": "20104f", "timestamp": 1.0, "trace": []}))
-    write(scratch, "flight-track-2025-05-03.json", json.dumps({"icao": "20104f", "timestamp": 1.0, "trace": None}))
-    write(scratch, "flight-track-2025-05-04.json", json.dumps({"icao": "20104f", "path": [[1, 2, 3, 4]]}))
-    write(scratch, "flight-track-2025-05-05.json", '{"icao": "20104f", "trace": [[1, 2')
+    write(scratch, "flight-track-2025-05-02.json", json.dumps({"icao": "abc123", "timestamp": 1.0, "trace": []}))
+    write(scratch, "flight-track-2025-05-03.json", json.dumps({"icao": "abc123", "timestamp": 1.0, "trace": None}))
+    write(scratch, "flight-track-2025-05-04.json", json.dumps({"icao": "abc123", "path": [[1, 2, 3, 4]]}))
+    write(scratch, "flight-track-2025-05-05.json", '{"icao": "abc123", "trace": [[1, 2')
     write(scratch, "notes.json", json.dumps({"icao": "x", "timestamp": 0.0, "trace": [[1, 2, 3, 4000]]}))
     docs = traces.read_traces(spark, scratch)
     good, bad = traces.split_quarantine(docs)
@@ -130,11 +130,11 @@ def test_strict_and_lenient_casts(spark):
 
 def test_fallback_feed_maps_onto_traces(spark, scratch):
     write(scratch, "flight-track-2025-05-04.json",
-          json.dumps({"icao24": "20104f", "startTime": 100.0, "path": [[0, -11.0, 40.5, 3000], [5, -11.1, 40.6, 3100]]}))
+          json.dumps({"icao24": "abc123", "startTime": 100.0, "path": [[0, -11.0, 40.5, 3000], [5, -11.1, 40.6, 3100]]}))
     docs = traces.fallback_as_traces(traces.read_traces(spark, scratch, traces.FALLBACK_SCHEMA))
     good, bad = traces.split_quarantine(docs)
     assert bad.collect() == []
     rows = sorted(traces.flatten(good).collect(), key=lambda r: r.idx)
     assert [(r.entity, r.flight_date, r.idx, r.altitude_ft) for r in rows] == [
-        ("20104f", "2025-05-04", 1, 3000), ("20104f", "2025-05-04", 2, 3100)]
+        ("abc123", "2025-05-04", 1, 3000), ("abc123", "2025-05-04", 2, 3100)]
     assert rows[1].timestamp.isoformat().endswith("00:01:45")
