@@ -300,6 +300,15 @@ def manifest_latest(spark, sf_dir):
     return _latest(spark, sf_dir)
 
 
+def manifest_upsert(spark, sf_dir):
+    """W7 as a table operation: the fallback feed's looks form the cache, the primary
+    feed's looks are upserted into it (union by name, latest per (entity, day))."""
+    hist = X.manifest_history(spark, sf_dir)
+    cache = hist.filter(F.col("source") == "fallback")
+    updates = hist.filter(F.col("source") == "primary")
+    return I.upsert(cache, updates)
+
+
 def outcome_counts(spark, sf_dir):
     """Days per run outcome, plus the total."""
     return I.outcome_counts(I.with_status(_expected(spark, sf_dir), _latest(spark, sf_dir)))
@@ -391,6 +400,7 @@ def queries() -> dict[str, Query]:
         "missing_days": missing_days,
         "day_status": day_status,
         "manifest_latest": manifest_latest,
+        "manifest_upsert": manifest_upsert,
         "outcome_counts": outcome_counts,
         "source_choice": source_choice,
         "archive_paths": archive_paths,
