@@ -10,6 +10,6 @@ Sub-packages:
 * ``streaming``  - incremental (availableNow) ingestion of arriving day files.
 """
 
-from contrail.session import configure, checkpoint_dir, get_session
+from contrail.session import checkpoint_dir, checkpoint_root, configure, get_session
 
-__all__ = ["configure", "checkpoint_dir", "get_session"]
+__all__ = ["configure", "checkpoint_dir", "checkpoint_root", "get_session"]

@@ -30,20 +30,34 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts and streaming checkpoints.
+def checkpoint_root(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir`` (stable across applications).
 
-    On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder and is
-    used as is. Only when it is unset (tests, laptops) a scratch folder is created.
+    Only when the setting is absent (tests, laptops) a scratch folder is created.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="contrail-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
-    return configured
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured
+    current = spark.sparkContext.getCheckpointDir()
+    return current if current else tempfile.mkdtemp(prefix="contrail-ckpt-")
+
+
+def checkpoint_dir(spark: SparkSession) -> str:
+    """Folder used by ``DataFrame.checkpoint()`` for lineage cuts.
+
+    Spark sets it from ``spark.checkpoint.dir`` at startup (a per-application folder
+    inside it); that is used as is. Only if the context has none, it is set to
+    ``checkpoint_root`` (a scratch folder when nothing is configured, as in tests).
+    The setting itself cannot be changed at runtime and is never overridden.
+    """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if not current:
+        sc.setCheckpointDir(checkpoint_root(spark))
+        current = sc.getCheckpointDir()
+    return current
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from contrail.operators.ingest import HAS_DATA, NO_DATA
-from contrail.session import checkpoint_dir
+from contrail.session import checkpoint_root
 from contrail.sources.traces import CORRUPT, TRACE_SCHEMA, flatten
 from contrail.functions.scalar import TRACK_FILE_DATE_PATTERN
 
@@ -73,7 +73,8 @@ def stream_traces(
     manifest_path: str | None = None,
 ) -> StreamingQuery:
     """Start an availableNow run: new files -> points, quarantine, manifest entries."""
-    ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/stream_traces"
+    # a stable folder under the configured root, so a later application resumes it
+    ckpt = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/stream_traces"
     docs = (
         spark.readStream.schema(TRACE_SCHEMA)
         .option("multiLine", True)

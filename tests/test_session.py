@@ -1,6 +1,4 @@
-import tempfile
-
-from contrail.session import checkpoint_dir, configure
+from contrail.session import checkpoint_dir, checkpoint_root, configure
 
 
 def test_configure_sets_result_settings(spark):
@@ -10,14 +8,12 @@ def test_configure_sets_result_settings(spark):
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
 
 
-def test_checkpoint_dir_reads_the_session_setting(spark):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    shared = tempfile.mkdtemp(prefix="contrail-shared-")
-    spark.conf.set("spark.checkpoint.dir", shared)
-    try:
-        assert checkpoint_dir(spark) == shared  # used as is, not replaced
-        assert spark.conf.get("spark.checkpoint.dir") == shared
-    finally:
-        if before:
-            spark.conf.set("spark.checkpoint.dir", before)
-            checkpoint_dir(spark)
+def test_checkpoint_dir_uses_the_session_folder(spark):
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    folder = checkpoint_dir(spark)
+    assert folder == spark.sparkContext.getCheckpointDir()
+    if configured:  # Spark's per-application folder inside the configured one, used as is
+        assert folder.replace("file:", "").startswith(configured.replace("file:", ""))
+        assert checkpoint_root(spark) == configured
+    df = spark.range(10).checkpoint(eager=True)
+    assert df.count() == 10
