@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from contrail.llm import mixing, sharding
+from contrail.llm import mixing, sharding, simhash
 
 
 def queries() -> dict:
-    found = [mixing.op2_golden_mix, sharding.op8_byte_shards]
+    found = [mixing.op2_golden_mix, simhash.op5_simhash, sharding.op8_byte_shards]
     return {fn.__name__: fn for fn in found}
 
 
