@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from contrail.llm import mixing, sharding, simhash, toxicity
+from contrail.llm import decontamination, mixing, sharding, simhash, toxicity
 
 
 def queries() -> dict:
-    found = [toxicity.op1_mil_toxicity, mixing.op2_golden_mix, simhash.op5_simhash, sharding.op8_byte_shards]
+    found = [toxicity.op1_mil_toxicity, mixing.op2_golden_mix, decontamination.op4_cgk_decontamination, simhash.op5_simhash, sharding.op8_byte_shards]
     return {fn.__name__: fn for fn in found}
 
 
