@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from contrail.llm import decontamination, mixing, sharding, simhash, toxicity
+from contrail.llm import decontamination, mixing, sharding, simhash, topk, toxicity
 
 
 def queries() -> dict:
-    found = [toxicity.op1_mil_toxicity, mixing.op2_golden_mix, decontamination.op4_cgk_decontamination, simhash.op5_simhash, sharding.op8_byte_shards]
+    found = [
+        toxicity.op1_mil_toxicity,
+        mixing.op2_golden_mix,
+        decontamination.op4_cgk_decontamination,
+        simhash.op5_simhash,
+        sharding.op8_byte_shards,
+        topk.op10_exact_topk,
+    ]
     return {fn.__name__: fn for fn in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_exact_topk": topk.ORACLE_SQL}
