@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from contrail.llm import decontamination, mixing, sharding, simhash, topk, toxicity
+from contrail.llm import chat, decontamination, mixing, sharding, simhash, topk, toxicity
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         mixing.op2_golden_mix,
         decontamination.op4_cgk_decontamination,
         simhash.op5_simhash,
+        chat.op6_reply_trees,
         sharding.op8_byte_shards,
         topk.op10_exact_topk,
     ]
@@ -18,4 +19,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_exact_topk": topk.ORACLE_SQL}
+    return {"op6_reply_trees": chat.ORACLE_SQL, "op10_exact_topk": topk.ORACLE_SQL}
