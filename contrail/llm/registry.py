@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from contrail.llm import chat, decontamination, mixing, sharding, simhash, topk, toxicity
+from contrail.llm import chat, decontamination, mixing, sharding, simhash, topk, toxicity, warc
 
 
 def queries() -> dict:
     found = [
         toxicity.op1_mil_toxicity,
         mixing.op2_golden_mix,
+        warc.op3_warc_store,
         decontamination.op4_cgk_decontamination,
         simhash.op5_simhash,
         chat.op6_reply_trees,
@@ -19,4 +20,8 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_reply_trees": chat.ORACLE_SQL, "op10_exact_topk": topk.ORACLE_SQL}
+    return {
+        "op3_warc_store": warc.ORACLE_SQL,
+        "op6_reply_trees": chat.ORACLE_SQL,
+        "op10_exact_topk": topk.ORACLE_SQL,
+    }
