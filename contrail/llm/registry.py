@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from contrail.llm import chat, decontamination, mixing, sharding, simhash, topk, toxicity, warc
+from contrail.llm import chat, decontamination, mixing, secrets, sharding, simhash, topk, toxicity, warc
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
         decontamination.op4_cgk_decontamination,
         simhash.op5_simhash,
         chat.op6_reply_trees,
+        secrets.op7_trigram_secrets,
         sharding.op8_byte_shards,
         topk.op10_exact_topk,
     ]
