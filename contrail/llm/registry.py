@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from contrail.llm import chat, decontamination, mixing, secrets, sharding, simhash, topk, toxicity, warc
+from contrail.llm import chat, decontamination, licenses, mixing, secrets, sharding, simhash, topk, toxicity, warc
 
 
 def queries() -> dict:
@@ -15,6 +15,7 @@ def queries() -> dict:
         chat.op6_reply_trees,
         secrets.op7_trigram_secrets,
         sharding.op8_byte_shards,
+        licenses.op9_license_dice,
         topk.op10_exact_topk,
     ]
     return {fn.__name__: fn for fn in found}
@@ -24,5 +25,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_warc_store": warc.ORACLE_SQL,
         "op6_reply_trees": chat.ORACLE_SQL,
+        "op9_license_dice": licenses.ORACLE_SQL,
         "op10_exact_topk": topk.ORACLE_SQL,
     }
