@@ -130,7 +130,8 @@ def license_matches(docs: DataFrame, templates=TEMPLATES, least: float = LEAST)
     for size in sorted(set(sizes)):
         fits = fits | F.col("a").between(low * size, high * size)
     found = (
-        docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", F.posexplode(units(F.col("text"))))
+        docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "text")
+        .select("_row", "doc_id", F.posexplode(units(F.col("text"))))
         .withColumn("words", F.split("col", " "))
         .withColumn("a", F.size("words").cast("long") - 1)
         .filter(fits)
