@@ -39,7 +39,7 @@ _CELLS = 4096  # equal cells of the unit interval on which points meet intervals
 _CHUNK = 1 << 16  # slots ranked together
 
 
-def source_targets(sizes: DataFrame, share: float = SHARE, most: int = MOST, weights=WEIGHTS) -> DataFrame:
+def source_targets(sizes: DataFrame, multiple: float = SHARE, most: int = MOST, weights=WEIGHTS) -> DataFrame:
     """source, source_size -> plus src (ordinal), weight, target, lo, hi (of 2**32 points).
 
     Sharing by weight under the cap ``most * size``: with the sources in order of cap /
@@ -57,14 +57,15 @@ def source_targets(sizes: DataFrame, share: float = SHARE, most: int = MOST, wei
         "weight", F.element_at(F.array(*[F.lit(w) for w in weights]), F.col("src") % len(weights) + 1)
     )
     capped = named.withColumn("_cap", F.col("source_size") * most).withColumn("_ratio", F.col("_cap") / F.col("weight"))
-    levels = capped.withColumn("_all", F.sum("source_size").over(whole) * F.lit(float(share))).withColumn(
+    levels = capped.withColumn("_all", F.sum("source_size").over(whole) * F.lit(float(multiple))).withColumn(
         "_level",
         (F.col("_all") - F.coalesce(F.sum("_cap").over(earlier), F.lit(0))) / F.sum("weight").over(rest),
     )
     targets = levels.withColumn("_top", F.max("_level").over(whole)).withColumn(
         "target", F.least(F.col("_cap").cast("double"), F.col("_top") * F.col("weight"))
     )
-    edge = F.floor(F.sum("target").over(upto) / F.sum("target").over(by_src.rowsBetween(*_WHOLE)) * _POINTS)
+    share = F.try_divide(F.sum("target").over(upto), F.sum("target").over(by_src.rowsBetween(*_WHOLE)))
+    edge = F.floor(share * _POINTS)
     cut = targets.withColumn("_edge", F.coalesce(edge, F.lit(0)).cast("long"))
     return cut.select(
         "source",
