@@ -76,7 +76,9 @@ def best_paths(nodes: DataFrame, keep: int = 1) -> DataFrame:
     jumps = []
     limit = given.count()
     while (1 << len(jumps)) < 2 * max(1, limit) and not up.filter("up IS NOT NULL").isEmpty():
-        jumps.append(up.filter("up IS NOT NULL").select("tree", "node", "up"))
+        # Nodes that have seen their root are done: only the others look further up.
+        moving = up.filter("up IS NOT NULL")
+        jumps.append(moving.select("tree", "node", "up"))
         far = up.select(
             F.col("tree").alias("_t"),
             F.col("node").alias("_n"),
@@ -85,16 +87,14 @@ def best_paths(nodes: DataFrame, keep: int = 1) -> DataFrame:
             F.col("depth").alias("_depth"),
         )
         # The node reached brings what it has summed up, its own score included.
-        up = stored(
-            up.join(far, F.expr("tree <=> _t AND up = _n"), "left").select(
-                "tree",
-                "node",
-                F.col("_up").alias("up"),
-                (F.col("score") + F.coalesce("_score", F.lit(0.0))).alias("score"),
-                (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"),
-            ),
-            "chat-up",
+        moved = moving.join(far, F.expr("tree <=> _t AND up = _n")).select(
+            "tree",
+            "node",
+            F.col("_up").alias("up"),
+            (F.col("score") + F.col("_score")).alias("score"),
+            (F.col("depth") + F.col("_depth")).alias("depth"),
         )
+        up = stored(up.filter("up IS NULL").union(moved), "chat-up")
     parents = given.select(F.col("tree").alias("_t"), F.col("parent").alias("_p")).filter("_p IS NOT NULL").distinct()
     leaves = up.filter("up IS NULL").join(parents, F.expr("tree <=> _t AND node = _p"), "left_anti")
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.col("score").desc(), "node"))
