@@ -29,14 +29,21 @@ def strict_double(c: ColumnOrName) -> Column:
     return _col(c).cast("double")
 
 
+# Fixed value: the number syntax of JSON text (a sign may be +, digits may miss on one side).
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
 def json_int(c: ColumnOrName) -> Column:
     """JSON scalar text -> INT the way a JSON-aware cast does it.
 
-    ``'3025.5'`` and ``'1e3'`` become 3026 (half to even) and 1000; text such as
-    ``'ground'``, out-of-range numbers and NULL become NULL. A plain
-    ``try_cast(x as int)`` would null every fractional value instead.
+    ``'3025.5'`` and ``'1e3'`` become 3026 (half to even) and 1000, ``'true'`` and
+    ``'false'`` 1 and 0; text such as ``'ground'`` or ``'3000d'`` (a float literal to
+    Spark's cast), out-of-range numbers and NULL become NULL. A plain ``try_cast(x as
+    int)`` would null every fractional value instead.
     """
-    return F.rint(_col(c).try_cast("double")).try_cast("int")
+    text = _col(c).cast("string")
+    number = F.when(text.rlike(_NUMBER), F.rint(text.try_cast("double")).try_cast("int"))
+    return F.when(text == "true", F.lit(1)).when(text == "false", F.lit(0)).otherwise(number)
 
 
 def round_scaled(c: ColumnOrName, digits: int) -> Column:

@@ -16,8 +16,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from contrail.functions import safe_div
 from contrail.operators.legs import TrackCols
-from contrail.operators.ordering import CHUNK, DEFAULT_CHUNK_SIZE, chunk_of, neighbours
+from contrail.operators.ordering import CHUNK, DEFAULT_CHUNK_SIZE, chunk_of, neighbours, opened_keys, sealed_keys
 
 # The report map's ribbon and colour ramp.
 # Ribbon half-width 0.0008 degrees; ramp cut points 0.33 and 0.66, last band 0.34 wide;
@@ -100,9 +101,11 @@ def colour_ramp(ratio: Column) -> Column:
 def coloured_pairs(points: DataFrame, cols: TrackCols = TrackCols(),
                    chunk_size: int = DEFAULT_CHUNK_SIZE) -> DataFrame:
     """W6 + ramp: every valid pair with its track's altitude range, ratio and colour."""
-    pairs = pair_points(points, cols, chunk_size)
-    stats = chunk_track_stats(points, cols, chunk_size)
-    out = pairs.join(stats, [*cols.keys, CHUNK], "inner")
+    sealed, keys = sealed_keys(points, cols.keys)
+    safe = cols.with_(keys=tuple(keys))
+    pairs = pair_points(sealed, safe, chunk_size)
+    stats = chunk_track_stats(sealed, safe, chunk_size)
+    out = opened_keys(pairs.join(stats, [*keys, CHUNK], "inner"), keys)
     ratio = altitude_ratio(F.col("avg_alt"), F.col("min_alt"), F.col("max_alt"))
     return out.withColumn("ratio", ratio).withColumn("color", colour_ramp(F.col("ratio")))
 
@@ -118,7 +121,7 @@ def ribbons(coloured: DataFrame, cols: TrackCols = TrackCols(), width: float = R
         .withColumn("length", F.sqrt(dx * dx + dy * dy))
         .filter(length > 0)
     )
-    normal = with_len.withColumns({"nx": -dy / length * w, "ny": dx / length * w})
+    normal = with_len.withColumns({"nx": safe_div(-dy, length) * w, "ny": safe_div(dx, length) * w})
     nx, ny, avg = F.col("nx"), F.col("ny"), F.col("avg_alt")
     return normal.withColumns(
         {
@@ -178,3 +181,33 @@ def path_pieces(points: DataFrame, cols: TrackCols = TrackCols(), piece_size: in
             ),
         ).alias("path"),
     )
+
+
+# What ``features`` writes, to read a Feature's text back with types.
+FEATURE_SCHEMA = (
+    "type string, properties struct<altitude: double, color: string, extrusion_height: double, "
+    "extrusion_base: double>, geometry struct<type: string, coordinates: array<array<array<double>>>>"
+)
+
+
+def parsed_features(lines: DataFrame, text: str = "geojson") -> DataFrame:
+    """Feature texts back to typed columns: type, properties, ring corners x0, y0 ... x4, y4."""
+    parsed = lines.withColumn("_f", F.from_json(text, FEATURE_SCHEMA, {"mode": "FAILFAST"}))
+    ring_of = F.col("_f.geometry.coordinates")[0]
+    corners = {f"{axis}{i}": ring_of[i][k] for i in range(5) for k, axis in enumerate("xy")}
+    return (
+        parsed.withColumns(
+            {
+                "feature_type": F.col("_f.type"),
+                "geometry_type": F.col("_f.geometry.type"),
+                "rings": F.size("_f.geometry.coordinates"),
+                "corners": F.size(ring_of),
+                "altitude": F.col("_f.properties.altitude"),
+                "color": F.col("_f.properties.color"),
+                "extrusion_height": F.col("_f.properties.extrusion_height"),
+                "extrusion_base": F.col("_f.properties.extrusion_base"),
+            }
+        )
+        .withColumns(corners)
+        .drop("_f")
+    )

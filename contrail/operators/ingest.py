@@ -3,8 +3,10 @@ which source wins.
 
 Model: one payload per ``(entity, day)``. A *manifest history* records every look at a
 payload: ``(entity, day, status, source, seen_at)`` with status ``has_data`` or
-``no_data``; the latest look per ``(entity, day)`` wins (the status cache). Every step
-is a join or hash aggregate keyed by ``(entity, day)``; nothing is collected.
+``no_data``; the latest look per ``(entity, day)`` wins (the status cache). Files that
+are present are a list of their own: a run skips a day because its file is there, not
+because of its status. Every step is a join or hash aggregate keyed by ``(entity, day)``;
+nothing is collected.
 """
 
 from __future__ import annotations
@@ -20,10 +22,14 @@ from contrail.functions import archive_path, track_file_name
 HAS_DATA = "has_data"
 NO_DATA = "no_data"
 UNKNOWN = "unknown"
-OUTCOME_SKIPPED = "skipped"  # payload already present
+OUTCOME_SKIPPED = "skipped"  # its file is present
 OUTCOME_CACHED_NO_DATA = "cached_no_data"  # known empty, not fetched again
-OUTCOME_PENDING = "to_fetch"  # neither: would be fetched
+OUTCOME_PENDING = "to_fetch"  # neither
+OUTCOME_DOWNLOADED = "downloaded"  # fetched with a usable payload
+OUTCOME_FAILED = "failed"  # fetched without one
 TOTAL = "total"
+STATUSES = (NO_DATA, HAS_DATA)  # at equal times the later one wins
+SOURCES = ("fallback", "primary")
 
 
 def day_span(first: Column, last: Column) -> Column:
@@ -45,57 +51,135 @@ def expected_days(spans: DataFrame, keys: Sequence[str] = ("entity",), first: st
 
 
 def latest_status(history: DataFrame, keys: Sequence[str] = ("entity", "day")) -> DataFrame:
-    """The latest look per key wins (``max_by`` on ``seen_at``, a hash aggregate
-    with map-side partial aggregation, so a key seen very often is not a hot task)."""
+    """The latest look per key wins as a whole: its status and source stay together.
+
+    Time, status and source are packed into one BIGINT (microseconds, then the places in
+    ``STATUSES`` and ``SOURCES``), so one ``max`` decides: a hash aggregate with map-side
+    combine and a defined winner for equal times. Statuses and sources beside the fixed
+    ones count as ``NULL`` and lose ties.
+    """
     keys = list(keys)
-    return history.groupBy(*keys).agg(
-        F.max_by("status", "seen_at").alias("status"),
-        F.max_by("source", "seen_at").alias("source"),
-        F.max("seen_at").alias("seen_at"),
+    place = lambda c, known: F.coalesce(F.array_position(F.array(*map(F.lit, known)), F.col(c)), F.lit(0))
+    at = F.unix_micros(F.col("seen_at").cast("timestamp"))
+    packed = at * 16 + place("status", STATUSES) * 4 + place("source", SOURCES)
+    kind = history.schema["seen_at"].dataType
+    best = history.groupBy(*keys).agg(F.max(packed).alias("_best"))
+    code = lambda shift, known: F.get(
+        F.array(*map(F.lit, known)), F.pmod(F.shiftright("_best", shift), F.lit(4)).cast("int") - 1
+    )
+    return best.select(
+        *keys,
+        code(2, STATUSES).alias("status"),
+        code(0, SOURCES).alias("source"),
+        F.timestamp_micros(F.shiftright("_best", 4)).cast(kind).alias("seen_at"),
     )
 
 
-def upsert(manifest: DataFrame, updates: DataFrame, keys: Sequence[str] = ("entity", "day")) -> DataFrame:
-    """W7 as a table operation: new looks replace old ones per key (the cache deletes
-    a day's line and appends the new one). Union by name, then latest per key."""
-    return latest_status(manifest.unionByName(updates, allowMissingColumns=True), keys)
+def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]):
+    """Null-safe equality of the keys (a hash or sort key like any other)."""
+    same = F.lit(True)
+    for k in keys:
+        same = same & left[k].eqNullSafe(right[f"_{k}"])
+    return same
 
 
-def missing_days(expected: DataFrame, latest: DataFrame, keys: Sequence[str] = ("entity", "day")) -> DataFrame:
-    """Expected days with no cache entry at all (neither present nor known empty)."""
-    return expected.join(latest.select(*keys), list(keys), "left_anti")
+def _renamed(df: DataFrame, keys: Sequence[str], *others: str) -> DataFrame:
+    return df.select(*[F.col(k).alias(f"_{k}") for k in keys], *others)
 
 
-def with_status(expected: DataFrame, latest: DataFrame, keys: Sequence[str] = ("entity", "day")) -> DataFrame:
-    """Every expected day with its cached status, ``unknown`` without an entry, and
-    the run outcome it leads to."""
-    out = expected.join(latest.select(*keys, "status"), list(keys), "left").withColumn(
-        "status", F.coalesce(F.col("status"), F.lit(UNKNOWN))
-    )
+def upsert(manifest: DataFrame, updates: DataFrame, keys: Sequence[str] = ("entity", "day")) -> DataFrame:
+    """W7 as a table operation: an update replaces its key's entry, whatever their times.
+
+    The cache deletes a day's line and appends the new one. Both sides may hold several
+    looks per key; the latest of each side stands for it.
+    """
+    new, old = latest_status(updates, keys), latest_status(manifest, keys)
+    other = _renamed(new, keys)
+    kept = old.join(other, _same(old, other, keys), "left_anti")
+    return new.unionByName(kept, allowMissingColumns=True)
+
+
+def classify_days(
+    expected: DataFrame, latest: DataFrame, present: DataFrame, keys: Sequence[str] = ("entity", "day")
+) -> DataFrame:
+    """Every expected day with its cached status (``unknown`` without an entry) and
+    what a run does with it: skipped where its file is present, not fetched again where
+    it is cached as empty, else fetched (also where the cache says has_data but the file
+    is gone). ``present`` lists the keys of the files that are there.
+    """
+    keys = list(keys)
+    cached = _renamed(latest.groupBy(*keys).agg(F.max("status").alias("status")), keys, "status")
+    files = _renamed(present.distinct(), keys).withColumn("_present", F.lit(True))
+    out = expected.join(cached, _same(expected, cached, keys), "left").drop(*[f"_{k}" for k in keys])
+    out = out.join(files, _same(out, files, keys), "left").drop(*[f"_{k}" for k in keys])
     outcome = (
-        F.when(F.col("status") == HAS_DATA, F.lit(OUTCOME_SKIPPED))
+        F.when(F.col("_present"), F.lit(OUTCOME_SKIPPED))
         .when(F.col("status") == NO_DATA, F.lit(OUTCOME_CACHED_NO_DATA))
         .otherwise(F.lit(OUTCOME_PENDING))
     )
-    return out.withColumn("outcome", outcome)
+    return (
+        out.withColumn("outcome", outcome)
+        .withColumn("status", F.coalesce(F.col("status"), F.lit(UNKNOWN)))
+        .drop("_present")
+    )
+
+
+def missing_days(
+    expected: DataFrame, latest: DataFrame, present: DataFrame, keys: Sequence[str] = ("entity", "day")
+) -> DataFrame:
+    """Expected days that a run fetches: no file, and not known to be empty."""
+    keys = list(keys)
+    files = _renamed(present.distinct(), keys)
+    empty = _renamed(latest.filter(F.col("status") == NO_DATA), keys)
+    out = expected.join(files, _same(expected, files, keys), "left_anti")
+    return out.join(empty, _same(out, empty, keys), "left_anti")
 
 
-def outcome_counts(classified: DataFrame) -> DataFrame:
+def run_outcomes(classified: DataFrame, fetched: DataFrame, keys: Sequence[str] = ("entity", "day")) -> DataFrame:
+    """Outcomes after the run: a day that was to be fetched is ``downloaded`` if ``fetched``
+    (keys with a usable payload from either feed) holds it, else ``failed``."""
+    keys = list(keys)
+    got = _renamed(fetched.select(*keys).distinct(), keys).withColumn("_got", F.lit(True))
+    out = classified.join(got, _same(classified, got, keys), "left").drop(*[f"_{k}" for k in keys])
+    ended = F.when(F.col("_got"), F.lit(OUTCOME_DOWNLOADED)).otherwise(F.lit(OUTCOME_FAILED))
+    return out.withColumn(
+        "outcome", F.when(F.col("outcome") == OUTCOME_PENDING, ended).otherwise(F.col("outcome"))
+    ).drop("_got")
+
+
+def run_updates(ended: DataFrame, seen_at, source: str = "primary") -> DataFrame:
+    """What a run writes to the cache: has_data for downloaded days, no_data for failed ones."""
+    status = F.when(F.col("outcome") == OUTCOME_DOWNLOADED, F.lit(HAS_DATA)).otherwise(F.lit(NO_DATA))
+    return ended.filter(F.col("outcome").isin(OUTCOME_DOWNLOADED, OUTCOME_FAILED)).select(
+        "entity", "day", status.alias("status"), F.lit(source).alias("source"), seen_at.alias("seen_at")
+    )
+
+
+def outcome_counts(ended: DataFrame) -> DataFrame:
     """Days per outcome plus the total (``rollup``; the grand total is ``total``)."""
     return (
-        classified.rollup("outcome")
+        ended.rollup("outcome")
         .agg(F.count(F.lit(1)).alias("days"))
         .select(F.coalesce(F.col("outcome"), F.lit(TOTAL)).alias("outcome"), "days")
     )
 
 
+def run_status(ended: DataFrame) -> DataFrame:
+    """One row: days processed, days failed and whether the run counts as failed (any did)."""
+    failed = F.count_if(F.col("outcome") == OUTCOME_FAILED)
+    return ended.agg(F.count(F.lit(1)).alias("processed"), failed.alias("failed")).withColumn(
+        "run_failed", F.col("failed") > 0
+    )
+
+
 def choose_source(primary: DataFrame, fallback: DataFrame, keys: Sequence[str] = ("entity", "day")) -> DataFrame:
     """The primary payload where there is one, else the fallback payload.
 
     ``primary ∪ (fallback ▷ primary)`` by name; columns missing on one side are NULL.
     """
     keys = list(keys)
-    rest = fallback.join(primary.select(*keys), keys, "left_anti")
+    first = _renamed(primary, keys)
+    rest = fallback.join(first, _same(fallback, first, keys), "left_anti")
     return primary.unionByName(rest, allowMissingColumns=True)
 
 

@@ -20,9 +20,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.functions import iso_utc, round_scaled
-from contrail.operators.ordering import CHUNK, DEFAULT_CHUNK_SIZE, chunk_window, neighbours
+from contrail.operators.ordering import (
+    CHUNK,
+    DEFAULT_CHUNK_SIZE,
+    chunk_window,
+    neighbours,
+    opened_keys,
+    sealed_keys,
+)
 from contrail.operators.places import LANDING_PLACES, TAKEOFF_PLACES, Place, label
-from contrail.session import checkpoint_dir
+from contrail.session import materialised
 
 # Segmentation defaults of the reference build.
 # Ground below 2000 ft; a leg counts when it lasts more than 900 s and has more
@@ -103,29 +110,25 @@ def local_legs(
     return airborne.withColumn("_local_leg", F.sum("is_takeoff").over(running))
 
 
-def chunk_partials(local: DataFrame, cols: TrackCols = TrackCols()) -> DataFrame:
+def chunk_partials(
+    local: DataFrame, cols: TrackCols = TrackCols(), extents: bool = True, endpoints: bool = True
+) -> DataFrame:
     """Pre-aggregate every (track, chunk, local leg) before any track-level step.
 
     The grouping keys contain the window's partitioning ``(keys, _chunk)``, so this
-    aggregate runs in place, without another shuffle. The result is checkpointed:
-    it is small (legs + chunks) and is read twice (numbering and merging).
+    aggregate runs in place, without another shuffle. The result is written once: it is
+    small (legs + chunks) and is read twice (numbering and merging). Only the values
+    asked for are computed and stored.
     """
     o = cols.order
-    part = local.groupBy(*cols.keys, *([cols.base] if cols.base else []), CHUNK, "_local_leg").agg(
-        F.min(cols.time).alias("_t0"),
-        F.max(cols.time).alias("_t1"),
-        F.min(o).alias("_i0"),
-        F.max(o).alias("_i1"),
-        F.count(F.lit(1)).alias("_n"),
-        F.min_by(cols.lat, o).alias("_lat0"),
-        F.min_by(cols.lng, o).alias("_lng0"),
-        F.min_by(cols.alt, o).alias("_alt0"),
-        F.max_by(cols.lat, o).alias("_lat1"),
-        F.max_by(cols.lng, o).alias("_lng1"),
-        F.max_by(cols.alt, o).alias("_alt1"),
-    )
-    checkpoint_dir(local.sparkSession)
-    return part.checkpoint(eager=True)
+    aggs = [F.min(o).alias("_i0"), F.max(o).alias("_i1")]
+    if extents:
+        aggs += [F.min(cols.time).alias("_t0"), F.max(cols.time).alias("_t1"), F.count(F.lit(1)).alias("_n")]
+    if endpoints:
+        for name, c in (("_lat", cols.lat), ("_lng", cols.lng), ("_alt", cols.alt)):
+            aggs += [F.min_by(c, o).alias(f"{name}0"), F.max_by(c, o).alias(f"{name}1")]
+    part = local.groupBy(*cols.keys, *([cols.base] if cols.base else []), CHUNK, "_local_leg").agg(*aggs)
+    return materialised(part, "leg-partials")
 
 
 def chunk_offsets(partials: DataFrame, cols: TrackCols = TrackCols()) -> DataFrame:
@@ -160,12 +163,11 @@ def number_legs(
     counts are a partial hash aggregate of the windowed rows (one row per chunk); the
     offset table joins back on the window's own partitioning ``(keys, _chunk)``.
     """
-    local = local_legs(points, cols, below, chunk_size)
-    offsets = chunk_offsets(local, cols)
-    return (
-        local.join(offsets, [*cols.keys, CHUNK], "inner")
-        .select(*[c for c in local.columns if not c.startswith("_")], _leg_number(name))
-    )
+    sealed, keys = sealed_keys(points, cols.keys)
+    safe = cols.with_(keys=tuple(keys))
+    local = local_legs(sealed, safe, below, chunk_size)
+    numbered = local.join(chunk_offsets(local, safe), [*keys, CHUNK], "inner")
+    return opened_keys(numbered, keys).select(*points.columns, "is_ground", "prev_ground", "is_takeoff", _leg_number(name))
 
 
 def _group_keys(cols: TrackCols, leg: str) -> list[str]:
@@ -203,8 +205,11 @@ def summarise_points(points: DataFrame, cols: TrackCols = TrackCols(), params: "
                      extents: bool = True, endpoints: bool = True) -> DataFrame:
     """Segment and summarise in one pass over the points: one row per leg."""
     params = params or LegParams()
-    local = local_legs(points, cols, params.ground_below, params.chunk_size)
-    return merge_partials(chunk_partials(local, cols), cols, "flight_num", extents, endpoints)
+    sealed, keys = sealed_keys(points, cols.keys)
+    safe = cols.with_(keys=tuple(keys))
+    local = local_legs(sealed, safe, params.ground_below, params.chunk_size)
+    merged = merge_partials(chunk_partials(local, safe, extents, endpoints), safe, "flight_num", extents, endpoints)
+    return opened_keys(merged, keys)
 
 
 def extent_aggs(cols: TrackCols) -> list:
@@ -279,44 +284,58 @@ def leg_summary(points: DataFrame, cols: TrackCols = TrackCols(), params: LegPar
     return format_summary(summary, cols, params)
 
 
-def leg_keys(legs: DataFrame, cols: TrackCols = TrackCols(), leg: str = "flight_num") -> DataFrame:
-    """The set of legs, ``SELECT DISTINCT keys, leg`` (hash aggregate, partial)."""
-    return legs.select(*cols.keys, leg).distinct()
+def leg_keys(points: DataFrame, cols: TrackCols = TrackCols(), params: LegParams = LegParams(),
+             leg: str = "flight_num") -> DataFrame:
+    """The set of legs (track, leg number).
+
+    Every leg has a row in the chunk partials already, so the set is taken from them:
+    distinct over legs and chunks instead of over all points.
+    """
+    sealed, keys = sealed_keys(points, cols.keys)
+    safe = cols.with_(keys=tuple(keys))
+    partials = chunk_partials(local_legs(sealed, safe, params.ground_below, params.chunk_size), safe, False, False)
+    numbered = partials.join(chunk_offsets(partials, safe), [*keys, CHUNK], "inner")
+    return opened_keys(numbered.select(*keys, _leg_number(leg)).distinct(), keys)
 
 
 def endpoints_by_join(legs: DataFrame, cols: TrackCols = TrackCols(), leg: str = "flight_num") -> DataFrame:
     """Leg endpoints through an inner equi-join of leg extents with leg points.
 
-    The join keys include the ordinal (``keys, leg, idx = takeoff_idx`` and
-    ``= landing_idx``), so every key matches one point and no leg, however long,
+    ``legs`` (numbered points) is written once and read by the three branches, each with
+    its own columns. The join keys include the ordinal (``keys, leg, idx = takeoff_idx``
+    and ``= landing_idx``), so every key matches one point and no leg, however long,
     becomes a hot join key.
     """
-    ext = summarise(legs, cols, leg, extents=True, endpoints=False)
-    pts = legs.select(*cols.keys, leg, cols.order, cols.lat, cols.lng, cols.alt)
-    first = pts.select(
-        *cols.keys, leg, F.col(cols.order).alias("takeoff_idx"),
-        F.col(cols.lat).alias("takeoff_lat"), F.col(cols.lng).alias("takeoff_lng"),
-        F.col(cols.alt).alias("takeoff_altitude"),
-    )
-    last = pts.select(
-        *cols.keys, leg, F.col(cols.order).alias("landing_idx"),
-        F.col(cols.lat).alias("landing_lat"), F.col(cols.lng).alias("landing_lng"),
-        F.col(cols.alt).alias("landing_altitude"),
-    )
-    return (
-        ext.join(first, [*cols.keys, leg, "takeoff_idx"], "inner")
-        .join(last, [*cols.keys, leg, "landing_idx"], "inner")
-    )
+    sealed, keys = sealed_keys(legs.select(*dict.fromkeys(_leg_columns(cols, leg))), cols.keys)
+    safe = cols.with_(keys=tuple(keys))
+    numbered = materialised(sealed, "numbered-legs")
+    ext = summarise(numbered, safe, leg, extents=True, endpoints=False)
+
+    def end(side: str) -> DataFrame:
+        return numbered.select(
+            *keys, leg, F.col(cols.order).alias(f"{side}_idx"), F.col(cols.lat).alias(f"{side}_lat"),
+            F.col(cols.lng).alias(f"{side}_lng"), F.col(cols.alt).alias(f"{side}_altitude"),
+        )
+
+    joined = ext.join(end("takeoff"), [*keys, leg, "takeoff_idx"]).join(end("landing"), [*keys, leg, "landing_idx"])
+    return opened_keys(joined, keys)
+
+
+def _leg_columns(cols: TrackCols, leg: str) -> list[str]:
+    return [*_group_keys(cols, leg), cols.order, cols.time, cols.lat, cols.lng, cols.alt]
 
 
 def first_last_per_point(legs: DataFrame, cols: TrackCols = TrackCols(), leg: str = "flight_num") -> DataFrame:
     """W3/W4 per point: every airborne point with its leg's first and last position.
 
     Same rows as ``FIRST_VALUE`` over the default frame and ``LAST_VALUE`` over the full
-    frame of a window per leg. The per-leg values are computed once (hash aggregate
-    with partial aggregation) and joined back on the leg key: unlike a window, the
-    join can be split by adaptive skew handling when one leg holds a large share of
-    all points.
+    frame of a window per leg. ``legs`` is written once; the per-leg values are computed
+    from it (hash aggregate with partial aggregation) and joined back on the leg key:
+    unlike a window, the join can be split by adaptive skew handling when one leg holds
+    a large share of all points.
     """
-    ends = summarise(legs, cols, leg, extents=False, endpoints=True)
-    return legs.select(*cols.keys, leg, cols.order).join(ends, [*cols.keys, leg], "inner")
+    sealed, keys = sealed_keys(legs.select(*dict.fromkeys(_leg_columns(cols, leg))), cols.keys)
+    safe = cols.with_(keys=tuple(keys))
+    numbered = materialised(sealed, "numbered-legs")
+    ends = summarise(numbered, safe, leg, extents=False, endpoints=True).drop(*([cols.base] if cols.base else []))
+    return opened_keys(numbered.select(*keys, leg, cols.order).join(ends, [*keys, leg], "inner"), keys)

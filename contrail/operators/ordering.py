@@ -12,8 +12,8 @@ and window over ``(keys, chunk)`` instead:
 * running totals are a local running sum plus the exclusive prefix of per-chunk
   totals, which is a small table (one row per chunk).
 
-``ordinal`` builds the dense ordinal itself for flat inputs, balanced by range
-partitioning so that a hot key is split across tasks as well.
+``ordinal`` builds the dense ordinal itself for flat inputs in the same way, inside
+buckets of the order (such as weeks), so that a hot key is split across tasks as well.
 """
 
 from __future__ import annotations
@@ -23,8 +23,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from contrail.session import checkpoint_dir
-
 # Points per chunk: the largest window partition any ordered operator builds.
 DEFAULT_CHUNK_SIZE = 1 << 20
 
@@ -41,50 +39,63 @@ def chunk_of(order: str = "idx", chunk_size: int = DEFAULT_CHUNK_SIZE) -> Column
     return F.floor((F.col(order) - F.lit(1)) / F.lit(chunk_size)).cast("bigint")
 
 
+# What a NULL key is replaced by while it is joined on; its flag tells it from a real one.
+_BLANK = {"string": "", "boolean": False, "date": "1970-01-01", "timestamp": "1970-01-01", "timestamp_ntz": "1970-01-01"}
+
+
+def sealed_keys(df: DataFrame, keys: Sequence[str] | str) -> tuple[DataFrame, list[str]]:
+    """NULL-free keys for equi-joins that must keep rows with NULL keys.
+
+    Every nullable key becomes a value plus a flag column, replaced once before the
+    first exchange: windows, aggregates and joins on the returned keys then share one
+    partitioning, which null-safe comparisons would not. ``opened_keys`` restores them.
+    """
+    keys = _keys(keys)
+    flags = {f"_null_{k}": F.col(k).isNull() for k in keys if df.schema[k].nullable}
+    blanks = {}
+    for k in keys:
+        if df.schema[k].nullable:
+            kind = df.schema[k].dataType
+            blanks[k] = F.coalesce(F.col(k), F.lit(_BLANK.get(kind.simpleString(), 0)).cast(kind))
+    return df.withColumns(flags).withColumns(blanks), [*keys, *flags]
+
+
+def opened_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Undo ``sealed_keys`` (``keys`` as it returned them)."""
+    flags = [k for k in keys if k.startswith("_null_")]
+    values = {k[6:]: F.when(~F.col(k), F.col(k[6:])) for k in flags}
+    return df.withColumns(values).drop(*flags) if flags else df
+
+
 def ordinal(
     df: DataFrame,
     keys: Sequence[str] | str,
     order: Sequence[str] | str,
+    bucket: Column,
     name: str = "idx",
-    partitions: int | None = None,
 ) -> DataFrame:
     """Dense 1-based ``row_number()`` per key, ordered by ``order`` (unique per key).
 
-    Plan: range-partition on ``(keys, order)`` (sampled bounds split a hot key over
-    several partitions), number rows inside each ``(partition, key)`` group, and
-    add the count of the key's rows in earlier partitions. Only a key that crosses
-    a range boundary has a non-zero offset, and at most one key crosses each
-    boundary, so the offset table has fewer rows than there are partitions: its
-    broadcast is bounded by the partition count, not by the data.
+    ``bucket`` must not decrease along ``order`` (e.g. the week of the leading
+    timestamp): rows are numbered inside ``(key, bucket)`` and the counts of the key's
+    earlier buckets are added, so a key that holds a third of all rows is spread over
+    its buckets. The rows are shuffled once, on ``(key, bucket)``; the counts come from
+    a scan of the key and bucket columns alone, combined per task before they are
+    shuffled, and join on the rows' own partitioning. NULL keys are numbered like others.
     """
     keys, order = _keys(keys), _keys(order)
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    # Without an explicit count, AQE may coalesce the range partitions; it merges
-    # adjacent ones, so every partition is still one contiguous key range.
-    ranged = (
-        df.repartitionByRange(partitions, *keys, *order) if partitions else df.repartitionByRange(*keys, *order)
-    )
-    # The range bounds come from a sample whose seed depends on the RDD; a second
-    # consumer of an un-materialised plan could see other bounds. The checkpoint
-    # (shared folder, survives executor loss) pins one assignment for both uses.
-    local = (
-        ranged.withColumn("_part", F.spark_partition_id())
-        .withColumn("_local", F.row_number().over(Window.partitionBy("_part", *keys).orderBy(*order)))
-        .checkpoint(eager=True)
-    )
-    counts = local.groupBy(*keys, "_part").agg(F.max("_local").alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        counts.withColumn("_off", F.sum("_n").over(before))
-        .filter(F.col("_off") > 0)
-        .select(*keys, "_part", "_off")
-    )
-    return (
-        local.join(F.broadcast(offsets), [*keys, "_part"], "left")
-        .withColumn(name, (F.col("_local") + F.coalesce(F.col("_off"), F.lit(0))).cast("bigint"))
-        .drop("_part", "_local", "_off")
+    names = df.columns
+    rows, safe = sealed_keys(df.withColumn("_bucket", bucket), keys)
+    counts = rows.groupBy(*safe, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*safe).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*safe, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy(*safe, "_bucket").orderBy(*order)
+    numbered = (
+        rows.withColumn("_local", F.row_number().over(inside))
+        .join(offsets, [*safe, "_bucket"])
+        .withColumn(name, (F.col("_local") + F.col("_off")).cast("bigint"))
     )
+    return opened_keys(numbered, safe).select(*names, name)
 
 
 def with_halo(

@@ -68,44 +68,34 @@ LANDING_PLACES: tuple[Place, ...] = (
 )
 
 
-def _num(x) -> str:
-    """A DOUBLE literal in SQL text (exact: repr round-trips the float)."""
-    return f"CAST({float(x)!r} AS DOUBLE)"
-
-
-def rule_sql(place: Place, lat: str, lng: str, alt: str | None) -> str:
-    """SQL condition: the point lies inside the rule's open box (and passes its guard)."""
+def _inside(place: Place, lat: Column, lng: Column, alt: Column) -> Column:
+    """The point lies inside the rule's open box and passes its guard."""
     if place.is_centre:
-        cond = (
-            f"abs({lat} - {_num(place.lat)}) < {_num(place.tol)} "
-            f"AND abs({lng} - {_num(place.lng)}) < {_num(place.tol)}"
+        found = (F.abs(lat - F.lit(float(place.lat))) < F.lit(float(place.tol))) & (
+            F.abs(lng - F.lit(float(place.lng))) < F.lit(float(place.tol))
         )
     else:
-        cond = (
-            f"{lat} < {_num(place.lat_hi)} AND {lat} > {_num(place.lat_lo)} "
-            f"AND {lng} > {_num(place.lng_lo)} AND {lng} < {_num(place.lng_hi)}"
+        found = (
+            (lat < F.lit(float(place.lat_hi)))
+            & (lat > F.lit(float(place.lat_lo)))
+            & (lng > F.lit(float(place.lng_lo)))
+            & (lng < F.lit(float(place.lng_hi)))
         )
     if place.min_alt is not None:
-        alt_sql = alt if alt is not None else "CAST(NULL AS INT)"
-        cond += f" AND coalesce({alt_sql}, {GUARD_DEFAULT_ALT}) > {int(place.min_alt)}"
-    return cond
-
-
-def _quote(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+        found = found & (F.coalesce(alt, F.lit(GUARD_DEFAULT_ALT)) > F.lit(int(place.min_alt)))
+    return found
 
 
 def label(lat: str, lng: str, alt: str | None = None, rules: Sequence[Place] = TAKEOFF_PLACES) -> Column:
-    """First matching rule's label, else ``UNKNOWN``: one CASE expression over column
-    names (parsed once by the JVM; a built-in, codegen'd expression)."""
-    if not rules:
-        return F.lit(UNKNOWN)
-    lat_q, lng_q = _quote(lat), _quote(lng)
-    alt_q = _quote(alt) if alt is not None else None
-    branches = " ".join(
-        f"WHEN {rule_sql(p, lat_q, lng_q, alt_q)} THEN '{p.label}'" for p in rules
-    )
-    return F.expr(f"CASE {branches} ELSE '{UNKNOWN}' END")
+    """First matching rule's label, else ``UNKNOWN``: one CASE expression (codegen'd).
+
+    Labels are literals, whatever characters they hold.
+    """
+    out = F.lit(UNKNOWN)
+    alt_c = F.col(alt) if alt is not None else F.lit(None).cast("int")
+    for place in reversed(rules):
+        out = F.when(_inside(place, F.col(lat), F.col(lng), alt_c), F.lit(place.label)).otherwise(out)
+    return out
 
 
 _PLACE_SCHEMA = T.StructType(
@@ -147,89 +137,84 @@ def places_frame(spark: SparkSession, rules: Sequence[Place]) -> DataFrame:
 
 
 def _table_match(lat: Column, lng: Column, alt: Column) -> Column:
-    centre = (
-        F.col("tol").isNotNull()
-        & (F.abs(lat - F.col("c_lat")) < F.col("tol"))
-        & (F.abs(lng - F.col("c_lng")) < F.col("tol"))
-    )
+    """The rule of the joined place (columns prefixed ``_place_``) holds for the point."""
+    p = lambda name: F.col(f"_place_{name}")
+    centre = p("tol").isNotNull() & (F.abs(lat - p("c_lat")) < p("tol")) & (F.abs(lng - p("c_lng")) < p("tol"))
     box = (
-        F.col("tol").isNull()
-        & (lat < F.col("lat_hi"))
-        & (lat > F.col("lat_lo"))
-        & (lng > F.col("lng_lo"))
-        & (lng < F.col("lng_hi"))
+        p("tol").isNull() & (lat < p("lat_hi")) & (lat > p("lat_lo")) & (lng > p("lng_lo")) & (lng < p("lng_hi"))
     )
-    guard = F.col("min_alt").isNull() | (F.coalesce(alt, F.lit(GUARD_DEFAULT_ALT)) > F.col("min_alt"))
+    guard = p("min_alt").isNull() | (F.coalesce(alt, F.lit(GUARD_DEFAULT_ALT)) > p("min_alt"))
     return (centre | box) & guard
 
 
-# A places table up to this many rows is broadcast into a nested-loop join (legs x
-# places comparisons); beyond it the grid-cell equi-join is used.
-BROADCAST_PLACES_MAX_ROWS = 256
+# Cells of the label join are 4**k degrees wide; places wider than the largest cell
+# cover four cells of it at most, places narrower than the smallest lie in up to four.
+_CELL_POWERS = (-5, 5)
+
+
+def _cell(level: Column) -> Column:
+    return F.pow(F.lit(4.0), level)
+
+
+def place_cells(places: DataFrame) -> DataFrame:
+    """Places copied into the grid cells that they touch: one to four rows each.
+
+    A place's level is the smallest cell that is as wide as its own extent, which comes
+    from its bounds or else from its centre and tolerance; so a wide place neither
+    widens the cells of the others nor is copied into many.
+    """
+    low, high = _CELL_POWERS
+    extent = places.withColumns(
+        {
+            "_y0": F.when(F.col("tol").isNull(), F.col("lat_lo")).otherwise(F.col("c_lat") - F.col("tol")),
+            "_y1": F.when(F.col("tol").isNull(), F.col("lat_hi")).otherwise(F.col("c_lat") + F.col("tol")),
+            "_x0": F.when(F.col("tol").isNull(), F.col("lng_lo")).otherwise(F.col("c_lng") - F.col("tol")),
+            "_x1": F.when(F.col("tol").isNull(), F.col("lng_hi")).otherwise(F.col("c_lng") + F.col("tol")),
+        }
+    ).filter((F.col("_y1") >= F.col("_y0")) & (F.col("_x1") >= F.col("_x0")))
+    width = F.greatest(F.col("_y1") - F.col("_y0"), F.col("_x1") - F.col("_x0"), F.lit(4.0**low))
+    level = F.least(F.greatest(F.ceil(F.log2(width) / 2), F.lit(low)), F.lit(high)).cast("int")
+    eps = F.lit(1e-9)  # a point within rounding distance of an edge still sees the cell
+    cell = _cell(F.col("_level"))
+    return (
+        extent.withColumn("_level", level)
+        .withColumn("_gy", F.explode(F.sequence(F.floor((F.col("_y0") - eps) / cell), F.floor((F.col("_y1") + eps) / cell))))
+        .withColumn("_gx", F.explode(F.sequence(F.floor((F.col("_x0") - eps) / cell), F.floor((F.col("_x1") + eps) / cell))))
+        .drop("_y0", "_y1", "_x0", "_x1")
+    )
 
 
 def label_by_join(
-    df: DataFrame,
-    key: Sequence[str],
-    lat: str,
-    lng: str,
-    alt: str | None,
-    places: DataFrame,
-    out: str = "location",
-    grid_degrees: float | None = None,
-    places_rows: int | None = None,
+    df: DataFrame, lat: str, lng: str, alt: str | None, places: DataFrame, out: str = "location"
 ) -> DataFrame:
-    """Label every row of ``df`` through a join with a places table.
-
-    First match by ``priority`` per row (``min_by(label, priority)``), NULL-free:
-    rows without a match get ``UNKNOWN``. ``key`` must identify a row of ``df``.
-
-    Small places tables (size checked, at most ``BROADCAST_PLACES_MAX_ROWS``) are
-    broadcast into a nested-loop range join, which compares every row with every
-    place. Larger ones are joined on grid cells: each place is copied into the cells its
-    extent touches (at most 4 with ``grid_degrees`` >= the widest extent) and each
-    point looks only at its own cell, so the join is an equi-join with no product.
-    ``places_rows`` is the table's known size (e.g. ``len(rules)``); without it the
-    size is checked with a bounded count.
+    """Label every row of ``df`` through an equi-join with a places table of any size.
+
+    Every point looks up one cell per cell size (11 at most), every place lies in the
+    cells of its own size; the join is on (size, cell) and the exact rule is checked on
+    what meets. The match of least ``priority`` wins (among equal priorities the least
+    label); rows without a match get ``UNKNOWN``. Rows are kept one by one, whatever
+    they hold, and ``df`` is evaluated once.
     """
-    key = list(key)
-    plat, plng = F.col(f"_p.{lat}"), F.col(f"_p.{lng}")
-    palt = F.col(f"_p.{alt}") if alt else F.lit(None).cast("int")
-    points = df.select(*key, lat, lng, *([alt] if alt else [])).alias("_p")
-    n_places = places_rows if places_rows is not None else places.limit(BROADCAST_PLACES_MAX_ROWS + 1).count()
-    if n_places <= BROADCAST_PLACES_MAX_ROWS and grid_degrees is None:
-        # size checked above: the broadcast holds at most BROADCAST_PLACES_MAX_ROWS rows
-        matched = points.join(F.broadcast(places.alias("_r")), _table_match(plat, plng, palt), "inner")
-    else:
-        g = grid_degrees or places.agg(
-            F.max(F.greatest(F.col("lat_hi") - F.col("lat_lo"), F.col("lng_hi") - F.col("lng_lo")))
-        ).first()[0]
-        g = float(g) if g and g > 0 else 1.0
-        eps = F.lit(g * 1e-9)  # a point within rounding distance of an edge still sees the cell
-        cells = (
-            places.withColumn(
-                "_gy", F.explode(F.sequence(F.floor((F.col("lat_lo") - eps) / g), F.floor((F.col("lat_hi") + eps) / g)))
-            )
-            .withColumn(
-                "_gx", F.explode(F.sequence(F.floor((F.col("lng_lo") - eps) / g), F.floor((F.col("lng_hi") + eps) / g)))
-            )
-            .alias("_r")
-        )
-        pts = points.withColumn("_gy", F.floor(plat / g)).withColumn("_gx", F.floor(plng / g)).alias("_p")
-        matched = pts.join(
-            cells,
-            (F.col("_p._gy") == F.col("_r._gy"))
-            & (F.col("_p._gx") == F.col("_r._gx"))
-            & _table_match(plat, plng, palt),
-            "inner",
-        )
-    # min(priority) is a hash aggregate on an int (min_by on a string label would
-    # fall back to a sort aggregate); the label comes back through priority.
-    first = matched.groupBy(*[F.col(f"_p.{k}").alias(k) for k in key]).agg(
-        F.min(F.col("_r.priority")).alias("_priority")
+    low, high = _CELL_POWERS
+    names = df.columns
+    look = df.withColumn("_row", F.monotonically_increasing_id()).withColumn(
+        "_level", F.explode(F.sequence(F.lit(low), F.lit(high)))
+    )
+    look = look.withColumn("_gy", F.floor(F.col(lat) / _cell(F.col("_level")))).withColumn(
+        "_gx", F.floor(F.col(lng) / _cell(F.col("_level")))
+    )
+    cells = place_cells(places)
+    cells = cells.select([F.col(c).alias(f"_place_{c}") for c in cells.columns])
+    met = look.join(
+        cells,
+        (F.col("_level") == F.col("_place__level"))
+        & (F.col("_gy") == F.col("_place__gy"))
+        & (F.col("_gx") == F.col("_place__gx"))
+        & _table_match(F.col(lat), F.col(lng), F.col(alt) if alt else F.lit(None).cast("int")),
+        "left",
+    )
+    won = F.when(F.col("_place_priority").isNotNull(), F.struct("_place_priority", "_place_label"))
+    best = met.groupBy("_row", *names).agg(F.min(won).alias("_best"))
+    return best.select(
+        *[n for n in names if n != out], F.coalesce(F.col("_best._place_label"), F.lit(UNKNOWN)).alias(out)
     )
-    labels = places.select(F.col("priority").alias("_priority"), F.col("label").alias(out))
-    if n_places <= BROADCAST_PLACES_MAX_ROWS:
-        labels = F.broadcast(labels)
-    best = first.join(labels, "_priority", "inner").drop("_priority")
-    return df.join(best, key, "left").withColumn(out, F.coalesce(F.col(out), F.lit(UNKNOWN)))

@@ -91,8 +91,27 @@ def first_last_per_point(spark, sf_dir):
 
 
 def leg_keys_distinct(spark, sf_dir):
-    """SELECT DISTINCT track, leg over the numbered airborne points."""
-    return L.leg_keys(_numbered(spark, sf_dir), C)
+    """The set of legs, distinct over the chunk partials."""
+    return L.leg_keys(_points(spark, sf_dir), C, LP)
+
+
+def null_key_legs(spark, sf_dir):
+    """A6, J1 with NULL keys: leg summary where every seventh user's id is NULL (one track)."""
+    return L.leg_summary(X.track_points(spark, sf_dir, null_keys=True), C, LP)
+
+
+def null_key_numbers(spark, sf_dir):
+    """P5 + W2 with NULL keys: airborne points with their leg number."""
+    points = X.track_points(spark, sf_dir, null_keys=True)
+    return L.number_legs(points, C, LP.ground_below, LP.chunk_size).select("entity", "idx", "flight_num")
+
+
+def null_key_colour(spark, sf_dir):
+    """W6, P16 with NULL keys: coloured pairs where every seventh user's id is NULL."""
+    points = X.track_points(spark, sf_dir, null_keys=True)
+    return G.coloured_pairs(points, C, LP.chunk_size).select(
+        "entity", "idx", "avg_alt", "min_alt", "max_alt", "ratio", "color"
+    )
 
 
 def significant_legs(spark, sf_dir):
@@ -125,33 +144,29 @@ def landing_places(spark, sf_dir):
     )
 
 
+def _landings(spark, sf_dir):
+    return _all_legs(spark, sf_dir).select("entity", "flight_num", "landing_lat", "landing_lng", "landing_altitude")
+
+
 def places_range_join(spark, sf_dir):
-    """Landing places through a range join with the places table (first by priority)."""
-    legs = _all_legs(spark, sf_dir).select(
-        "entity", "flight_num", "landing_lat", "landing_lng", "landing_altitude"
-    )
+    """Landing places of the rule chain through the join with a places table."""
     places = P.places_frame(spark, P.LANDING_PLACES)
     return P.label_by_join(
-        legs, ["entity", "flight_num"], "landing_lat", "landing_lng", "landing_altitude", places,
-        out="landing_location", places_rows=len(P.LANDING_PLACES),
+        _landings(spark, sf_dir), "landing_lat", "landing_lng", "landing_altitude", places, "landing_location"
     ).select("entity", "flight_num", "landing_location")
 
 
 def places_grid_join(spark, sf_dir):
-    """J5, large-table form: the same labels through the grid-cell equi-join."""
-    legs = _all_legs(spark, sf_dir).select(
-        "entity", "flight_num", "landing_lat", "landing_lng", "landing_altitude"
-    )
-    places = P.places_frame(spark, P.LANDING_PLACES)
+    """The same join with a place per customer: centres, bounds, very wide ones, guards."""
     return P.label_by_join(
-        legs, ["entity", "flight_num"], "landing_lat", "landing_lng", "landing_altitude", places,
-        out="landing_location", grid_degrees=2.0, places_rows=len(P.LANDING_PLACES),
-    ).select("entity", "flight_num", "landing_location")
+        _landings(spark, sf_dir), "landing_lat", "landing_lng", "landing_altitude", X.place_table(spark, sf_dir),
+        "landing_location",
+    ).select("entity", "flight_num", "landing_location")
 
 
 def point_total(spark, sf_dir):
     """Number of points."""
-    return _points(spark, sf_dir).agg(F.count(F.lit(1)).alias("total_points"))
+    return X.table(spark, sf_dir, "events").agg(F.count(F.lit(1)).alias("total_points"))
 
 
 def leg_total(spark, sf_dir):
@@ -161,7 +176,7 @@ def leg_total(spark, sf_dir):
 
 def report_points(spark, sf_dir):
     """The report's column subset of the point table (5 of the columns)."""
-    return _points(spark, sf_dir).select("entity", "lat", "lng", "alt", iso_utc("t").alias("time_text"))
+    return X.event_positions(spark, sf_dir).select("entity", "lat", "lng", "alt", iso_utc("t").alias("time_text"))
 
 
 def report_legs(spark, sf_dir):
@@ -174,17 +189,18 @@ def report_legs(spark, sf_dir):
 
 def track_altitude_range(spark, sf_dir):
     """A11 + P13: per track min and max of the positive altitudes."""
-    return G.track_stats(_points(spark, sf_dir), C).select("entity", "min_alt", "max_alt")
+    return G.track_stats(X.event_positions(spark, sf_dir), C).select("entity", "min_alt", "max_alt")
 
 
 def track_counts(spark, sf_dir):
     """Points per track."""
-    return G.track_stats(_points(spark, sf_dir), C).select("entity", "num_points")
+    return G.track_stats(X.event_positions(spark, sf_dir), C).select("entity", "num_points")
 
 
 def coordinate_total(spark, sf_dir):
-    """All coordinates over all tracks."""
-    return _points(spark, sf_dir).agg(F.count(F.lit(1)).alias("total_coordinates"))
+    """Coordinates over all tracks, summed up from the tracks' counts."""
+    counts = G.track_stats(X.event_positions(spark, sf_dir), C)
+    return counts.agg(F.sum("num_points").alias("total_coordinates"))
 
 
 def point_pairs(spark, sf_dir):
@@ -216,9 +232,10 @@ def ribbon_polygons(spark, sf_dir):
 
 
 def geojson_features(spark, sf_dir):
-    """One GeoJSON Feature (JSON text) per ribbon."""
+    """One GeoJSON Feature per ribbon, its text read back with types."""
     rib = G.ribbons(G.coloured_pairs(_points(spark, sf_dir), C, LP.chunk_size), C)
-    return G.features(rib, C).select("entity", "idx", "geojson")
+    lines = G.features(rib, C).select("entity", "idx", "geojson")
+    return G.parsed_features(lines).drop("geojson")
 
 
 def track_paths(spark, sf_dir):
@@ -236,10 +253,35 @@ def flatten_points(spark, sf_dir):
     return pts.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
+def _parsed_texts(spark, sf_dir):
+    return TR.split_quarantine(TR.parse_documents(X.trace_file_texts(spark, sf_dir)))
+
+
 def trace_text_flatten(spark, sf_dir):
-    """File texts with two root objects each -> split, parse, quarantine, flatten."""
-    good, _bad = TR.split_quarantine(TR.parse_documents(X.trace_file_texts(spark, sf_dir)))
-    return TR.flatten(good).drop("timestamp")
+    """File texts with several root objects each -> split, parse, flatten."""
+    return TR.flatten(_parsed_texts(spark, sf_dir)[0]).drop("timestamp")
+
+
+def trace_text_quarantine(spark, sf_dir):
+    """The malformed parts of the same texts, kept with their file and text."""
+    bad = _parsed_texts(spark, sf_dir)[1]
+    return bad.select("source_file", F.col("_corrupt_record").alias("corrupt"))
+
+
+def document_choice(spark, sf_dir):
+    """T1, T3, P17 on documents: the trace document of a day, else the fallback feed's
+    (absolute seconds and metres mapped to offsets and feet), flattened to points."""
+    primary, fallback = X.document_feeds(spark, sf_dir)
+    docs = I.choose_source(primary, TR.fallback_as_traces(fallback), ["icao", "source_file"])
+    return TR.flatten(docs).drop("timestamp")
+
+
+def one_document_per_day(spark, sf_dir):
+    """Documents alone on their vehicle and day, and those set aside because they are not."""
+    alone, others = TR.one_per_day(X.repeated_documents(spark, sf_dir))
+    return alone.select("icao", "source_file", F.lit(True).alias("kept")).union(
+        others.select("icao", "source_file", F.lit(False).alias("kept"))
+    )
 
 
 def trace_leg_summary(spark, sf_dir):
@@ -282,17 +324,23 @@ def expected_days(spark, sf_dir):
 
 
 def missing_days(spark, sf_dir):
-    """Expected days that have no cache entry at all."""
-    return I.missing_days(_expected(spark, sf_dir), _latest(spark, sf_dir)).select(
+    """Expected days that a run fetches: no file there, and not cached as empty."""
+    return I.missing_days(_expected(spark, sf_dir), _latest(spark, sf_dir), X.present_files(spark, sf_dir)).select(
         "entity", "day", "file_name"
     )
 
 
+def _classified(spark, sf_dir):
+    return I.classify_days(_expected(spark, sf_dir), _latest(spark, sf_dir), X.present_files(spark, sf_dir))
+
+
+def _ended(spark, sf_dir):
+    return I.run_outcomes(_classified(spark, sf_dir), X.fetched_payloads(spark, sf_dir))
+
+
 def day_status(spark, sf_dir):
-    """Every expected day with its latest cached status (``unknown`` without one)."""
-    return I.with_status(_expected(spark, sf_dir), _latest(spark, sf_dir)).select(
-        "entity", "day", "status", "outcome"
-    )
+    """Every expected day with its cached status and what a run does with it."""
+    return _classified(spark, sf_dir).select("entity", "day", "status", "outcome")
 
 
 def manifest_latest(spark, sf_dir):
@@ -301,17 +349,22 @@ def manifest_latest(spark, sf_dir):
 
 
 def manifest_upsert(spark, sf_dir):
-    """W7 as a table operation: the fallback feed's looks form the cache, the primary
-    feed's looks are upserted into it (union by name, latest per (entity, day))."""
+    """W7 as a table operation: the fallback feed's looks replace the primary feed's
+    entries of their days, also where they are older."""
     hist = X.manifest_history(spark, sf_dir)
-    cache = hist.filter(F.col("source") == "fallback")
-    updates = hist.filter(F.col("source") == "primary")
+    cache = hist.filter(F.col("source") == "primary")
+    updates = hist.filter(F.col("source") == "fallback")
     return I.upsert(cache, updates)
 
 
 def outcome_counts(spark, sf_dir):
-    """Days per run outcome, plus the total."""
-    return I.outcome_counts(I.with_status(_expected(spark, sf_dir), _latest(spark, sf_dir)))
+    """Days per outcome after the run (skipped, cached, downloaded, failed) and the total."""
+    return I.outcome_counts(_ended(spark, sf_dir))
+
+
+def run_status(spark, sf_dir):
+    """Days processed and failed; any failed day fails the run."""
+    return I.run_status(_ended(spark, sf_dir))
 
 
 def source_choice(spark, sf_dir):
@@ -335,8 +388,8 @@ def hex_ids(spark, sf_dir):
 
 
 # Fixed values for the pages payload check: a page is a usable primary payload when it
-# has a navigation block, a fallback payload when it is French.
-PRIMARY_KEY = "<nav"
+# is English, a fallback payload when it is French, else none.
+PRIMARY_KEY = 'lang="en"'
 FALLBACK_KEY = 'lang="fr"'
 
 
@@ -374,6 +427,9 @@ def queries() -> dict[str, Query]:
         "leg_endpoints_join": leg_endpoints_join,
         "first_last_per_point": first_last_per_point,
         "leg_keys_distinct": leg_keys_distinct,
+        "null_key_legs": null_key_legs,
+        "null_key_numbers": null_key_numbers,
+        "null_key_colour": null_key_colour,
         "significant_legs": significant_legs,
         "takeoff_places": takeoff_places,
         "landing_places": landing_places,
@@ -393,6 +449,9 @@ def queries() -> dict[str, Query]:
         "track_paths": track_paths,
         "flatten_points": flatten_points,
         "trace_text_flatten": trace_text_flatten,
+        "trace_text_quarantine": trace_text_quarantine,
+        "document_choice": document_choice,
+        "one_document_per_day": one_document_per_day,
         "trace_leg_summary": trace_leg_summary,
         "embedding_values": embedding_values,
         "props_int": props_int,
@@ -402,6 +461,7 @@ def queries() -> dict[str, Query]:
         "manifest_latest": manifest_latest,
         "manifest_upsert": manifest_upsert,
         "outcome_counts": outcome_counts,
+        "run_status": run_status,
         "source_choice": source_choice,
         "archive_paths": archive_paths,
         "hex_ids": hex_ids,

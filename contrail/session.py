@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that change results, not only speed: ISO text is printed with a
 # literal 'Z', so the session zone must be UTC; ANSI makes bad casts visible.
@@ -19,7 +20,6 @@ _SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -33,15 +33,21 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir`` (stable across applications).
 
-    Only when the setting is absent (tests, laptops) a scratch folder is created.
+    Without the setting a session whose driver is also its only executor (master
+    ``local`` or ``local[...]``: tests, laptops) gets a scratch folder once; on a
+    cluster, where nobody else would see such a folder, a missing setting is an error.
     """
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    current = spark.sparkContext.getCheckpointDir()
-    return current if current else tempfile.mkdtemp(prefix="contrail-ckpt-")
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="contrail-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -49,8 +55,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Spark sets it from ``spark.checkpoint.dir`` at startup (a per-application folder
     inside it); that is used as is. Only if the context has none, it is set to
-    ``checkpoint_root`` (a scratch folder when nothing is configured, as in tests).
-    The setting itself cannot be changed at runtime and is never overridden.
+    ``checkpoint_root``. The setting itself is never overridden.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -60,6 +65,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def materialised(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once as Parquet below the checkpoint folder and read it back.
+
+    For results that several branches of a plan read: columnar, so each branch prunes
+    its columns, and safe against lost executors. The files lie in a folder of this
+    application, which can be removed when it has ended.
+    """
+    spark = df.sparkSession
+    app = spark.sparkContext.applicationId
+    path = f"{checkpoint_root(spark).rstrip('/')}/contrail/{app}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
     """Local session used by tests, bench and tools; clusters pass their own."""
     master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"

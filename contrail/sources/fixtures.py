@@ -50,30 +50,46 @@ def event_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def build_track_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Point table of all events: (entity, idx, t, lat, lng, alt), materialised.
+def track_points(spark: SparkSession, sf_dir: str, null_keys: bool = False) -> DataFrame:
+    """Point table of all events: (entity, idx, t, lat, lng, alt).
 
-    The ordinal step ends in a checkpoint (shared checkpoint folder), so the result
-    reads back a written table, like the reference's point table built once and
-    read by every later statement.
+    Numbered within the week of the event. With ``null_keys`` every seventh user's id is
+    NULL: their events are one track without a key.
     """
     pos = event_positions(spark, sf_dir)
-    return ordinal(pos, ["entity"], ["ts", "event_id"], "idx").select(
-        "entity", "idx", "t", "lat", "lng", "alt"
+    if null_keys:
+        pos = pos.withColumn("entity", F.when(F.col("entity") % 7 != 0, F.col("entity")))
+    week = F.floor(F.col("t") / F.lit(7 * 86400.0))
+    return ordinal(pos, ["entity"], ["ts", "event_id"], week).select("entity", "idx", "t", "lat", "lng", "alt")
+
+
+# Places (``place_table``), from ``customer``: centres spread over the events' area by the
+# key k. k % 5: 0 and 3 centre and tolerance only, 1 and 4 bounds only (very wide for
+# k % 50 = 4), 2 centre with an altitude guard; every tenth label holds a quotation mark;
+# two places share a priority.
+def place_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of the schema of ``operators.places`` (bounds or centre NULL by kind)."""
+    k = F.col("c_custkey")
+    lat = F.lit(-26.5) + ((k * 91) % 1600).cast("double") / F.lit(100.0)
+    lng = F.lit(32.0) + ((k * 67) % 900).cast("double") / F.lit(100.0)
+    kind = k % 5
+    centre = kind.isin(0, 2, 3)
+    half = F.when(k % 50 == 4, F.lit(3.0)).otherwise(F.lit(0.05))
+    only = lambda cond, c: F.when(cond, c)
+    return table(spark, sf_dir, "customer").select(
+        F.expr("cast(c_custkey div 2 as int)").alias("priority"),
+        F.concat(F.when(k % 10 == 0, F.lit("O'Place ")).otherwise(F.lit("Place ")), k.cast("string")).alias("label"),
+        only(centre, lat).alias("c_lat"),
+        only(centre, lng).alias("c_lng"),
+        only(centre, F.when(kind == 0, F.lit(0.02)).otherwise(F.lit(0.1))).alias("tol"),
+        only(~centre, lat - half).alias("lat_lo"),
+        only(~centre, lat + half).alias("lat_hi"),
+        only(~centre, lng - half).alias("lng_lo"),
+        only(~centre, lng + half).alias("lng_hi"),
+        only(kind == 2, F.lit(5000)).alias("min_alt"),
     )
 
 
-_TABLES: dict[tuple[str, str], DataFrame] = {}
-
-
-def track_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The session's point table for ``sf_dir``: built on first use, then reused."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _TABLES:
-        _TABLES[key] = build_track_points(spark, sf_dir)
-    return _TABLES[key]
-
-
 # Trace documents (``trace_documents``), from ``embeddings``: one document per vector,
 # one point per 4 numbers e0..e3 of the vector (i = point position from 0):
 #   offset   = i * 30.5 + floor(|e0| * 100)        seconds after the base
@@ -133,7 +149,8 @@ def entity_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Manifest history (``manifest_history``), from ``events``: every event is one look at
 # the (entity, day) payload. Status no_data for 'error' events, else has_data; source
-# primary for 'view' and 'click', else fallback; seen_at = ts.
+# primary for 'view' and 'click', else fallback; seen_at = the half day of ts, so that
+# looks at equal times occur.
 PRIMARY_EVENT_TYPES = ("view", "click")
 
 
@@ -146,10 +163,22 @@ def manifest_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type").isin(*PRIMARY_EVENT_TYPES), F.lit("primary"))
         .otherwise(F.lit("fallback"))
         .alias("source"),
-        F.col("ts").alias("seen_at"),
+        F.expr("cast(date_trunc('DAY', ts) + make_dt_interval(0, 12 * int(hour(ts) >= 12)) as timestamp_ntz)").alias(
+            "seen_at"
+        ),
     )
 
 
+def present_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(entity, day) of the files that are there: days with a 'click' event."""
+    return event_days(spark, sf_dir).filter(F.col("event_type") == "click").select("entity", "day")
+
+
+def fetched_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(entity, day) for which either feed gives a usable payload: days with a 'view' event."""
+    return event_days(spark, sf_dir).filter(F.col("event_type") == "view").select("entity", "day")
+
+
 def feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Two feeds of per-(entity, day) payload summaries: primary and fallback events."""
     d = event_days(spark, sf_dir)
@@ -182,11 +211,59 @@ def _json_document(icao, base, points):
     )
 
 
+# The third part of every fifth file: a document that is cut off.
+BROKEN_DOCUMENT = '{"icao": "broken", "trace": [[1, 2'
+
+
 def trace_file_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """File texts holding two root objects each: the document of ``trace_documents``
-    split after its 8th point; the second part's entity gets the suffix ``b``."""
+    """File texts holding two or three root objects each: the document of
+    ``trace_documents`` split after its 8th point (the second part's entity gets the
+    suffix ``b``, and a note that holds ``}{``); every fifth file ends in a broken one."""
     docs = trace_documents(spark, sf_dir)
     first = _json_document(F.col("icao"), F.col("timestamp"), F.slice("trace", 1, 8))
     second = _json_document(F.concat(F.col("icao"), F.lit("b")), F.col("timestamp"),
                             F.slice("trace", 9, F.greatest(F.size("trace") - 8, F.lit(0))))
-    return docs.select("source_file", F.concat(first, F.lit("\n"), second).alias("value"))
+    noted = F.concat(F.lit('{"note": "a } { \\" }{", '), F.substring(second, 2, 10_000_000))
+    number = F.conv(F.col("icao"), 16, 10).cast("bigint")
+    third = F.when(number % 5 == 0, F.concat(F.lit("\n"), F.lit(BROKEN_DOCUMENT))).otherwise(F.lit(""))
+    return docs.select("source_file", F.concat(first, F.lit("\n"), noted, third).alias("value"))
+
+
+def document_feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two feeds of documents as their readers yield them: traces of the vehicles whose
+    number does not divide by 3, and fallback documents of those that divide by 2.
+
+    A fallback row per point: epoch second, latitude, longitude, metres (e3 * 6000 + 1500,
+    rounded), track, on ground (e3 < -0.3)."""
+    docs = trace_documents(spark, sf_dir)
+    number = F.conv(F.col("icao"), 16, 10).cast("bigint")
+    corrupt = F.lit(None).cast("string").alias("_corrupt_record")
+    primary = docs.filter(number % 3 != 0).select("icao", "timestamp", "trace", corrupt, "source_file")
+    emb = table(spark, sf_dir, "embeddings").filter("vec_id % 2 = 0")
+    base = F.lit(TRACE_BASE_EPOCH) + F.col("vec_id").cast("double") * F.lit(86400.0)
+    e = lambda i, k: F.get(F.col("embedding"), i * 4 + k).cast("double")
+
+    def row(i):
+        at = base + i.cast("double") * F.lit(30.5)
+        metres = F.round(e(i, 3) * F.lit(6000.0) + F.lit(1500.0))
+        cells = (at, e(i, 1) * F.lit(50.0), F.lit(40.0) + e(i, 2) * F.lit(10.0), metres, F.lit(0.0), e(i, 3) < F.lit(-0.3))
+        return F.array(*[c.cast("string") for c in cells])
+
+    n = F.floor(F.size("embedding") / F.lit(4)).cast("int")
+    positions = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    fallback = emb.select(
+        F.lower(F.hex("vec_id")).alias("icao24"),
+        base.alias("startTime"),
+        F.transform(positions, row).alias("path"),
+        corrupt,
+        F.concat(F.lit("flight-track-"), F.date_format(F.timestamp_seconds(base), "yyyy-MM-dd"), F.lit(".json")).alias(
+            "source_file"
+        ),
+    )
+    return primary, fallback
+
+
+def repeated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``trace_documents`` in which every tenth vehicle's day has a second document."""
+    docs = trace_documents(spark, sf_dir)
+    return docs.union(docs.filter(F.conv(F.col("icao"), 16, 10).cast("bigint") % 10 == 0))

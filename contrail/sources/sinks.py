@@ -1,36 +1,45 @@
 """Sinks: point table, leg table, GeoJSON feature lines, status-cache manifest.
 
-Writes are full refreshes (``overwrite``) or, with the session's dynamic partition
-overwrite mode, replace only the ``flight_date`` partitions present in the frame.
+A write is a full refresh (what lay there before is gone) or, with
+``days_only=True``, replaces exactly the days that the frame holds. The mode is set
+per write, never on the session.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from contrail.operators.ingest import parse_status_line, status_line
 
 
-def write_points(points: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Point table partitioned by ``flight_date``.
+# An empty day (a file name without a date) as a folder name; as '' it would read back NULL.
+_NO_DAY = "undated"
+
+
+def _write_days(df: DataFrame, path: str, day: str, days_only: bool, kind: str = "parquet") -> None:
+    mode = "dynamic" if days_only else "static"
+    stored = df.withColumn(day, F.when(F.col(day) == "", F.lit(_NO_DAY)).otherwise(F.col(day)))
+    writer = stored.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(day)
+    writer.format(kind).save(path)
+
+
+def _with_days(df: DataFrame, day: str = "flight_date") -> DataFrame:
+    return df.withColumn(day, F.when(F.col(day) == _NO_DAY, F.lit("")).otherwise(F.col(day)))
+
+
+def write_points(points: DataFrame, path: str, days_only: bool = False) -> None:
+    """Point table partitioned by ``flight_date`` (full refresh or only its days).
 
     Rows are range-partitioned on ``(flight_date, entity, idx)``: each writer gets a
     contiguous slice (few files per task, sorted by track and ordinal inside), and a
     busy day or a busy track is split over several writers instead of one.
     """
-    (
-        points.repartitionByRange("flight_date", "entity", "idx")
-        .sortWithinPartitions("flight_date", "entity", "idx")
-        .write.mode(mode)
-        .partitionBy("flight_date")
-        .parquet(path)
-    )
+    order = ("flight_date", "entity", "idx")
+    _write_days(points.repartitionByRange(*order).sortWithinPartitions(*order), path, "flight_date", days_only)
 
 
-def read_points(spark: SparkSession, path: str) -> DataFrame:
-    """Point table back; the partition column is kept as text (not inferred as DATE)."""
+def _point_files(spark: SparkSession, path: str) -> DataFrame:
     return (
         spark.read.option("basePath", path)
         .schema(
@@ -41,6 +50,11 @@ def read_points(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_points(spark: SparkSession, path: str) -> DataFrame:
+    """Point table back; the partition column is kept as text (not inferred as DATE)."""
+    return _with_days(_point_files(spark, path))
+
+
 # Fixed value: the report's columns of the point table.
 REPORT_COLUMNS = ("flight_date", "lat", "lng", "altitude_ft", "timestamp")
 
@@ -52,33 +66,46 @@ def read_report_points(spark: SparkSession, path: str, first_day: str | None = N
     Only these columns are read (Parquet column pruning) and only the day folders in
     the range are listed (partition pruning on ``flight_date``).
     """
-    pts = read_points(spark, path)
+    pts = _point_files(spark, path)
+    undated = F.col("flight_date") == F.lit(_NO_DAY)  # '' comes before every day
     if first_day is not None:
-        pts = pts.filter(F.col("flight_date") >= F.lit(first_day))
+        pts = pts.filter((F.col("flight_date") >= F.lit(first_day)) & ~undated)
     if last_day is not None:
-        pts = pts.filter(F.col("flight_date") <= F.lit(last_day))
-    return pts.select(*REPORT_COLUMNS, "entity", "idx")
+        pts = pts.filter((F.col("flight_date") <= F.lit(last_day)) | undated)
+    return _with_days(pts).select(*REPORT_COLUMNS, "entity", "idx")
 
 
-def write_legs(legs: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """The leg summary table."""
-    legs.write.mode(mode).parquet(path)
+def write_legs(legs: DataFrame, path: str, days_only: bool = False) -> None:
+    """The leg summary table, partitioned by ``flight_date`` (full refresh or only its days)."""
+    _write_days(legs.repartitionByRange("flight_date", "flight_num"), path, "flight_date", days_only)
 
 
-def write_features(features: DataFrame, path: str, partition: str = "flight_date", mode: str = "overwrite") -> None:
-    """One GeoJSON Feature per line, one folder per track day."""
-    features.select(partition, F.col("geojson").alias("value")).write.mode(mode).partitionBy(partition).text(path)
+def read_legs(spark: SparkSession, path: str) -> DataFrame:
+    """The leg table back, days as text."""
+    rows = spark.read.option("basePath", path).parquet(path)
+    return _with_days(rows.withColumn("flight_date", F.col("flight_date").cast("string")))
 
 
-def write_manifest(latest: DataFrame, path: str) -> None:
-    """The status cache as text lines ``yyyy-MM-dd:status`` (one entity)."""
-    latest.select(status_line(F.col("day"), F.col("status")).alias("value")).write.mode("overwrite").text(path)
+def write_features(features: DataFrame, path: str, day: str = "flight_date", days_only: bool = False) -> None:
+    """One GeoJSON Feature per line, one folder per track day.
+
+    Range-partitioned on the day and the lines' keys: few files per task, and a busy day
+    is split over several writers.
+    """
+    order = [c for c in (day, "entity", "idx") if c in features.columns]
+    lines = features.repartitionByRange(*order).sortWithinPartitions(*order)
+    _write_days(lines.select(day, F.col("geojson").alias("value")), path, day, days_only, "text")
 
 
-MANIFEST_SCHEMA = T.StructType([T.StructField("day", T.DateType()), T.StructField("status", T.StringType())])
+def write_manifest(latest: DataFrame, path: str) -> None:
+    """The status cache as text lines ``yyyy-MM-dd:status``, one folder per entity (full refresh)."""
+    lines = latest.select(F.col("entity").cast("string").alias("entity"), status_line(F.col("day"), F.col("status")).alias("value"))
+    writer = lines.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("entity")
+    writer.text(path)
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Status-cache lines back as ``(day DATE, status)``; a bad date fails (ANSI)."""
+    """Status-cache lines back as ``(entity, day DATE, status)``; a bad date fails (ANSI)."""
     day, status = parse_status_line(F.col("value"))
-    return spark.read.text(path).select(day.alias("day"), status.alias("status"))
+    lines = spark.read.schema("value string, entity string").text(path)
+    return lines.select("entity", day.alias("day"), status.alias("status"))

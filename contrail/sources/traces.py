@@ -61,21 +61,45 @@ def read_traces(spark: SparkSession, path: str, schema: T.StructType = TRACE_SCH
     )
 
 
-# Fixed value: split point between concatenated root objects "}{" (whitespace allowed).
-_ROOT_SPLIT = r"(?<=\})\s*(?=\{)"
+# Fixed value: possible split point between concatenated root objects "}{" (blanks allowed).
+_ROOT_SPLIT = r"(?<=\})(?=\s*\{)"
+
+
+def root_objects(text) -> "F.Column":
+    """Array of the root objects in a text: cut between ``}`` and ``{`` outside of strings.
+
+    A cut inside a string leaves an odd number of quotation marks (escaped characters not
+    counted) behind; such parts are put together again.
+    """
+    quotes = lambda part: F.length(
+        F.regexp_replace(F.regexp_replace(part, r"\\.", ""), '[^"]', "")
+    )
+    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
+
+    def step(state, part):
+        whole = F.concat(state["open"], part)
+        closed = quotes(whole) % 2 == 0
+        return F.struct(
+            F.when(closed, F.concat(state["done"], F.array(whole))).otherwise(state["done"]).alias("done"),
+            F.when(closed, F.lit("")).otherwise(whole).alias("open"),
+        )
+
+    def finish(state):
+        rest = F.array(state["open"])
+        return F.when(state["open"] == "", state["done"]).otherwise(F.concat(state["done"], rest))
+
+    return F.aggregate(F.split(text, _ROOT_SPLIT), start, step, finish)
 
 
 def parse_documents(texts: DataFrame, text: str = "value", source_file: str = "source_file",
                     schema: T.StructType = TRACE_SCHEMA) -> DataFrame:
     """Whole file texts -> one row per root object (S2 for concatenated documents).
 
-    The text is split between root objects (``}`` then ``{``, whitespace allowed) and
-    every part is parsed with the schema; a part that is not valid JSON keeps its text
-    in ``_corrupt_record``. The split is textual: a string value containing ``}{`` would
-    be cut.
+    Every root object is parsed with the schema; one that is not valid JSON keeps its
+    text in ``_corrupt_record``.
     """
-    parts = texts.select(F.col(source_file).alias("source_file"),
-                         F.explode(F.split(F.col(text), _ROOT_SPLIT)).alias("doc"))
+    parts = texts.select(F.col(source_file).alias("source_file"), F.explode(root_objects(F.col(text))).alias("doc"))
+    parts = parts.withColumn("doc", F.regexp_replace("doc", r"^\s+", ""))
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = parts.select("source_file", F.from_json("doc", schema, opts).alias("d"))
     return parsed.select(*[F.col(f"d.{f.name}").alias(f.name) for f in schema.fields], "source_file")
@@ -152,12 +176,42 @@ def bad_points(points: DataFrame) -> DataFrame:
     return points.filter(F.col("time_offset").isNull() | F.col("lat").isNull() | F.col("lng").isNull())
 
 
+# Fixed value: metres per foot.
+METRES_PER_FOOT = 0.3048
+
+
 def fallback_as_traces(docs: DataFrame) -> DataFrame:
-    """Map the fallback feed's columns onto the trace document columns."""
+    """Map the fallback feed's documents onto trace documents.
+
+    A row of ``path`` is [epoch seconds, latitude, longitude, barometric altitude in
+    metres, true track, on ground]. Offsets become relative to ``startTime``, altitudes
+    whole feet, and ``ground`` for a point on the ground.
+    """
+
+    def point(p):
+        offset = (element(p, 1).cast("double") - F.col("startTime")).cast("string")
+        feet = F.round(element(p, 4).try_cast("double") / F.lit(METRES_PER_FOOT)).cast("bigint").cast("string")
+        altitude = F.when(element(p, 6) == "true", F.lit("ground")).otherwise(feet)
+        return F.array(offset, element(p, 2), element(p, 3), altitude)
+
     return docs.select(
         F.col("icao24").alias("icao"),
         F.col("startTime").alias("timestamp"),
-        F.col("path").alias("trace"),
+        F.transform("path", point).alias("trace"),
         F.col(CORRUPT),
         F.col("source_file"),
     )
+
+
+def one_per_day(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(documents that are alone on their vehicle and file name, the others).
+
+    The points of a day are numbered within one document; two documents of one day would
+    mix, so they are split off, to be looked at like the quarantine.
+    """
+    keys = ["icao", "source_file"]
+    counts = docs.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+    same = docs["icao"].eqNullSafe(counts["_icao"]) & docs["source_file"].eqNullSafe(counts["_source_file"])
+    counted = docs.join(counts, same)
+    alone = F.col("_n") == 1
+    return counted.filter(alone).select(*docs.columns), counted.filter(~alone).select(*docs.columns)

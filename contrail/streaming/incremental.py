@@ -6,8 +6,8 @@ stops. Each micro-batch
 
 * flattens the valid documents and writes their points,
 * keeps malformed files in a quarantine table,
-* records one status-cache entry per file (``has_data`` for a parsed document with
-  an id, else ``no_data``) in the manifest history, whose latest entry per
+* records one status-cache entry per file (``has_data`` for a parsed document, whose
+  points are written, else ``no_data``) in the manifest history, whose latest entry per
   ``(entity, day)`` is the cached status (``ingest.latest_status``).
 
 ``foreachBatch`` is at-least-once: a batch can be replayed after a failure. Every
@@ -26,11 +26,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from contrail.operators.ingest import HAS_DATA, NO_DATA
-from contrail.session import checkpoint_root
 from contrail.sources.traces import CORRUPT, TRACE_SCHEMA, flatten
 from contrail.functions.scalar import TRACK_FILE_DATE_PATTERN
 
 BATCH = "ingest_batch"
+ICAO_PATTERN = r'"icao"\s*:\s*"([^"]*)"'
 
 
 def _write(df: DataFrame, path: str, partitions: list[str]) -> None:
@@ -52,9 +52,11 @@ def process_batch(batch: DataFrame, batch_id: int, points_path: str,
         bad = batch.filter(F.col(CORRUPT).isNotNull()).select("source_file", "icao", CORRUPT)
         _write(bad.withColumn(BATCH, tag), quarantine_path, [BATCH])
     if manifest_path:
-        usable = F.col(CORRUPT).isNull() & F.col("icao").isNotNull()
+        usable = F.col(CORRUPT).isNull()
+        # A malformed file is cached under the id that its text still shows.
+        shown = F.regexp_extract(F.col(CORRUPT), ICAO_PATTERN, 1)
         entries = batch.select(
-            F.col("icao").alias("entity"),
+            F.coalesce(F.col("icao"), F.nullif(shown, F.lit(""))).alias("entity"),
             F.to_date(F.regexp_extract("source_file", TRACK_FILE_DATE_PATTERN, 1)).alias("day"),
             F.when(usable, F.lit(HAS_DATA)).otherwise(F.lit(NO_DATA)).alias("status"),
             F.lit("primary").alias("source"),
@@ -68,13 +70,15 @@ def stream_traces(
     spark: SparkSession,
     source_dir: str,
     points_path: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     quarantine_path: str | None = None,
     manifest_path: str | None = None,
 ) -> StreamingQuery:
-    """Start an availableNow run: new files -> points, quarantine, manifest entries."""
-    # a stable folder under the configured root, so a later application resumes it
-    ckpt = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/stream_traces"
+    """Start an availableNow run: new files -> points, quarantine, manifest entries.
+
+    ``checkpoint`` is the stream's own folder on shared storage: a later application
+    that names it goes on where this one stopped.
+    """
     docs = (
         spark.readStream.schema(TRACE_SCHEMA)
         .option("multiLine", True)
@@ -87,7 +91,7 @@ def stream_traces(
         docs.writeStream.foreachBatch(
             lambda batch, batch_id: process_batch(batch, batch_id, points_path, quarantine_path, manifest_path)
         )
-        .option("checkpointLocation", ckpt)
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from contrail.operators.ordering import neighbours, ordinal
+from contrail.operators.ordering import neighbours, opened_keys, ordinal, sealed_keys
 
 
 def hot_rows(n=3000, seed=7):
@@ -16,26 +16,39 @@ def hot_rows(n=3000, seed=7):
     return rows
 
 
-@pytest.mark.parametrize("partitions", [7, None])
-def test_ordinal_equals_row_number_with_hot_key(spark, partitions):
-    df = spark.createDataFrame(hot_rows(), "k long, ts long, id long, v int")
-    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2k")  # several coalesced ranges
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1k")
+def test_ordinal_equals_row_number_with_hot_and_null_keys(spark):
+    rows = [(None if r[0] % 5 == 3 else r[0], *r[1:]) for r in hot_rows()]
+    df = spark.createDataFrame(rows, "k long, ts long, id long, v int")
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    want = df.withColumn("idx", F.row_number().over(w))
+    want = sorted(want.select("k", "ts", "id", "v", "idx").collect(), key=str)
+    for width in (1_000, 100_000, 10**7):  # many buckets, a few, one
+        got = ordinal(df, ["k"], ["ts", "id"], F.floor(F.col("ts") / width), "idx")
+        assert sorted(got.select("k", "ts", "id", "v", "idx").collect(), key=str) == want
+
+
+def test_ordinal_shuffles_the_rows_once_and_needs_no_checkpoint(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        got = ordinal(df, ["k"], ["ts", "id"], "idx", partitions=partitions)
-        ranged = df.repartitionByRange(partitions, "k", "ts", "id") if partitions else df.repartitionByRange(
-            "k", "ts", "id")
-        n_parts = ranged.select(F.spark_partition_id().alias("p")).distinct().count()
-        assert n_parts > 1  # the hot key spans several ranges
-        rows_got = sorted(got.select("k", "id", "idx").collect())
+        df = spark.createDataFrame(hot_rows(), "k long, ts long, id long, v int")
+        got = ordinal(df, ["k"], ["ts", "id"], F.floor(F.col("ts") / 1000), "idx")
+        plan = got._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.parallelismFirst")
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionSize")
-    want = df.withColumn("idx", F.row_number().over(Window.partitionBy("k").orderBy("ts", "id")))
-    assert rows_got == sorted(want.select("k", "id", "idx").collect())
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # one exchange of the rows; the others carry one row per key and bucket (counts, running sum, offsets)
+    assert plan.count("Exchange hashpartitioning") == 4 and "rangepartitioning" not in plan
+    assert plan.count("partial_count(1)") == 1 and "RDDScan" not in plan
+
+
+@pytest.mark.parametrize("kind", ["string", "int", "double", "date", "boolean", "timestamp", "decimal(9,2)"])
+def test_sealed_keys_restore_nulls_of_any_type(spark, kind):
+    df = spark.range(3).select(F.when(F.col("id") > 0, F.lit(None)).cast(kind).alias("k"), "id")
+    sealed, keys = sealed_keys(df, "k")
+    assert sealed.filter("k IS NULL").isEmpty() and keys == ["k", "_null_k"]
+    back = opened_keys(sealed, keys)
+    assert back.columns == df.columns and back.dtypes == df.dtypes and back.filter("k IS NULL").count() == 3
 
 
 @pytest.mark.parametrize("chunk", [1, 2, 3, 5, 64, 1 << 20])

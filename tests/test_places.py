@@ -1,18 +1,66 @@
 import random
 
-from contrail.operators.places import LANDING_PLACES, label, label_by_join, places_frame
+from pyspark.sql import functions as F
 
+from contrail.operators.places import LANDING_PLACES, Place, label, label_by_join, places_frame
 
-def test_rule_chain_join_and_grid_agree(spark):
-    rnd = random.Random(11)
+SCHEMA = ("priority int, label string, c_lat double, c_lng double, tol double, lat_lo double, lat_hi double, "
+          "lng_lo double, lng_hi double, min_alt int")
+
+
+def points(spark, rnd, n=3000):
     rows = [(i, rnd.uniform(-27, -9), rnd.uniform(31, 42), rnd.choice([None, 2500, 3000, 4000, 6000]))
-            for i in range(3000)]
+            for i in range(n)]
     rows += [(10**6, -10.0, 40.0, 6000), (10**6 + 1, -11.82, 40.53, 4000), (10**6 + 2, -12.0, 41.5, 9000)]
-    df = spark.createDataFrame(rows, "id long, lat double, lng double, alt int")
+    rows += [(None, -25.9, 32.57, None), (5, None, 32.57, 1), (5, None, 32.57, 1)]  # null key and place, repeats
+    return spark.createDataFrame(rows, "id long, lat double, lng double, alt int")
+
+
+def brute(row, places):
+    found = []
+    for prio, name, cy, cx, tol, y0, y1, x0, x1, above in places:
+        if row.lat is None or row.lng is None:
+            continue
+        inside = (abs(row.lat - cy) < tol and abs(row.lng - cx) < tol) if tol is not None else (
+            y0 < row.lat < y1 and x0 < row.lng < x1)
+        if inside and (above is None or (10000 if row.alt is None else row.alt) > above):
+            found.append((prio, name))
+    return min(found)[1] if found else "Unknown"
+
+
+def test_rule_chain_and_join_agree(spark):
+    df = points(spark, random.Random(11))
     chain = df.select("id", label("lat", "lng", "alt", LANDING_PLACES).alias("location"))
-    places = places_frame(spark, LANDING_PLACES)
-    joined = label_by_join(df, ["id"], "lat", "lng", "alt", places).select("id", "location")
-    grid = label_by_join(df, ["id"], "lat", "lng", "alt", places, grid_degrees=0.5).select("id", "location")
-    a = sorted(chain.collect())
-    assert a == sorted(joined.collect()) == sorted(grid.collect())
+    joined = label_by_join(df, "lat", "lng", "alt", places_frame(spark, LANDING_PLACES)).select("id", "location")
+    key = lambda r: (str(r.id), r.location)
+    a = sorted(chain.collect(), key=key)
+    assert a == sorted(joined.collect(), key=key)
     assert {r.location for r in a} == {"Maputo", "Pemba", "Afungi", "Unknown"}
+
+
+def test_one_plan_at_every_size_with_wide_narrow_and_centre_only_places(spark):
+    rnd = random.Random(12)
+    df = points(spark, rnd, 800)
+    places = []
+    for k in range(900):
+        y, x, half = rnd.uniform(-27, -9), rnd.uniform(31, 42), rnd.choice([1e-4, 0.02, 0.3, 4.0, 60.0, 700.0])
+        prio = 1000 - k // 2 if half < 4 else 5000 + k  # pairs share a priority; wide ones lose
+        if k % 2:
+            places.append((prio, f"O'Hare {k}", y, x, half, None, None, None, None, rnd.choice([None, 3000])))
+        else:
+            places.append((prio, f'"{k}"', None, None, None, y - half, y + half, x - half, x + half, None))
+    rows = df.collect()
+    for part in (places[:3], places[:101], places):
+        got = label_by_join(df, "lat", "lng", "alt", spark.createDataFrame(part, SCHEMA))
+        want = sorted((str(r.id), str(r.lat), brute(r, part)) for r in rows)
+        assert sorted((str(r.id), str(r.lat), r.location) for r in got.collect()) == want
+
+
+def test_no_places_and_labels_with_quotes(spark):
+    df = points(spark, random.Random(13), 10)
+    none = label_by_join(df, "lat", "lng", "alt", spark.createDataFrame([], SCHEMA))
+    assert {r.location for r in none.collect()} == {"Unknown"} and none.count() == df.count()
+    rule = Place.box("O'Hare' OR '1", lat=(-90.0, 90.0), lng=(-180.0, 180.0))
+    got = df.filter("lat IS NOT NULL").select(label("lat", "lng", None, [rule]).alias("location")).distinct().collect()
+    assert [r.location for r in got] == ["O'Hare' OR '1"]
+    assert df.select(label("lat", "lng", None, []).alias("x")).filter(F.col("x") != "Unknown").count() == 0

@@ -1,4 +1,6 @@
-from contrail.session import checkpoint_dir, checkpoint_root, configure
+import pytest
+
+from contrail.session import checkpoint_dir, checkpoint_root, configure, materialised
 
 
 def test_configure_sets_result_settings(spark):
@@ -17,3 +19,33 @@ def test_checkpoint_dir_uses_the_session_folder(spark):
         assert checkpoint_root(spark) == configured
     df = spark.range(10).checkpoint(eager=True)
     assert df.count() == 10
+
+
+class _Cluster:
+    """A session of a cluster without a checkpoint folder."""
+
+    class sparkContext:
+        master = "spark://host:7077"
+        getConf = staticmethod(dict)
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class conf:
+        get = staticmethod(lambda key, default: default)
+
+
+def test_missing_checkpoint_folder_is_an_error_on_a_cluster():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(_Cluster)
+
+
+def test_configure_leaves_the_overwrite_mode_alone(spark):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    configure(spark)
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_materialised_reads_back_what_was_written(spark):
+    df = spark.createDataFrame([(1, "a"), (None, None)], "x long, y string")
+    back = materialised(df, "test")
+    assert sorted(back.collect(), key=str) == sorted(df.collect(), key=str)
+    assert checkpoint_root(spark).replace("file:", "") in back.inputFiles()[0].replace("file:", "")

@@ -68,21 +68,65 @@ def test_points_sink_and_day_overwrite(spark, scratch):
     out = os.path.join(scratch, "points")
     sinks.write_points(df, out)
     assert sinks.read_points(spark, out).count() == 6
-    # replace day 2 only (dynamic partition overwrite)
-    sinks.write_points(df.filter("flight_date = '2025-05-02' and idx = 1"), out)
+    # replace day 2 only, then refresh everything with day 1 gone
+    sinks.write_points(df.filter("flight_date = '2025-05-02' and idx = 1"), out, days_only=True)
     back = sinks.read_points(spark, out)
     assert back.count() == 5
     assert back.schema["flight_date"].dataType.simpleString() == "string"
+    sinks.write_points(df.filter("flight_date > '2025-05-01'"), out)
+    assert sorted({r.flight_date for r in sinks.read_points(spark, out).collect()}) == ["2025-05-02", "2025-05-03"]
 
 
-def test_manifest_lines_roundtrip(spark, scratch):
-    df = spark.createDataFrame([("2025-05-01", "has_data"), ("2025-05-02", "no_data")], "d string, status string")
-    latest = df.select(F.to_date("d").alias("day"), "status")
+def test_points_without_a_day_keep_it(spark, scratch):
+    rows = [("e", day, 0.0, 1, 0.0, 1.0, 2.0, 3000, None) for day in ("", None, "2025-05-01")]
+    df = spark.createDataFrame(
+        rows, "entity string, flight_date string, base_timestamp double, idx long, time_offset double, "
+        "lat double, lng double, altitude_ft int, timestamp timestamp")
+    out = os.path.join(scratch, "points")
+    sinks.write_points(df, out)
+    assert sorted(str(r.flight_date) for r in sinks.read_points(spark, out).collect()) == ["", "2025-05-01", "None"]
+
+
+def test_leg_days_are_replaced_one_by_one(spark, scratch):
+    df = spark.createDataFrame([("a", "2025-05-01", 1), ("a", "2025-05-02", 1), ("b", "", 1)],
+                               "entity string, flight_date string, flight_num long")
+    out = os.path.join(scratch, "legs")
+    sinks.write_legs(df, out)
+    again = spark.createDataFrame([("c", "2025-05-02", 7)], "entity string, flight_date string, flight_num long")
+    sinks.write_legs(again, out, days_only=True)
+    got = sorted((r.entity, r.flight_date, r.flight_num) for r in sinks.read_legs(spark, out).collect())
+    assert got == [("a", "2025-05-01", 1), ("b", "", 1), ("c", "2025-05-02", 7)]
+    sinks.write_legs(again, out)
+    assert sinks.read_legs(spark, out).count() == 1
+
+
+def test_manifest_lines_roundtrip_per_entity(spark, scratch):
+    rows = [("a", "2025-05-01", "has_data"), ("b", "2025-05-01", "no_data"), ("a", "2025-05-02", "no_data")]
+    latest = spark.createDataFrame(rows, "entity string, d string, status string").select(
+        "entity", F.to_date("d").alias("day"), "status")
     out = os.path.join(scratch, "cache")
     sinks.write_manifest(latest, out)
     back = sinks.read_manifest(spark, out)
-    assert sorted((str(r.day), r.status) for r in back.collect()) == [
-        ("2025-05-01", "has_data"), ("2025-05-02", "no_data")]
+    assert sorted((r.entity, str(r.day), r.status) for r in back.collect()) == sorted(rows)
+
+
+def test_root_objects_are_not_cut_inside_strings(spark):
+    parts = ['{"icao": "a } { b", "timestamp": 0.0, "trace": []}', '{"icao": "q\\"}{", "timestamp": 1.0, "trace": []}',
+             '{"icao": "c", "timestamp": 2.0, "trace": []}']
+    texts = spark.createDataFrame([("f", p) for p in ("".join(parts), " \n".join(parts))],
+                                  "source_file string, value string")
+    good, bad = traces.split_quarantine(traces.parse_documents(texts))
+    assert sorted(r.icao for r in good.collect()) == ["a } { b"] * 2 + ["c"] * 2 + ['q"}{'] * 2
+    assert bad.collect() == []
+
+
+def test_two_documents_of_one_day_are_set_aside(spark):
+    docs = spark.createDataFrame(
+        [("a", "f1", 1.0), ("a", "f1", 2.0), ("a", "f2", 3.0), (None, "f1", 4.0), (None, None, 5.0), (None, None, 6.0)],
+        "icao string, source_file string, timestamp double")
+    alone, others = traces.one_per_day(docs)
+    assert sorted(r.timestamp for r in alone.collect()) == [3.0, 4.0]
+    assert sorted(r.timestamp for r in others.collect()) == [1.0, 2.0, 5.0, 6.0]
 
 
 def test_parse_documents_quarantines_bad_parts(spark):
@@ -129,12 +173,15 @@ def test_strict_and_lenient_casts(spark):
 
 
 def test_fallback_feed_maps_onto_traces(spark, scratch):
-    write(scratch, "flight-track-2025-05-04.json",
-          json.dumps({"icao24": "abc123", "startTime": 100.0, "path": [[0, -11.0, 40.5, 3000], [5, -11.1, 40.6, 3100]]}))
+    """Values as the feed documents them: epoch seconds, degrees, metres, track, on ground."""
+    path = [[1746057600, -11.0, 40.5, 914.4, 180.0, False], [1746057605, -11.1, 40.6, None, 181.0, False],
+            [1746057611, -11.2, 40.7, 15.24, 182.0, True]]
+    write(scratch, "flight-track-2025-05-01.json",
+          json.dumps({"icao24": "abc123", "startTime": 1746057600, "endTime": 1746057611, "path": path}))
     docs = traces.fallback_as_traces(traces.read_traces(spark, scratch, traces.FALLBACK_SCHEMA))
     good, bad = traces.split_quarantine(docs)
     assert bad.collect() == []
     rows = sorted(traces.flatten(good).collect(), key=lambda r: r.idx)
-    assert [(r.entity, r.flight_date, r.idx, r.altitude_ft) for r in rows] == [
-        ("abc123", "2025-05-04", 1, 3000), ("abc123", "2025-05-04", 2, 3100)]
-    assert rows[1].timestamp.isoformat().endswith("00:01:45")
+    assert [(r.entity, r.flight_date, r.idx, r.altitude_ft, r.time_offset) for r in rows] == [
+        ("abc123", "2025-05-01", 1, 3000, 0.0), ("abc123", "2025-05-01", 2, 0, 5.0), ("abc123", "2025-05-01", 3, 0, 11.0)]
+    assert rows[2].timestamp.isoformat() == "2025-05-01T00:00:11"
