@@ -214,3 +214,43 @@ def mixed_documents(docs: DataFrame, **params) -> DataFrame:
 def op2_golden_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to 5:2:1 source weights at 150 % of their words."""
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+# Slots of a source are its ranks 0, 1, ... without gaps, so the mix takes the first
+# BLOCK * slots words of its doubled stream: the SQL counts them directly.
+ORACLE_SQL = f"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
+         md5('{SEED}:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS src
+  FROM d GROUP BY source
+), w AS (
+  SELECT *, {list(WEIGHTS)}[src % {len(WEIGHTS)} + 1] AS weight, source_size * {MOST} AS cap,
+         sum(source_size) OVER () * {SHARE}::DOUBLE AS words
+  FROM s
+), l AS (
+  SELECT *, (words - coalesce(sum(cap) OVER (ORDER BY cap / weight, src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (ORDER BY cap / weight, src ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM w
+), t AS (SELECT *, least(cap::DOUBLE, max(level) OVER () * weight) AS target FROM l),
+e AS (
+  SELECT *, CASE WHEN src = max(src) OVER () THEN {_POINTS} ELSE
+    floor(sum(target) OVER (ORDER BY src) / sum(target) OVER () * {_POINTS})::BIGINT END AS hi FROM t
+), i AS (SELECT *, lag(hi, 1, 0) OVER (ORDER BY src) AS lo FROM e),
+slot AS (
+  SELECT (k % {_PERIOD}) * {_GOLDEN} % {_POINTS} AS point
+  FROM (SELECT unnest(range(0, ceil((SELECT max(words) FROM t) / {BLOCK})::BIGINT)) AS k)
+), n AS (
+  SELECT i.src, count(slot.point) * {BLOCK} AS upto
+  FROM i LEFT JOIN slot ON slot.point >= i.lo AND slot.point < i.hi GROUP BY i.src
+), laid AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY h, doc_id, size
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM d
+)
+SELECT doc_id, size, source_size, target,
+       (greatest(0, least(start + size, upto) - least(start, upto))
+        + greatest(0, least(start + source_size + size, upto) - least(start + source_size, upto)))::BIGINT AS taken
+FROM laid JOIN i ON laid.source IS NOT DISTINCT FROM i.source JOIN n ON n.src = i.src
+"""

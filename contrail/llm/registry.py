@@ -23,6 +23,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_golden_mix": mixing.ORACLE_SQL,
         "op3_warc_store": warc.ORACLE_SQL,
         "op6_reply_trees": chat.ORACLE_SQL,
         "op9_license_dice": licenses.ORACLE_SQL,
