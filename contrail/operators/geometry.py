@@ -162,16 +162,12 @@ def path_pieces(points: DataFrame, cols: TrackCols = TrackCols(), piece_size: in
     """A10: each track's ordered path, as pieces of at most ``piece_size`` points.
 
     A whole track is never gathered into one row: a piece is one bounded group
-    ``(keys, piece)``; coordinates are integer micro-degrees ``lng,lat`` joined by
-    spaces, in ordinal order.
+    ``(keys, piece)``; its path is the positions ``lng,lat`` in full, joined by spaces,
+    in ordinal order.
     """
     piece = chunk_of(cols.order, piece_size).alias("piece")
-    micro = lambda c: F.round(F.col(c) * F.lit(1e6)).cast("bigint")
-    pts = points.select(
-        *cols.keys, piece, F.struct(F.col(cols.order).alias("o"), micro(cols.lng).alias("x"),
-                                    micro(cols.lat).alias("y")).alias("p")
-    )
-    return pts.groupBy(*cols.keys, "piece").agg(
+    position = F.struct(F.col(cols.order).alias("o"), F.col(cols.lng).alias("x"), F.col(cols.lat).alias("y"))
+    return points.select(*cols.keys, piece, position.alias("p")).groupBy(*cols.keys, "piece").agg(
         F.count(F.lit(1)).alias("n_points"),
         F.concat_ws(
             " ",

@@ -239,7 +239,7 @@ def geojson_features(spark, sf_dir):
 
 
 def track_paths(spark, sf_dir):
-    """A10: ordered track paths in bounded pieces (micro-degree text)."""
+    """A10: ordered track paths in bounded pieces."""
     return G.path_pieces(_points(spark, sf_dir), C, piece_size=4096)
 
 

@@ -42,4 +42,4 @@ def test_path_pieces_are_bounded_and_ordered(spark):
     rows = [(1, i, float(i), 1.0 * i, 2.0 * i, 3000) for i in range(1, 11)]
     got = sorted(G.path_pieces(pts(spark, rows), COLS, piece_size=4).collect())
     assert [r.n_points for r in got] == [4, 4, 2]
-    assert got[0].path == "2000000,1000000 4000000,2000000 6000000,3000000 8000000,4000000"
+    assert got[0].path == "2.0,1.0 4.0,2.0 6.0,3.0 8.0,4.0"
