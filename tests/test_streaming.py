@@ -43,9 +43,9 @@ def test_each_file_once(spark):
     assert sorted(back.select(cols).collect()) == sorted(batch.select(cols).collect())
     # the malformed file is quarantined and cached as no_data; the others as has_data
     assert spark.read.parquet(os.path.join(root, "bad")).count() == 1
-    latest = latest_status(spark.read.parquet(os.path.join(root, "manifest")), ["day"])
-    assert sorted((str(r.day), r.status) for r in latest.collect()) == [
-        ("2025-05-01", "has_data"), ("2025-05-02", "has_data"), ("2025-05-03", "no_data")]
+    latest = latest_status(spark.read.parquet(os.path.join(root, "manifest")))
+    assert sorted((r.entity, str(r.day), r.status) for r in latest.collect()) == [
+        ("a", "2025-05-01", "has_data"), ("a", "2025-05-02", "has_data"), ("a", "2025-05-03", "no_data")]
 
 
 def test_replayed_batch_is_not_duplicated(spark):
