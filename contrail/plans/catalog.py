@@ -18,6 +18,7 @@ from contrail.operators import geometry as G
 from contrail.operators import ingest as I
 from contrail.operators import legs as L
 from contrail.operators import places as P
+from contrail.session import materialised
 from contrail.sources import fixtures as X
 from contrail.sources import traces as TR
 
@@ -31,6 +32,11 @@ def _points(spark, sf_dir):
     return X.track_points(spark, sf_dir)
 
 
+def _point_table(spark, sf_dir, null_keys=False):
+    """The point table written once (Parquet), for operators that read it in two branches."""
+    return materialised(X.track_points(spark, sf_dir, null_keys), "points")
+
+
 # ---------------------------------------------------------------- legs (central result)
 
 
@@ -53,9 +59,7 @@ def takeoff_edges(spark, sf_dir):
 
 def leg_numbers(spark, sf_dir):
     """P5 + W2: airborne points with their running leg number."""
-    return L.number_legs(_points(spark, sf_dir), C, LP.ground_below, LP.chunk_size).select(
-        "entity", "idx", "flight_num"
-    )
+    return _numbered(spark, sf_dir).select("entity", "idx", "flight_num")
 
 
 def leg_extents(spark, sf_dir):
@@ -69,7 +73,7 @@ def leg_endpoints(spark, sf_dir):
 
 
 def _numbered(spark, sf_dir):
-    return L.number_legs(_points(spark, sf_dir), C, LP.ground_below, LP.chunk_size)
+    return L.number_legs(_point_table(spark, sf_dir), C, LP.ground_below, LP.chunk_size)
 
 
 def leg_endpoints_join(spark, sf_dir):
@@ -102,13 +106,13 @@ def null_key_legs(spark, sf_dir):
 
 def null_key_numbers(spark, sf_dir):
     """P5 + W2 with NULL keys: airborne points with their leg number."""
-    points = X.track_points(spark, sf_dir, null_keys=True)
+    points = _point_table(spark, sf_dir, null_keys=True)
     return L.number_legs(points, C, LP.ground_below, LP.chunk_size).select("entity", "idx", "flight_num")
 
 
 def null_key_colour(spark, sf_dir):
     """W6, P16 with NULL keys: coloured pairs where every seventh user's id is NULL."""
-    points = X.track_points(spark, sf_dir, null_keys=True)
+    points = _point_table(spark, sf_dir, null_keys=True)
     return G.coloured_pairs(points, C, LP.chunk_size).select(
         "entity", "idx", "avg_alt", "min_alt", "max_alt", "ratio", "color"
     )
@@ -123,7 +127,7 @@ def significant_legs(spark, sf_dir):
 
 
 def _all_legs(spark, sf_dir):
-    return L.summarise_points(_points(spark, sf_dir), C, LP)
+    return L.summarise_points(_points(spark, sf_dir), C, LP, extents=False, endpoints=True)
 
 
 def takeoff_places(spark, sf_dir):
@@ -171,7 +175,8 @@ def point_total(spark, sf_dir):
 
 def leg_total(spark, sf_dir):
     """Number of significant legs."""
-    return leg_summary(spark, sf_dir).agg(F.count(F.lit(1)).alias("total_flights"))
+    ext = L.summarise_points(_points(spark, sf_dir), C, LP, extents=True, endpoints=False)
+    return L.significant(ext, LP.min_seconds, LP.min_points).agg(F.count(F.lit(1)).alias("total_flights"))
 
 
 def report_points(spark, sf_dir):
@@ -217,14 +222,14 @@ def point_pairs(spark, sf_dir):
 
 def altitude_colour(spark, sf_dir):
     """Each valid pair's ratio in its track's range, and colour."""
-    return G.coloured_pairs(_points(spark, sf_dir), C, LP.chunk_size).select(
+    return G.coloured_pairs(_point_table(spark, sf_dir), C, LP.chunk_size).select(
         "entity", "idx", "avg_alt", "min_alt", "max_alt", "ratio", "color"
     )
 
 
 def ribbon_polygons(spark, sf_dir):
     """Ribbon ring corners and extrusion sizes of every drawable pair."""
-    rib = G.ribbons(G.coloured_pairs(_points(spark, sf_dir), C, LP.chunk_size), C)
+    rib = G.ribbons(G.coloured_pairs(_point_table(spark, sf_dir), C, LP.chunk_size), C)
     return rib.select(
         "entity", "idx", "color", F.col("avg_alt").alias("altitude"), "extrusion_height", "extrusion_base",
         "x0", "y0", "x1", "y1", "x2", "y2", "x3", "y3",
@@ -233,7 +238,7 @@ def ribbon_polygons(spark, sf_dir):
 
 def geojson_features(spark, sf_dir):
     """One GeoJSON Feature per ribbon, its text read back with types."""
-    rib = G.ribbons(G.coloured_pairs(_points(spark, sf_dir), C, LP.chunk_size), C)
+    rib = G.ribbons(G.coloured_pairs(_point_table(spark, sf_dir), C, LP.chunk_size), C)
     lines = G.features(rib, C).select("entity", "idx", "geojson")
     return G.parsed_features(lines).drop("geojson")
 
