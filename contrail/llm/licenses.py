@@ -9,7 +9,10 @@ matches a template if the Dice coefficient of their bigram bags (repeats counted
 Sizes bound the coefficient: a unit of a bigrams can only match a template of b bigrams
 if least / (2 - least) * b <= a <= (2 - least) / least * b. Units that fit no template's
 bounds are dropped before their bigrams are made, others meet only the templates that
-fit. Units meet templates by equality of bigrams; counts are combined per task before
+fit. A match also shares least / 2 * (a + b) bigrams, so it holds one of any set of bigrams
+that covers all but fewer of the template's: units are first searched for a few bigrams of
+each template that fits their size, and only those that hold one are taken apart. Neither
+check loses a match. Units meet templates by equality of bigrams; counts are combined per task before
 they are shuffled, keyed by the document's row, so a sentence that a third of all
 documents repeat makes no hot key.
 
@@ -24,6 +27,8 @@ columns are ignored.
 
 from __future__ import annotations
 
+import json
+import math
 import re
 from collections import Counter
 
@@ -94,47 +99,105 @@ def normalised(text: str) -> str:
     return re.sub(r"[^a-z0-9]+", " ", text.lower()).strip().replace("licence", "license")
 
 
-def units(text) -> "F.Column":
-    """Array of the distinct normalised units of a text."""
-    breaks = F.regexp_replace(F.lower(text), r"\n[ \t\r]*\n[ \t\r\n]*", "\u0002")
-    breaks = F.regexp_replace(breaks, r"[.!?][ \t\r\n]+|\n", "\u0001")
-    plain = F.replace(F.regexp_replace(breaks, "[^a-z0-9\u0001\u0002]+", " "), F.lit("licence"), F.lit("license"))
-    whole = F.regexp_replace(plain, "[ \u0001\u0002]+", " ")
-    paragraphs = F.split(F.regexp_replace(plain, "[ \u0001]+", " "), "\u0002")
-    sentences = F.split(plain, "[\u0001\u0002]")
-    return F.array_distinct(F.transform(F.concat(F.array(whole), paragraphs, sentences), lambda u: F.trim(u)))
+_SENTENCE, _PARAGRAPH = "\u0001", "\u0002"
 
 
-def _template_rows(templates) -> tuple[list, list]:
-    """((template, licence, bigram, count, size) rows, sizes)."""
-    rows, sizes, total = [], [], 0
+def plain_text(text) -> "F.Column":
+    """A text in normalised words, with marks where sentences and paragraphs end."""
+    breaks = F.regexp_replace(F.lower(text), r"\n[ \t\r]*\n[ \t\r\n]*", _PARAGRAPH)
+    breaks = F.regexp_replace(breaks, r"[.!?][ \t\r\n]+|\n", _SENTENCE)
+    words = F.regexp_replace(breaks, f"[^a-z0-9{_SENTENCE}{_PARAGRAPH}]+", " ")
+    return F.replace(words, F.lit("licence"), F.lit("license"))
+
+
+def _count(text, *marks: str) -> "F.Column":
+    left = text
+    for mark in marks:
+        left = F.replace(left, F.lit(mark), F.lit(""))
+    return F.length(text) - F.length(left)
+
+
+def units(plain, most: int) -> "F.Column":
+    """Array of the distinct units of a ``plain_text``.
+
+    Whole texts and paragraphs that surely have more than ``most`` bigrams are left out
+    at once: between two words there is one blank more than marks at most.
+    """
+    fits = lambda t: _count(t, " ") - _count(t, _SENTENCE, _PARAGRAPH) - 2 <= most
+    one = lambda t: F.regexp_replace(t, f"[ {_SENTENCE}{_PARAGRAPH}]+", " ")
+    none = F.array().cast("array<string>")
+    whole = F.when(fits(plain), F.array(one(plain))).otherwise(none)
+    paragraphs = F.when(
+        plain.contains(_PARAGRAPH), F.transform(F.filter(F.split(plain, _PARAGRAPH), fits), lambda p: one(p))
+    ).otherwise(none)
+    sentences = F.split(F.replace(plain, F.lit(_PARAGRAPH), F.lit(_SENTENCE)), _SENTENCE)
+    return F.array_distinct(F.transform(F.concat(whole, paragraphs, sentences), lambda u: F.trim(u)))
+
+
+def _template_rows(templates) -> list:
+    """(template, licence, bigram, count, bigrams of the template) rows."""
+    rows, total = [], 0
     for number, (licence, text) in enumerate(templates):
         words = normalised(text).split()
         total += len(words)
         bag = Counter(zip(words, words[1:]))
-        size = sum(bag.values())
-        sizes.append(size)
-        rows += [(number, licence, f"{a} {b}", n, size) for (a, b), n in sorted(bag.items())]
+        rows += [(number, licence, f"{a} {b}", n, bag.total()) for (a, b), n in sorted(bag.items())]
     if total > MOST_TEMPLATE_WORDS:
         raise ValueError(f"templates have more than {MOST_TEMPLATE_WORDS} words")
-    return rows, [s for s in sizes if s]
+    return rows
+
+
+def _telling_bigrams(rows: list, least: float) -> list[list[str]]:
+    """For every unit size a (from 1): bigrams of which a matching unit holds at least one.
+
+    Per template of b bigrams: enough of them that a unit without any shares too few.
+    Those that many templates have are taken first, so the lists stay short.
+    """
+    bags: dict[int, dict[str, int]] = {}
+    for template, _, gram, n, _ in rows:
+        bags.setdefault(template, {})[gram] = n
+    common = Counter(gram for bag in bags.values() for gram in bag)
+    high = (2 - least) / least
+    most = int(high * max((sum(bag.values()) for bag in bags.values()), default=0))
+    out = []
+    for a in range(1, most + 1):
+        grams: set[str] = set()
+        for bag in bags.values():
+            b = sum(bag.values())
+            need = math.ceil(least * (a + b) / 2 - 1e-9)
+            if need > min(a, b):
+                continue
+            spare = b - need + 1
+            for gram in sorted(bag, key=lambda g: (g not in grams, -common[g], g)):
+                if spare <= 0:
+                    break
+                grams.add(gram)
+                spare -= bag[gram]
+        out.append(sorted(grams))
+    return out
 
 
 def license_matches(docs: DataFrame, templates=TEMPLATES, least: float = LEAST) -> DataFrame:
     """doc_id, license, matches (units), best (highest coefficient): a row per text and licence."""
     spark = docs.sparkSession
-    rows, sizes = _template_rows(templates)
+    rows = _template_rows(templates)
     grams = spark.createDataFrame(rows, "template int, license string, gram string, n long, b long")
     low, high = least / (2 - least), (2 - least) / least
-    fits = F.lit(False)
-    for size in sorted(set(sizes)):
-        fits = fits | F.col("a").between(low * size, high * size)
+    telling = _telling_bigrams(rows, least)
+    # A constant: the optimizer folds the parsed text into a literal.
+    by_size = F.from_json(F.lit(json.dumps(telling)), "array<array<string>>")
+    plain = docs.select(
+        F.monotonically_increasing_id().alias("_row"), "doc_id", plain_text(F.col("text")).alias("plain")
+    )
     found = (
-        docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "text")
-        .select("_row", "doc_id", F.posexplode(units(F.col("text"))))
+        plain.select("_row", "doc_id", F.posexplode(units(F.col("plain"), len(telling))))
+        # Units have single blanks: their bigrams are counted without cutting them up.
+        .withColumn("a", _count(F.col("col"), " ").cast("long"))
+        .filter(
+            F.col("a").between(1, len(telling))
+            & F.exists(F.get(by_size, (F.col("a") - 1).cast("int")), lambda g: F.col("col").contains(g))
+        )
         .withColumn("words", F.split("col", " "))
-        .withColumn("a", F.size("words").cast("long") - 1)
-        .filter(fits)
         .select(
             "_row",
             "doc_id",
