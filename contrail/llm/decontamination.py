@@ -21,7 +21,7 @@ read. Nothing is shuffled, whatever the documents hold; a passage that a third o
 documents share costs each of them the same.
 
 Defined cases: words are runs of ASCII letters, digits and non-ASCII characters, ASCII
-letters in lower case; null and empty texts have no words and no hits; items without
+letters and the accented ones of Latin-1 in lower case; null and empty texts have no words and no hits; items without
 words are skipped; an item of n words is found with floor(edits * n) word edits or fewer
 (short ones exactly); repeated rows and items each give their own rows; empty tables
 give no rows; other columns are ignored.
@@ -77,6 +77,10 @@ def words_of(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """(codes, first byte, byte after) of the words in UTF-8 ``data``; no word crosses a cut."""
     low = np.zeros(len(data) + 8, np.uint8)
     low[: len(data)] = _FOLD[data]
+    # The accented capitals of Latin-1: C3 80 to C3 9E in UTF-8, 20 (hex) below the small ones.
+    accent = np.flatnonzero(low[:-1] == 0xC3) + 1
+    accent = accent[(low[accent] >= 0x80) & (low[accent] <= 0x9E)]
+    low[accent] += 0x20
     inside = low[: len(data) + 1] != 0
     edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
     if len(data) and inside[0]:

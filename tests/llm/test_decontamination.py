@@ -60,6 +60,9 @@ def test_words_do_not_cross_texts_and_long_words_differ():
         b"ab", b"c", b"\xc3\xa9t\xc3\xa9", b"x" * 30, b"x" * 29 + b"y", b"AB",
     ]
     assert codes[0] == codes[-1] and len(set(codes.tolist())) == 5
+    pair = np.frombuffer("ÀÉÞß×ÿ àéþß÷ÿ ĀÉ āé".encode(), np.uint8)
+    folded = cgk.words_of(pair, np.zeros(0, np.int64))[0]
+    assert folded[0] == folded[1] and folded[2] != folded[3]
 
 
 def test_recall_of_edited_copies_reaches_the_target(spark):
