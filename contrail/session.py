@@ -24,9 +24,18 @@ _SCALE_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings above to an existing session (idempotent)."""
+    """Apply the settings above to an existing session (idempotent).
+
+    Python workers also look for this package where the driver found it, so a driver that
+    only extended its ``sys.path`` works too. On a cluster the package is installed or
+    shipped like any other (the extra path does no harm there).
+    """
     for key, value in {**_RESULT_CONF, **_SCALE_CONF}.items():
         spark.conf.set(key, value)
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if home not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(p for p in (*paths, home) if p)
     return spark
 
 

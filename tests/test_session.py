@@ -10,6 +10,16 @@ def test_configure_sets_result_settings(spark):
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
 
 
+def test_workers_find_the_package_wherever_the_driver_runs(spark):
+    import os
+
+    import contrail
+
+    home = os.path.dirname(os.path.dirname(os.path.abspath(contrail.__file__)))
+    configure(configure(spark))
+    assert spark.sparkContext.environment["PYTHONPATH"].split(os.pathsep).count(home) == 1
+
+
 def test_checkpoint_dir_uses_the_session_folder(spark):
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     folder = checkpoint_dir(spark)
