@@ -11,7 +11,7 @@ The classifier is fitted in one task on a bounded sample of labelled documents
 texts). The model has at most ``features`` weights and is all that goes through the
 driver. Every document is scored where it is read, without a shuffle.
 
-Defined cases: a null or empty text has no sentence and score 0; several labels of one id: toxic if any is; labels with nulls are skipped;
+Defined cases: a null or empty text has no sentence and score 0; several labels of one id: toxic if any is; labels other than 0 and 1 are skipped;
 several rows of one id: all are scored, one is learned from; without labelled rows of
 both kinds all scores are 0; an empty table gives no rows; other columns are ignored,
 and only the text enters a score.
@@ -177,11 +177,11 @@ def held_out() -> "F.Column":
 def fit_model(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> dict:
     """Model from the labels outside the held-out fold."""
     known = (
-        labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out())
+        labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out())
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
-    counts = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect() if r.toxic in (0, 1)}
+    counts = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts.get(0) or not counts.get(1):
         return {"weights": {}, "bias": -math.inf}
     prior = counts[1] / (counts[0] + counts[1])
