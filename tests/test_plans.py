@@ -56,3 +56,39 @@ def test_rule_chain_is_codegen(static_plans):
     p = plan(out)
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p  # no Python UDF anywhere
     assert "CASE WHEN" in p
+
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
+@pytest.mark.parametrize(
+    "name,columns",
+    [
+        ("point_total", ""),
+        ("coordinate_total", "user_id:bigint"),
+        ("track_counts", "user_id:bigint"),
+        ("track_altitude_range", "user_id:bigint,value:double"),
+        ("report_points", "event_id:bigint,ts:timestamp_ntz,user_id:bigint,value:double"),
+    ],
+)
+def test_counts_and_ranges_come_straight_from_the_scan(static_plans, name, columns):
+    from contrail.plans import catalog
+
+    p = plan(catalog.queries()[name](static_plans, SF))
+    assert p.count("FileScan parquet") == 1 and f"ReadSchema: struct<{columns}>" in p
+    assert "Window" not in p and "rangepartitioning" not in p
+    if name == "report_points":
+        assert "Exchange" not in p
+
+
+def test_label_join_is_an_equi_join(static_plans):
+    from contrail.operators import places as P
+
+    static_plans.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = static_plans.createDataFrame([(1, 0.5, 0.5, 1)], "id long, lat double, lng double, alt int")
+        p = plan(P.label_by_join(df, "lat", "lng", "alt", P.places_frame(static_plans, P.LANDING_PLACES)))
+    finally:
+        static_plans.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in p and "NestedLoop" not in p and "Cartesian" not in p and "Broadcast" not in p
