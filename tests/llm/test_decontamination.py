@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from tests.llm.helpers import awkward, documents, prose, rows_of
 
 from contrail.llm import decontamination as cgk
@@ -75,6 +76,16 @@ def test_recall_of_edited_copies_reaches_the_target(spark):
         assert share == 1.0 if rate == 0 else share >= 0.95
 
 
+@pytest.mark.parametrize("low, high", [(4, 7), (8, 15), (16, 31), (32, 63), (64, 127), (128, 255), (256, 511), (512, 600)])
+def test_recall_at_the_promised_edits_in_every_class_of_lengths(low, high):
+    rng = random.Random(18)
+    items = [(k, prose(rng, rng.randint(low, high))) for k in range(200 if high < 128 else 60)]
+    texts = [f"{prose(rng, 60)} {edited(rng, t, 0.15)} {prose(rng, 50)}".encode() for _, t in items]
+    data, cuts = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    found = {(d, i) for d, i, *_ in cgk.ItemIndex(items).hits(data, cuts)}
+    assert sum((k, k) in found for k, _ in items) >= 0.95 * len(items)
+
+
 def test_hits_are_exact_and_spans_point_at_the_passage(spark):
     rng = random.Random(15)
     items = [(k, prose(rng, 30)) for k in range(20)]
