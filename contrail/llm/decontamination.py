@@ -254,9 +254,9 @@ class ItemIndex:
                     tables.append((keys[order], order, hot))
                 c.lookup.append(tables)
 
-    def _candidates(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(item, likely first word) of windows that meet an item in a key and on enough steps."""
-        found_item, found_at = [], []
+    def _candidates(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, anchor, likely first word) of windows that meet an item in a key and on enough steps."""
+        found_item, found_anchor, found_at = [], [], []
         steps = max((c.steps for c in self.classes), default=0)
         marks = {w: anchors(codes, w) for w in {c.width for c in self.classes}}
         codes = np.r_[codes, np.zeros(steps + 1, np.uint64)]
@@ -280,23 +280,25 @@ class ItemIndex:
                             w, r = at[some : some + (1 << 15)], row[some : some + (1 << 15)]
                             same = (_embed(codes, turns, w, c.steps) == c.embedded[walk][r]).mean(axis=1)
                             near = same >= self.search.agree
+                            found_anchor.append(w[near])
                             found_at.append((w - c.offset[r])[near])
                             found_item.append(c.owner[r[near]])
         none = np.zeros(0, np.int64)
-        return np.concatenate([none, *found_item]), np.concatenate([none, *found_at])
+        return tuple(np.concatenate([none, *found]) for found in (found_item, found_anchor, found_at))
 
     def hits(self, data: np.ndarray, cuts: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(document, item, first byte, byte after, edits) in texts laid end to end at ``cuts``."""
         codes, a, b = words_of(data, cuts)
-        item, at = self._candidates(codes)
+        item, anchor, at = self._candidates(codes)
         if not len(item):
             return []
         # Words of each document: a stretch never leaves its document.
         doc = np.searchsorted(cuts, a, "right") - 1
-        at = np.clip(at, 0, len(codes) - 1)
-        spans = np.unique(np.stack([item, doc[at], at]), axis=1)
-        out = []
         bounds = np.searchsorted(doc, np.arange(len(cuts)), "left")
+        # The anchor tells the document: where words are missing at its start, the likely
+        # first word lies before it.
+        spans = np.unique(np.stack([item, doc[anchor], np.maximum(at, bounds[doc[anchor]])]), axis=1)
+        out = []
         k = 0
         while k < spans.shape[1]:
             i, d, first = spans[:, k]

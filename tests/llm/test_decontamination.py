@@ -86,6 +86,21 @@ def test_recall_at_the_promised_edits_in_every_class_of_lengths(low, high):
     assert sum((k, k) in found for k, _ in items) >= 0.95 * len(items)
 
 
+@pytest.mark.parametrize("cut", [slice(1, None), slice(2, None), slice(None, -1), slice(None, -2)])
+def test_copies_that_lack_words_at_a_documents_start_or_end(cut):
+    rng = random.Random(19)
+    items = [(k, prose(rng, 30)) for k in range(60)]
+    copies = [" ".join(t.split()[cut]) for _, t in items]
+    index = cgk.ItemIndex(items)
+    for shape in ("{} {}", "{1} {0}", "{}"):  # at the start, at the end, alone
+        texts = []
+        for copy in copies:
+            texts += [prose(rng, 50).encode(), shape.format(copy, prose(rng, 40)).encode()]
+        data, cuts = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+        found = {(d, i) for d, i, *_ in index.hits(data, cuts)}
+        assert found <= {(2 * k + 1, k) for k in range(60)} and len(found) >= 57
+
+
 def test_hits_are_exact_and_spans_point_at_the_passage(spark):
     rng = random.Random(15)
     items = [(k, prose(rng, 30)) for k in range(20)]
