@@ -58,13 +58,16 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         texts = batch.column(1).cast(pa.binary())
         codes = np.fromiter((fingerprint(t.as_py()) for t in texts), dtype=np.uint64, count=len(texts))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes.view(np.int64))], names=["doc_id", "fp"])
+        named = {"doc_id": batch.column(0), "fp": pa.array(codes.view(np.int64))}
+        named |= {batch.schema.names[k]: batch.column(k) for k in range(2, batch.num_columns)}
+        yield pa.RecordBatch.from_pydict(named)
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (the fingerprint's bits as a signed long) of every row."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(_fingerprints, f"doc_id {kind}, fp long")
+def fingerprints(docs: DataFrame, *keep: str) -> DataFrame:
+    """doc_id, fp (the fingerprint's bits as a signed long) and the columns ``keep`` of every row."""
+    kinds = {c: docs.schema[c].dataType.simpleString() for c in ("doc_id", *keep)}
+    schema = ", ".join([f"doc_id {kinds['doc_id']}, fp long", *[f"`{c}` {kinds[c]}" for c in keep]])
+    return docs.select("doc_id", F.col("text").cast("string"), *keep).mapInArrow(_fingerprints, schema)
 
 
 def _near(values: np.ndarray) -> np.ndarray:
@@ -186,34 +189,41 @@ def links(codes: DataFrame, hot: int = HOT) -> DataFrame:
     return union.distinct()
 
 
-def near_duplicates(docs: DataFrame, hot: int = HOT) -> DataFrame:
-    """doc_id, fp, component_id (smallest doc_id reachable) of every row."""
-    marked = stored(fingerprints(docs), "simhash")
+def _marked(docs: DataFrame, hot: int, *keep: str) -> DataFrame:
+    """doc_id, fp, root (least fingerprint reachable), component_id and ``keep`` of every row."""
+    marked = stored(fingerprints(docs, *keep), "simhash")
     codes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-codes")
     roots = connected_components(links(codes.select("fp"), hot))
     rooted = codes.join(roots, codes.fp == roots.node, "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), "least_id"
     )
     names = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    labels = rooted.join(names, "root").select("fp", "component_id")
-    return marked.join(labels, "fp").select("doc_id", "fp", "component_id")
+    labels = rooted.join(names, "root").select("fp", "root", "component_id")
+    return marked.join(labels, "fp").select("doc_id", "fp", "root", "component_id", *keep)
+
+
+def near_duplicates(docs: DataFrame, hot: int = HOT) -> DataFrame:
+    """doc_id, fp, component_id (smallest doc_id reachable) of every row."""
+    return _marked(docs, hot).select("doc_id", "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame, hot: int = HOT) -> DataFrame:
-    """The rows of ``docs`` that stay: of every component the document with the smallest id.
+    """The rows of ``docs`` that stay: of every component the row with the smallest id.
 
-    Rows that repeat a doc_id count as one document; of those the row with the smallest
-    hash stays. A component of null ids only keeps one row.
+    Null ids come last, of equal ids the row with the smallest hash stays. Rows are told
+    apart by 128 bits over all columns, so neither null nor repeated ids join components;
+    a component of null ids only keeps one row.
     """
-    marked = near_duplicates(docs, hot)
-    kept = marked.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.select(F.col("component_id").alias("_keep_id")).distinct()
     cols = [F.col(f"`{c}`") for c in docs.columns]
-    # Rows of one id are combined before they are shuffled.
-    whole = docs.groupBy(F.col("doc_id").alias("_id")).agg(
-        F.min_by(F.struct(*cols), F.xxhash64(*cols)).alias("_row")
-    )
-    return whole.join(kept, F.col("_id").eqNullSafe(F.col("_keep_id")), "left_semi").select("_row.*")
+    # The hash passes over nulls, the flags tell which column is null.
+    flags = [c.isNull() for c in cols]
+    names = dict(zip(("_h1", "_h2"), (F.xxhash64(*cols, *flags), F.xxhash64(F.lit(1), *flags, *cols))))
+    given = docs.select(F.struct(*cols).alias("_row"), F.col("doc_id"), F.col("text"), *[h.alias(n) for n, h in names.items()])
+    order = F.struct(F.col("doc_id").isNull().alias("_null"), "doc_id", *names)
+    kept = _marked(given, hot, *names).groupBy("root").agg(F.min(order).alias("_least")).select("_least.*")
+    # Equal rows are combined before they are shuffled.
+    whole = given.groupBy(*names).agg(F.first("_row").alias("_row"))
+    return whole.join(kept, [*names], "left_semi").select("_row.*")
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -104,6 +104,21 @@ def test_one_of_each_keeps_one_row_per_component(spark):
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted(want, key=repr)
 
 
+def test_one_of_each_with_null_and_repeated_ids(spark):
+    rng = random.Random(9)
+    rows = near_copies(rng) + [(None, prose(rng, 50)) for _ in range(8)]
+    rows += [(None, rows[-1][1])] * 3 + [(None, rows[20][1])]  # copies of a null id's and of a named text
+    rows += [(3000 + k % 5, prose(rng, 50)) for k in range(20)]  # every id four times, with other texts
+    low = prose(rng, 50)
+    rows += [(0, prose(rng, 50)), (0, low), (50, low), (50, prose(rng, 50))]
+    kept = [(r.doc_id, r.text) for r in one_of_each(documents(spark, rows, clashing=True)).collect()]
+    rows.sort(key=lambda r: (r[0] is None, r[0] or 0))
+    roots = components([plain_fingerprint(r[1]) for r in rows])
+    group = {(r[0], r[1]): root for r, root in zip(rows, roots)}
+    assert sorted(group[k] for k in kept) == sorted(set(roots))
+    assert all(d == rows[group[d, t]][0] for d, t in kept)
+
+
 def test_empty_table(spark):
     assert near_duplicates(documents(spark, [])).collect() == []
     assert one_of_each(documents(spark, [])).collect() == []
