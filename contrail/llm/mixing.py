@@ -111,10 +111,10 @@ def schedule(targets: DataFrame, slots: int) -> DataFrame:
 
 
 def streams(rows: DataFrame, targets: DataFrame, n_rows: int, seed: str = SEED) -> DataFrame:
-    """Rows (doc_id, source, size) with src, source_size, target and start in the shuffled source.
+    """Rows (doc_id, source, size) with src, source_size, target, start in the shuffled source and copy.
 
     Equal rows are one row with a count until the end, so a repeated id is combined
-    before the shuffle. Buckets are ranges of the hash: the order does not depend on
+    before the shuffle; their copies are numbered, since those without words start alike. Buckets are ranges of the hash: the order does not depend on
     how many there are.
     """
     bits = min(24, power_bits(n_rows))
@@ -150,6 +150,7 @@ def streams(rows: DataFrame, targets: DataFrame, n_rows: int, seed: str = SEED)
             "source_size",
             "target",
             (F.col("_start") + F.col("_in") + F.col("_copy") * F.col("size")).alias("start"),
+            F.col("_copy").alias("copy"),
         )
     )
 
@@ -183,9 +184,9 @@ def mix(
     )
     return (
         pieces.join(plan, ["src", "rank"], "left")
-        .groupBy("doc_id", "source", "size", "source_size", "target", "start")
+        .groupBy("doc_id", "source", "size", "source_size", "target", "start", "copy")
         .agg(F.sum(F.when(F.col("slot").isNotNull(), F.col("_words")).otherwise(0)).cast("long").alias("taken"))
-        .drop("start")
+        .drop("start", "copy")
     )
 
 

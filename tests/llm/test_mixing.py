@@ -46,6 +46,12 @@ def test_awkward_rows(spark):
     check(spark, awkward(random.Random(2)), clashing=True)
 
 
+def test_repeated_rows_without_words_stay_rows(spark):
+    rows = awkward(random.Random(8)) + [(1, None, "s")] * 2 + [(2, "", None)] * 3
+    rows += [(None, None, "s")] * 4 + [(None, " \t", "s"), (None, None, None), (None, None, None), (None, "", "empty")]
+    check(spark, rows + [(k % 3, " ", "empty") for k in range(9)])
+
+
 def test_hot_source_and_many_sources(spark):
     rng = random.Random(3)
     rows = [(k, prose(rng, 40), "hot") for k in range(300)]
