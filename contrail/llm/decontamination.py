@@ -23,9 +23,10 @@ index is sent to the tasks, and the documents are scanned once per block where t
 read. Nothing is shuffled, whatever the documents hold; a passage that a third of all
 documents share costs each of them the same.
 
-Defined cases: words are runs of ASCII letters, digits and non-ASCII characters, ASCII
-letters and the accented ones of Latin-1 in lower case; null and empty texts have no words and no hits; items without
-words are skipped; an item of n words is found with floor(edits * n) word edits or fewer
+Defined cases: words are runs of ASCII letters, digits and non-ASCII characters but the
+punctuation, blanks and control characters of Unicode, in lower case (case folding where
+that is one character); bytes that are no UTF-8 stand for themselves; null and empty
+texts have no words and no hits; items without words are skipped; an item of n words is found with floor(edits * n) word edits or fewer
 (short ones exactly); repeated rows and items each give their own rows; empty tables
 give no rows; other columns are ignored.
 """
@@ -33,8 +34,10 @@ give no rows; other columns are ignored.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -77,6 +80,48 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_CASED = 0x20000  # no character from here on has a small letter or is punctuation
+
+
+@cache
+def _plain() -> tuple[np.ndarray, np.ndarray]:
+    """Character -> its small letter, or a blank where it parts words; character -> bytes in UTF-8."""
+    small = np.arange(_CASED, dtype=np.uint32)
+    for k in range(128, _CASED):
+        c = chr(k)
+        if unicodedata.category(c)[0] in "PZ" or k < 0xA0:
+            small[k] = 32
+        else:
+            small[k] = ord(next((x for x in (c.casefold(), c.lower()) if len(x) == 1), c))
+    small[0x130] = ord("i")  # the small letter of the dotted I is two characters in Python
+    size = np.array([1, 2, 3, 4], np.uint8).repeat([0x80, 0x780, 0xF800, _CASED - 0x10000])
+    size[0xDC80:0xDD00] = 1  # these stand for bytes that are no UTF-8
+    return small, size
+
+
+def plain(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    """UTF-8 ``data`` in small letters with blanks for punctuation, its cuts, byte -> byte of ``data``.
+
+    The last is None where all characters keep their place.
+    """
+    if not len(data) or data.max() < 0x80:
+        return data, cuts, None
+    text = data.tobytes().decode("utf-8", "surrogateescape").encode("utf-32-le", "surrogatepass")
+    chars = np.frombuffer(text, "<u4")
+    table, size = _plain()
+    known = np.minimum(chars, _CASED - 1)
+    small = np.where(chars < _CASED, table[known], chars)
+    made = small.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogateescape")
+    made = np.frombuffer(made, np.uint8)
+    old, new = size[known], size[np.minimum(small, _CASED - 1)]
+    if (old == new).all():
+        return made, cuts, None
+    old, new = np.r_[0, np.cumsum(old, dtype=np.int64)], np.r_[0, np.cumsum(new, dtype=np.int64)]
+    places = np.zeros(len(made) + 1, np.int64)
+    places[new] = old
+    return made, new[np.searchsorted(old, cuts)], places
+
+
 def words_of(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(codes, first byte, byte after) of the words in UTF-8 ``data``; no word crosses a cut."""
     low = np.zeros(len(data) + 8, np.uint8)
@@ -220,7 +265,7 @@ class ItemIndex:
         classes: dict[int, _Class] = {}
         for item_id, text in items:
             data = np.frombuffer((text or "").encode(), np.uint8)
-            codes = words_of(data, np.zeros(0, np.int64))[0]
+            codes = words_of(*plain(data, np.zeros(0, np.int64))[:2])[0]
             if len(codes):
                 least = min(search.longest, 1 << (len(codes).bit_length() - 1))
                 classes.setdefault(least, _Class(least)).items.append(len(self.ids))
@@ -288,6 +333,7 @@ class ItemIndex:
 
     def hits(self, data: np.ndarray, cuts: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(document, item, first byte, byte after, edits) in texts laid end to end at ``cuts``."""
+        data, cuts, places = plain(data, cuts)
         codes, a, b = words_of(data, cuts)
         item, anchor, at = self._candidates(codes)
         if not len(item):
@@ -316,7 +362,10 @@ class ItemIndex:
                 continue
             best = _edits_within(self.words[i], codes[lo:hi], most)
             if best:
-                out.append((int(d), int(i), int(a[lo + best[1]]), int(b[lo + best[2] - 1]), best[0]))
+                start, end = a[lo + best[1]], b[lo + best[2] - 1]
+                if places is not None:
+                    start, end = places[start], places[end]
+                out.append((int(d), int(i), int(start), int(end), best[0]))
         return sorted(set(out))
 
 
@@ -369,11 +418,11 @@ def _finder(index):
             rows, items, starts, ends, edits = [], [], [], [], []
             for row, data, cuts in _pieces(batch.column(1)):
                 for d, i, a, b, e in index.value.hits(data, cuts):
-                    before = bytes(data[cuts[d] : a]).decode()
+                    before = bytes(data[cuts[d] : a]).decode("utf-8", "replace")
                     rows.append(row + d)
                     items.append(index.value.ids[i])
                     starts.append(len(before))
-                    ends.append(len(before) + len(bytes(data[a:b]).decode()))
+                    ends.append(len(before) + len(bytes(data[a:b]).decode("utf-8", "replace")))
                     edits.append(e)
             ids = batch.column(0).take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays(

@@ -101,6 +101,25 @@ def test_copies_that_lack_words_at_a_documents_start_or_end(cut):
         assert found <= {(2 * k + 1, k) for k in range(60)} and len(found) >= 57
 
 
+def test_typographic_marks_part_words_and_capitals_of_all_scripts_count_as_small():
+    items = [(1, "naïve café menu"), (2, "слова на русском языке"), (3, "λόγος και ἀρχή"), (4, "œuvre šaty ⱥⱥ istanbul"), (5, "one two")]
+    index = cgk.ItemIndex(items)
+    spans = [
+        ("He said “", "naïve café menu", "”—and left"),
+        ("«", "Naïve\u00a0CAFÉ\u2003menu", "»"),
+        ("ȺİẞK ‘", "СЛОВА НА РУССКОМ ЯЗЫКЕ", "’…"),
+        ("", "ΛΌΓΟΣ ΚΑΙ ἈΡΧΉ", " Ⱥ"),
+        ("x ", "ŒUVRE ŠATY ȺȺ İSTANBUL", "、y"),
+        ("「", "One–Two", "」"),
+    ]
+    texts = ["".join(s).encode() for s in spans]
+    data, cuts = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    found = [(d, i, bytes(data[a:b]).decode(), e) for d, i, a, b, e in index.hits(data, cuts)]
+    assert found == [(k, i, spans[k][1], 0) for k, i in enumerate([0, 0, 1, 2, 3, 4])]
+    broken = np.frombuffer(b"\xff\xe2\x80 one two \xed\xb2\x80" + "Ⱥ”".encode(), np.uint8)
+    assert index.hits(broken, np.array([0, len(broken)])) == [(0, 4, 4, 11, 0)]
+
+
 def test_hits_are_exact_and_spans_point_at_the_passage(spark):
     rng = random.Random(15)
     items = [(k, prose(rng, 30)) for k in range(20)]
