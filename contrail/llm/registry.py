@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from contrail.llm import chat, decontamination, licenses, mixing, secrets, sharding, simhash, topk, toxicity, warc
+from contrail.llm import (
+    chat,
+    decontamination,
+    licenses,
+    merkle,
+    mixing,
+    secrets,
+    sharding,
+    simhash,
+    topk,
+    toxicity,
+    warc,
+)
 
 
 def queries() -> dict:
@@ -17,6 +29,7 @@ def queries() -> dict:
         sharding.op8_byte_shards,
         licenses.op9_license_dice,
         topk.op10_exact_topk,
+        merkle.op13_merkle_manifest,
     ]
     return {fn.__name__: fn for fn in found}
 
@@ -28,4 +41,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_reply_trees": chat.ORACLE_SQL,
         "op9_license_dice": licenses.ORACLE_SQL,
         "op10_exact_topk": topk.ORACLE_SQL,
+        "op13_merkle_manifest": merkle.ORACLE_SQL,
     }
