@@ -9,11 +9,12 @@ are fitted by gradient steps on the exact log-likelihood (forward-backward) of a
 labelled table; ``Fit.sentences`` bounds it, and ``labelled_table`` makes one by rule. The
 weights are all that passes through the driver.
 
-Texts are tagged where they are read, without a shuffle. A word whose outside score beats
-every other tag by more than two transitions can make up is outside on the best path for
-certain; what is left are short stretches between such words. They are decoded by Viterbi
-in numpy batches, long ones in pieces for every start tag at once, and the pieces are
-chained; the result is the best path of the whole text.
+Texts are tagged where they are read, without a shuffle. On the best path every entity gains
+something over its words being outside; running sums bound what the best entity through a
+word may gain, and most words cannot lie in any. What is left are short stretches between
+words that are outside for certain. They are decoded by Viterbi in numpy batches, long ones
+in pieces for every start tag at once, and the pieces are chained; the result is the best
+path of the whole text.
 
 Spans of the field that meet no span of a rule are added as kinds ``crf_...``; all spans of
 the rules stay.
@@ -107,19 +108,23 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 # ---------------------------------------------------------------- features
 
-_RUN = re.compile(r"[0-9]+|[A-Z]+|[^\W\d_]+|.", re.DOTALL)
+_RUN = re.compile(r"[0-9]+|[^\W\d_]+|.", re.DOTALL)
 _SHOWN = frozenset("+-.@:/()[]_=#,")
 _EDGE = "*$%&!;?\"'<>{},"
 
 
+def _case(letters: str) -> str:
+    return "X" if letters.isupper() else "Xx" if letters[0].isupper() else "x"
+
+
 def shape(word: str) -> str:
-    """Runs of digits with their length (10 at most), letters as x or X, signs as they are."""
+    """Runs of digits with their length (10 at most), letters by their case, signs as they are."""
     out = []
     for run in _RUN.findall(word[:64]):
         if "0" <= run[0] <= "9":
             out.append(f"d{min(len(run), 10)}")
         elif run.isalpha():
-            out.append("X" if run.isupper() else "x")
+            out.append(_case(run))
         elif run[0] in _SHOWN:
             out.append(run[0])
         elif not out or out[-1] != "~":
@@ -127,16 +132,19 @@ def shape(word: str) -> str:
     return "".join(out)
 
 
+_LONGEST = 12  # letters of a word that counts as itself
+
+
 def features(word: str) -> list[str]:
     """Of the word itself; the first three are what its neighbours see of it."""
     core = word.strip(_EDGE).rstrip(".") or word
     form = shape(core)
     digits = _NOT_DIGIT.sub("", core) if any("0" <= c <= "9" for c in core) else ""
-    low = core.strip("()[].:").lower()
+    low = core.strip("()[].:")
     found = [
         "c=" + re.sub(r"d\d+", "d", form)[:20],
         f"n={min(len(digits), 20)}",
-        "w=" + low if low.isalpha() and len(low) <= 12 else "w",
+        "w=" + core.lower() if low.isalpha() and len(low) <= _LONGEST else "w",
         "s=" + form[:28],
     ]
     if 12 <= len(digits) <= 19 and len(digits) == len(core):
@@ -157,6 +165,7 @@ class Fit:
     """Bounds and settings of the training: the labelled rows and the rounds over them."""
 
     sentences: int = 2000
+    seen: int = 3  # uses of a feature in the table, at least
     epochs: int = 80
     rate: float = 0.2
     l2: float = 0.3
@@ -177,6 +186,10 @@ def _logsum(a: np.ndarray, axis: int) -> np.ndarray:
     return np.log(np.exp(a - top).sum(axis=axis)) + np.squeeze(top, axis)
 
 
+# An inside tag only follows its own kind; elsewhere a move costs what no evidence outweighs.
+_BARRED = np.array([[-1e3 if b and b % 2 == 0 and a not in (b - 1, b) else 0.0 for b in range(_K)] for a in range(_K)])
+
+
 def likelihood(emit: np.ndarray, trans: np.ndarray, tags: np.ndarray, used: np.ndarray):
     """Log-likelihood of padded sentences, and its gradients by emission and transition.
 
@@ -229,13 +242,17 @@ def train(sentences: list[tuple[list[str], list[str]]], fit: Fit = Fit()) -> dic
                 owner.append(s * steps + k)
                 cols.append(index.setdefault(name, len(index)))
     owner, cols = np.array(owner), np.array(cols)
+    often = np.bincount(cols, minlength=len(index)) >= fit.seen
+    place = np.cumsum(often) - 1
+    index = {f: int(place[k]) for f, k in index.items() if often[k]}
+    owner, cols = owner[often[cols]], place[cols[often[cols]]]
     shapes = (len(index), _K)
     flat = np.zeros(shapes[0] * _K + _K * _K)
     first, second = np.zeros_like(flat), np.zeros_like(flat)
     for step in range(1, fit.epochs + 1):
         w, trans = flat[: -_K * _K].reshape(shapes), flat[-_K * _K :].reshape(_K, _K)
         emit = np.stack([np.bincount(owner, w[cols, k], minlength=n * steps) for k in range(_K)], 1)
-        _, pull, moves = likelihood(emit.reshape(n, steps, _K), trans, tags, used)
+        _, pull, moves = likelihood(emit.reshape(n, steps, _K), trans + _BARRED, tags, used)
         pull = pull.reshape(-1, _K)[owner]
         grad = np.stack([np.bincount(cols, pull[:, k], minlength=shapes[0]) for k in range(_K)], 1)
         grad = (np.r_[grad.ravel(), moves.ravel()] - fit.l2 * flat) / n
@@ -243,7 +260,7 @@ def train(sentences: list[tuple[list[str], list[str]]], fit: Fit = Fit()) -> dic
         second = 0.99 * second + 0.01 * grad**2
         flat = flat + fit.rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-9)
     w = flat[: -_K * _K].reshape(shapes)
-    return {"weights": {f: w[k].copy() for f, k in index.items()}, "moves": flat[-_K * _K :].reshape(_K, _K).copy()}
+    return {"weights": {f: w[k].copy() for f, k in index.items()}, "moves": flat[-_K * _K :].reshape(_K, _K) + _BARRED}
 
 
 # ---------------------------------------------------------------- the labelled table
@@ -279,7 +296,7 @@ def _entity(rng: random.Random, kind: str) -> list[str]:
     d = lambda n: _digits(rng, n)
     if kind == "email":
         a, b, c = name(), name(), rng.choice(["com", "org", "net"])
-        forms = [f"{a}.{d(2)}@{b}.{c}", f"{a}_{b}@mail.{b}.{c}", f"{a} (at) {b} (dot) {c}", f"{a} AT {b} DOT {c}",
+        forms = [f"{a}.{d(2)}@{b}.{c}", f"{a}_{b}@mail.{b}.{c}", f"{a} (at) {b} (dot) {c}", f"{a}(at){b}.{c}",
                  f"{a}[at]{b}.{c}", f"{a} [at] {b} [dot] {c}", f"{a}@{b}"]
     elif kind == "ip":
         quad = ".".join(str(rng.randrange(256)) for _ in range(4))
@@ -303,7 +320,7 @@ def _number(rng: random.Random) -> list[str]:
         [d(n), f"{rng.randrange(1900, 2030)}", f"20{d(2)}-0{rng.randrange(1, 10)}-1{d(1)}", f"1{d(1)}:{d(2)}", f"{d(1)}.{d(2)}",
          f"v{d(1)}.{d(1)}.{d(1)}", f"${d(2)}.{d(2)}", f"{d(2)}%", f"{d(1)},{d(3)},{d(3)}", f"978-3-16-{d(6)}-0", f"#{d(5)}",
          f"A-{d(4)}", "".join(rng.choice("0123456789abcdef") for _ in range(40)), f"http://www.x{d(1)}.org/{d(3)}", "@handle",
-         'token = "' + "".join(rng.choice("0123456789abcdef") for _ in range(40)) + '"', f"{d(3)} {d(2)} {d(3)}", "at dot"]
+         'token = "' + "".join(rng.choice("0123456789abcdef") for _ in range(40)) + '"', f"{d(3)} {d(2)} {d(3)}", "at", "at at", "dot", str(int(_valid_card(rng)) + 1), d(rng.randrange(7, 12))]
     ).split()
 
 
@@ -355,19 +372,19 @@ def fit_model(labelled: DataFrame, fit: Fit = Fit()) -> dict:
 # ---------------------------------------------------------------- decoding
 
 _WORD = re.compile(WORD)
+_BLANK = re.compile(r"[\x20\x09-\x0D]")
 _PIECE = 1 << 20  # characters cut into words at once
 _STEPS = 128  # words of a piece of a long stretch
 _LANES = 4096  # pieces decoded at once
 
 
-def _words(text: str) -> Iterator[tuple[int, list[str]]]:
-    """(offset, words) of pieces of a text, cut between words."""
+def _pieces(text: str) -> Iterator[tuple[int, int]]:
+    """Bounds of pieces of a text, cut between words."""
     at = 0
     while at < len(text):
-        stop = at + _PIECE
-        while stop < len(text) and text[stop] not in " \t\n\x0b\x0c\r":
-            stop += 1
-        yield at, _WORD.findall(text, at, stop)
+        cut = _BLANK.search(text, at + _PIECE)
+        stop = cut.start() if cut else len(text)
+        yield at, stop
         at = stop
 
 
@@ -379,24 +396,53 @@ def _bounds(text: str, at: int, stop: int) -> tuple[np.ndarray, np.ndarray]:
     return edge[0::2] + at, edge[1::2] + at
 
 
+class _Words(dict):
+    """word -> row of the tagger's table; filled as words are met."""
+
+    def __init__(self, number):
+        super().__init__()
+        self.number = number
+
+    def __missing__(self, word: str) -> int:
+        k = self[word] = self.number(word)
+        return k
+
+
 class Tagger:
     """Decodes texts with a fitted field."""
 
-    def __init__(self, model: dict, most: int = 400_000):
+    def __init__(self, model: dict, most: int = 1_000_000):
         self.weights, self.moves, self.most = model["weights"], model["moves"], most
+        self.vocabulary = {f[f.index("=") + 1 :] for f in self.weights if f.lstrip("<>").startswith("w=")}
         self._clear()
         if self.moves is not None:
-            gain_in = (self.moves - self.moves[:, :1]).max(0)  # tag k rather than O, from any tag
-            gain_out = (self.moves - self.moves[:1]).max(1)
-            self.needed = (gain_in + gain_out)[1:]
+            m = self.moves
+            # What an entity of kind x may gain by its moves over staying outside: on entry, per
+            # further word, on leaving.
+            begin, inside = np.arange(1, _K, 2), np.arange(2, _K, 2)
+            self.enter = (m[:, begin] - m[:, :1]).max(0)
+            self.stay = np.maximum(m[begin, inside], m[inside, inside]) - m[0, 0]
+            ways = m[:, [0, *begin]] - m[0, [0, *begin]]
+            self.leave = np.maximum(ways[begin].max(1), ways[inside].max(1))
 
     def _clear(self):
-        self.ids: dict[str, int] = {}
+        self.ids, self.classes = _Words(self._number), {}
         self.table = np.zeros((1024, 3, _K))
+        self.rows = 0
 
     def _number(self, word: str) -> int:
-        """Row of a word in ``table``: its own scores, and what it adds to the next and the word before."""
-        k = self.ids[word] = len(self.ids)
+        """Row of a word in ``table``: its own scores, and what it adds to the next and the word before.
+
+        Words of letters that have no weight of their own share a row: their other features
+        are their case and whether a sign ends them.
+        """
+        core = word.strip(_EDGE).rstrip(".")
+        key = None
+        if core.isalpha() and (len(core) > _LONGEST or core.lower() not in self.vocabulary):
+            key = (_case(core), len(core) > _LONGEST, word[-1:] in ".,;:!?")
+            if key in self.classes:
+                return self.classes[key]
+        k, self.rows = self.rows, self.rows + 1
         if k == len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
         names = features(word)
@@ -404,6 +450,8 @@ class Tagger:
             for f in found:
                 if f in self.weights:
                     self.table[k, place] += self.weights[f]
+        if key is not None:
+            self.classes[key] = k
         return k
 
     def scores(self, ids: np.ndarray) -> np.ndarray:
@@ -413,33 +461,43 @@ class Tagger:
         out[:-1] += self.table[ids[1:], 2]
         return out
 
+    def open_words(self, gains: np.ndarray) -> np.ndarray:
+        """Which words may lie in an entity on the best path.
+
+        gains: (words, tags) scores over the outside score. An entity on the best path gains
+        something over being outside throughout, so a word is open only if the best entity
+        through it, by running sums of the largest gains, may do so.
+        """
+        begin = gains[:, 1::2] + self.enter
+        total = np.cumsum(gains[:, 2::2] + self.stay, 0)
+        # Best sum of a begin and the words up to here; best sum of further words from here on.
+        before = np.maximum.accumulate(begin - total, 0)
+        inner = np.full_like(total, -np.inf)
+        inner[1:] = total[1:] + before[:-1]
+        further = np.maximum.accumulate(total[::-1], 0)[::-1] - total
+        best = np.maximum(begin, inner) + further + self.leave
+        return (best > -1e-6).any(1)
+
     def tags(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start, end, tag) of the words that are not certainly outside."""
+        """(start, end, tag) of the words that may lie in an entity."""
+        none = np.zeros(0, np.int64)
+        if self.moves is None:
+            return none, none, none
         if len(self.ids) > self.most:
             self._clear()
-        ids, starts, ends = [], [], []
-        known = self.ids
-        for at, words in _words(text):
-            ids.append(np.fromiter((known[w] if w in known else self._number(w) for w in words), np.int64, len(words)))
-            stop = at + _PIECE
-            while stop < len(text) and text[stop] not in " \t\n\x0b\x0c\r":
-                stop += 1
-            a, b = _bounds(text, at, min(stop, len(text)))
+        ids, starts, ends = [none], [none], [none]
+        for at, stop in _pieces(text):
+            words = _WORD.findall(text, at, stop)
+            ids.append(np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words)))
+            a, b = _bounds(text, at, stop)
             starts.append(a)
             ends.append(b)
-        none = np.zeros(0, np.int64)
-        ids = np.concatenate([none, *ids])
-        if not len(ids) or self.moves is None:
+        ids = np.concatenate(ids)
+        if not len(ids):
             return none, none, none
-        left, emit = [], []
-        for low in range(0, len(ids), _PIECE):  # scores of bounded stretches, with one word around
-            a, b = max(0, low - 1), min(len(ids), low + _PIECE + 1)
-            got = self.scores(ids[a:b])[low - a : low - a + _PIECE]
-            open_ = ((got[:, :1] - got[:, 1:]) <= self.needed).any(1)
-            left.append(np.flatnonzero(open_) + low)
-            emit.append(got[open_])
-        left, emit = np.concatenate(left), np.concatenate(emit)
-        return np.concatenate(starts)[left], np.concatenate(ends)[left], self._decode(left, emit)
+        emit = self.scores(ids)
+        left = np.flatnonzero(self.open_words(emit - emit[:, :1]))
+        return np.concatenate(starts)[left], np.concatenate(ends)[left], self._decode(left, emit[left])
 
     def _decode(self, left: np.ndarray, emit: np.ndarray) -> np.ndarray:
         """Best tags of the stretches of consecutive words; outside words lie around them."""
@@ -494,15 +552,12 @@ class Tagger:
         """(start, base kind number, end) of what the field finds."""
         starts, ends, tags = self.tags(text)
         hit = np.flatnonzero(tags)
-        out, previous, kind = [], None, None
-        for k in hit.tolist():
-            now, inside = (int(tags[k]) - 1) // 2, tags[k] % 2 == 0
-            joined = previous == k - 1 and kind == now and inside and not text[ends[k - 1] : starts[k]].strip(" \t")
-            if joined:
-                out[-1][2] = int(ends[k])
+        out: list[list[int]] = []
+        for a, b, tag in zip(starts[hit].tolist(), ends[hit].tolist(), tags[hit].tolist()):
+            if tag % 2:
+                out.append([a, tag // 2, b])
             else:
-                out.append([int(starts[k]), now, int(ends[k])])
-            previous, kind = k, now
+                out[-1][2] = b
         return [span for span in (_trimmed(text, *s) for s in out) if span[0] < span[2]]
 
 

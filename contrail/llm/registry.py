@@ -8,6 +8,8 @@ from contrail.llm import (
     licenses,
     merkle,
     mixing,
+    pii,
+    repair,
     secrets,
     sharding,
     simhash,
@@ -29,6 +31,8 @@ def queries() -> dict:
         sharding.op8_byte_shards,
         licenses.op9_license_dice,
         topk.op10_exact_topk,
+        pii.op11_crf_pii,
+        repair.op12_structure_repair,
         merkle.op13_merkle_manifest,
     ]
     return {fn.__name__: fn for fn in found}
@@ -41,5 +45,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_reply_trees": chat.ORACLE_SQL,
         "op9_license_dice": licenses.ORACLE_SQL,
         "op10_exact_topk": topk.ORACLE_SQL,
+        "op12_structure_repair": repair.ORACLE_SQL,
         "op13_merkle_manifest": merkle.ORACLE_SQL,
     }

@@ -50,7 +50,6 @@ ROLE = {2: "user", 3: "assistant"}
 FAR = 1 << 60
 
 # A row's letter: "A" plus 4 * initial (s, u, a, other) plus fault (none, blank, duplicate, truncated).
-INITIALS = "sua"
 BLANK, DUPLICATE, CUT = 1, 2, 3
 
 
@@ -90,8 +89,8 @@ def segments(rows: DataFrame) -> DataFrame:
     """
     body = F.rtrim(F.col("text"), F.lit(BLANKS))
     fault = F.when(body == "", BLANK).when(F.right(body, F.lit(1)).isin(*ENDS), 0).otherwise(CUT)
-    initial = F.coalesce(F.nullif(F.instr(F.lit(INITIALS), F.left("role", F.lit(1))), F.lit(0)) - 1, F.lit(3))
-    initial = F.when(F.col("role") == "", 3).otherwise(initial)
+    first = F.left("role", F.lit(1))
+    initial = F.when(first == "s", 0).when(first == "u", 1).when(first == "a", 2).otherwise(3)
     light = stored(
         rows.select("conv_id", "turn", "role", "_sha", initial.alias("_initial"), fault.alias("_fault")), "repair-rows"
     )
@@ -469,20 +468,20 @@ WITH RECURSIVE crc AS (
          count(*) FILTER (fault = 'truncated') AS truncated,
          count(*) FILTER (i > 1 AND earlier || initial NOT IN ('su', 'ua', 'au')) AS illegal
   FROM faults GROUP BY k
-), follow(state, turn, line) AS (VALUES (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')
+), follow(state, nxt, line) AS (VALUES (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')
 ), inserts AS (  -- none, one or two inserted turns after a state
   SELECT state, state AS target, 0 AS cost, '' AS audit, [] ::VARCHAR[] AS lines FROM follow
-  UNION ALL SELECT state, turn, 5, 'I', [line || ':'] FROM follow
-  UNION ALL SELECT a.state, b.turn, 10, 'II', [a.line || ':', b.line || ':'] FROM follow a JOIN follow b ON b.state = a.turn
+  UNION ALL SELECT state, nxt, 5, 'I', [line || ':'] FROM follow
+  UNION ALL SELECT a.state, b.nxt, 10, 'II', [a.line || ':', b.line || ':'] FROM follow a JOIN follow b ON b.state = a.nxt
 ), edits AS (
   SELECT k, i, state, 'D' AS edit, 2 AS cost, state AS target, [] ::VARCHAR[] AS lines FROM faults, follow
   UNION ALL
   SELECT k, i, state, 'K', CASE fault WHEN 'truncated' THEN 5 ELSE 0 END,
-         CASE WHEN initial = 's' THEN 1 ELSE turn END, [role || ':' || text]
+         CASE WHEN initial = 's' THEN 1 ELSE nxt END, [role || ':' || text]
   FROM faults, follow WHERE fault NOT IN ('blank', 'duplicate')
     AND ((initial = 's' AND state = 0) OR initial = left(line, 1))
   UNION ALL
-  SELECT k, i, state, 'R', 1 + CASE fault WHEN 'truncated' THEN 5 ELSE 0 END, turn, [line || ':' || text]
+  SELECT k, i, state, 'R', 1 + CASE fault WHEN 'truncated' THEN 5 ELSE 0 END, nxt, [line || ':' || text]
   FROM faults, follow WHERE fault NOT IN ('blank', 'duplicate')
 ), dp AS (
   SELECT k, 0::BIGINT AS i, target AS state, {'c': cost::BIGINT, 'a': audit, 'l': lines} AS best
