@@ -7,7 +7,8 @@ matches a template if the Dice coefficient of their bigram bags (repeats counted
 ``least`` or more: 2 * shared / (bigrams of both).
 
 Sizes bound the coefficient: a unit of a bigrams can only match a template of b bigrams
-if least / (2 - least) * b <= a <= (2 - least) / least * b. Units that fit no template's
+if least / (2 - least) * b <= a <= (2 - least) / least * b, compared as integers (``least``
+is the fraction that its decimal says). Units that fit no template's
 bounds are dropped before their bigrams are made, others meet only the templates that
 fit. A match also shares least / 2 * (a + b) bigrams, so it holds one of any set of bigrams
 that covers all but fewer of the template's: units are first searched for a few bigrams of
@@ -28,9 +29,9 @@ columns are ignored.
 from __future__ import annotations
 
 import json
-import math
 import re
 from collections import Counter
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -147,6 +148,12 @@ def _template_rows(templates) -> list:
     return rows
 
 
+def _fraction(least: float) -> tuple[int, int]:
+    """(p, q) with least = p / q as its decimal is written."""
+    exact = Fraction(str(least))
+    return exact.numerator, exact.denominator
+
+
 def _telling_bigrams(rows: list, least: float) -> list[list[str]]:
     """For every unit size a (from 1): bigrams of which a matching unit holds at least one.
 
@@ -157,14 +164,14 @@ def _telling_bigrams(rows: list, least: float) -> list[list[str]]:
     for template, _, gram, n, _ in rows:
         bags.setdefault(template, {})[gram] = n
     common = Counter(gram for bag in bags.values() for gram in bag)
-    high = (2 - least) / least
-    most = int(high * max((sum(bag.values()) for bag in bags.values()), default=0))
+    p, q = _fraction(least)
+    most = (2 * q - p) * max((sum(bag.values()) for bag in bags.values()), default=0) // p
     out = []
     for a in range(1, most + 1):
         grams: set[str] = set()
         for bag in bags.values():
             b = sum(bag.values())
-            need = math.ceil(least * (a + b) / 2 - 1e-9)
+            need = -(-p * (a + b) // (2 * q))
             if need > min(a, b):
                 continue
             spare = b - need + 1
@@ -182,7 +189,7 @@ def license_matches(docs: DataFrame, templates=TEMPLATES, least: float = LEAST)
     spark = docs.sparkSession
     rows = _template_rows(templates)
     grams = spark.createDataFrame(rows, "template int, license string, gram string, n long, b long")
-    low, high = least / (2 - least), (2 - least) / least
+    p, q = _fraction(least)
     telling = _telling_bigrams(rows, least)
     # A constant: the optimizer folds the parsed text into a literal.
     by_size = F.from_json(F.lit(json.dumps(telling)), "array<array<string>>")
@@ -208,7 +215,7 @@ def license_matches(docs: DataFrame, templates=TEMPLATES, least: float = LEAST)
             ).alias("gram"),
         )
         .join(F.broadcast(grams), "gram")
-        .filter((F.col("a") >= low * F.col("b")) & (F.col("a") <= high * F.col("b")))
+        .filter((F.col("a") * (2 * q - p) >= F.col("b") * p) & (F.col("a") * p <= F.col("b") * (2 * q - p)))
     )
     shared = (
         found.groupBy("_row", "doc_id", "pos", "template", "license", "a", "b", "gram", "n")
@@ -216,7 +223,7 @@ def license_matches(docs: DataFrame, templates=TEMPLATES, least: float = LEAST)
         .groupBy("_row", "doc_id", "pos", "template", "license", "a", "b")
         .agg(F.sum(F.least("n", "_n")).alias("shared"))
         .withColumn("dice", 2.0 * F.col("shared") / (F.col("a") + F.col("b")))
-        .filter(F.col("dice") >= least)
+        .filter(2 * q * F.col("shared") >= p * (F.col("a") + F.col("b")))
     )
     return (
         shared.groupBy("_row", "doc_id", "license")

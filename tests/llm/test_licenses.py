@@ -20,8 +20,8 @@ def bag(text):
     return Counter(zip(words, words[1:]))
 
 
-def expected(rows):
-    templates = [(licence, bag(normalised(t))) for licence, t in TEMPLATES]
+def expected(rows, given=TEMPLATES):
+    templates = [(licence, bag(normalised(t))) for licence, t in given]
     out = []
     for r in rows:
         found = {}
@@ -52,6 +52,30 @@ def test_matches_brute_force(spark):
     assert got == expected(rows) and len(got) > 40
 
 
+def test_units_at_exactly_both_size_bounds(spark):
+    """For every template size: units of 3/2 and of 2/3 of its bigrams, all shared, have Dice 0.8 exactly."""
+    templates, rows = [], []
+    for b in range(1, 61):
+        words = [f"t{b}w{k}" for k in range(b + 1)]
+        templates.append((f"L{b}", " ".join(words)))
+        if b % 2 == 0:
+            rows.append((1000 + b, " ".join(words + [f"more{k}" for k in range(b // 2)])))
+            rows.append((2000 + b, " ".join(words + [f"more{k}" for k in range(b // 2 + 1)])))
+        if b % 3 == 0:
+            rows.append((3000 + b, " ".join(words[: 2 * b // 3 + 1])))
+            rows.append((4000 + b, " ".join(words[: 2 * b // 3])))
+    got = rows_of(license_matches(documents(spark, rows), tuple(templates)), "doc_id", "license", "matches", "best")
+    assert got == expected(rows, tuple(templates))
+    found = {r[0] for r in got}
+    assert found == {1000 + b for b in range(2, 61, 2)} | {3000 + b for b in range(3, 61, 3)}
+
+
+def test_notices_at_exactly_the_bound(spark):
+    rows = [(1, "Licensed under the MIT License (see LICENSE)."), (2, "Released under the BSD License on request")]
+    got = rows_of(license_matches(documents(spark, rows)), "doc_id", "license", "best")
+    assert got == [(1, "MIT", 0.8), (2, "BSD", 0.8)]
+
+
 def test_templates_are_bounded(spark):
     with pytest.raises(ValueError, match="templates"):
         license_matches(documents(spark, []), (("x", "a b " * 300_000),))
