@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pyarrow as pa
 import pytest
@@ -97,6 +98,23 @@ def test_queries_are_selective_where_the_regex_is():
     assert trigrams.ANY not in [trigram_query(r.pattern, r.flags) for r in MORE]
 
 
+def test_long_hostile_texts_take_linear_time():
+    scanner = Scanner(BASE + MORE)
+    size = 10_000_000
+    for part in ("eyJ", "eyJ" * 20 + " x.eyJ", "eyJabcdefgh.eyJabcdefgh", "token", "token  =", "AKIA", "0123456789abcdef0 ", "xoxb-", "ghp_"):
+        text = part * (size // len(part))
+        start = time.time()
+        scanner.scan(pa.array([text + " eyJabcdefgh.eyJabcdefgh.sig"]))
+        assert time.time() - start < 60, part
+
+
+def test_a_token_is_found_where_it_begins():
+    scanner = Scanner(BASE + MORE)
+    text = "a eyJhbGciOiJI.eyJzdWIiOiIx.c2ln-_9 b xeyJhbGciOiJI.eyJzdWIiOiIx.c"
+    (spans,) = scanner.scan(pa.array([text]))
+    assert [text[a:b] for a, k, b in spans if (BASE + MORE)[k].kind == "jwt"] == ["eyJhbGciOiJI.eyJzdWIiOiIx.c2ln-_9"]
+
+
 def test_rule_without_trigrams_scans_fully(spark):
     docs = documents(spark, [(1, "a1"), (2, "zz"), (3, None)])
     got = {r.doc_id: len(r.spans) for r in scan(docs, (Rule("digit", "[0-9]"),)).collect()}
