@@ -1,11 +1,15 @@
 """Mixing sources to target weights with a low-discrepancy schedule.
 
 Every source's documents are shuffled (by a keyed hash) and laid end to end, twice, as
-a stream of words that is cut into blocks of equally many words. The mix is a row of
-slots: slot i has the golden-ratio point frac(i * phi), the source whose interval of
-the cumulative targets holds the point owns the slot, and the k-th slot of a source
-takes block k of its stream. Any prefix of the slots is therefore close to the target
-mix, and no document is taken more than twice.
+a stream of words that is cut into blocks of equally many words. A source needs as many
+slots as its target has blocks, the last one cut at the target, so every source takes its
+target to the word, however small it is. The mix is a row of slots: slot i has the
+golden-ratio point frac(i * phi), the source whose interval of the cumulative needs holds
+the point owns the slot, and the k-th slot of a source takes block k of its stream until
+the source has what it needs. Any prefix of the slots is therefore close to the target
+mix, and no document is taken more than twice. The row is twice as long as the needs,
+and is doubled as long as a source lacks slots; blocks grow with the corpus beyond
+``_MOST_SLOTS``, which moves the order of the mix only.
 
 Slots are ranked per source by a rank inside chunks of slots plus the counts of earlier
 chunks; offsets inside a source come from hash buckets plus the totals of earlier
@@ -37,10 +41,14 @@ _GOLDEN = 2654435769  # floor(2**32 / golden ratio), odd: i * it mod 2**32 is a
 _PERIOD = 1 << 31  # i is taken modulo this, so the product stays below 2**63
 _CELLS = 4096  # equal cells of the unit interval on which points meet intervals
 _CHUNK = 1 << 16  # slots ranked together
+_MOST_SLOTS = 1 << 28  # needed of all sources; every need then spans several points
 
 
-def source_targets(sizes: DataFrame, multiple: float = SHARE, most: int = MOST, weights=WEIGHTS) -> DataFrame:
-    """source, source_size -> plus src (ordinal), weight, target, lo, hi (of 2**32 points).
+def source_targets(
+    sizes: DataFrame, multiple: float = SHARE, most: int = MOST, weights=WEIGHTS, block: int = BLOCK
+) -> DataFrame:
+    """source, source_size -> plus src (ordinal), weight, target, quota (its words), need (its blocks),
+    lo, hi (of 2**32 points, by the needs).
 
     Sharing by weight under the cap ``most * size``: with the sources in order of cap /
     weight, the level that all uncapped sources reach is the largest of (rest of the
@@ -64,17 +72,22 @@ def source_targets(sizes: DataFrame, multiple: float = SHARE, most: int = MOST,
     targets = levels.withColumn("_top", F.max("_level").over(whole)).withColumn(
         "target", F.least(F.col("_cap").cast("double"), F.col("_top") * F.col("weight"))
     )
-    share = F.try_divide(F.sum("target").over(upto), F.sum("target").over(by_src.rowsBetween(*_WHOLE)))
-    edge = F.floor(share * _POINTS)
-    cut = targets.withColumn("_edge", F.coalesce(edge, F.lit(0)).cast("long"))
+    needs = targets.withColumn("quota", F.floor(F.col("target") + 0.5).cast("long")).withColumn(
+        "need", F.expr(f"(quota + {block - 1}) div {block}")
+    )
+    whole_row = F.greatest(F.sum("need").over(by_src.rowsBetween(*_WHOLE)), F.lit(1))
+    cut = needs.withColumn("_row", whole_row).withColumn("_upto", F.sum("need").over(upto))
+    cut = cut.withColumn("_edge", F.expr(f"(_upto * {_POINTS}) div _row"))
     return cut.select(
         "source",
         "source_size",
         "src",
         "weight",
         "target",
+        "quota",
+        "need",
         F.lag("_edge", 1, 0).over(by_src).alias("lo"),
-        F.when(F.lead("src").over(by_src).isNull(), F.lit(_POINTS)).otherwise(F.col("_edge")).alias("hi"),
+        F.col("_edge").alias("hi"),
     )
 
 
@@ -82,7 +95,8 @@ _WHOLE = (Window.unboundedPreceding, Window.unboundedFollowing)
 
 
 def schedule(targets: DataFrame, slots: int) -> DataFrame:
-    """slot, src, rank: the owner of every slot and its number among the owner's slots."""
+    """slot, src, rank, need: the owner of every slot, its number among the owner's slots, and the
+    owner's need."""
     spark = targets.sparkSession
     width = _POINTS // _CELLS
     points = spark.range(slots).select(
@@ -92,12 +106,12 @@ def schedule(targets: DataFrame, slots: int) -> DataFrame:
     points = points.withColumn("cell", F.col("point").bitwiseAND(F.lit(-width)) / width)
     points = points.withColumn("cell", F.col("cell").cast("long"))
     intervals = targets.filter(F.col("hi") > F.col("lo")).select(
-        "src", "lo", "hi", F.explode(F.expr(f"sequence(lo div {width}, (hi - 1) div {width})")).alias("cell")
+        "src", "need", "lo", "hi", F.explode(F.expr(f"sequence(lo div {width}, (hi - 1) div {width})")).alias("cell")
     )
     owned = (
         points.join(intervals, "cell")
         .filter((F.col("point") >= F.col("lo")) & (F.col("point") < F.col("hi")))
-        .select("slot", "src", F.expr(f"slot div {_CHUNK}").alias("chunk"))
+        .select("slot", "src", "need", F.expr(f"slot div {_CHUNK}").alias("chunk"))
     )
     counts = owned.groupBy("src", "chunk").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy("src").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -106,10 +120,21 @@ def schedule(targets: DataFrame, slots: int) -> DataFrame:
     return (
         owned.withColumn("_at", F.row_number().over(inside) - 1)
         .join(firsts, ["src", "chunk"])
-        .select("slot", "src", (F.col("_first") + F.col("_at")).alias("rank"))
+        .select("slot", "src", (F.col("_first") + F.col("_at")).alias("rank"), "need")
     )
 
 
+def full_schedule(targets: DataFrame) -> DataFrame:
+    """slot, src, rank of the slots that the sources need: enough points for every source."""
+    needed = targets.agg(F.sum("need")).first()[0] or 0
+    slots = 2 * needed
+    while True:
+        plan = stored(schedule(targets, slots).filter("rank < need").select("slot", "src", "rank"), "mix-schedule")
+        if plan.count() >= needed or slots >= _PERIOD:
+            return plan
+        slots = min(2 * slots, _PERIOD)
+
+
 def streams(rows: DataFrame, targets: DataFrame, n_rows: int, seed: str = SEED) -> DataFrame:
     """Rows (doc_id, source, size) with src, source_size, target, start in the shuffled source and copy.
 
@@ -131,7 +156,7 @@ def streams(rows: DataFrame, targets: DataFrame, n_rows: int, seed: str = SEED)
     )
     named = buckets.alias("b").join(targets.alias("t"), F.expr("b.source <=> t.source"))
     named = named.select(
-        F.col("b.source").alias("_source"), F.col("_bucket").alias("_b"), "_start", "src", "source_size", "target"
+        F.col("b.source").alias("_source"), F.col("_bucket").alias("_b"), "_start", "src", "source_size", "target", "quota"
     )
     inside = (
         Window.partitionBy("source", "_bucket")
@@ -149,6 +174,7 @@ def streams(rows: DataFrame, targets: DataFrame, n_rows: int, seed: str = SEED)
             "src",
             "source_size",
             "target",
+            "quota",
             (F.col("_start") + F.col("_in") + F.col("_copy") * F.col("size")).alias("start"),
             F.col("_copy").alias("copy"),
         )
@@ -161,10 +187,10 @@ def mix(
     """doc_id, source, size, source_size, target, taken for every row of ``docs``."""
     rows = stored(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-rows")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = stored(source_targets(sizes, share, most, weights), "mix-targets")
     whole = rows.agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n")).first()
-    slots = -int(-(float(whole.words or 0) * share) // block)
-    plan = schedule(targets, slots)
+    block = max(block, -int(-(float(whole.words or 0) * share) // _MOST_SLOTS))
+    targets = stored(source_targets(sizes, share, most, weights, block), "mix-targets")
+    plan = full_schedule(targets)
     # Both passes of a document over its source's stream, cut at the block edges.
     laid = streams(rows, targets, whole.n, seed).withColumn(
         "_pass", F.explode(F.sequence(F.lit(0), F.lit(most - 1)))
@@ -179,8 +205,11 @@ def mix(
         ),
     ).withColumn(
         "_words",
-        F.least(F.col("_from") + F.col("size"), (F.col("rank") + 1) * block)
-        - F.greatest(F.col("_from"), F.col("rank") * block),
+        F.greatest(
+            F.least(F.col("_from") + F.col("size"), (F.col("rank") + 1) * block, F.col("quota"))
+            - F.greatest(F.col("_from"), F.col("rank") * block),
+            F.lit(0),
+        ),
     )
     return (
         pieces.join(plan, ["src", "rank"], "left")
@@ -217,8 +246,8 @@ def op2_golden_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-# Slots of a source are its ranks 0, 1, ... without gaps, so the mix takes the first
-# BLOCK * slots words of its doubled stream: the SQL counts them directly.
+# Slots of a source are its ranks 0, 1, ... without gaps up to its need, so the mix takes
+# the first words of its doubled stream, up to its target: the SQL counts them directly.
 ORACLE_SQL = f"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
@@ -236,22 +265,13 @@ WITH d AS (
             / sum(weight) OVER (ORDER BY cap / weight, src ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
   FROM w
 ), t AS (SELECT *, least(cap::DOUBLE, max(level) OVER () * weight) AS target FROM l),
-e AS (
-  SELECT *, CASE WHEN src = max(src) OVER () THEN {_POINTS} ELSE
-    floor(sum(target) OVER (ORDER BY src) / sum(target) OVER () * {_POINTS})::BIGINT END AS hi FROM t
-), i AS (SELECT *, lag(hi, 1, 0) OVER (ORDER BY src) AS lo FROM e),
-slot AS (
-  SELECT (k % {_PERIOD}) * {_GOLDEN} % {_POINTS} AS point
-  FROM (SELECT unnest(range(0, ceil((SELECT max(words) FROM t) / {BLOCK})::BIGINT)) AS k)
-), n AS (
-  SELECT i.src, count(slot.point) * {BLOCK} AS upto
-  FROM i LEFT JOIN slot ON slot.point >= i.lo AND slot.point < i.hi GROUP BY i.src
-), laid AS (
+i AS (SELECT *, floor(target + 0.5)::BIGINT AS upto FROM t),
+laid AS (
   SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY h, doc_id, size
                                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM d
 )
 SELECT doc_id, size, source_size, target,
        (greatest(0, least(start + size, upto) - least(start, upto))
         + greatest(0, least(start + source_size + size, upto) - least(start + source_size, upto)))::BIGINT AS taken
-FROM laid JOIN i ON laid.source IS NOT DISTINCT FROM i.source JOIN n ON n.src = i.src
+FROM laid JOIN i ON laid.source IS NOT DISTINCT FROM i.source
 """

@@ -4,7 +4,7 @@ from collections import defaultdict
 
 from tests.llm.helpers import awkward, documents, prose, rows_of
 
-from contrail.llm.mixing import mix, mixed_documents, source_targets
+from contrail.llm.mixing import full_schedule, mix, mixed_documents, source_targets
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -58,6 +58,39 @@ def test_hot_source_and_many_sources(spark):
     check(spark, rows + [(1000 + k, prose(rng, rng.randrange(60)), f"s{k % 17}") for k in range(600)])
 
 
+def test_small_sources_reach_their_targets(spark):
+    """Sources from 5 words up, beside large ones: within one word of the target, so within 10 % from 5 words on."""
+    rng = random.Random(9)
+    rows = [(k, prose(rng, 50), "a large one") for k in range(200)]
+    for k, n in enumerate([5, 6, 7, 9, 13, 20, 31, 60, 64, 65, 100, 129, 300]):
+        rows += [(1000 + 10 * k + j, prose(rng, n // 5 + (j < n % 5)), f"s{k:02d}") for j in range(5)]
+    check(spark, rows)
+    taken, target = defaultdict(int), {}
+    for r in mix(documents(spark, rows)).collect():
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    for s, want in target.items():
+        assert abs(taken[s] - want) <= 0.5 and abs(taken[s] - want) <= 0.1 * want, (s, taken[s], want)
+
+
+def test_a_table_of_a_hundred_words(spark):
+    rows = [(1, prose(random.Random(1), 80), "a"), (2, prose(random.Random(2), 20), "b")]
+    got = {r.source: (r.taken, r.target) for r in mix(documents(spark, rows)).collect()}
+    assert all(abs(taken - target) <= 0.5 for taken, target in got.values())
+
+
+def test_any_prefix_of_the_slots_is_near_the_mix(spark):
+    sizes = spark.createDataFrame([("a", 100_000), ("b", 60_000), ("c", 640)], "source string, source_size long")
+    targets = source_targets(sizes)
+    need = {r.src: r.need for r in targets.collect()}
+    plan = sorted((r.slot, r.src, r["rank"]) for r in full_schedule(targets).collect())
+    assert {s: sum(1 for _, x, _ in plan if x == s) for s in need} == need
+    for upto in (100, 500, 1500):
+        for s, n in need.items():
+            got = sum(1 for _, x, _ in plan[:upto] if x == s)
+            assert abs(got - upto * n / sum(need.values())) <= 6
+
+
 def test_reruns_agree_whatever_the_partitions(spark):
     docs = documents(spark, [(k, f"a b c d {k}", f"s{k % 3}") for k in range(500)])
     assert rows_of(mix(docs.repartition(7))) == rows_of(mix(docs.coalesce(1)))
