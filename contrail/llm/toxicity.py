@@ -1,17 +1,23 @@
 """Toxicity by multiple-instance learning: sentences are instances, documents are bags.
 
-A sentence has a probability sigmoid(bias + sum of the weights of its words' features);
-a document is toxic if any of its sentences is: score = 1 - prod(1 - p), the noisy-or.
-Only document labels are known; the weights are trained on the bags through the noisy-or
-and then locate the offending sentences. Features of a word are the word itself and its
-prefixes, so unseen inflections of a known stem count.
+A sentence has a probability p = sigmoid(bias + sum of the weights of its words' features);
+a document is toxic if any of its sentences is. The noisy-or runs over evidence above the
+background: a sentence counts q = 1 - (1 - p) / (1 - background), 0 below the background,
+and the document's own leak stands for all that no sentence shows: score = 1 - (1 - leak) *
+prod(1 - q). The background is ``FLOOR``, and a sentence without a weighted word is never
+likelier than that; so neutral sentences, however many, leave the score at the leak, and
+weak hints never add up. Only document labels are known; weights, bias and leak are
+trained on the bags through the noisy-or (first above the neutral sentence, then above the
+floor) and then locate the offending sentences. Features of a word are the word itself and
+its prefixes, so unseen inflections of a known stem count.
 
 The classifier is fitted in one task on a bounded sample of labelled documents
 (``per_class`` documents of each label, those with the smallest hash of their id; whole
 texts). The model has at most ``features`` weights and is all that goes through the
 driver. Every document is scored where it is read, without a shuffle.
 
-Defined cases: a null or empty text has no sentence and score 0; several labels of one id: toxic if any is; labels other than 0 and 1 are skipped;
+Defined cases: a null or empty text has no sentence and score 0; a very long text is scored
+whole, and its length alone does not move the score; several labels of one id: toxic if any is; labels other than 0 and 1 are skipped;
 several rows of one id: all are scored, one is learned from; without labelled rows of
 both kinds all scores are 0; an empty table gives no rows; other columns are ignored,
 and only the text enters a score.
@@ -35,6 +41,7 @@ from contrail.llm.common import table
 
 FOLDS = 5
 THRESHOLD = 0.5
+FLOOR = 0.05  # a sentence less likely than this is background
 _PREFIXES = (4, 5, 6)
 _WORD = re.compile(r"\w+")
 _BREAK = re.compile(r"(?<=[.!?])\s+|\n+")
@@ -73,6 +80,10 @@ def _bag(text: str) -> list[list[str]]:
     return [[f for w in _WORD.findall(text, a, b) for f in features(w)] for a, b in sentences(text)]
 
 
+_NOTHING = {"weights": {}, "bias": -math.inf, "leak": -math.inf}  # learned from no labels
+_FLOOR_AT = math.log(FLOOR / (1 - FLOOR))
+
+
 def _divergence(a: float, b: float) -> float:
     """Kullback-Leibler divergence of two coins."""
     return (a * math.log(a / b) if a else 0.0) + ((1 - a) * math.log((1 - a) / (1 - b)) if a < 1 else 0.0)
@@ -90,7 +101,7 @@ def train(texts: list[str], labels: np.ndarray, prior: float, fit: Fit) -> dict:
     bags, y = [bags[k] for k in keep], y[keep]
     n1, n0 = y.sum(), (1 - y).sum()
     if not n1 or not n0:
-        return {"weights": {}, "bias": -math.inf}
+        return dict(_NOTHING)
     # Only features tied to the label beyond chance: the chance (Chernoff bound) that a
     # random feature is split so unevenly, times the number of features, is below alpha.
     in1, in0 = Counter(), Counter()
@@ -110,21 +121,31 @@ def train(texts: list[str], labels: np.ndarray, prior: float, fit: Fit) -> dict:
             cols += got
             owner.append(d)
     rows, cols, owner = np.array(rows), np.array(cols, dtype=np.int64), np.array(owner)
-    w, bias = np.zeros(len(chosen)), -3.0
+    w, bias, leak = np.zeros(len(chosen)), -3.0, -3.0
     weigh = np.where(y == 1, prior / n1, (1 - prior) / n0)
     weigh = weigh / weigh.mean()
-    first, second = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
+    first, second = np.zeros(len(w) + 2), np.zeros(len(w) + 2)
     for step in range(1, fit.epochs + 1):
+        neutral = step <= fit.epochs // 2
+        level = bias if neutral else _FLOOR_AT
         score = bias + np.bincount(rows, w[cols], minlength=len(owner))
-        none = np.bincount(owner, np.logaddexp(0, score), minlength=len(y))  # -log of "no sentence"
-        pull = np.where(y == 1, -1 / np.expm1(np.clip(none, 1e-9, 500)), 1.0) * weigh
-        slope = pull[owner] / (1 + np.exp(-score)) / len(y)
-        grad = np.r_[np.bincount(cols, slope[rows], minlength=len(w)) + fit.l2 / len(y) * w, slope.sum()]
+        shows = score >= level
+        above = np.where(shows, np.logaddexp(0, score) - np.logaddexp(0, level), 0.0)
+        none = np.logaddexp(0, leak) + np.bincount(owner, above, minlength=len(y))  # -log of "nothing toxic"
+        pull = np.where(y == 1, -1 / np.expm1(np.clip(none, 1e-9, 500)), 1.0) * weigh / len(y)
+        slope = np.where(shows, pull[owner] / (1 + np.exp(-score)), 0.0)
+        by_bias = slope.sum() - (pull[owner][shows].sum() / (1 + np.exp(-level)) if neutral else 0.0)
+        grad = np.r_[
+            np.bincount(cols, slope[rows], minlength=len(w)) + fit.l2 / len(y) * w,
+            by_bias,
+            pull.sum() / (1 + np.exp(-leak)),
+        ]
         first = 0.9 * first + 0.1 * grad
         second = 0.999 * second + 0.001 * grad**2
         move = fit.rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-9)
-        w, bias = w - move[:-1], bias - move[-1]
-    return {"weights": {f: float(w[k]) for f, k in chosen.items() if abs(w[k]) > 1e-4}, "bias": float(bias)}
+        w, bias, leak = w - move[:-2], min(bias - move[-2], _FLOOR_AT), leak - move[-1]
+    weights = {f: float(w[k]) for f, k in chosen.items() if abs(w[k]) > 1e-4}
+    return {"weights": weights, "bias": float(bias), "leak": float(min(leak, 0.0))}
 
 
 class _Marked(dict):
@@ -141,20 +162,22 @@ class _Marked(dict):
         return found
 
 
-def score_text(text: str | None, weigh: _Marked, bias: float):
+def score_text(text: str | None, weigh: _Marked, bias: float, leak: float):
     """(score, sentences, offending sentences as start:end, the likeliest sentence's p)."""
     if not text:
         return 0.0, 0, "", 0.0
+    none = _softplus(leak)
     marked = [w for w in set(_WORD.findall(text)) if weigh[w]]
-    if not marked:  # every sentence has the bias alone
+    if not marked:  # every sentence is background
         count = sum(1 for _ in sentences(text))
-        return -math.expm1(-count * _softplus(bias)), count, "", _sigmoid(bias) if count else 0.0
-    none, count, top, spots = 0.0, 0, 0.0, []
+        return (-math.expm1(-none), count, "", _sigmoid(bias)) if count else (0.0, 0, "", 0.0)
+    count, top, spots = 0, 0.0, []
     for a, b in sentences(text):
         count += 1
         got = {f for w in set(_WORD.findall(text, a, b)) if weigh[w] for f in features(w)}
         z = bias + sum(weigh.weights.get(f, 0.0) for f in got)
-        none += _softplus(z)
+        if z > _FLOOR_AT:
+            none += _softplus(z) - _softplus(_FLOOR_AT)
         p = _sigmoid(z)
         top = max(top, p)
         if p >= THRESHOLD:
@@ -183,7 +206,7 @@ def fit_model(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> dict:
     )
     counts = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts.get(0) or not counts.get(1):
-        return {"weights": {}, "bias": -math.inf}
+        return dict(_NOTHING)
     prior = counts[1] / (counts[0] + counts[1])
     order = F.xxhash64("doc_id")
     chosen = known.filter("toxic = 1").orderBy(order, "doc_id").limit(fit.per_class).union(
@@ -205,7 +228,7 @@ def fit_model(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> dict:
         yield pd.DataFrame({"model": [pickle.dumps(model)]})
 
     made = sample.repartition(1).mapInPandas(learn, "model binary").first()
-    return pickle.loads(made.model) if made else {"weights": {}, "bias": -math.inf}
+    return pickle.loads(made.model) if made else dict(_NOTHING)
 
 
 def scorer(spark: SparkSession, model: dict):
@@ -214,10 +237,10 @@ def scorer(spark: SparkSession, model: dict):
 
     @F.pandas_udf("score double, n_sentences int, offending string, worst double")
     def score(texts: pd.Series) -> pd.DataFrame:
-        weigh, bias = _Marked(shared.value["weights"]), shared.value["bias"]
+        weigh, bias, leak = _Marked(shared.value["weights"]), shared.value["bias"], shared.value["leak"]
         if bias == -math.inf:
             return pd.DataFrame({"score": 0.0, "n_sentences": 0, "offending": "", "worst": 0.0}, index=texts.index)
-        found = [score_text(t, weigh, bias) for t in texts]
+        found = [score_text(t, weigh, bias, leak) for t in texts]
         return pd.DataFrame(found, columns=["score", "n_sentences", "offending", "worst"], index=texts.index)
 
     return score

@@ -72,3 +72,12 @@ def test_empty_documents(spark, folder):
     docs = documents(spark, [])
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, sf_dir).collect() == []
+
+
+def test_a_long_clean_document_stays(spark, folder):
+    sf_dir, _ = folder
+    rng = random.Random(27)
+    long = "\n".join(prose(rng, 4).capitalize() + "." for _ in range(20_000))
+    docs = documents(spark, [(1, long, "s"), (2, f"{long}\nSuch a grimbol.", "s")])
+    kept = dict(corpus_pipeline.STAGES)["toxicity"](spark, docs, sf_dir).collect()
+    assert [(r.doc_id, r.text) for r in kept] == [(1, long)]
