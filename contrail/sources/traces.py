@@ -5,19 +5,22 @@ A document is one JSON object per entity-day file ``flight-track-<yyyy-MM-dd>.js
     {"icao": "abc123", "timestamp": 1746057600.0,
      "trace": [[offset_s, lat, lng, altitude_ft | "ground" | null, ...], ...]}
 
-Only the first four elements of a point are used. The reader passes an explicit
-schema (no inference pass over the data); malformed files are kept in
+Only the first four elements of a point are used. A file may hold any number of
+documents one after another, of this shape or the fallback feed's. The reader passes an
+explicit schema (no inference pass over the data); malformed documents are kept in
 ``_corrupt_record`` and split off into a quarantine frame instead of vanishing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contrail.functions import element, json_int, strict_double
 from contrail.functions.scalar import TRACK_FILE_DATE_PATTERN
+from contrail.operators.ingest import choose_source
+from contrail.session import materialised
 
 CORRUPT = "_corrupt_record"
 
@@ -45,76 +48,247 @@ POINT_COLUMNS = [
 ]
 
 
-def read_traces(spark: SparkSession, path: str, schema: T.StructType = TRACE_SCHEMA) -> DataFrame:
-    """Scan all matching files (glob or folder), one document per file.
+# Every document that the readers know, trace or fallback.
+DOCUMENT_SCHEMA = T.StructType(
+    [f for f in TRACE_SCHEMA if f.name != CORRUPT] + [f for f in FALLBACK_SCHEMA if f.name != CORRUPT]
+    + [T.StructField(CORRUPT, T.StringType())]
+)
 
-    Adds ``source_file`` (the file name, from the ``_metadata`` column). A file that
-    is not valid JSON yields one row with only ``_corrupt_record`` set.
-    """
+
+# ---------------------------------------------------------------- root objects of texts
+#
+# A text is read as fragments that end at "}", so a large file is cut into byte ranges (its
+# blocks) that different tasks read, wherever its line ends are. What a fragment does is a
+# function of whether it begins inside a string: how many braces it opens, and where it ends.
+# These functions are composed inside a block by a window, then over the blocks of a file (one
+# row per block); a root ends where the depth comes back to 0.
+
+
+def source_name(metadata: str = "_metadata") -> Column:
+    """The document file that a text belongs to: the file's name, or its folder's if that is one."""
+    name, path = F.col(f"{metadata}.file_name"), F.col(f"{metadata}.file_path")
+    folder = F.nullif(F.regexp_extract(path, r"([^/=]+\.json)/[^/]*$", 1), F.lit(""))
+    return F.when(name.endswith(".json"), name).otherwise(F.coalesce(folder, name))
+
+
+def _file_fragments(texts: DataFrame) -> DataFrame:
+    """Rows of a text scan cut at ``}`` -> fragments (see ``_cut_roots``)."""
+    return texts.select(
+        source_name().alias("source_file"),
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.col("_metadata.file_size").alias("_size"),
+        "value",
+    )
+
+
+def _count(text: Column, char: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(char), F.lit("")))
+
+
+def _effects(fragments: DataFrame) -> DataFrame:
+    """Per fragment: _odd (it changes between inside and outside of strings), _out and _in (what it
+    adds to the depth when it begins outside or inside of one; its own ``}`` included) and _bytes."""
+    plain = F.regexp_replace("value", r"(?s)\\.", "")  # no fragment ends in an escape: } takes none
+    bare = lambda text: F.regexp_replace(text, r'"[^"]*("|\z)', "")
+    depth = lambda text: _count(text, "{") - _count(text, "}")
+    odd = _count(F.col("_plain"), '"') % 2
     return (
-        spark.read.schema(schema)
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
-        .withColumn("source_file", F.col("_metadata.file_name"))
+        fragments.select("_file", "_block", "_id", "_size", "value", plain.alias("_plain"))
+        .select(
+            "_file",
+            "_block",
+            "_id",
+            "_size",
+            odd.alias("_odd"),
+            (depth(bare(F.col("_plain"))) - F.when(odd == 0, 1).otherwise(0)).alias("_out"),
+            (depth(bare(F.concat(F.lit('"'), "_plain"))) - F.when(odd == 1, 1).otherwise(0)).alias("_in"),
+            (F.octet_length("value") + 1).cast("long").alias("_bytes"),
+        )
     )
 
 
-# Fixed value: possible split point between concatenated root objects "}{" (blanks allowed).
-_ROOT_SPLIT = r"(?<=\})(?=\s*\{)"
+def _placed(fragments: DataFrame) -> DataFrame:
+    """_id -> _file, _root (number of the root in its file), _alone (the fragment is all of it), _open
+    (no ``}`` follows the fragment: the end of a file that does not end in one)."""
+    inside = Window.partitionBy("_file", "_block").orderBy("_id")
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    mode = F.coalesce(F.sum("_odd").over(before), F.lit(0)) % 2  # if the block begins outside
+    local = _effects(fragments).withColumn("_mode", mode)
+    local = materialised(
+        local.select(
+            "_file",
+            "_block",
+            "_id",
+            "_size",
+            "_odd",
+            "_bytes",
+            F.sum(F.when(F.col("_mode") == 0, F.col("_out")).otherwise(F.col("_in"))).over(upto).alias("_depth0"),
+            F.sum(F.when(F.col("_mode") == 0, F.col("_in")).otherwise(F.col("_out"))).over(upto).alias("_depth1"),
+        ),
+        "fragments",
+    )
+    # One row per block of a file.
+    file = Window.partitionBy("_file").orderBy("_block")
+    earlier = file.rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("_file")
+    blocks = local.groupBy("_file", "_block").agg(
+        (F.sum("_odd") % 2).alias("_odd"),
+        F.max_by("_depth0", "_id").alias("_total0"),
+        F.max_by("_depth1", "_id").alias("_total1"),
+        F.max("_id").alias("_last"),
+        F.sum("_bytes").alias("_bytes"),
+        F.max("_size").alias("_size"),
+    )
+    blocks = blocks.withColumn("_begins", F.coalesce(F.sum("_odd").over(earlier), F.lit(0)) % 2).withColumns(
+        {
+            # The text ends without the } that each fragment is counted with.
+            "_ends_open": (F.sum("_bytes").over(whole) == F.col("_size") + 1)
+            & (F.col("_block") == F.max("_block").over(whole)),
+            "_total": F.when(F.col("_begins") == 0, F.col("_total0")).otherwise(F.col("_total1")),
+        }
+    )
+    blocks = blocks.select(
+        "_file",
+        "_block",
+        "_begins",
+        F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_base"),
+        F.when(F.col("_ends_open"), F.col("_last")).alias("_open_at"),
+    )
+    depth = F.col("_base") + F.when(F.col("_begins") == 0, F.col("_depth0")).otherwise(F.col("_depth1"))
+    is_open = F.coalesce(F.col("_id") == F.col("_open_at"), F.lit(False))
+    deep = local.join(blocks, ["_file", "_block"]).select(
+        "_file", "_block", "_id", "_base", is_open.alias("_open"), (depth + is_open.cast("int")).alias("_depth")
+    )
+    closes = (F.col("_depth") <= 0) & ~F.col("_open")
+    closed = materialised(
+        deep.select(
+            "_file",
+            "_block",
+            "_id",
+            "_open",
+            closes.alias("_closes"),
+            (closes & (F.coalesce(F.lag("_depth").over(inside), F.col("_base")) <= 0)).alias("_alone"),
+            F.coalesce(F.count_if(closes).over(before), F.lit(0)).alias("_local"),
+        ),
+        "root-ends",
+    )
+    ends = closed.groupBy("_file", "_block").agg(F.count_if("_closes").alias("_n"))
+    ends = ends.select("_file", "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    return closed.join(ends, ["_file", "_block"]).select(
+        "_id", "_file", (F.col("_before") + F.col("_local")).alias("_root"), "_alone", "_open", "_block"
+    )
 
 
-def root_objects(text) -> "F.Column":
-    """Array of the root objects in a text: cut between ``}`` and ``{`` outside of strings.
+def _cut_roots(fragments: DataFrame) -> DataFrame:
+    """source_file, doc: the root objects of texts that are cut into fragments at ``}``.
 
-    A cut inside a string leaves an odd number of quotation marks (escaped characters not
-    counted) behind; such parts are put together again.
+    fragments: source_file, _file (one per text), _block (where the fragment's part of the text
+    begins), _id (rising inside a block, unique), _size (bytes of the text), value. Most roots are
+    one fragment and stay where they are; the fragments of the others meet by root.
     """
-    quotes = lambda part: F.length(
-        F.regexp_replace(F.regexp_replace(part, r"\\.", ""), '[^"]', "")
-    )
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
-
-    def step(state, part):
-        whole = F.concat(state["open"], part)
-        closed = quotes(whole) % 2 == 0
-        return F.struct(
-            F.when(closed, F.concat(state["done"], F.array(whole))).otherwise(state["done"]).alias("done"),
-            F.when(closed, F.lit("")).otherwise(whole).alias("open"),
-        )
+    place = _placed(fragments)
+    pieces = fragments.select("source_file", "_id", "value").join(place, "_id")
+    text = F.concat("value", F.when(F.col("_open"), F.lit("")).otherwise(F.lit("}")))
+    alone = pieces.filter("_alone").select("source_file", text.alias("doc"))
+    parts = F.array_sort(F.collect_list(F.struct("_block", "_id", text.alias("t"))))
+    others = pieces.filter("NOT _alone").groupBy("source_file", "_file", "_root").agg(parts.alias("_parts"))
+    docs = alone.union(others.select("source_file", F.array_join("_parts.t", "").alias("doc")))
+    docs = docs.withColumn("doc", F.regexp_replace("doc", r"^\s+", ""))
+    return docs.filter(F.col("doc") != "")
+
+
+def _parsed(docs: DataFrame, schema: T.StructType) -> DataFrame:
+    """Every root object by the schema; one that is not valid JSON keeps its text in ``_corrupt_record``."""
+    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = docs.select("source_file", F.from_json("doc", schema, opts).alias("d"))
+    return parsed.select(*[F.col(f"d.{f.name}").alias(f.name) for f in schema.fields], "source_file")
+
 
-    def finish(state):
-        rest = F.array(state["open"])
-        return F.when(state["open"] == "", state["done"]).otherwise(F.concat(state["done"], rest))
+def read_traces(spark: SparkSession, path: str, schema: T.StructType = TRACE_SCHEMA) -> DataFrame:
+    """Scan all matching files (glob or folder), one row per root object.
 
-    return F.aggregate(F.split(text, _ROOT_SPLIT), start, step, finish)
+    A file may hold any number of root objects, on one line or many, and is read by as many
+    tasks as it has splits (``spark.sql.files.maxPartitionBytes``); the texts are read twice,
+    once for their braces and once to be parsed. Adds ``source_file``. What is not valid JSON
+    yields rows with only ``_corrupt_record`` set; a root that never closes takes the rest of
+    its file with it. Null traces and empty files give no points.
+    """
+    texts = spark.read.option("lineSep", "}").text(path)
+    fragments = _file_fragments(texts).withColumn("_id", F.monotonically_increasing_id())
+    return _parsed(_cut_roots(fragments), schema)
 
 
 def parse_documents(texts: DataFrame, text: str = "value", source_file: str = "source_file",
                     schema: T.StructType = TRACE_SCHEMA) -> DataFrame:
-    """Whole file texts -> one row per root object (S2 for concatenated documents).
+    """Whole texts in a column -> one row per root object (S2 for texts that are no files).
 
-    Every root object is parsed with the schema; one that is not valid JSON keeps its
-    text in ``_corrupt_record``.
+    The texts are written once, so that their row numbers stay what they are.
     """
-    parts = texts.select(F.col(source_file).alias("source_file"), F.explode(root_objects(F.col(text))).alias("doc"))
-    parts = parts.withColumn("doc", F.regexp_replace("doc", r"^\s+", ""))
-    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = parts.select("source_file", F.from_json("doc", schema, opts).alias("d"))
-    return parsed.select(*[F.col(f"d.{f.name}").alias(f.name) for f in schema.fields], "source_file")
+    rows = texts.select(F.col(source_file).alias("source_file"), F.col(text).alias("value"))
+    kept = materialised(rows.withColumn("_file", F.monotonically_increasing_id()), "texts")
+    cut = kept.select(
+        "source_file", "_file", F.octet_length("value").cast("long").alias("_size"), F.posexplode(F.split("value", r"\}"))
+    )
+    fragments = cut.select(
+        "source_file",
+        "_file",
+        F.expr(f"pos div {_BLOCK}").alias("_block"),
+        F.struct("_file", "pos").alias("_id"),
+        "_size",
+        F.col("col").alias("value"),
+    )
+    return _parsed(_cut_roots(fragments), schema)
+
+
+_BLOCK = 4096  # fragments of a text that are numbered together
 
 
 def read_trace_text(spark: SparkSession, path: str, schema: T.StructType = TRACE_SCHEMA) -> DataFrame:
-    """S2 for files holding several concatenated root objects.
+    """``read_traces`` by its older name."""
+    return read_traces(spark, path, schema)
+
+
+def stream_fragments(spark: SparkSession, path: str) -> DataFrame:
+    """The files of a folder as a stream of fragments, for ``parse_fragments`` on each micro-batch."""
+    return _file_fragments(spark.readStream.option("lineSep", "}").text(path))
+
+
+def parse_fragments(batch: DataFrame, schema: T.StructType) -> DataFrame:
+    """Documents of a micro-batch of whole files (``stream_fragments``)."""
+    return _parsed(_cut_roots(batch.withColumn("_id", F.monotonically_increasing_id())), schema)
+
+
+def routed(docs: DataFrame) -> DataFrame:
+    """Documents of either shape (``DOCUMENT_SCHEMA``) as trace documents, one by one.
+
+    A document with a trace (or without a path) is one already; one that has only a path is
+    mapped. Where a vehicle's day has documents of both shapes, those with a trace win.
+    """
+    is_fallback = F.col("trace").isNull() & F.col("path").isNotNull()
+    own = docs.filter(~is_fallback).select("icao", "timestamp", "trace", CORRUPT, "source_file")
+    other = docs.filter(is_fallback).withColumn("icao24", F.coalesce("icao24", "icao"))
+    return choose_source(own, fallback_as_traces(other), ["icao", "source_file"])
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """One scan of all files, whichever shapes their documents have, as trace documents."""
+    return routed(read_traces(spark, path, DOCUMENT_SCHEMA))
+
+
+def day_documents(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(documents to be flattened, set aside): the reading path of trace documents.
 
-    ``multiLine`` JSON keeps only the first root object of a file; this reads each
-    file as one text value and parses every root object in it.
+    Set aside, with a ``reason``: what is not JSON (``malformed``), and documents that share
+    their vehicle and day with another (``repeated``), whose points would mix.
     """
-    raw = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_name").alias("source_file"), F.col("value")
+    good, bad = split_quarantine(docs)
+    alone, others = one_per_day(good)
+    aside = bad.withColumn("reason", F.lit("malformed")).unionByName(
+        others.select("source_file", "icao", F.lit(None).cast("string").alias(CORRUPT), F.lit("repeated").alias("reason"))
     )
-    return parse_documents(raw, "value", "source_file", schema)
+    return alone, aside
 
 
 def split_quarantine(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
