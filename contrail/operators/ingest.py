@@ -137,21 +137,36 @@ def missing_days(
 
 def run_outcomes(classified: DataFrame, fetched: DataFrame, keys: Sequence[str] = ("entity", "day")) -> DataFrame:
     """Outcomes after the run: a day that was to be fetched is ``downloaded`` if ``fetched``
-    (keys with a usable payload from either feed) holds it, else ``failed``."""
+    (keys with a usable payload from either feed, and the feed as ``source`` if it is given)
+    holds it, else ``failed``. ``source`` is the feed that gave the payload, the primary one
+    where both do; NULL for days that the run did not download."""
     keys = list(keys)
-    got = _renamed(fetched.select(*keys).distinct(), keys).withColumn("_got", F.lit(True))
+    feed = F.col("source") if "source" in fetched.columns else F.lit(SOURCES[-1])
+    place = F.array_position(F.array(*map(F.lit, SOURCES)), feed)
+    given = fetched.groupBy(*keys).agg(F.max(place).alias("_feed"))
+    got = _renamed(given, keys, "_feed")
     out = classified.join(got, _same(classified, got, keys), "left").drop(*[f"_{k}" for k in keys])
-    ended = F.when(F.col("_got"), F.lit(OUTCOME_DOWNLOADED)).otherwise(F.lit(OUTCOME_FAILED))
-    return out.withColumn(
-        "outcome", F.when(F.col("outcome") == OUTCOME_PENDING, ended).otherwise(F.col("outcome"))
-    ).drop("_got")
-
-
-def run_updates(ended: DataFrame, seen_at, source: str = "primary") -> DataFrame:
-    """What a run writes to the cache: has_data for downloaded days, no_data for failed ones."""
+    pending = F.col("outcome") == OUTCOME_PENDING
+    ended = F.when(F.col("_feed").isNotNull(), F.lit(OUTCOME_DOWNLOADED)).otherwise(F.lit(OUTCOME_FAILED))
+    source = F.get(F.array(*map(F.lit, SOURCES)), F.col("_feed").cast("int") - 1)
+    return out.withColumns(
+        {
+            "source": F.when(pending, source),
+            "outcome": F.when(pending, ended).otherwise(F.col("outcome")),
+        }
+    ).drop("_feed")
+
+
+def run_updates(ended: DataFrame, seen_at) -> DataFrame:
+    """What a run writes to the cache: has_data for downloaded days, with the feed that gave them,
+    and no_data for failed ones, which the fallback feed was asked for last."""
     status = F.when(F.col("outcome") == OUTCOME_DOWNLOADED, F.lit(HAS_DATA)).otherwise(F.lit(NO_DATA))
     return ended.filter(F.col("outcome").isin(OUTCOME_DOWNLOADED, OUTCOME_FAILED)).select(
-        "entity", "day", status.alias("status"), F.lit(source).alias("source"), seen_at.alias("seen_at")
+        "entity",
+        "day",
+        status.alias("status"),
+        F.coalesce(F.col("source"), F.lit(SOURCES[0])).alias("source"),
+        seen_at.alias("seen_at"),
     )
 
 

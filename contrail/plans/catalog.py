@@ -18,9 +18,11 @@ from contrail.operators import geometry as G
 from contrail.operators import ingest as I
 from contrail.operators import legs as L
 from contrail.operators import places as P
-from contrail.session import materialised
+from contrail.session import materialised, scratch_path
 from contrail.sources import fixtures as X
+from contrail.sources import keyed, sinks
 from contrail.sources import traces as TR
+from contrail.streaming import incremental as N
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -289,11 +291,85 @@ def one_document_per_day(spark, sf_dir):
     )
 
 
+def _day_points(spark, sf_dir):
+    """Points of the day documents (events by user and day), through the reading path."""
+    docs = X.trace_shaped(spark, sf_dir).drop("user_id")
+    return TR.flatten(TR.day_documents(docs)[0])
+
+
+def trace_files(spark, sf_dir):
+    """Documents of both shapes written as day files and read as one source."""
+    path = scratch_path(spark, "trace-files")
+    sinks.write_documents(X.event_document_texts(spark, sf_dir), path)
+    docs, _ = TR.day_documents(TR.read_documents(spark, path))
+    return TR.flatten(docs).drop("timestamp")
+
+
+def checked_points(spark, sf_dir):
+    """Good and bad points of documents with faults, split by one pass; the counts observed."""
+    docs = X.trace_shaped(spark, sf_dir, faults=True).drop("user_id")
+    points = TR.flatten(docs, strict=False).drop("timestamp")
+    good, bad, seen = sinks.write_checked_points(points, scratch_path(spark, "checked-points"))
+    both = good.withColumn("bad", F.lit(False)).union(bad.withColumn("bad", F.lit(True)))
+    return both.withColumns({"n_good": F.lit(seen["good"]), "n_bad": F.lit(seen["bad"])}).withColumns(
+        {n: F.col(n).cast("bigint") for n in ("n_good", "n_bad")}
+    )
+
+
+# The day range that the stored points are read for.
+FIRST_DAY, LAST_DAY = "2024-01-05", "2024-01-20"
+
+
+def stored_points(spark, sf_dir):
+    """The point table written by day, the report's columns of a day range read."""
+    path = scratch_path(spark, "point-table")
+    sinks.write_points(_day_points(spark, sf_dir), path)
+    return sinks.read_report_points(spark, path, FIRST_DAY, LAST_DAY).select(
+        "entity", "flight_date", "idx", "lat", "lng", "altitude_ft"
+    )
+
+
+def stored_legs(spark, sf_dir):
+    """The leg table of the day documents, written and read by day."""
+    path = scratch_path(spark, "leg-table")
+    legs = L.leg_summary(_day_points(spark, sf_dir), L.TrackCols(), X.EVENT_DAY_PARAMS)
+    sinks.write_legs(legs, path)
+    return sinks.read_legs(spark, path)
+
+
+def incremental_legs(spark, sf_dir):
+    """Two micro-batches and a replay; legs of touched days only are computed anew."""
+    path = scratch_path(spark, "incremental")
+    early, late = X.arriving_documents(spark, sf_dir)
+    for batch_id, docs in ((0, early), (1, late), (1, late)):
+        N.process_batch(docs, batch_id, f"{path}/points", f"{path}/aside", None, f"{path}/legs", X.EVENT_DAY_PARAMS)
+    return N.current_legs(spark, f"{path}/legs")
+
+
+def feature_collections(spark, sf_dir):
+    """A FeatureCollection per day, written in parts and read back: Features, where it opens and closes."""
+    path = scratch_path(spark, "collections")
+    cols = L.TrackCols()
+    features = G.features(G.ribbons(G.coloured_pairs(materialised(_day_points(spark, sf_dir), "points"), cols), cols), cols)
+    sinks.write_collections(features, path)
+    lines = G.parsed_features(sinks.read_collections(spark, path))
+    place = F.struct("part", "line")
+    return lines.groupBy("flight_date").agg(
+        F.count_if(F.col("feature_type") == "Feature").alias("n_features"),
+        F.count_if("opens").alias("n_opens"),
+        F.count_if("closes").alias("n_closes"),
+        (F.min_by("opens", place) & F.max_by("closes", place)).alias("in_place"),
+        F.max("extrusion_height").alias("highest"),
+        F.count_distinct("color").alias("colours"),
+    )
+
+
 def trace_leg_summary(spark, sf_dir):
     """Flatten + leg summary per (entity, flight_date): ground below 2000 ft (the
     reference default); legs longer than 60 s with more than 2 points, since these
     16-point documents cannot meet 900 s / 50 points."""
-    pts = TR.flatten(X.trace_documents(spark, sf_dir))
+    docs = X.trace_documents(spark, sf_dir).withColumn("_corrupt_record", F.lit(None).cast("string"))
+    pts = TR.flatten(TR.day_documents(docs)[0])
     params = L.LegParams(min_seconds=60, min_points=2)
     return L.leg_summary(pts, L.TrackCols(), params)
 
@@ -362,6 +438,23 @@ def manifest_upsert(spark, sf_dir):
     return I.upsert(cache, updates)
 
 
+def manifest_table(spark, sf_dir):
+    """The cache as a stored table: the primary feed's looks committed, the fallback feed's
+    committed over them, twice, and the newest version read back."""
+    path = scratch_path(spark, "manifest")
+    hist = X.manifest_history(spark, sf_dir)
+    fallback = hist.filter(F.col("source") == "fallback")
+    keyed.create_table(spark, path)
+    for looks in (hist.filter(F.col("source") == "primary"), fallback, fallback):
+        keyed.upsert_table(looks, path, buckets=16)
+    return keyed.read_table(spark, path, hist.schema)
+
+
+def run_cache_update(spark, sf_dir):
+    """What a run writes to the cache: its downloaded and failed days, by the feed that gave them."""
+    return I.run_updates(_ended(spark, sf_dir), F.lit(X.RUN_AT).cast("timestamp_ntz"))
+
+
 def outcome_counts(spark, sf_dir):
     """Days per outcome after the run (skipped, cached, downloaded, failed) and the total."""
     return I.outcome_counts(_ended(spark, sf_dir))
@@ -457,6 +550,12 @@ def queries() -> dict[str, Query]:
         "trace_text_quarantine": trace_text_quarantine,
         "document_choice": document_choice,
         "one_document_per_day": one_document_per_day,
+        "trace_files": trace_files,
+        "checked_points": checked_points,
+        "stored_points": stored_points,
+        "stored_legs": stored_legs,
+        "incremental_legs": incremental_legs,
+        "feature_collections": feature_collections,
         "trace_leg_summary": trace_leg_summary,
         "embedding_values": embedding_values,
         "props_int": props_int,
@@ -465,6 +564,8 @@ def queries() -> dict[str, Query]:
         "day_status": day_status,
         "manifest_latest": manifest_latest,
         "manifest_upsert": manifest_upsert,
+        "manifest_table": manifest_table,
+        "run_cache_update": run_cache_update,
         "outcome_counts": outcome_counts,
         "run_status": run_status,
         "source_choice": source_choice,

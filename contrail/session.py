@@ -74,16 +74,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new folder below the checkpoint folder, in the folder of this application (which can be
+    removed when it has ended)."""
+    app = spark.sparkContext.applicationId
+    return f"{checkpoint_root(spark).rstrip('/')}/contrail/{app}/{label}-{uuid.uuid4().hex}"
+
+
 def materialised(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet below the checkpoint folder and read it back.
 
     For results that several branches of a plan read: columnar, so each branch prunes
-    its columns, and safe against lost executors. The files lie in a folder of this
-    application, which can be removed when it has ended.
+    its columns, and safe against lost executors.
     """
     spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{checkpoint_root(spark).rstrip('/')}/contrail/{app}/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

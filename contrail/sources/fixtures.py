@@ -175,8 +175,14 @@ def present_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fetched_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(entity, day) for which either feed gives a usable payload: days with a 'view' event."""
-    return event_days(spark, sf_dir).filter(F.col("event_type") == "view").select("entity", "day")
+    """(entity, day, source) for which a feed gives a usable payload: days with a 'view' event; the
+    feed is the primary one where the event's time is in the first half of an hour."""
+    views = event_days(spark, sf_dir).filter(F.col("event_type") == "view")
+    feed = F.when(F.minute("ts") < 30, F.lit("primary")).otherwise(F.lit("fallback"))
+    return views.select("entity", "day", feed.alias("source"))
+
+
+RUN_AT = "2024-02-01 00:00:00"  # when the run ends whose cache entries are asked for
 
 
 def feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -231,7 +237,7 @@ def trace_file_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Two feeds of documents as their readers yield them: traces of the vehicles whose
-    number does not divide by 3, and fallback documents of those that divide by 2.
+    number does not divide by 3, and fallback documents of all vehicles.
 
     A fallback row per point: epoch second, latitude, longitude, metres (e3 * 6000 + 1500,
     rounded), track, on ground (e3 < -0.3)."""
@@ -239,7 +245,7 @@ def document_feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     number = F.conv(F.col("icao"), 16, 10).cast("bigint")
     corrupt = F.lit(None).cast("string").alias("_corrupt_record")
     primary = docs.filter(number % 3 != 0).select("icao", "timestamp", "trace", corrupt, "source_file")
-    emb = table(spark, sf_dir, "embeddings").filter("vec_id % 2 = 0")
+    emb = table(spark, sf_dir, "embeddings")
     base = F.lit(TRACE_BASE_EPOCH) + F.col("vec_id").cast("double") * F.lit(86400.0)
     e = lambda i, k: F.get(F.col("embedding"), i * 4 + k).cast("double")
 
@@ -267,3 +273,79 @@ def repeated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``trace_documents`` in which every tenth vehicle's day has a second document."""
     docs = trace_documents(spark, sf_dir)
     return docs.union(docs.filter(F.conv(F.col("icao"), 16, 10).cast("bigint") % 10 == 0))
+
+
+# Day documents (``event_documents``), from ``events``: one document per user and day, its points
+# in the order of (ts, event_id): seconds from midnight, position and altitude of the point table.
+# Every third user's documents have the fallback shape: epoch second, position, metres
+# (event_id * 7 % 3000), track, on ground (event_id divides by 11).
+EVENT_DAY_PARAMS = LegParams(ground_below=1500, min_seconds=0, min_points=1)
+
+
+def event_documents(spark: SparkSession, sf_dir: str, faults: bool = False) -> DataFrame:
+    """(source_file, user_id, icao, timestamp, trace, path) per user and day; trace or path is NULL.
+
+    With ``faults`` the latitude of every 13th event is the text ``n/a``.
+    """
+    pos = event_positions(spark, sf_dir)
+    day = F.to_date("ts")
+    base = F.unix_date(day).cast("double") * F.lit(86400.0)
+    eid = F.col("event_id")
+    lat = F.col("lat").cast("string")
+    if faults:
+        lat = F.when(eid % 13 == 0, F.lit("n/a")).otherwise(lat)
+    text = lambda c: c.cast("string")
+    point = F.array(text(F.col("t") - base), lat, text(F.col("lng")), text(F.col("alt")))
+    row = F.array(
+        text(F.col("t")), lat, text(F.col("lng")), text((eid * 7 % 3000).cast("double")), F.lit("0.0"), text(eid % 11 == 0)
+    )
+    ordered = F.array_sort(F.collect_list(F.struct("ts", "event_id", point.alias("p"), row.alias("r"))))
+    docs = pos.groupBy(F.col("entity").alias("user_id"), day.alias("day"), base.alias("timestamp")).agg(ordered.alias("o"))
+    other = F.col("user_id") % 3 == 0
+    return docs.select(
+        F.concat(F.lit("flight-track-"), F.date_format("day", "yyyy-MM-dd"), F.lit(".json")).alias("source_file"),
+        "user_id",
+        F.lower(F.hex("user_id")).alias("icao"),
+        "timestamp",
+        F.when(~other, F.col("o.p")).alias("trace"),
+        F.when(other, F.col("o.r")).alias("path"),
+    )
+
+
+def event_document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The day documents as JSON texts (source_file, value), in the shape of their feed."""
+    docs = event_documents(spark, sf_dir)
+    points = lambda c: F.transform(
+        c, lambda p: F.concat(F.lit("["), F.array_join(F.transform(p, _json_value), ", "), F.lit("]"))
+    )
+    trace = _json_document(F.col("icao"), F.col("timestamp"), F.col("trace"))
+    path = F.concat(
+        F.lit('{"icao24": "'), F.col("icao"), F.lit('", "startTime": '), F.col("timestamp").cast("string"),
+        F.lit(', "path": ['), F.array_join(points(F.col("path")), ", "), F.lit("]}"),
+    )
+    return docs.select("source_file", F.coalesce(trace, path).alias("value"))
+
+
+def trace_shaped(spark: SparkSession, sf_dir: str, faults: bool = False) -> DataFrame:
+    """The day documents of all users as trace documents, as the reader yields them."""
+    corrupt = F.lit(None).cast("string").alias("_corrupt_record")
+    docs = event_documents(spark, sf_dir, faults)
+    # The rows of a fallback document hold the same points, by the same order.
+    day = lambda p: F.array((p[0].cast("double") - F.col("timestamp")).cast("string"), p[1], p[2], p[3])
+    trace = F.coalesce("trace", F.transform("path", day))
+    return docs.select("icao", "timestamp", trace.alias("trace"), corrupt, "source_file", "user_id")
+
+
+def arriving_documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The day documents as two micro-batches whose outcome is ``trace_shaped``.
+
+    The first brings the first half only of the documents of users that divide by 2, and two
+    copies of those whose number ends in 3; the second brings all of both again.
+    """
+    docs = trace_shaped(spark, sf_dir)
+    user = F.col("user_id")
+    half = F.slice("trace", F.lit(1), F.expr("size(trace) div 2"))
+    early = docs.withColumn("trace", F.when(user % 2 == 0, half).otherwise(F.col("trace")))
+    early = early.union(docs.filter(user % 10 == 3))
+    late = docs.filter((user % 2 == 0) | (user % 10 == 3))
+    return early.drop("user_id"), late.drop("user_id")

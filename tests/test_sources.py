@@ -183,3 +183,62 @@ def test_fallback_feed_maps_onto_traces(spark, scratch):
     assert [(r.entity, r.flight_date, r.idx, r.altitude_ft, r.time_offset) for r in rows] == [
         ("abc123", "2025-05-01", 1, 3000, 0.0), ("abc123", "2025-05-01", 2, 0, 5.0), ("abc123", "2025-05-01", 3, 0, 11.0)]
     assert rows[2].timestamp.isoformat() == "2025-05-01T00:00:11"
+
+
+def test_a_days_parts_are_one_collection(spark, scratch):
+    from contrail.operators import geometry as G
+    from contrail.operators import legs as L
+
+    rows = [(e, f"2025-05-0{d}", 0.0, i, 60.0 * i, -11.0 + 0.01 * i, 40.0, 3000 + i)
+            for d, n in ((1, 60), (2, 2), (3, 9)) for e in ("a", None) for i in range(1, n + 1)]
+    pts = spark.createDataFrame(rows, "entity string, flight_date string, base_timestamp double, idx long, "
+                                "time_offset double, lat double, lng double, altitude_ft int")
+    cols = L.TrackCols()
+    feats = G.features(G.ribbons(G.coloured_pairs(pts, cols), cols), cols).repartition(5)
+    out = os.path.join(scratch, "collections")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sinks.write_collections(feats, out)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts_of_days = []
+    for day, n in (("2025-05-01", 118), ("2025-05-02", 2), ("2025-05-03", 16)):
+        folder = os.path.join(out, f"flight_date={day}")
+        parts = sorted(f for f in os.listdir(folder) if f.startswith("part-"))
+        parts_of_days.append(len(parts))
+        text = "".join(open(os.path.join(folder, f), encoding="utf-8").read() for f in parts)
+        whole = json.loads(text)
+        assert whole["type"] == "FeatureCollection" and len(whole["features"]) == n
+        assert all(f["type"] == "Feature" for f in whole["features"])
+        want = [r.geojson for r in feats.filter(F.col("flight_date") == day).orderBy("entity", "idx").collect()]
+        assert [json.dumps(f) for f in whole["features"]] == [json.dumps(json.loads(w)) for w in want]
+    assert max(parts_of_days) > 1
+    back = sinks.read_collections(spark, out).collect()
+    assert sorted(r.geojson for r in back) == sorted(r.geojson for r in feats.collect())
+
+
+def test_good_and_bad_points_come_from_one_scan(spark, scratch):
+    docs = spark.createDataFrame(
+        [("flight-track-2025-05-01.json", "a", 0.0, [["1", "2", "3", "4000"], ["x", "2", "3", "4000"], ["3", None, "3"]])],
+        "source_file string, icao string, timestamp double, trace array<array<string>>")
+    docs.write.parquet(os.path.join(scratch, "docs"))
+    points = traces.flatten(spark.read.parquet(os.path.join(scratch, "docs")), strict=False)
+    good, bad, seen = sinks.write_checked_points(points, os.path.join(scratch, "points"))
+    assert [r.idx for r in good.collect()] == [1] and sorted(r.idx for r in bad.collect()) == [2, 3]
+    assert seen == {"good": 1, "bad": 2} and good.columns == points.columns
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = bad._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "PartitionFilters: [isnotnull(bad" in plan and plan.count("FileScan") == 1
+
+
+def test_documents_written_as_files_are_read_back(spark, scratch):
+    texts = [(f"flight-track-2025-05-0{d}.json", json.dumps({"icao": f"v{k}", "timestamp": 0.0, "trace": [[0, 1, 2, 3]]}))
+             for d in (1, 2) for k in range(30)]
+    out = os.path.join(scratch, "files")
+    sinks.write_documents(spark.createDataFrame(texts, "source_file string, value string"), out)
+    points = traces.flatten(traces.read_traces(spark, out))
+    assert sorted((r.flight_date, r.entity) for r in points.collect()) == sorted(
+        (f[13:23], json.loads(t)["icao"]) for f, t in texts)

@@ -5,8 +5,9 @@ import tempfile
 from pyspark.sql import functions as F
 
 from contrail.operators.ingest import latest_status
-from contrail.sources.traces import TRACE_SCHEMA, flatten, read_traces, split_quarantine
-from contrail.streaming.incremental import process_batch, stream_traces
+from contrail.operators.legs import LegParams, TrackCols, leg_summary
+from contrail.sources.traces import TRACE_SCHEMA, day_documents, flatten, read_documents, read_traces, split_quarantine
+from contrail.streaming.incremental import current_legs, process_batch, stream_traces
 
 
 def write(folder, name, doc):
@@ -59,3 +60,73 @@ def test_replayed_batch_is_not_duplicated(spark):
     process_batch(batch, 7, out)  # the same batch again, as after a failure
     process_batch(batch, 8, out)
     assert spark.read.parquet(out).count() == 2
+
+
+PARAMS = LegParams(min_seconds=0, min_points=1)
+
+
+def track(icao, alts, base=0.0):
+    return {"icao": icao, "timestamp": base, "trace": [[10 * k, -11.0, 40.5 + k / 100, a] for k, a in enumerate(alts)]}
+
+
+def legs_of(df):
+    return sorted(map(tuple, df.select(sorted(df.columns)).collect()), key=repr)
+
+
+def test_legs_follow_the_touched_days(spark):
+    """Two batches and a replay give the leg table of one batch run over what is there in the end."""
+    root = tempfile.mkdtemp(prefix="contrail-legs-")
+    first, second, final = (os.path.join(root, n) for n in ("first", "second", "final"))
+    for folder in (first, second, final):
+        os.makedirs(folder)
+    up = [0, 3000, 3100, 0, 4000, 4100]
+    day = lambda d: f"flight-track-2025-05-0{d}.json"
+    write(first, day(1), json.dumps(track("a", up[:3])) + json.dumps(track("b", up)))
+    write(first, day(2), track("a", up))
+    write(first, day(3), track("c", up))
+    write(first, day(4), json.dumps(track("d", up)) * 2)  # set aside
+    write(first, "notes.json", track("n", up))
+    write(second, day(1), track("a", up))  # a longer document of the same day
+    write(second, day(3), track("c", [0, 10, 20]))  # the day loses its only legs
+    write(second, day(4), track("d", up))
+    write(second, day(5), track("e", up))
+    for name, text in ((day(1), json.dumps(track("a", up)) + json.dumps(track("b", up))), (day(2), track("a", up)),
+                       (day(3), track("c", [0, 10, 20])), (day(4), track("d", up)), (day(5), track("e", up)),
+                       ("notes.json", track("n", up))):
+        write(final, name, text)
+    points, legs = os.path.join(root, "points"), os.path.join(root, "legs")
+
+    def batch(folder, number):
+        process_batch(read_documents(spark, folder), number, points, os.path.join(root, "aside"), None, legs, PARAMS)
+
+    want = legs_of(leg_summary(flatten(day_documents(read_documents(spark, final))[0]), TrackCols(), PARAMS))
+    batch(first, 0)
+    early = legs_of(current_legs(spark, legs))
+    batch(first, 0)  # replayed
+    assert legs_of(current_legs(spark, legs)) == early != want
+    batch(second, 1)
+    assert legs_of(current_legs(spark, legs)) == want
+    batch(second, 1)
+    assert legs_of(current_legs(spark, legs)) == want
+    days = spark.read.parquet(os.path.join(legs, "days")).filter("ingest_batch = 1")
+    assert sorted(r.flight_date[-1] for r in days.collect()) == ["1", "3", "4", "5"]  # day 2 was not computed anew
+
+
+def test_the_stream_keeps_legs_and_reads_both_shapes(spark):
+    root = tempfile.mkdtemp(prefix="contrail-stream-")
+    src = os.path.join(root, "in")
+    os.makedirs(src)
+
+    def run_legs():
+        stream_traces(spark, src, os.path.join(root, "points"), os.path.join(root, "ckpt"), os.path.join(root, "aside"),
+                      os.path.join(root, "manifest"), os.path.join(root, "legs"), PARAMS).awaitTermination()
+
+    path = {"icao24": "f", "startTime": 0, "path": [[10 * k, -11.0, 40.5, 1000.0, 0, False] for k in range(3)]}
+    write(src, "flight-track-2025-05-01.json", json.dumps(track("a", [3000] * 3)) + json.dumps(path))
+    run_legs()
+    write(src, "flight-track-2025-05-02.json", track("a", [3000] * 4))
+    run_legs()
+    run_legs()
+    legs = current_legs(spark, os.path.join(root, "legs"))
+    assert sorted((r.entity, r.flight_date) for r in legs.collect()) == [
+        ("a", "2025-05-01"), ("a", "2025-05-02"), ("f", "2025-05-01")]
