@@ -159,13 +159,13 @@ def number_legs(
 ) -> DataFrame:
     """Airborne points with their leg number 1..k (running takeoff count), BIGINT.
 
-    ``leg = takeoffs in earlier chunks + local running count``. The per-chunk takeoff
-    counts are a partial hash aggregate of the windowed rows (one row per chunk); the
-    offset table joins back on the window's own partitioning ``(keys, _chunk)``.
+    ``leg = takeoffs in earlier chunks + local running count``. The points are evaluated once:
+    their chunk-local numbers are written, the takeoffs of the chunks are counted from there
+    (one row per chunk) and join back on ``(keys, _chunk)``.
     """
     sealed, keys = sealed_keys(points, cols.keys)
     safe = cols.with_(keys=tuple(keys))
-    local = local_legs(sealed, safe, below, chunk_size)
+    local = materialised(local_legs(sealed, safe, below, chunk_size), "local-legs")
     numbered = local.join(chunk_offsets(local, safe), [*keys, CHUNK], "inner")
     return opened_keys(numbered, keys).select(*points.columns, "is_ground", "prev_ground", "is_takeoff", _leg_number(name))
 
@@ -298,44 +298,75 @@ def leg_keys(points: DataFrame, cols: TrackCols = TrackCols(), params: LegParams
     return opened_keys(numbered.select(*keys, _leg_number(leg)).distinct(), keys)
 
 
-def endpoints_by_join(legs: DataFrame, cols: TrackCols = TrackCols(), leg: str = "flight_num") -> DataFrame:
-    """Leg endpoints through an inner equi-join of leg extents with leg points.
+def _stored_local(points: DataFrame, cols: TrackCols, below: int, chunk_size: int) -> tuple[DataFrame, TrackCols]:
+    """The chunk-local legs of the points, written once with the columns that summaries read."""
+    sealed, keys = sealed_keys(points.select(*dict.fromkeys(_point_columns(cols))), cols.keys)
+    safe = cols.with_(keys=tuple(keys))
+    local = local_legs(sealed, safe, below, chunk_size).drop("is_ground", "prev_ground", "is_takeoff")
+    return materialised(local, "local-legs"), safe
+
+
+def endpoints_by_join(points: DataFrame, cols: TrackCols = TrackCols(), leg: str = "flight_num",
+                      below: int = GROUND_BELOW_FT, chunk_size: int = DEFAULT_CHUNK_SIZE) -> DataFrame:
+    """Leg endpoints through an inner equi-join of leg extents with airborne points.
 
-    ``legs`` (numbered points) is written once and read by the three branches, each with
-    its own columns. The join keys include the ordinal (``keys, leg, idx = takeoff_idx``
-    and ``= landing_idx``), so every key matches one point and no leg, however long,
-    becomes a hot join key.
+    The points are evaluated once; their chunk-local legs are written and read by the extents
+    and by both joins, each with its own columns. A leg's first and last ordinal name one
+    point of its track, so the joins are on ``(keys, ordinal)``: every key matches one point
+    and no leg, however long, becomes a hot join key.
     """
-    sealed, keys = sealed_keys(legs.select(*dict.fromkeys(_leg_columns(cols, leg))), cols.keys)
-    safe = cols.with_(keys=tuple(keys))
-    numbered = materialised(sealed, "numbered-legs")
-    ext = summarise(numbered, safe, leg, extents=True, endpoints=False)
+    local, safe = _stored_local(points, cols, below, chunk_size)
+    keys = list(safe.keys)
+    ext = merge_partials(chunk_partials(local, safe, True, False), safe, leg, True, False)
 
     def end(side: str) -> DataFrame:
-        return numbered.select(
-            *keys, leg, F.col(cols.order).alias(f"{side}_idx"), F.col(cols.lat).alias(f"{side}_lat"),
+        return local.select(
+            *keys, F.col(cols.order).alias(f"{side}_idx"), F.col(cols.lat).alias(f"{side}_lat"),
             F.col(cols.lng).alias(f"{side}_lng"), F.col(cols.alt).alias(f"{side}_altitude"),
         )
 
-    joined = ext.join(end("takeoff"), [*keys, leg, "takeoff_idx"]).join(end("landing"), [*keys, leg, "landing_idx"])
+    joined = ext.join(end("takeoff"), [*keys, "takeoff_idx"]).join(end("landing"), [*keys, "landing_idx"])
     return opened_keys(joined, keys)
 
 
-def _leg_columns(cols: TrackCols, leg: str) -> list[str]:
-    return [*_group_keys(cols, leg), cols.order, cols.time, cols.lat, cols.lng, cols.alt]
+def _point_columns(cols: TrackCols) -> list[str]:
+    base = [cols.base] if cols.base else []
+    return [*cols.keys, *base, cols.order, cols.time, cols.lat, cols.lng, cols.alt]
+
+
+# Values of a leg's ends, by the name in the chunk partials.
+_ENDS = {"lat": "_lat", "lng": "_lng", "altitude": "_alt"}
 
 
-def first_last_per_point(legs: DataFrame, cols: TrackCols = TrackCols(), leg: str = "flight_num") -> DataFrame:
+def carried_ends(partials: DataFrame, cols: TrackCols = TrackCols(), leg: str = "flight_num") -> DataFrame:
+    """(keys, _chunk, _local_leg) -> leg number and the first and last position of the whole leg.
+
+    A segmented scan over the small chunk table: the part of a leg in a chunk takes its first
+    values from the leg's earliest part and its last values from the latest one. A leg's
+    window holds a row per chunk that it crosses.
+    """
+    numbered = partials.join(chunk_offsets(partials, cols), [*cols.keys, CHUNK]).withColumn(leg, _leg_number(leg))
+    whole = (
+        Window.partitionBy(*cols.keys, leg)
+        .orderBy(CHUNK)
+        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    )
+    first = {f"takeoff_{n}": F.first(f"{c}0").over(whole) for n, c in _ENDS.items()}
+    last = {f"landing_{n}": F.last(f"{c}1").over(whole) for n, c in _ENDS.items()}
+    return numbered.withColumns({**first, **last}).select(*cols.keys, CHUNK, "_local_leg", leg, *first, *last)
+
+
+def first_last_per_point(points: DataFrame, cols: TrackCols = TrackCols(), leg: str = "flight_num",
+                         below: int = GROUND_BELOW_FT, chunk_size: int = DEFAULT_CHUNK_SIZE) -> DataFrame:
     """W3/W4 per point: every airborne point with its leg's first and last position.
 
-    Same rows as ``FIRST_VALUE`` over the default frame and ``LAST_VALUE`` over the full
-    frame of a window per leg. ``legs`` is written once; the per-leg values are computed
-    from it (hash aggregate with partial aggregation) and joined back on the leg key:
-    unlike a window, the join can be split by adaptive skew handling when one leg holds
-    a large share of all points.
+    Same rows as ``FIRST_VALUE`` over the default frame and ``LAST_VALUE`` over the full frame
+    of a window per leg. The points are evaluated once; the ends of a leg's part in a chunk
+    come from the chunk partials, are carried over the chunks there, and join back on
+    ``(keys, _chunk, _local_leg)``: a key has at most a chunk's points, however long the leg.
     """
-    sealed, keys = sealed_keys(legs.select(*dict.fromkeys(_leg_columns(cols, leg))), cols.keys)
-    safe = cols.with_(keys=tuple(keys))
-    numbered = materialised(sealed, "numbered-legs")
-    ends = summarise(numbered, safe, leg, extents=False, endpoints=True).drop(*([cols.base] if cols.base else []))
-    return opened_keys(numbered.select(*keys, leg, cols.order).join(ends, [*keys, leg], "inner"), keys)
+    local, safe = _stored_local(points, cols, below, chunk_size)
+    keys = list(safe.keys)
+    ends = carried_ends(chunk_partials(local, safe, False, True), safe, leg)
+    found = local.select(*keys, CHUNK, "_local_leg", cols.order).join(ends, [*keys, CHUNK, "_local_leg"])
+    return opened_keys(found.drop(CHUNK, "_local_leg"), keys)

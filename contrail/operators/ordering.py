@@ -13,7 +13,8 @@ and window over ``(keys, chunk)`` instead:
   totals, which is a small table (one row per chunk).
 
 ``ordinal`` builds the dense ordinal itself for flat inputs in the same way, inside
-buckets of the order (such as weeks), so that a hot key is split across tasks as well.
+cells of the order (such as weeks) that are split (into days, hours, ...) where more rows
+lie in them than a chunk holds, so that a hot key is split across tasks as well.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from contrail.session import materialised
+
 # Points per chunk: the largest window partition any ordered operator builds.
 DEFAULT_CHUNK_SIZE = 1 << 20
 
@@ -67,32 +70,76 @@ def opened_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumns(values).drop(*flags) if flags else df
 
 
+def time_levels(c: Column | str) -> list[Column]:
+    """Ever finer cells of a timestamp for ``ordinal``: week, day, hour, minute, second, microsecond."""
+    micros = F.unix_micros((F.col(c) if isinstance(c, str) else c).cast("timestamp"))
+    widths = (7 * 86_400, 86_400, 3600, 60, 1)
+    return [*(F.floor(micros / F.lit(w * 1_000_000)) for w in widths), micros]
+
+
+# Hot cells that are handed to all tasks; more of them meet the rows by a shuffle.
+MOST_BROADCAST_CELLS = 1_000_000
+
+
+def _bounded_cells(rows: DataFrame, keys: Sequence[str], levels: Sequence[str], bound: int) -> tuple[DataFrame, list[str]]:
+    """(rows, cell columns): cells of the keys and the first level, split level by level where a cell
+    has more than ``bound`` rows (until the levels end). Outside of split cells deeper columns are 0.
+
+    The counts come from the key and level columns alone; a table has one row per split cell,
+    so at most rows / ``bound`` a level.
+    """
+    splits = []
+    if len(levels) > 1 and rows.count() > bound:
+        scope = rows.select(*keys, *levels)
+        for depth in range(1, len(levels)):
+            cell = [*keys, *levels[:depth]]
+            full = scope.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > bound).select(*cell)
+            full = materialised(full, "full-cells")
+            n = full.count()
+            if not n:
+                break
+            splits.append(F.broadcast(full) if n <= MOST_BROADCAST_CELLS else full)
+            scope = scope.join(splits[-1], cell, "left_semi")
+    for depth, full in enumerate(splits, 1):
+        cell = [*keys, *levels[:depth]]
+        rows = rows.join(full.withColumn("_split", F.lit(True)), cell, "left")
+        deeper = F.when(F.col("_split"), F.col(levels[depth])).otherwise(F.lit(0))
+        rows = rows.withColumn(levels[depth], deeper).drop("_split")
+    used = list(levels[: len(splits) + 1])
+    return rows.drop(*levels[len(used) :]), used
+
+
 def ordinal(
     df: DataFrame,
     keys: Sequence[str] | str,
     order: Sequence[str] | str,
-    bucket: Column,
+    levels: Column | Sequence[Column],
     name: str = "idx",
+    bound: int = DEFAULT_CHUNK_SIZE,
 ) -> DataFrame:
     """Dense 1-based ``row_number()`` per key, ordered by ``order`` (unique per key).
 
-    ``bucket`` must not decrease along ``order`` (e.g. the week of the leading
-    timestamp): rows are numbered inside ``(key, bucket)`` and the counts of the key's
-    earlier buckets are added, so a key that holds a third of all rows is spread over
-    its buckets. The rows are shuffled once, on ``(key, bucket)``; the counts come from
-    a scan of the key and bucket columns alone, combined per task before they are
-    shuffled, and join on the rows' own partitioning. NULL keys are numbered like others.
+    ``levels`` are numbers that do not decrease along ``order``, each finer than the one
+    before (``time_levels`` of the leading timestamp, then the id that breaks ties). Rows are
+    numbered inside cells of (key, first level), split into cells of the next levels where
+    more than ``bound`` rows lie, and the counts of the key's earlier cells are added: no
+    window has more rows than ``bound`` as long as the last level tells rows apart. The rows
+    are shuffled once, on key and cell; the counts come from a scan of the key and level
+    columns alone, combined per task before they are shuffled, and join on the rows' own
+    partitioning. NULL keys are numbered like others.
     """
     keys, order = _keys(keys), _keys(order)
-    names = df.columns
-    rows, safe = sealed_keys(df.withColumn("_bucket", bucket), keys)
-    counts = rows.groupBy(*safe, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*safe).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*safe, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy(*safe, "_bucket").orderBy(*order)
+    levels = [levels] if isinstance(levels, Column) else list(levels)
+    names, cells = df.columns, [f"_cell{k}" for k in range(len(levels))]
+    rows, safe = sealed_keys(df.withColumns(dict(zip(cells, levels))), keys)
+    rows, cells = _bounded_cells(rows, safe, cells, bound)
+    counts = rows.groupBy(*safe, *cells).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*safe).orderBy(*cells).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*safe, *cells, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy(*safe, *cells).orderBy(*order)
     numbered = (
         rows.withColumn("_local", F.row_number().over(inside))
-        .join(offsets, [*safe, "_bucket"])
+        .join(offsets, [*safe, *cells])
         .withColumn(name, (F.col("_local") + F.col("_off")).cast("bigint"))
     )
     return opened_keys(numbered, safe).select(*names, name)

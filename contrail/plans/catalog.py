@@ -75,12 +75,12 @@ def leg_endpoints(spark, sf_dir):
 
 
 def _numbered(spark, sf_dir):
-    return L.number_legs(_point_table(spark, sf_dir), C, LP.ground_below, LP.chunk_size)
+    return L.number_legs(_points(spark, sf_dir), C, LP.ground_below, LP.chunk_size)
 
 
 def leg_endpoints_join(spark, sf_dir):
-    """Extents joined with leg points on (track, leg, ordinal) for both endpoints."""
-    return L.endpoints_by_join(_numbered(spark, sf_dir), C).select(
+    """Extents joined with airborne points on (track, ordinal) for both endpoints."""
+    return L.endpoints_by_join(_points(spark, sf_dir), C, below=LP.ground_below, chunk_size=LP.chunk_size).select(
         "entity", "flight_num", "takeoff_idx", "landing_idx", "num_points",
         "takeoff_lat", "takeoff_lng", "takeoff_altitude", "landing_lat", "landing_lng", "landing_altitude",
     )
@@ -88,9 +88,9 @@ def leg_endpoints_join(spark, sf_dir):
 
 def first_last_per_point(spark, sf_dir):
     """W3/W4 per-point form: every airborne point with its leg's first and last
-    position (FIRST_VALUE / full-frame LAST_VALUE semantics), computed as a per-leg
-    aggregate joined back on the leg key instead of a window over the whole leg."""
-    return L.first_last_per_point(_numbered(spark, sf_dir), C).select(
+    position (FIRST_VALUE / full-frame LAST_VALUE semantics), carried over the chunks of a
+    leg and joined back per chunk instead of a window over the whole leg."""
+    return L.first_last_per_point(_points(spark, sf_dir), C, below=LP.ground_below, chunk_size=LP.chunk_size).select(
         "entity", "idx", "flight_num", "takeoff_lat", "takeoff_lng", "takeoff_altitude",
         "landing_lat", "landing_lng", "landing_altitude",
     )
@@ -108,7 +108,7 @@ def null_key_legs(spark, sf_dir):
 
 def null_key_numbers(spark, sf_dir):
     """P5 + W2 with NULL keys: airborne points with their leg number."""
-    points = _point_table(spark, sf_dir, null_keys=True)
+    points = X.track_points(spark, sf_dir, null_keys=True)
     return L.number_legs(points, C, LP.ground_below, LP.chunk_size).select("entity", "idx", "flight_num")
 
 

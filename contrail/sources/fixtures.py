@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from contrail.functions import epoch_seconds
 from contrail.operators.legs import LegParams, TrackCols
-from contrail.operators.ordering import ordinal
+from contrail.operators.ordering import ordinal, time_levels
 
 # Columns of the events-derived point table.
 EVENT_TRACK = TrackCols(keys=("entity",), order="idx", time="t", base=None, lat="lat", lng="lng", alt="alt")
@@ -53,14 +53,14 @@ def event_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def track_points(spark: SparkSession, sf_dir: str, null_keys: bool = False) -> DataFrame:
     """Point table of all events: (entity, idx, t, lat, lng, alt).
 
-    Numbered within the week of the event. With ``null_keys`` every seventh user's id is
+    Numbered within the week of the event, or finer cells where a week is too full. With ``null_keys`` every seventh user's id is
     NULL: their events are one track without a key.
     """
     pos = event_positions(spark, sf_dir)
     if null_keys:
         pos = pos.withColumn("entity", F.when(F.col("entity") % 7 != 0, F.col("entity")))
-    week = F.floor(F.col("t") / F.lit(7 * 86400.0))
-    return ordinal(pos, ["entity"], ["ts", "event_id"], week).select("entity", "idx", "t", "lat", "lng", "alt")
+    levels = [*time_levels("ts"), F.col("event_id")]
+    return ordinal(pos, ["entity"], ["ts", "event_id"], levels).select("entity", "idx", "t", "lat", "lng", "alt")
 
 
 # Places (``place_table``), from ``customer``: centres spread over the events' area by the

@@ -139,16 +139,35 @@ def test_shuffled_input_gives_same_summary(spark):
 def test_join_and_window_forms_agree(spark):
     rows = random_rows(6)
     pts = points(spark, rows)
-    legs = L.number_legs(pts, COLS, chunk_size=4)
     one = L.summarise_points(pts, COLS, L.LegParams(chunk_size=4)).select(
         "entity", "flight_date", "flight_num", "takeoff_lat", "landing_lat", "landing_altitude")
-    join = L.endpoints_by_join(legs, COLS).select(
+    join = L.endpoints_by_join(pts, COLS, chunk_size=4).select(
         "entity", "flight_date", "flight_num", "takeoff_lat", "landing_lat", "landing_altitude")
-    win = L.first_last_per_point(legs, COLS).select(
+    win = L.first_last_per_point(pts, COLS, chunk_size=4).select(
         "entity", "flight_date", "flight_num", "takeoff_lat", "landing_lat", "landing_altitude").distinct()
     assert sorted(one.collect()) == sorted(join.collect()) == sorted(win.collect())
 
 
+@pytest.mark.parametrize("chunk", [1, 3, 8, 1 << 20])
+def test_first_and_last_of_legs_over_many_chunks(spark, chunk):
+    rnd = random.Random(chunk)
+    hot = [3000] * 200 + [0] + [rnd.choice([0, 2500, 8000]) for _ in range(100)] + [4000] * 90
+    rows = track(hot, entity="hot") + track([3000], entity="one") + track([0, 0], entity="ground")
+    rows = [(None if r[0] == "one" else r[0], *r[1:7], r[7]) for r in rows]
+    numbers = brute_force_legs(rows)
+    ends = {}
+    for r in rows:
+        if (r[0], r[1], r[3]) in numbers:
+            ends.setdefault((r[0], r[1], numbers[r[0], r[1], r[3]]), []).append(r)
+    got = L.first_last_per_point(points(spark, rows), COLS, chunk_size=chunk).collect()
+    assert len(got) == len(numbers)
+    for r in got:
+        leg = ends[r.entity, r.flight_date, numbers[r.entity, r.flight_date, r.idx]]
+        assert r.flight_num == numbers[r.entity, r.flight_date, r.idx]
+        assert (r.takeoff_lat, r.takeoff_altitude, r.landing_lat, r.landing_altitude) == (
+            leg[0][5], leg[0][7], leg[-1][5], leg[-1][7])
+
+
 from hypothesis import HealthCheck, given, settings  # noqa: E402
 from hypothesis import strategies as st  # noqa: E402
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from contrail.operators.ordering import neighbours, opened_keys, ordinal, sealed_keys
+from contrail.operators.ordering import _bounded_cells, neighbours, opened_keys, ordinal, sealed_keys, time_levels
 
 
 def hot_rows(n=3000, seed=7):
@@ -27,6 +27,25 @@ def test_ordinal_equals_row_number_with_hot_and_null_keys(spark):
         assert sorted(got.select("k", "ts", "id", "v", "idx").collect(), key=str) == want
 
 
+def test_a_track_within_an_hour_is_split_until_cells_are_bounded(spark):
+    """All of a hot key lies in one hour, a part of it in one microsecond; ids break the ties."""
+    rnd = random.Random(3)
+    rows = [(k % 4 and 1 or None, 1_700_000_000_000_000 + rnd.choice([0, rnd.randrange(3_600_000_000)]), k) for k in range(2500)]
+    rows += [(2, rnd.randrange(10**16), 10_000 + k) for k in range(300)]
+    df = spark.createDataFrame(rows, "k long, us long, id long").withColumn("ts", F.timestamp_micros("us"))
+    levels = [*time_levels("ts"), F.floor(F.col("id") / 64), F.col("id")]
+    want = df.withColumn("idx", F.row_number().over(Window.partitionBy("k").orderBy("ts", "id")))
+    want = sorted(map(tuple, want.select("k", "id", "idx").collect()), key=str)
+    for bound in (16, 200, 1 << 20):
+        got = ordinal(df, ["k"], ["ts", "id"], levels, "idx", bound)
+        assert sorted(map(tuple, got.select("k", "id", "idx").collect()), key=str) == want
+        names = [f"_cell{n}" for n in range(len(levels))]
+        sealed, keys = sealed_keys(df.withColumns(dict(zip(names, levels))), ["k"])
+        cells, used = _bounded_cells(sealed, keys, names, bound)
+        assert max(r["count"] for r in cells.groupBy(*keys, *used).count().collect()) <= bound
+        assert (len(used) == 1) == (bound > 2800)
+
+
 def test_ordinal_shuffles_the_rows_once_and_needs_no_checkpoint(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

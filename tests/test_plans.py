@@ -38,6 +38,26 @@ def test_chunk_partials_run_in_place(static_plans):
     assert "hashpartitioning(entity" in p and "_chunk" in p
 
 
+def test_points_are_evaluated_once_and_never_joined_on_the_leg(static_plans, scratch):
+    static_plans.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    out = os.path.join(scratch, "points")
+    points(static_plans).write.parquet(out)
+    given = static_plans.read.parquet(out)
+    try:
+        for made in (
+            L.number_legs(given, COLS, chunk_size=8),
+            L.first_last_per_point(given, COLS, chunk_size=8),
+            L.endpoints_by_join(given, COLS, chunk_size=8),
+        ):
+            p = plan(made)
+            joins = [line for line in p.splitlines() if "SortMergeJoin" in line]
+            assert joins and not any("flight_num" in line.split(", Inner")[0] for line in joins)
+            # what was given has been read and written before: only the written legs are read
+            assert out not in p and "Window [lag" not in p
+    finally:
+        static_plans.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_report_read_prunes_columns_and_days(static_plans, scratch):
     out = os.path.join(scratch, "points")
     sinks.write_points(points(static_plans), out)
