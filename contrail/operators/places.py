@@ -10,11 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from contrail.session import materialised
+
 UNKNOWN = "Unknown"
 GUARD_DEFAULT_ALT = 10000
 
@@ -150,10 +153,26 @@ def _table_match(lat: Column, lng: Column, alt: Column) -> Column:
 # Cells of the label join are 4**k degrees wide; places wider than the largest cell
 # cover four cells of it at most, places narrower than the smallest lie in up to four.
 _CELL_POWERS = (-5, 5)
+_CELL = ["_level", "_depth", "_gy", "_gx"]
+_EPS = 1e-9  # a point within rounding distance of an edge still sees the cell
+
+# Looked-up rows of a cell beyond which it is split; halvings of a cell before rows that lie
+# on one spot are told apart by their number; full cells that are handed to all tasks.
+CELL_BOUND = 1 << 20
+_HALVINGS = 12
+MOST_BROADCAST_CELLS = 1_000_000
 
 
-def _cell(level: Column) -> Column:
-    return F.pow(F.lit(4.0), level)
+def _width() -> Column:
+    """Width of the cell of a row's level and depth, in degrees."""
+    return F.pow(F.lit(4.0), F.col("_level")) / F.pow(F.lit(2.0), F.col("_depth"))
+
+
+def _touched(low: str, high: str) -> Column:
+    """Numbers of the cells that an extent touches along one axis."""
+    return F.explode(
+        F.sequence(F.floor((F.col(low) - F.lit(_EPS)) / _width()), F.floor((F.col(high) + F.lit(_EPS)) / _width()))
+    )
 
 
 def place_cells(places: DataFrame) -> DataFrame:
@@ -174,47 +193,80 @@ def place_cells(places: DataFrame) -> DataFrame:
     ).filter((F.col("_y1") >= F.col("_y0")) & (F.col("_x1") >= F.col("_x0")))
     width = F.greatest(F.col("_y1") - F.col("_y0"), F.col("_x1") - F.col("_x0"), F.lit(4.0**low))
     level = F.least(F.greatest(F.ceil(F.log2(width) / 2), F.lit(low)), F.lit(high)).cast("int")
-    eps = F.lit(1e-9)  # a point within rounding distance of an edge still sees the cell
-    cell = _cell(F.col("_level"))
-    return (
-        extent.withColumn("_level", level)
-        .withColumn("_gy", F.explode(F.sequence(F.floor((F.col("_y0") - eps) / cell), F.floor((F.col("_y1") + eps) / cell))))
-        .withColumn("_gx", F.explode(F.sequence(F.floor((F.col("_x0") - eps) / cell), F.floor((F.col("_x1") + eps) / cell))))
-        .drop("_y0", "_y1", "_x0", "_x1")
-    )
+    placed = extent.withColumn("_level", level).withColumn("_depth", F.lit(0))
+    return placed.withColumn("_gy", _touched("_y0", "_y1")).withColumn("_gx", _touched("_x0", "_x1"))
+
+
+def _split_full_cells(look: DataFrame, cells: DataFrame, bound: int) -> tuple[DataFrame, DataFrame]:
+    """(look, cells) with no cell of more than ``bound`` looked-up rows.
+
+    A full cell is halved along both axes, its rows and places go to the quarters that they
+    lie in or touch, and so on by the counts of the quarters; what is still full after
+    ``_HALVINGS`` lies on one spot and is dealt over as many copies of the cell's places as its
+    count asks for.
+    """
+    settled, settled_cells = [], []
+    for depth in range(_HALVINGS + 1):
+        full = look.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > bound)
+        full = materialised(full, "full-cells")
+        n = full.count()
+        # At most one row per ``bound`` looked-up rows: handed out where that is few, else joined.
+        side = F.broadcast(full) if n <= MOST_BROADCAST_CELLS else full
+        if not n or depth == _HALVINGS:
+            parts = F.coalesce(F.ceil(F.col("_n") / F.lit(bound)), F.lit(1))
+            salted = look.join(side, _CELL, "left").withColumn("_salt", F.pmod(F.col("_row"), parts).cast("int"))
+            copies = F.explode(F.sequence(F.lit(0), parts.cast("int") - 1))
+            settled.append(salted.drop("_n"))
+            settled_cells.append(cells.join(side, _CELL, "left").withColumn("_salt", copies).drop("_n"))
+            break
+        settled.append(look.join(side, _CELL, "left_anti").withColumn("_salt", F.lit(0)))
+        settled_cells.append(cells.join(side, _CELL, "left_anti").withColumn("_salt", F.lit(0)))
+        # What lies in full cells is written with its quarter: the next round counts only that.
+        inner = look.join(side, _CELL, "left_semi").withColumn("_depth", F.col("_depth") + 1)
+        inner = inner.withColumn("_gy", F.floor(F.col("_y") / _width())).withColumn("_gx", F.floor(F.col("_x") / _width()))
+        look = materialised(inner, "full-cell-rows")
+        parent = cells.join(side, _CELL, "left_semi").withColumns({"_py": F.col("_gy"), "_px": F.col("_gx")})
+        parent = parent.withColumn("_depth", F.col("_depth") + 1)
+        quarter = parent.withColumn("_gy", _touched("_y0", "_y1")).withColumn("_gx", _touched("_x0", "_x1"))
+        # Only the quarters of the cell that was split: its other cells have their own rows.
+        own = (F.floor(F.col("_gy") / 2) == F.col("_py")) & (F.floor(F.col("_gx") / 2) == F.col("_px"))
+        cells = materialised(quarter.filter(own).drop("_py", "_px"), "full-cell-places")
+    return reduce(DataFrame.unionByName, settled), reduce(DataFrame.unionByName, settled_cells)
 
 
 def label_by_join(
-    df: DataFrame, lat: str, lng: str, alt: str | None, places: DataFrame, out: str = "location"
+    df: DataFrame, lat: str, lng: str, alt: str | None, places: DataFrame, out: str = "location",
+    bound: int = CELL_BOUND,
 ) -> DataFrame:
     """Label every row of ``df`` through an equi-join with a places table of any size.
 
-    Every point looks up one cell per cell size (11 at most), every place lies in the
-    cells of its own size; the join is on (size, cell) and the exact rule is checked on
-    what meets. The match of least ``priority`` wins (among equal priorities the least
-    label); rows without a match get ``UNKNOWN``. Rows are kept one by one, whatever
-    they hold, and ``df`` is evaluated once.
+    Every place lies in the grid cells of its own size, every row looks up one cell per size
+    that places have (11 at most), with its number and position only; the join is on (size,
+    cell), and the exact rule is checked on what meets. Cells with more than ``bound`` looked-up
+    rows are split by their counts. The match of least ``priority`` wins (among equal
+    priorities the least label); the labels that were found join back on the row number, the
+    other rows get ``UNKNOWN``. Rows are kept one by one, whatever they hold; ``df`` is
+    evaluated once, and its row numbers are written with it, so a task that is run again
+    finds the same ones.
     """
-    low, high = _CELL_POWERS
     names = df.columns
-    look = df.withColumn("_row", F.monotonically_increasing_id()).withColumn(
-        "_level", F.explode(F.sequence(F.lit(low), F.lit(high)))
-    )
-    look = look.withColumn("_gy", F.floor(F.col(lat) / _cell(F.col("_level")))).withColumn(
-        "_gx", F.floor(F.col(lng) / _cell(F.col("_level")))
-    )
+    kept = materialised(df.withColumn("_row", F.monotonically_increasing_id()), "rows-to-label")
     cells = place_cells(places)
-    cells = cells.select([F.col(c).alias(f"_place_{c}") for c in cells.columns])
-    met = look.join(
-        cells,
-        (F.col("_level") == F.col("_place__level"))
-        & (F.col("_gy") == F.col("_place__gy"))
-        & (F.col("_gx") == F.col("_place__gx"))
-        & _table_match(F.col(lat), F.col(lng), F.col(alt) if alt else F.lit(None).cast("int")),
-        "left",
+    levels = sorted(r[0] for r in cells.select("_level").distinct().collect())  # 11 at most
+    altitude = F.col(alt).cast("int") if alt else F.lit(None).cast("int")
+    look = kept.select("_row", F.col(lat).alias("_y"), F.col(lng).alias("_x"), altitude.alias("_alt")).filter(
+        F.col("_y").isNotNull() & F.col("_x").isNotNull()
     )
-    won = F.when(F.col("_place_priority").isNotNull(), F.struct("_place_priority", "_place_label"))
-    best = met.groupBy("_row", *names).agg(F.min(won).alias("_best"))
-    return best.select(
+    sizes = F.array(*[F.lit(k) for k in levels]).cast("array<int>")
+    look = look.withColumn("_level", F.explode(sizes)).withColumn("_depth", F.lit(0))
+    look = look.withColumn("_gy", F.floor(F.col("_y") / _width())).withColumn("_gx", F.floor(F.col("_x") / _width()))
+    on = list(_CELL)
+    if kept.count() > bound:
+        look, cells = _split_full_cells(look, cells, bound)
+        on.append("_salt")
+    cells = cells.select(*on, *[F.col(c).alias(f"_place_{c}") for c in _PLACE_SCHEMA.names])
+    met = look.join(cells, on).filter(_table_match(F.col("_y"), F.col("_x"), F.col("_alt")))
+    best = met.groupBy("_row").agg(F.min(F.struct("_place_priority", "_place_label")).alias("_best"))
+    return kept.join(best, "_row", "left").select(
         *[n for n in names if n != out], F.coalesce(F.col("_best._place_label"), F.lit(UNKNOWN)).alias(out)
     )

@@ -2,7 +2,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from contrail.operators.places import LANDING_PLACES, Place, label, label_by_join, places_frame
+from contrail.operators import places as P
+from contrail.operators.places import LANDING_PLACES, Place, label, label_by_join, place_cells, places_frame
 
 SCHEMA = ("priority int, label string, c_lat double, c_lng double, tol double, lat_lo double, lat_hi double, "
           "lng_lo double, lng_hi double, min_alt int")
@@ -56,6 +57,44 @@ def test_one_plan_at_every_size_with_wide_narrow_and_centre_only_places(spark):
         assert sorted((str(r.id), str(r.lat), r.location) for r in got.collect()) == want
 
 
+def hot_airport(spark, rnd):
+    """Most rows lie at one airport, a third of all on one spot of it; many places share its cells."""
+    rows = [(k, -25.92, 32.57, None) for k in range(900)]
+    rows += [(1000 + k, -25.9 + rnd.gauss(0, 0.01), 32.6 + rnd.gauss(0, 0.01), rnd.choice([None, 4000])) for k in range(900)]
+    rows += [(5000 + k, rnd.uniform(-27, -9), rnd.uniform(31, 42), 6000) for k in range(600)]
+    df = spark.createDataFrame(rows, "id long, lat double, lng double, alt int")
+    places = [(1 + k, f"gate {k}", -25.9 + rnd.gauss(0, 0.02), 32.6 + rnd.gauss(0, 0.02), rnd.choice([0.001, 0.004, 0.02]),
+               None, None, None, None, rnd.choice([None, 3000])) for k in range(200)]
+    places += [(500, "town", None, None, None, -26.4, -25.4, 32.1, 33.1, None), (900, "all", 0.0, 0.0, 700.0, None, None, None, None, None)]
+    return df, places
+
+
+def test_full_cells_are_split_by_their_counts(spark):
+    rnd = random.Random(14)
+    df, places = hot_airport(spark, rnd)
+    table = spark.createDataFrame(places, SCHEMA)
+    want = sorted((r.id, brute(r, places)) for r in df.collect())
+    for bound in (60, 1 << 20):
+        got = label_by_join(df, "lat", "lng", "alt", table, bound=bound)
+        assert sorted((r.id, r.location) for r in got.collect()) == want
+    cells = place_cells(table)
+    look = df.select(F.col("id").alias("_row"), F.col("lat").alias("_y"), F.col("lng").alias("_x"), F.col("alt").alias("_alt"))
+    look = look.withColumn("_level", F.explode(F.array(F.lit(-2), F.lit(5)))).withColumn("_depth", F.lit(0))
+    look = look.withColumn("_gy", F.floor(F.col("_y") / P._width())).withColumn("_gx", F.floor(F.col("_x") / P._width()))
+    split, _ = P._split_full_cells(look, cells, 60)
+    sizes = [r["count"] for r in split.groupBy(*P._CELL, "_salt").count().collect()]
+    assert max(sizes) <= 90 and sum(sizes) == 2 * df.count()  # dealt by the row's number: near the bound
+
+
+def test_one_row_is_looked_up_per_size_that_places_have(spark):
+    df = points(spark, random.Random(15), 50)
+    table = spark.createDataFrame([(1, "a", -20.0, 35.0, 0.1, None, None, None, None, None)] * 3
+                                  + [(2, "b", None, None, None, -30.0, 0.0, 20.0, 50.0, None)], SCHEMA)
+    assert sorted({r[0] for r in place_cells(table).select("_level").distinct().collect()}) == [-1, 3]
+    plan = label_by_join(df, "lat", "lng", "alt", table)._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode([-1,3])" in plan
+
+
 def test_no_places_and_labels_with_quotes(spark):
     df = points(spark, random.Random(13), 10)
     none = label_by_join(df, "lat", "lng", "alt", spark.createDataFrame([], SCHEMA))
