@@ -1,9 +1,10 @@
 """Contiguous shards of near equal bytes from global prefix sums.
 
-Rows are laid in ``doc_id`` order over range partitions. Every partition adds up its
-bytes and rows; the running totals over the partitions (one row each) turn a running
-sum inside a partition into a global one, and equal steps of the grand total cut the
-shards. No task sees more than one range partition.
+Rows are laid in ``doc_id`` order over range partitions and numbered while they are
+written. Every partition adds up its bytes and rows, in chunks; the running totals over the
+partitions (one row each) and over a partition's chunks turn a running sum inside a chunk
+into a global one, and equal steps of the grand total cut the shards. No window has more
+rows than a chunk, or than there are chunks in a partition.
 
 Defined cases: a null text has no bytes (its size is the per-record overhead) and the
 CRC of the empty text; null ids come first; equal ids are ordered by size and CRC, and
@@ -17,10 +18,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from contrail.llm.common import stored, table
+from contrail.llm.common import ranked, table
 
 SHARDS = 24
 OVERHEAD = 8  # bytes a record takes besides its text
+_CHUNK_BITS = 12  # rows added up together: 4,096
 
 
 def sized_rows(docs: DataFrame, overhead: int = OVERHEAD) -> DataFrame:
@@ -38,22 +40,21 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, overhead: int = OVERHEA
     A row goes to the shard that holds the middle of its byte range, so a shard differs
     from its target by less than the two rows on its edges.
     """
-    order = ["doc_id", "size", "text_crc32", "_tie"]
-    ranged = stored(
-        sized_rows(docs, overhead)
-        .withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(*order)
-        .withColumn("_part", F.spark_partition_id()),
-        "shard-ranges",
+    # Rows are numbered while their sorted range partition is written, and added up in chunks.
+    rows = ranked(sized_rows(docs, overhead), ["doc_id", "size", "text_crc32"], "shard-ranges")
+    number = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    rows = rows.withColumns(
+        {"_part": F.shiftright("_at", 33), "_row": number, "_chunk": F.shiftright(number, _CHUNK_BITS)}
     )
+    chunks = rows.groupBy("_part", "_chunk").agg(F.sum("size").alias("_bytes"), F.count(F.lit(1)).alias("_rows"))
     # One row per range partition: the ungrouped windows and the broadcast are bounded
     # by the number of partitions.
     by_part = Window.orderBy("_part")
     before = by_part.rowsBetween(Window.unboundedPreceding, -1)
     everything = by_part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    offsets = (
-        ranged.groupBy("_part")
-        .agg(F.sum("size").alias("_bytes"), F.count(F.lit(1)).alias("_rows"))
+    parts = (
+        chunks.groupBy("_part")
+        .agg(F.sum("_bytes").alias("_bytes"), F.sum("_rows").alias("_rows"))
         .select(
             "_part",
             F.coalesce(F.sum("_bytes").over(before), F.lit(0)).alias("_byte0"),
@@ -61,12 +62,16 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, overhead: int = OVERHEA
             F.sum("_bytes").over(everything).alias("_total"),
         )
     )
-    inside = Window.partitionBy("_part").orderBy(*order)
-    running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = Window.partitionBy("_part").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        chunks.select("_part", "_chunk", F.coalesce(F.sum("_bytes").over(earlier), F.lit(0)).alias("_inner"))
+        .join(F.broadcast(parts), "_part")
+        .select("_part", "_chunk", (F.col("_byte0") + F.col("_inner")).alias("_byte0"), "_row0", "_total")
+    )
+    running = Window.partitionBy("_part", "_chunk").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = (
-        ranged.withColumn("_end", F.sum("size").over(running))
-        .withColumn("_row", F.row_number().over(inside) - 1)
-        .join(F.broadcast(offsets), "_part")
+        rows.withColumn("_end", F.sum("size").over(running))
+        .join(offsets, ["_part", "_chunk"])
         .withColumn("_middle2", 2 * (F.col("_byte0") + F.col("_end")) - F.col("size"))
         .withColumn(
             "shard",
