@@ -14,7 +14,8 @@ Defined cases: a null html is an empty payload, a null url gives no target URI,
 characters and blanks of a url are percent-encoded; equal payloads shorter than
 ``least_bytes`` are all responses; rows that repeat the id of the response are responses
 too; a null page_id is written as an empty one, and refers like any other (it is the
-response only where all ids of the payload are null); an empty table gives an empty
+response only where all ids of the payload are null); every record has its own
+``WARC-Record-ID``, also where rows repeat an id, and a revisit names one response; an empty table gives an empty
 archive; other columns are ignored. Two payloads of one SHA-256 but another SHA-1 or
 length stop the write.
 """
@@ -73,19 +74,23 @@ def _payload_rows(keep: bool):
     return digest
 
 
-def record_header(page_id, url, sha1: str, size: int, refers_to, revisit: bool) -> bytes:
+def record_id(page_id, sha256: bytes, target: str, copy: int) -> str:
+    """Unique name of a record: equal ids, payloads and target URIs are told apart by ``copy``."""
+    return f"<urn:page:{'' if page_id is None else page_id}:{sha256.hex()[:32]}:{target}:{copy}>"
+
+
+def record_header(own: str, url, sha1: str, size: int, refers_to: str, revisit: bool) -> bytes:
     """The exact bytes of a record before its payload: WARC header and HTTP header."""
     http = _HTTP + f"Content-Length: {size}\r\n\r\n".encode()
-    name = lambda x: "" if x is None else x
     lines = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}"]
-    lines.append(f"WARC-Record-ID: <urn:page:{name(page_id)}>")
+    lines.append(f"WARC-Record-ID: {own}")
     lines.append(f"WARC-Date: {DATE}")
     if url is not None:
         safe = _UNSAFE.sub(lambda m: f"%{ord(m[0]):02X}", url)
         lines.append(f"WARC-Target-URI: {safe}")
     lines.append(f"WARC-Payload-Digest: sha1:{sha1}")
     if revisit:
-        lines += [f"WARC-Refers-To: <urn:page:{name(refers_to)}>", f"WARC-Profile: {PROFILE}"]
+        lines += [f"WARC-Refers-To: {refers_to}", f"WARC-Profile: {PROFILE}"]
     lines.append("Content-Type: application/http;msgtype=response")
     lines.append(f"Content-Length: {len(http) + (0 if revisit else size)}")
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + http
@@ -97,12 +102,19 @@ def _headers(least_bytes: int):
             made = []
             for row in batch.to_pylist():
                 revisit = row["bytes"] >= least_bytes and row["page_id"] != row["first_id"]
-                made.append(record_header(row["page_id"], row["url"], row["sha1"], row["bytes"], row["first_id"], revisit))
+                own = record_id(row["page_id"], row["sha256"], row["target"], row["copy"])
+                first = record_id(row["first_id"], row["sha256"], row["first_target"], 0)
+                made.append(record_header(own, row["url"], row["sha1"], row["bytes"], first, revisit))
             yield pa.RecordBatch.from_pydict({"sha256": batch.column("sha256"), "header": pa.array(made, pa.binary())})
 
     return write
 
 
+def _target() -> "F.Column":
+    """What tells the target URI in a record's name."""
+    return F.substring(F.sha2(F.coalesce(F.col("url"), F.lit("")), 256), 1, 16)
+
+
 def write_archive(pages: DataFrame, path: str, least_bytes: int = 0) -> Archive:
     """Write a record for every row of pages (page_id, url, html) below ``path``."""
     archive = Archive(f"{path}/payloads", f"{path}/headers")
@@ -113,7 +125,7 @@ def write_archive(pages: DataFrame, path: str, least_bytes: int = 0) -> Archive:
     (
         whole.groupBy("sha256")
         .agg(
-            F.max("page_id").alias("first_id"),
+            F.max(F.struct("page_id", _target().alias("target"))).alias("_first"),
             F.min("sha1").alias("sha1"),
             F.max("sha1").alias("_sha1"),
             F.min("bytes").alias("bytes"),
@@ -127,14 +139,24 @@ def write_archive(pages: DataFrame, path: str, least_bytes: int = 0) -> Archive:
                 F.raise_error(F.lit("two payloads share a SHA-256")).cast("binary")
             ),
         )
-        .select("sha256", "first_id", "bytes", "packed")
+        .select(
+            "sha256",
+            F.col("_first.page_id").alias("first_id"),
+            F.col("_first.target").alias("first_target"),
+            "bytes",
+            "packed",
+        )
         .write.option("compression", "uncompressed")
         .parquet(archive.payloads)
     )
-    firsts = pages.sparkSession.read.parquet(archive.payloads).select("sha256", "first_id")
+    firsts = pages.sparkSession.read.parquet(archive.payloads).select("sha256", "first_id", "first_target")
     digested = rows.mapInArrow(_payload_rows(False), named)
+    # Rows equal in all that a header says are counted, then numbered.
+    copies = digested.groupBy(*digested.columns).agg(F.count(F.lit(1)).alias("_n"))
+    numbered = copies.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1))).drop("_n")
     (
-        digested.join(firsts, "sha256")
+        numbered.withColumn("target", _target())
+        .join(firsts, "sha256")
         .mapInArrow(_headers(least_bytes), "sha256 binary, header binary")
         .write.option("compression", "zstd")
         .parquet(archive.headers)
@@ -203,7 +225,8 @@ def record_facts(spark: SparkSession, archive: Archive) -> DataFrame:
 
     def facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
-        number = lambda urn: int(urn[10:-1]) if len(urn) > 11 else None  # noqa: E731  <urn:page:N>
+        id_of = lambda urn: urn.split(":")[2]
+        number = lambda urn: int(id_of(urn)) if id_of(urn) else None
         for batch in batches:
             out = {n: [] for n in ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")}
             for _, record, payload in _rebuilt(batch, unpack):

@@ -55,6 +55,19 @@ def test_whole_records_are_exact(spark, scratch):
     assert sum(b"evil" in bytes(r.header) for r in got) == 1
 
 
+def test_records_have_names_of_their_own(spark, scratch):
+    rows = ROWS + [(7, "u", "another payload"), (7, "v", "<p>é</p>"), (12, "w", "<p>é</p>"), (12, "x", "<p>é</p>"), (12, "w", "<p>é</p>")]
+    archive = warc.write_archive(pages(spark, rows), scratch)
+    assert rows_of(warc.record_facts(spark, archive)) == expected(rows, 0)
+    got = [(warc.parse_record(bytes(r.record))[0], bytes(r.payload)) for r in warc.read_records(spark, archive).collect()]
+    named = {fields["WARC-Record-ID"]: (fields, payload) for fields, payload in got}
+    assert len(named) == len(rows)
+    for fields, payload in got:
+        if fields["WARC-Type"] == "revisit":
+            response, same = named[fields["WARC-Refers-To"]]
+            assert response["WARC-Type"] == "response" and same == payload
+
+
 def test_copies_are_stored_once_and_a_broken_store_is_noticed(spark, scratch):
     rows = [(k, "u", "the same") for k in range(2000)] + [(5000, "u", "other")]
     archive = warc.write_archive(pages(spark, rows), scratch)
