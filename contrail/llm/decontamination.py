@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contrail.llm.common import table
+from contrail.llm.common import stored, table
 
 BLOCK_CHARS = 1_000_000  # benchmark text indexed and sent to the tasks at once
 _PIECE = 1 << 20  # bytes of documents worked on at once
@@ -381,14 +381,19 @@ def _pieces(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         row = stop
 
 
+def _item_key(text) -> "F.Column":
+    return F.sha2(text, 256)
+
+
 def _blocks(benchmark: DataFrame) -> Iterator[list]:
-    """The items in blocks of about ``BLOCK_CHARS`` characters."""
-    items = benchmark.select("item_id", F.col("text").cast("string").alias("text")).filter("text IS NOT NULL")
+    """(key, text) of the distinct item texts in blocks of about ``BLOCK_CHARS`` characters."""
+    texts = benchmark.select(F.col("text").cast("string").alias("text")).filter("text IS NOT NULL").distinct()
+    items = stored(texts.withColumn("key", _item_key(F.col("text"))), "benchmark-texts")
     size = items.agg(F.sum(F.length("text")).alias("n")).first().n or 0
     blocks = int(size // BLOCK_CHARS + 1)
-    number = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
+    number = F.pmod(F.xxhash64("key"), F.lit(blocks))
     for k in range(blocks):
-        yield [(r.item_id, r.text) for r in items.filter(number == k).collect()]
+        yield [(r.key, r.text) for r in items.filter(number == k).collect()]
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame, search: Search = Search()) -> DataFrame:
@@ -397,7 +402,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, search: Search = Searc
     schema = T.StructType(
         [
             T.StructField("doc_id", docs.schema["doc_id"].dataType),
-            T.StructField("item_id", benchmark.schema["item_id"].dataType),
+            T.StructField("_key", T.StringType()),
             T.StructField("start", T.LongType()),
             T.StructField("end", T.LongType()),
             T.StructField("edits", T.IntegerType()),
@@ -409,7 +414,9 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, search: Search = Searc
         if items:
             index = spark.sparkContext.broadcast(ItemIndex(items, search))
             found = found.union(texts.mapInArrow(_finder(index), schema))
-    return found
+    # Equal texts are searched once; every row of the benchmark that has the text is reported.
+    rows = benchmark.select("item_id", _item_key(F.col("text").cast("string")).alias("_key")).filter("_key IS NOT NULL")
+    return found.join(rows, "_key").select("doc_id", "item_id", "start", "end", "edits")
 
 
 def _finder(index):
@@ -428,8 +435,8 @@ def _finder(index):
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(items), pa.array(starts, pa.int64()), pa.array(ends, pa.int64()), pa.array(edits, pa.int32())]
                 if rows
-                else [ids, pa.nulls(0), pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.int32())],
-                names=["doc_id", "item_id", "start", "end", "edits"],
+                else [ids, pa.array([], pa.string()), pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.int32())],
+                names=["doc_id", "_key", "start", "end", "edits"],
             )
 
     return find

@@ -134,6 +134,34 @@ def test_hits_are_exact_and_spans_point_at_the_passage(spark):
         assert r.edits == distance(a, b) <= 0.15 * len(a)
 
 
+def test_the_whole_result_against_every_item_in_every_document(spark):
+    """All pairs of items and documents by plain dynamic programming: nothing else is found, and the recall holds."""
+    rng = random.Random(20)
+    items = [(k, prose(rng, rng.randrange(3, 40), 400)) for k in range(40)]
+    items += [(100 + k, items[k][1]) for k in range(5)] + [(100, items[0][1])]  # repeated items
+    rows = []
+    for k in range(120):
+        parts = [prose(rng, rng.randrange(0, 30), 400)]
+        for _ in range(rng.randrange(3)):
+            parts += [edited(rng, rng.choice(items)[1], rng.choice([0, 0.1, 0.15, 0.3])), prose(rng, rng.randrange(0, 30), 400)]
+        rows.append((k, " ".join(parts)))
+    want = set()
+    for d, text in rows:
+        b = words(text)
+        for i, t in items:
+            a = words(t)
+            if distance(a, b) <= int(0.15 * len(a)):
+                want.add((d, i))
+    found = contaminations(documents(spark, rows), items_of(spark, items)).collect()
+    got = {(r.doc_id, r.item_id) for r in found}
+    assert got <= want and len(got) >= 0.95 * len(want) and len(want) > 60
+    twins = {(d, i - 100 if i >= 100 else i) for d, i in got if i % 100 < 5}
+    assert all((d, i) in got and (d, i + 100) in got for d, i in twins)
+    spans = [tuple(r) for r in found if r.item_id == 0]
+    again = [(d, 0, *rest) for d, i, *rest in map(tuple, found) if i == 100]
+    assert sorted(spans * 2) == sorted(again)  # item 100 stands twice in the table
+
+
 def test_short_items_awkward_rows_and_blocks(spark, monkeypatch):
     rng = random.Random(16)
     rows = awkward(rng)
