@@ -1,11 +1,13 @@
 """Exact top-k inner products: tiled matrix products and tree merging of top lists.
 
-Components are turned into integers, floor(scale * x). Every partition of the vectors
-is a shard. Queries are a stated set, taken in blocks of bounded bytes that are sent to
-the tasks; a task multiplies a block with one tile of its shard at a time, selects the
-best k of each tile and merges them into its running lists, so it holds one tile and k
-rows per query. The lists of the shards are merged in rounds of ``FAN`` shards, each
-round keeping k rows per query, until one list is left.
+Components are turned into integers, floor(scale * x). Vectors and queries are packed, where
+they are read, into rows of one matrix each: tiles of the vectors, blocks of the queries.
+Consecutive tiles of a task are a lane. Every block meets every lane by a join on (block,
+lane), which holds one block and a bounded number of tiles; there a block is multiplied with
+one tile at a time, the best k of each tile are selected and merged into running lists. The
+lists of the lanes are merged in rounds of ``FAN`` lanes, each round keeping k rows per query,
+until one list is left. Nothing but counts passes through the driver, and the vectors are read
+once, however many queries there are.
 
 Ranking is by (score, smaller vec_id). A tile's products are exact: they are done in
 double precision when all sums stay below 2**53, and in Python integers otherwise.
@@ -14,8 +16,8 @@ Defined cases: vectors that are null, empty or hold null or non-finite component
 no part; only vectors of equal length are compared; a null vec_id is neither query nor
 candidate; rows that carry the query's own vec_id are never its candidates; equal rows
 count once as queries and each as candidates; different vectors under one query id share
-its list; fewer candidates than k give all of them;
-an empty table gives no rows; other columns are ignored. Scores beyond 64 bits fail.
+its list; fewer candidates than k give all of them; very long vectors make tiles of fewer
+rows; an empty table gives no rows; other columns are ignored. Scores beyond 64 bits fail.
 """
 
 from __future__ import annotations
@@ -32,8 +34,9 @@ from contrail.llm.common import stored, table
 K = 5
 SCALE = 256
 EVERY = 50  # queries are the rows whose vec_id this divides
-BLOCK_BYTES = 16 << 20  # of query components sent to the tasks at once
+BLOCK_BYTES = 4 << 20  # of a packed matrix: a query block, a tile
 TILE = 2048  # candidates multiplied at once
+LANE = 8  # tiles of a lane: a join key holds LANE + 1 matrices
 FAN = 16  # lists merged at once
 _EXACT = 2.0**53
 
@@ -102,37 +105,73 @@ def _tile_best(score: np.ndarray, vec: np.ndarray, own: np.ndarray, k: int):
     return score, np.broadcast_to(vec, score.shape), real
 
 
-def _search(queries, k: int, scale: int):
-    """Task: the shard's k best candidates of every query in the block."""
+_PACKED = "number long, size int, ids binary, matrix binary"
+
+
+def _pack(scale: int):
+    """Task: its vectors as matrices of one length and ``BLOCK_BYTES`` at most, numbered from 0."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+        number = 0
+
+        def packed(size: int):
+            nonlocal number
+            ids, rows = (np.concatenate(x) for x in zip(*held.pop(size)))
+            step = max(1, BLOCK_BYTES // (8 * size))
+            for at in range(0, len(ids), step):
+                yield pa.RecordBatch.from_pylist(
+                    [{"number": number, "size": size, "ids": ids[at : at + step].tobytes(), "matrix": rows[at : at + step].tobytes()}],
+                    pa.schema([("number", pa.int64()), ("size", pa.int32()), ("ids", pa.binary()), ("matrix", pa.binary())]),
+                )
+                number += 1
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = queries.value
-        best = {
-            (size, at): _Best(len(own[at : at + TILE]), k)
-            for size, (own, _) in block.items()
-            for at in range(0, len(own), TILE)
-        }
         for batch in batches:
-            for vec, matrix in _vectors(batch, scale):
-                if matrix.shape[1] not in block:
+            for ids, rows in _vectors(batch, scale):
+                size = rows.shape[1]
+                held.setdefault(size, []).append((ids, rows))
+                if sum(len(i) for i, _ in held[size]) * size * 8 >= BLOCK_BYTES:
+                    yield from packed(size)
+        for size in list(held):
+            yield from packed(size)
+
+    return pack
+
+
+def _matrix(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(row["ids"], np.int64), np.frombuffer(row["matrix"], np.float64).reshape(-1, row["size"])
+
+
+def _meet(k: int):
+    """Task: the k best candidates of a lane for every query of a block."""
+
+    def meet(block: pa.Table, lane: pa.Table) -> pa.Table:
+        out = []
+        for given in block.to_pylist():
+            own, wanted = _matrix(given)
+            best = [_Best(len(own[at : at + TILE]), k) for at in range(0, len(own), TILE)]
+            for row in range(lane.num_rows):
+                tile = lane.slice(row, 1).to_pylist()[0]
+                if tile["size"] != given["size"]:
                     continue
-                own, wanted = block[matrix.shape[1]]
+                vec, matrix = _matrix(tile)
                 order = np.argsort(vec, kind="stable")
                 for at in range(0, len(order), TILE):
-                    tile = order[at : at + TILE]
-                    for some in range(0, len(own), TILE):
-                        part = slice(some, some + TILE)
-                        score = _products(wanted[part], matrix[tile])
-                        best[matrix.shape[1], some].add(*_tile_best(score, vec[tile], own[part], k))
-        for (size, some), rows in best.items():
-            q = np.repeat(block[size][0][some : some + TILE], rows.score.shape[1])
-            keep = rows.real.ravel()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(q[keep]), pa.array(rows.vec.ravel()[keep]), pa.array(rows.score.ravel()[keep])],
-                names=["query_id", "vec_id", "score"],
-            )
-
-    return search
+                    some = order[at : at + TILE]
+                    for n, rows in enumerate(best):
+                        part = slice(n * TILE, n * TILE + TILE)
+                        score = _products(wanted[part], matrix[some])
+                        rows.add(*_tile_best(score, vec[some], own[part], k))
+            number = lane.column("lane")[0].as_py() if lane.num_rows else 0
+            for n, rows in enumerate(best):
+                keep = rows.real.ravel()
+                query = np.repeat(own[n * TILE : n * TILE + TILE], rows.score.shape[1])[keep]
+                out.append((query, rows.vec.ravel()[keep], rows.score.ravel()[keep], np.full(keep.sum(), number)))
+        none = np.zeros(0, np.int64)
+        columns = [np.concatenate([none, *(x[c] for x in out)]).astype(np.int64) for c in range(4)]
+        return pa.table(dict(zip(("query_id", "vec_id", "score", "lane"), columns)))
+
+    return meet
 
 
 def query_vectors(vectors: DataFrame, every: int = EVERY) -> DataFrame:
@@ -140,20 +179,6 @@ def query_vectors(vectors: DataFrame, every: int = EVERY) -> DataFrame:
     return vectors.filter(F.col("vec_id") % every == 0).select("vec_id", "embedding").distinct()
 
 
-def _blocks(queries: DataFrame, scale: int) -> Iterator[dict]:
-    """The queries in blocks of about ``BLOCK_BYTES``: {length: (ids, matrix)}."""
-    size = queries.agg(F.sum(F.size("embedding")).alias("n")).first().n or 0
-    blocks = int(size * 8 // BLOCK_BYTES + 1)
-    number = F.pmod(F.xxhash64("vec_id"), F.lit(blocks))
-    for k in range(blocks):
-        found: dict = {}
-        for batch in queries.filter(number == k).toArrow().to_batches():
-            for ids, matrix in _vectors(batch, scale):
-                found.setdefault(matrix.shape[1], []).append((ids, matrix))
-        if found:
-            yield {n: (np.concatenate([i for i, _ in x]), np.vstack([m for _, m in x])) for n, x in found.items()}
-
-
 def _best_rows(lists: DataFrame, k: int, *keys: str) -> DataFrame:
     order = Window.partitionBy("query_id", *keys).orderBy(F.col("score").desc(), "vec_id")
     return lists.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
@@ -161,23 +186,35 @@ def _best_rows(lists: DataFrame, k: int, *keys: str) -> DataFrame:
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, scale: int = SCALE) -> DataFrame:
     """query_id, rank (from 1), vec_id, score of the k best rows of ``vectors`` for each query."""
-    spark = vectors.sparkSession
-    vectors = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"))
-    queries = stored(
-        queries.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")), "topk-queries"
+    numbers = lambda df: df.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"))
+    packed = lambda df: numbers(df).mapInArrow(_pack(scale), _PACKED).withColumn("part", F.spark_partition_id())
+    tiles = stored(packed(vectors).withColumn("cut", F.expr(f"number div {LANE}")), "topk-tiles")
+    # One row per lane and per block: small tables, numbered in one window each.
+    lanes = tiles.select("part", "cut").distinct()
+    lanes = lanes.withColumn("lane", F.row_number().over(Window.orderBy("part", "cut")).cast("long") - 1)
+    tiles = tiles.join(F.broadcast(lanes) if lanes.count() <= _FEW else lanes, ["part", "cut"])
+    blocks = stored(packed(queries), "topk-blocks")
+    named = blocks.select("part", "number").withColumn(
+        "block", F.row_number().over(Window.orderBy("part", "number")).cast("long") - 1
     )
-    lists = spark.createDataFrame([], "query_id long, vec_id long, score long, shard int")
-    for block in _blocks(queries, scale):
-        search = _search(spark.sparkContext.broadcast(block), k, scale)
-        found = vectors.mapInArrow(search, "query_id long, vec_id long, score long")
-        lists = lists.union(found.withColumn("shard", F.spark_partition_id()))
-    shards = max(1, vectors.rdd.getNumPartitions())
-    while shards > FAN:
-        shards = -(-shards // FAN)
-        lists = _best_rows(lists.withColumn("shard", (F.col("shard") / FAN).cast("int")), k, "shard").drop("rank")
+    n_lanes, n_blocks = lanes.count(), named.count()
+    each = lambda name, n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias(name)
+    if not n_lanes or not n_blocks:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    left = blocks.join(named, ["part", "number"]).select("block", "size", "ids", "matrix", each("lane", n_lanes))
+    right = tiles.select("lane", "size", "ids", "matrix", each("block", n_blocks))
+    lists = left.groupBy("block", "lane").cogroup(right.groupBy("block", "lane")).applyInArrow(
+        _meet(k), "query_id long, vec_id long, score long, lane long"
+    )
+    while n_lanes > FAN:
+        n_lanes = -(-n_lanes // FAN)
+        lists = _best_rows(lists.withColumn("lane", F.expr(f"lane div {FAN}")), k, "lane").drop("rank")
     return _best_rows(lists, k).select("query_id", "rank", "vec_id", "score")
 
 
+_FEW = 100_000  # lanes whose numbers are handed to all tasks
+
+
 def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each 50th vector's five best partners by integer inner product."""
     vectors = table(spark, sf_dir, "embeddings")

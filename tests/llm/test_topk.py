@@ -28,9 +28,9 @@ def brute(spark, rows, k=5, every=50, scale=256):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("tile,fan,block", [(2048, 16, 16 << 20), (7, 2, 900)])
-def test_matches_brute_force(spark, monkeypatch, tile, fan, block):
-    for name, value in (("TILE", tile), ("FAN", fan), ("BLOCK_BYTES", block)):
+@pytest.mark.parametrize("tile,fan,block,lane", [(2048, 16, 16 << 20, 8), (7, 2, 900, 2)])
+def test_matches_brute_force(spark, monkeypatch, tile, fan, block, lane):
+    for name, value in (("TILE", tile), ("FAN", fan), ("BLOCK_BYTES", block), ("LANE", lane)):
         monkeypatch.setattr(topk, name, value)
     rng = random.Random(18)
     rows = [(k, [rng.gauss(0, 0.3) for _ in range(8)]) for k in range(400)]
