@@ -229,7 +229,7 @@ def trace_file_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = _json_document(F.col("icao"), F.col("timestamp"), F.slice("trace", 1, 8))
     second = _json_document(F.concat(F.col("icao"), F.lit("b")), F.col("timestamp"),
                             F.slice("trace", 9, F.greatest(F.size("trace") - 8, F.lit(0))))
-    noted = F.concat(F.lit('{"note": "a } { \\" }{", '), F.substring(second, 2, 10_000_000))
+    noted = F.concat(F.lit('{"note": "a } { \\" }{", '), F.substr(second, F.lit(2)))
     number = F.conv(F.col("icao"), 16, 10).cast("bigint")
     third = F.when(number % 5 == 0, F.concat(F.lit("\n"), F.lit(BROKEN_DOCUMENT))).otherwise(F.lit(""))
     return docs.select("source_file", F.concat(first, F.lit("\n"), noted, third).alias("value"))
