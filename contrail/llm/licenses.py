@@ -241,6 +241,12 @@ def _sql_text(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+def _most_words(templates) -> int:
+    """Words of the largest unit that can match."""
+    p, q = _fraction(LEAST)
+    return (2 * q - p) * max(len(normalised(text).split()) - 1 for _, text in templates) // p + 1
+
+
 ORACLE_SQL = f"""
 WITH t AS (
   SELECT (row_number() OVER ())::INTEGER AS template, license, string_split(text, ' ') AS words
@@ -265,7 +271,7 @@ WITH t AS (
     SELECT doc_id, unit, len(w) - 1 AS a,
            unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS gram
     FROM (SELECT doc_id, unit, string_split(unit, ' ') AS w FROM u)
-    WHERE len(w) BETWEEN 2 AND 1000)
+    WHERE len(w) BETWEEN 2 AND {_most_words(TEMPLATES)})
   GROUP BY ALL
 ), dice AS (
   SELECT doc_id, unit, template, license, 2.0::DOUBLE * sum(least(ug.n, tg.n))::BIGINT / (a + b) AS d
