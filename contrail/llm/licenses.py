@@ -1,7 +1,7 @@
 """Licence scans: Dice coefficient over word bigrams against licence templates.
 
-A text's units are the whole text, its paragraphs (between blank lines) and its
-sentences (between line ends, and after . ! ? before a blank), each normalised: lower
+A text's units are the whole text, its paragraphs (between lines without a-z and 0-9, so the
+empty lines of a comment part them too) and its sentences (between line ends, and after . ! ? before a blank), each normalised: lower
 case, "licence" spelled "license", runs of anything but a-z and 0-9 one blank. A unit
 matches a template if the Dice coefficient of their bigram bags (repeats counted) is
 ``least`` or more: 2 * shared / (bigrams of both).
@@ -92,6 +92,107 @@ TEMPLATES = (
         "not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
     ),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("MIT", "SPDX-License-Identifier: MIT"),
+    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+    ("BSD", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
+    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-or-later"),
+    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-only"),
+    (
+        "MIT",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial "
+        "portions of the Software.",
+    ),
+    (
+        "MIT",
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED '
+        "TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL "
+        "THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF "
+        "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER "
+        "DEALINGS IN THE SOFTWARE.",
+    ),
+    (
+        "BSD",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+        "following disclaimer.",
+    ),
+    (
+        "BSD",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+        "following disclaimer in the documentation and/or other materials provided with the distribution.",
+    ),
+    (
+        "BSD-3-Clause",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission.",
+    ),
+    (
+        "BSD",
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED '
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY "
+        "DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+        "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER "
+        "CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE "
+        "OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH "
+        "DAMAGE.",
+    ),
+    (
+        "ISC",
+        'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE '
+        "INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR "
+        "ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, "
+        "DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN "
+        "CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    ),
+    (
+        "Zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be "
+        "held liable for any damages arising from the use of this software.",
+    ),
+    (
+        "Zlib",
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and "
+        "to alter it and redistribute it freely, subject to the following restrictions:",
+    ),
+    (
+        "BSL-1.0",
+        "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at "
+        "http://www.boost.org/LICENSE_1_0.txt)",
+    ),
+    (
+        "Unlicense",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source "
+        "code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    ),
+    (
+        "LGPL-3.0",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 3 of the License, or (at "
+        "your option) any later version.",
+    ),
+    (
+        "AGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version.",
+    ),
+    (
+        "GPL-2.0",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+        "option) any later version.",
+    ),
+    (
+        "EPL-2.0",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+        "2.0 which is available at http://www.eclipse.org/legal/epl-2.0.",
+    ),
+    (
+        "CC0-1.0",
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring "
+        "rights to this software to the public domain worldwide. This software is distributed without any warranty.",
+    ),
 )
 
 
@@ -105,7 +206,7 @@ _SENTENCE, _PARAGRAPH = "\u0001", "\u0002"
 
 def plain_text(text) -> "F.Column":
     """A text in normalised words, with marks where sentences and paragraphs end."""
-    breaks = F.regexp_replace(F.lower(text), r"\n[ \t\r]*\n[ \t\r\n]*", _PARAGRAPH)
+    breaks = F.regexp_replace(F.lower(text), r"\n[^a-z0-9\n]*\n[^a-z0-9]*", _PARAGRAPH)
     breaks = F.regexp_replace(breaks, r"[.!?][ \t\r\n]+|\n", _SENTENCE)
     words = F.regexp_replace(breaks, f"[^a-z0-9{_SENTENCE}{_PARAGRAPH}]+", " ")
     return F.replace(words, F.lit("licence"), F.lit("license"))
@@ -258,7 +359,7 @@ WITH t AS (
   GROUP BY ALL
 ), plain AS (
   SELECT doc_id, replace(regexp_replace(regexp_replace(regexp_replace(lower(text),
-    '\\n[ \\t\\r]*\\n[ \\t\\r\\n]*', chr(2), 'g'), '[.!?][ \\t\\r\\n]+|\\n', chr(1), 'g'),
+    '\\n[^a-z0-9\\n]*\\n[^a-z0-9]*', chr(2), 'g'), '[.!?][ \\t\\r\\n]+|\\n', chr(1), 'g'),
     '[^a-z0-9\\x01\\x02]+', ' ', 'g'), 'licence', 'license') AS p
   FROM documents WHERE text IS NOT NULL
 ), u AS (

@@ -10,7 +10,7 @@ from contrail.llm.licenses import LEAST, TEMPLATES, license_matches, normalised
 
 def plain_units(text):
     low = (text or "").lower()
-    paragraphs = re.split(r"\n[ \t\r]*\n[ \t\r\n]*|\x02", low)
+    paragraphs = re.split(r"\n[^a-z0-9\n]*\n[^a-z0-9]*|\x02", low)
     sentences = [s for p in paragraphs for s in re.split(r"[.!?][ \t\r\n]+|\n|\x01", p)]
     return {normalised(u) for u in [low, *paragraphs, *sentences]}
 
@@ -76,6 +76,18 @@ def test_notices_at_exactly_the_bound(spark):
     assert got == [(1, "MIT", 0.8), (2, "BSD", 0.8)]
 
 
+def test_a_whole_licence_text_in_a_comment_header(spark):
+    paragraphs = ["Copyright (c) 2024 Someone"] + [t for k, t in TEMPLATES if k == "MIT" and len(t) > 100]
+    for mark in ("// ", "# ", " * ", ""):
+        lines = []
+        for text in paragraphs:
+            words = text.split()
+            lines += [mark + " ".join(words[k : k + 12]) for k in range(0, len(words), 12)] + [mark.rstrip()]
+        rows = [(1, "\n".join([*lines, "int main() { return 0; }"]))]
+        got = rows_of(license_matches(documents(spark, rows)), "doc_id", "license", "matches", "best")
+        assert got == expected(rows) and (1, "MIT", 3, 1.0) in got
+
+
 def test_templates_are_bounded(spark):
     with pytest.raises(ValueError, match="templates"):
         license_matches(documents(spark, []), (("x", "a b " * 300_000),))
