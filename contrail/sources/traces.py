@@ -127,7 +127,7 @@ def _placed(fragments: DataFrame) -> DataFrame:
             F.sum(F.when(F.col("_mode") == 0, F.col("_out")).otherwise(F.col("_in"))).over(upto).alias("_depth0"),
             F.sum(F.when(F.col("_mode") == 0, F.col("_in")).otherwise(F.col("_out"))).over(upto).alias("_depth1"),
         ),
-        "fragments",
+        "fragment-depths",
     )
     # One row per block of a file.
     file = Window.partitionBy("_file").orderBy("_block")
@@ -210,14 +210,11 @@ def read_traces(spark: SparkSession, path: str, schema: T.StructType = TRACE_SCH
     """Scan all matching files (glob or folder), one row per root object.
 
     A file may hold any number of root objects, on one line or many, and is read by as many
-    tasks as it has splits (``spark.sql.files.maxPartitionBytes``); the texts are read twice,
-    once for their braces and once to be parsed. Adds ``source_file``. What is not valid JSON
+    tasks as it has splits (``spark.sql.files.maxPartitionBytes``). Adds ``source_file``. What is not valid JSON
     yields rows with only ``_corrupt_record`` set; a root that never closes takes the rest of
     its file with it. Null traces and empty files give no points.
     """
-    texts = spark.read.option("lineSep", "}").text(path)
-    fragments = _file_fragments(texts).withColumn("_id", F.monotonically_increasing_id())
-    return _parsed(_cut_roots(fragments), schema)
+    return parse_fragments(_file_fragments(spark.read.option("lineSep", "}").text(path)), schema)
 
 
 def parse_documents(texts: DataFrame, text: str = "value", source_file: str = "source_file",
@@ -255,9 +252,14 @@ def stream_fragments(spark: SparkSession, path: str) -> DataFrame:
     return _file_fragments(spark.readStream.option("lineSep", "}").text(path))
 
 
-def parse_fragments(batch: DataFrame, schema: T.StructType) -> DataFrame:
-    """Documents of a micro-batch of whole files (``stream_fragments``)."""
-    return _parsed(_cut_roots(batch.withColumn("_id", F.monotonically_increasing_id())), schema)
+def parse_fragments(fragments: DataFrame, schema: T.StructType) -> DataFrame:
+    """Documents of whole files that are read as fragments (a scan or a micro-batch of a stream).
+
+    The fragments are written once with their numbers: how a file is split into ranges depends
+    on the cluster's size at the time, so a second scan might number them otherwise.
+    """
+    numbered = fragments.withColumn("_id", F.monotonically_increasing_id())
+    return _parsed(_cut_roots(materialised(numbered, "fragments")), schema)
 
 
 def routed(docs: DataFrame) -> DataFrame:
@@ -345,9 +347,18 @@ def flatten(
     )
 
 
+def _unparsed() -> Column:
+    return F.col("time_offset").isNull() | F.col("lat").isNull() | F.col("lng").isNull()
+
+
 def bad_points(points: DataFrame) -> DataFrame:
     """Points of a lenient ``flatten`` whose offset or position did not parse."""
-    return points.filter(F.col("time_offset").isNull() | F.col("lat").isNull() | F.col("lng").isNull())
+    return points.filter(_unparsed())
+
+
+def good_points(points: DataFrame) -> DataFrame:
+    """The other points of a lenient ``flatten``."""
+    return points.filter(~_unparsed())
 
 
 # Fixed value: metres per foot.

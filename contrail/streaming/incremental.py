@@ -5,7 +5,8 @@ run handles only files it has not seen (tracked in the stream checkpoint), then
 stops. Each micro-batch
 
 * flattens the valid documents and writes their points,
-* keeps malformed and repeated documents in a quarantine table,
+* keeps malformed and repeated documents in a quarantine table, and points whose offset or
+  position is no number in one of their own (without it such a point stops the run),
 * records one status-cache entry per document (``has_data`` for a parsed document, whose
   points are written, ``no_data`` for a malformed one) in the manifest history, whose latest
   entry per ``(entity, day)`` is the cached status (``ingest.latest_status``),
@@ -37,8 +38,10 @@ from contrail.sources.sinks import day_folder, opened_days
 from contrail.sources.traces import (
     CORRUPT,
     DOCUMENT_SCHEMA,
+    bad_points,
     day_documents,
     flatten,
+    good_points,
     parse_fragments,
     routed,
     stream_fragments,
@@ -77,16 +80,22 @@ def _track_day(source_file: str = "source_file"):
 
 def process_batch(batch: DataFrame, batch_id: int, points_path: str,
                   quarantine_path: str | None = None, manifest_path: str | None = None,
-                  legs_path: str | None = None, params: LegParams = LegParams()) -> None:
+                  legs_path: str | None = None, params: LegParams = LegParams(),
+                  bad_points_path: str | None = None) -> None:
     """Write one micro-batch of trace documents (idempotent per ``batch_id``).
 
-    ``legs_path`` holds three tables: ``documents`` (what a batch brought), ``legs`` and
+    The points are flattened once, good and bad ones together. ``legs_path`` holds three tables: ``documents`` (what a batch brought), ``legs`` and
     ``days`` (the days that a batch touched, whose legs it has written).
     """
     tag = F.lit(int(batch_id)).cast("bigint")
     batch = materialised(batch, "batch")
     alone, aside = day_documents(batch)
-    _write(flatten(alone).withColumn(BATCH, tag), points_path, ["flight_date", BATCH])
+    points = flatten(alone, strict=bad_points_path is None).withColumn(BATCH, tag)
+    if bad_points_path:
+        points = materialised(points, "points")
+        _write(bad_points(points), bad_points_path, [BATCH])
+        points = good_points(points)
+    _write(points, points_path, ["flight_date", BATCH])
     if quarantine_path:
         _write(aside.withColumn(BATCH, tag), quarantine_path, [BATCH])
     if manifest_path:
@@ -159,6 +168,7 @@ def stream_traces(
     manifest_path: str | None = None,
     legs_path: str | None = None,
     params: LegParams = LegParams(),
+    bad_points_path: str | None = None,
 ) -> StreamingQuery:
     """Start an availableNow run: new files -> points, quarantine, manifest entries, legs.
 
@@ -169,7 +179,7 @@ def stream_traces(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         docs = routed(parse_fragments(batch, DOCUMENT_SCHEMA))
-        process_batch(docs, batch_id, points_path, quarantine_path, manifest_path, legs_path, params)
+        process_batch(docs, batch_id, points_path, quarantine_path, manifest_path, legs_path, params, bad_points_path)
 
     return (
         stream_fragments(spark, source_dir)

@@ -130,3 +130,17 @@ def test_the_stream_keeps_legs_and_reads_both_shapes(spark):
     legs = current_legs(spark, os.path.join(root, "legs"))
     assert sorted((r.entity, r.flight_date) for r in legs.collect()) == [
         ("a", "2025-05-01"), ("a", "2025-05-02"), ("f", "2025-05-01")]
+
+
+def test_bad_points_do_not_stop_the_run(spark):
+    root = tempfile.mkdtemp(prefix="contrail-bad-")
+    src = os.path.join(root, "in")
+    os.makedirs(src)
+    doc = {"icao": "a", "timestamp": 0.0, "trace": [[0, 1, 2, 3000], ["x", 1, 2, 3000], [2, None, 2, 3000], [3, 1, 2, 3000]]}
+    write(src, "flight-track-2025-05-01.json", doc)
+    docs = read_documents(spark, src)
+    points, bad = os.path.join(root, "points"), os.path.join(root, "bad")
+    for _ in range(2):
+        process_batch(docs, 0, points, bad_points_path=bad)
+    assert sorted(r.idx for r in spark.read.parquet(points).collect()) == [1, 4]
+    assert sorted(r.idx for r in spark.read.parquet(bad).collect()) == [2, 3]
