@@ -13,7 +13,8 @@ some already; reading takes one away, so any text survives. The loss mask lists,
 turn of the trained role, the code points [start, end) of its text in the output.
 
 Defined cases: null texts and roles count as empty; a null tree id is a tree of its own
-(null); nodes whose parent is null or unknown are roots; an empty table gives no rows;
+(null); nodes whose parent is null or unknown are roots; very long texts count as any and
+make one long output; an empty table gives no rows;
 other columns are ignored. A cycle of parents has no root and gives no conversation.
 Conversations (rows by turn) are trees without branches: rows are ordered by turn (null
 first), role and text, and each answers the one before; repeated rows are turns of

@@ -27,7 +27,8 @@ Defined cases: words are runs of ASCII letters, digits and non-ASCII characters
 punctuation, blanks and control characters of Unicode, in lower case (case folding where
 that is one character); bytes that are no UTF-8 stand for themselves; null and empty
 texts have no words and no hits; items without words are skipped; an item of n words is found with floor(edits * n) word edits or fewer
-(short ones exactly); repeated rows and items each give their own rows; empty tables
+(short ones exactly); repeated rows and items each give their own rows; very long texts are
+searched whole, as a piece of their own; empty tables
 give no rows; other columns are ignored.
 """
 

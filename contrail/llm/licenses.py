@@ -22,7 +22,8 @@ The templates are a parameter of a few hundred texts at most, checked against
 
 Defined cases: null and empty texts and units of fewer than two words match nothing;
 equal units of a text count once; repeated rows give their own rows; the control
-characters 1 and 2 end a sentence and a paragraph; an empty table gives no rows; other
+characters 1 and 2 end a sentence and a paragraph; a very long text is cut into its units
+whole; an empty table gives no rows; other
 columns are ignored.
 """
 

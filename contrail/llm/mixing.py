@@ -19,7 +19,8 @@ slots meet blocks on (source, block), which is unique on the slots' side.
 Defined cases: a null or blank text has no words and is never taken (taken 0); a null
 source is a source of its own, last in order; a null doc_id is an id like any other;
 rows equal in id, source and size are interchangeable and taken as separate copies;
-without words all targets are 0; an empty table gives no rows; other columns are
+without words all targets are 0; a very long text lies in as many blocks as it fills and may
+be taken in part; an empty table gives no rows; other columns are
 ignored.
 """
 

@@ -35,6 +35,7 @@ from itertools import groupby
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from contrail.llm.common import ranked, stored, table
 
@@ -380,15 +381,15 @@ def repaired_turns(conversations: DataFrame, rows: DataFrame) -> DataFrame:
         yield from _batches(each(), schema)
 
     schema = pa.schema(
-        [_id_field(id_kind), ("place", pa.int64()), ("edit", pa.string()), ("role", pa.string()), ("text", pa.string())]
+        [_id_field(conversations), ("place", pa.int64()), ("edit", pa.string()), ("role", pa.string()), ("text", pa.string())]
     )
     return _stream(conversations, rows).mapInArrow(
         edits, f"conv_id {id_kind}, place bigint, edit string, role string, text string"
     )
 
 
-def _id_field(kind: str):
-    return ("conv_id", {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind])
+def _id_field(conversations: DataFrame):
+    return ("conv_id", to_arrow_type(conversations.schema["conv_id"].dataType))
 
 
 def repair(conversations: DataFrame, rows: DataFrame) -> DataFrame:
@@ -422,7 +423,7 @@ def repair(conversations: DataFrame, rows: DataFrame) -> DataFrame:
 
     numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
     schema = pa.schema(
-        [_id_field(id_kind), *[(n, pa.int64()) for n in numbers], ("audit", pa.string()), ("repaired_sha256", pa.string())]
+        [_id_field(conversations), *[(n, pa.int64()) for n in numbers], ("audit", pa.string()), ("repaired_sha256", pa.string())]
     )
     fields = ", ".join(f"{n} bigint" for n in numbers)
     return _stream(conversations, rows).mapInArrow(

@@ -9,7 +9,8 @@ rows than a chunk, or than there are chunks in a partition.
 Defined cases: a null text has no bytes (its size is the per-record overhead) and the
 CRC of the empty text; null ids come first; equal ids are ordered by size and CRC, and
 rows equal in all three are interchangeable (ties are split over range partitions like
-other rows); an empty table gives no rows; other columns are ignored. Groups of equal
+other rows); a very long text may fill more than a shard, which then leaves shards without
+rows; an empty table gives no rows; other columns are ignored. Groups of equal
 texts have no part in this law: a shard is a range of the id order.
 """
 

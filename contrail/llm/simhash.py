@@ -13,7 +13,8 @@ then 8 wide). After the last cut a key leaves 11 bits free, so no group has more
 
 Defined cases: a null text counts as empty; a text without words has fingerprint zero
 and links like any other; rows with the same text and id are kept as rows; a null
-doc_id never becomes a component id unless all ids of the component are null; an empty
+doc_id never becomes a component id unless all ids of the component are null; a very long
+text is fingerprinted whole, in steps of bounded memory; an empty
 table gives no rows; other columns are ignored.
 """
 

@@ -15,7 +15,8 @@ characters and blanks of a url are percent-encoded; equal payloads shorter than
 ``least_bytes`` are all responses; rows that repeat the id of the response are responses
 too; a null page_id is written as an empty one, and refers like any other (it is the
 response only where all ids of the payload are null); every record has its own
-``WARC-Record-ID``, also where rows repeat an id, and a revisit names one response; an empty table gives an empty
+``WARC-Record-ID``, also where rows repeat an id, and a revisit names one response; a very long
+html is one payload; an empty table gives an empty
 archive; other columns are ignored. Two payloads of one SHA-256 but another SHA-1 or
 length stop the write.
 """
