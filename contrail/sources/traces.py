@@ -279,18 +279,26 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return routed(read_traces(spark, path, DOCUMENT_SCHEMA))
 
 
-def day_documents(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(documents to be flattened, set aside): the reading path of trace documents.
+def marked_documents(docs: DataFrame) -> DataFrame:
+    """Documents with the ``reason`` why one is not to be flattened (NULL for the others).
 
-    Set aside, with a ``reason``: what is not JSON (``malformed``), and documents that share
-    their vehicle and day with another (``repeated``), whose points would mix.
+    ``malformed``: not JSON; ``repeated``: it shares vehicle and day with another, and the points
+    of both would mix. Counted over the documents' keys and joined back on them.
     """
-    good, bad = split_quarantine(docs)
-    alone, others = one_per_day(good)
-    aside = bad.withColumn("reason", F.lit("malformed")).unionByName(
-        others.select("source_file", "icao", F.lit(None).cast("string").alias(CORRUPT), F.lit("repeated").alias("reason"))
+    good = F.col(CORRUPT).isNull()
+    counts = docs.filter(good).groupBy(F.col("icao").alias("_icao"), F.col("source_file").alias("_file")).agg(
+        F.count(F.lit(1)).alias("_n")
     )
-    return alone, aside
+    found = docs.join(counts.filter("_n > 1"), F.expr("icao <=> _icao AND source_file <=> _file"), "left")
+    reason = F.when(~good, F.lit("malformed")).when(F.col("_n").isNotNull(), F.lit("repeated"))
+    return found.withColumn("reason", reason).drop("_icao", "_file", "_n")
+
+
+def day_documents(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(documents to be flattened, set aside with their ``reason``): the reading path of trace documents."""
+    marked = marked_documents(docs)
+    aside = marked.filter(F.col("reason").isNotNull())
+    return marked.filter(F.col("reason").isNull()).drop(CORRUPT, "reason"), aside.select("source_file", "icao", CORRUPT, "reason")
 
 
 def split_quarantine(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

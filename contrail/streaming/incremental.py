@@ -39,9 +39,9 @@ from contrail.sources.traces import (
     CORRUPT,
     DOCUMENT_SCHEMA,
     bad_points,
-    day_documents,
     flatten,
     good_points,
+    marked_documents,
     parse_fragments,
     routed,
     stream_fragments,
@@ -62,10 +62,14 @@ LEG_SCHEMA = (
 )
 
 
-def _write(df: DataFrame, path: str, partitions: list[str]) -> None:
+def _write(df: DataFrame, path: str, partitions: list[str], order: list[str] | None = None) -> None:
+    """Replace the batch's partitions. With ``order`` the writers are ranges of the day and these
+    columns: few files per day, and a busy day is split over several writers."""
     stored = df
     if "flight_date" in df.columns:
         stored = df.withColumn("flight_date", day_folder("flight_date"))
+    if order:
+        stored = stored.repartitionByRange("flight_date", *order).sortWithinPartitions("flight_date", *order)
     (
         stored.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -88,14 +92,15 @@ def process_batch(batch: DataFrame, batch_id: int, points_path: str,
     ``days`` (the days that a batch touched, whose legs it has written).
     """
     tag = F.lit(int(batch_id)).cast("bigint")
-    batch = materialised(batch, "batch")
-    alone, aside = day_documents(batch)
+    marked = materialised(marked_documents(batch), "batch")
+    aside = marked.filter(F.col("reason").isNotNull()).select("source_file", "icao", CORRUPT, "reason")
+    alone = marked.filter(F.col("reason").isNull()).drop(CORRUPT, "reason")
     points = flatten(alone, strict=bad_points_path is None).withColumn(BATCH, tag)
     if bad_points_path:
         points = materialised(points, "points")
         _write(bad_points(points), bad_points_path, [BATCH])
         points = good_points(points)
-    _write(points, points_path, ["flight_date", BATCH])
+    _write(points, points_path, ["flight_date", BATCH], ["entity", "idx"])
     if quarantine_path:
         _write(aside.withColumn(BATCH, tag), quarantine_path, [BATCH])
     if manifest_path:
@@ -146,7 +151,7 @@ def refresh_legs(spark: SparkSession, batch_id: int, points_path: str, legs_path
     if not days:
         return
     legs = leg_summary(current_points(spark, points_path, legs_path, days), TrackCols(), params)
-    _write(legs.withColumn(BATCH, tag), f"{legs_path}/legs", [BATCH, "flight_date"])
+    _write(legs.withColumn(BATCH, tag), f"{legs_path}/legs", [BATCH, "flight_date"], ["entity", "flight_num"])
     _write(spark.createDataFrame([(d,) for d in days], "flight_date string").withColumn(BATCH, tag), f"{legs_path}/days", [BATCH])
 
 
