@@ -86,25 +86,18 @@ def _count(text: Column, char: str) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(char), F.lit("")))
 
 
-def _effects(fragments: DataFrame) -> DataFrame:
-    """Per fragment: _odd (it changes between inside and outside of strings), _out and _in (what it
-    adds to the depth when it begins outside or inside of one; its own ``}`` included) and _bytes."""
+def _effects(fragments: DataFrame, *names: str) -> DataFrame:
+    """Per fragment, beside ``names``: _odd (it changes between inside and outside of strings), _out
+    and _in (what it adds to the depth when it begins outside or inside of one; its own ``}`` included)."""
     plain = F.regexp_replace("value", r"(?s)\\.", "")  # no fragment ends in an escape: } takes none
     bare = lambda text: F.regexp_replace(text, r'"[^"]*("|\z)', "")
     depth = lambda text: _count(text, "{") - _count(text, "}")
     odd = _count(F.col("_plain"), '"') % 2
-    return (
-        fragments.select("_file", "_block", "_id", "_size", "value", plain.alias("_plain"))
-        .select(
-            "_file",
-            "_block",
-            "_id",
-            "_size",
-            odd.alias("_odd"),
-            (depth(bare(F.col("_plain"))) - F.when(odd == 0, 1).otherwise(0)).alias("_out"),
-            (depth(bare(F.concat(F.lit('"'), "_plain"))) - F.when(odd == 1, 1).otherwise(0)).alias("_in"),
-            (F.octet_length("value") + 1).cast("long").alias("_bytes"),
-        )
+    return fragments.select(*names, plain.alias("_plain")).select(
+        *names,
+        odd.alias("_odd"),
+        (depth(bare(F.col("_plain"))) - F.when(odd == 0, 1).otherwise(0)).alias("_out"),
+        (depth(bare(F.concat(F.lit('"'), "_plain"))) - F.when(odd == 1, 1).otherwise(0)).alias("_in"),
     )
 
 
@@ -115,7 +108,8 @@ def _placed(fragments: DataFrame) -> DataFrame:
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
     mode = F.coalesce(F.sum("_odd").over(before), F.lit(0)) % 2  # if the block begins outside
-    local = _effects(fragments).withColumn("_mode", mode)
+    sized = fragments.withColumn("_bytes", (F.octet_length("value") + 1).cast("long"))
+    local = _effects(sized, "_file", "_block", "_id", "_size", "_bytes").withColumn("_mode", mode)
     local = materialised(
         local.select(
             "_file",
@@ -194,9 +188,33 @@ def _cut_roots(fragments: DataFrame) -> DataFrame:
     alone = pieces.filter("_alone").select("source_file", text.alias("doc"))
     parts = F.array_sort(F.collect_list(F.struct("_block", "_id", text.alias("t"))))
     others = pieces.filter("NOT _alone").groupBy("source_file", "_file", "_root").agg(parts.alias("_parts"))
-    docs = alone.union(others.select("source_file", F.array_join("_parts.t", "").alias("doc")))
-    docs = docs.withColumn("doc", F.regexp_replace("doc", r"^\s+", ""))
-    return docs.filter(F.col("doc") != "")
+    return _trimmed(alone.union(others.select("source_file", F.array_join("_parts.t", "").alias("doc"))))
+
+
+def _trimmed(docs: DataFrame) -> DataFrame:
+    """Documents without blanks before them; blanks alone are none."""
+    return docs.withColumn("doc", F.regexp_replace("doc", r"^\s+", "")).filter(F.col("doc") != "")
+
+
+def _cut_texts(pieces: DataFrame) -> DataFrame:
+    """source_file, doc: as ``_cut_roots`` for texts that are rows of a table already.
+
+    pieces: source_file, _file, pos, value. All windows run over one text, which is one row, so the
+    pieces move once and are put together where they are.
+    """
+    text = Window.partitionBy("_file").orderBy("pos")
+    upto = text.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = text.rowsBetween(Window.unboundedPreceding, -1)
+    cut = _effects(pieces, "source_file", "_file", "pos", "value")
+    cut = cut.withColumns({"_mode": F.coalesce(F.sum("_odd").over(before), F.lit(0)) % 2, "_open": F.lead("pos").over(text).isNull()})
+    change = F.when(F.col("_mode") == 0, F.col("_out")).otherwise(F.col("_in"))
+    cut = cut.withColumn("_depth", F.sum(change).over(upto))
+    closes = (F.col("_depth") <= 0) & ~F.col("_open")
+    cut = cut.withColumn("_root", F.coalesce(F.count_if(closes).over(before), F.lit(0)))
+    whole = F.concat("value", F.when(F.col("_open"), F.lit("")).otherwise(F.lit("}")))
+    parts = F.array_sort(F.collect_list(F.struct("pos", whole.alias("t"))))
+    roots = cut.groupBy("_file", "source_file", "_root").agg(parts.alias("_parts"))
+    return _trimmed(roots.select("source_file", F.array_join("_parts.t", "").alias("doc")))
 
 
 def _parsed(docs: DataFrame, schema: T.StructType) -> DataFrame:
@@ -225,21 +243,8 @@ def parse_documents(texts: DataFrame, text: str = "value", source_file: str = "s
     """
     rows = texts.select(F.col(source_file).alias("source_file"), F.col(text).alias("value"))
     kept = materialised(rows.withColumn("_file", F.monotonically_increasing_id()), "texts")
-    cut = kept.select(
-        "source_file", "_file", F.octet_length("value").cast("long").alias("_size"), F.posexplode(F.split("value", r"\}"))
-    )
-    fragments = cut.select(
-        "source_file",
-        "_file",
-        F.expr(f"pos div {_BLOCK}").alias("_block"),
-        F.struct("_file", "pos").alias("_id"),
-        "_size",
-        F.col("col").alias("value"),
-    )
-    return _parsed(_cut_roots(fragments), schema)
-
-
-_BLOCK = 4096  # fragments of a text that are numbered together
+    cut = kept.select("source_file", "_file", F.posexplode(F.split("value", r"\}")).alias("pos", "value"))
+    return _parsed(_cut_texts(cut), schema)
 
 
 def read_trace_text(spark: SparkSession, path: str, schema: T.StructType = TRACE_SCHEMA) -> DataFrame:

@@ -71,8 +71,7 @@ def test_ends_of_files(small_splits, scratch, seed):
     assert sorted(r.source_file[-7:-5] for r in bad.collect()) == ["03", "04", "05", "08"]
 
 
-def test_texts_in_a_column_give_the_same_roots(spark, scratch, monkeypatch):
-    monkeypatch.setattr(traces, "_BLOCK", 3)
+def test_texts_in_a_column_give_the_same_roots(spark):
     rng = random.Random(5)
     texts = ["\n".join(document(rng, 100 * f + k) for k in range(rng.randrange(0, 40))) for f in range(12)]
     rows = spark.createDataFrame([("same.json", t) for t in texts] + [("x.json", None)], "source_file string, value string")
