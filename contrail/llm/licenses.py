@@ -1,10 +1,14 @@
 """Licence scans: Dice coefficient over word bigrams against licence templates.
 
 A text's units are the whole text, its paragraphs (between lines without a-z and 0-9, so the
-empty lines of a comment part them too) and its sentences (between line ends, and after . ! ? before a blank), each normalised: lower
-case, "licence" spelled "license", runs of anything but a-z and 0-9 one blank. A unit
-matches a template if the Dice coefficient of their bigram bags (repeats counted) is
-``least`` or more: 2 * shared / (bigrams of both).
+empty lines of a comment part them too), its sentences (after . ! ? before a blank; a sentence
+may go over any number of lines of its paragraph) and the lines of its sentences, each
+normalised: lower case, "licence" spelled "license", runs of anything but a-z and 0-9 one
+blank. A unit matches a template if the Dice coefficient of their bigram bags (repeats
+counted) is ``least`` or more: 2 * shared / (bigrams of both).
+
+The long sentences of a notice are templates too (``with_sentences``), so a notice that is
+wrapped inside a larger paragraph, or stands directly before code, is found by its sentences.
 
 Sizes bound the coefficient: a unit of a bigrams can only match a template of b bigrams
 if least / (2 - least) * b <= a <= (2 - least) / least * b, compared as integers (``least``
@@ -22,7 +26,7 @@ The templates are a parameter of a few hundred texts at most, checked against
 
 Defined cases: null and empty texts and units of fewer than two words match nothing;
 equal units of a text count once; repeated rows give their own rows; the control
-characters 1 and 2 end a sentence and a paragraph; a very long text is cut into its units
+characters 1, 2 and 3 end a sentence, a paragraph and a line; a very long text is cut into its units
 whole; an empty table gives no rows; other
 columns are ignored.
 """
@@ -43,7 +47,7 @@ LEAST = 0.8
 MOST_TEMPLATE_WORDS = 500_000  # bounds the broadcast
 
 # Public licence notices and headers, as (licence, text).
-TEMPLATES = (
+NOTICES = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -202,14 +206,29 @@ def normalised(text: str) -> str:
     return re.sub(r"[^a-z0-9]+", " ", text.lower()).strip().replace("licence", "license")
 
 
-_SENTENCE, _PARAGRAPH = "\u0001", "\u0002"
+LONG_SENTENCE = 12  # words from which a notice's sentence tells its licence
+
+
+def with_sentences(notices) -> tuple:
+    """The notices, and their sentences of ``LONG_SENTENCE`` words or more as templates of their own."""
+    found = dict.fromkeys(notices)
+    for licence, text in notices:
+        for sentence in re.split(r"[.!?][ \t\r\n]+", text):
+            if len(normalised(sentence).split()) >= LONG_SENTENCE and normalised(sentence) != normalised(text):
+                found[licence, sentence] = None
+    return tuple(found)
+
+
+TEMPLATES = with_sentences(NOTICES)
+
+_SENTENCE, _PARAGRAPH, _LINE = "\u0001", "\u0002", "\u0003"
 
 
 def plain_text(text) -> "F.Column":
-    """A text in normalised words, with marks where sentences and paragraphs end."""
+    """A text in normalised words, with marks where sentences, paragraphs and lines end."""
     breaks = F.regexp_replace(F.lower(text), r"\n[^a-z0-9\n]*\n[^a-z0-9]*", _PARAGRAPH)
-    breaks = F.regexp_replace(breaks, r"[.!?][ \t\r\n]+|\n", _SENTENCE)
-    words = F.regexp_replace(breaks, f"[^a-z0-9{_SENTENCE}{_PARAGRAPH}]+", " ")
+    breaks = F.translate(F.regexp_replace(breaks, r"[.!?][ \t\r\n]+", _SENTENCE), "\n", _LINE)
+    words = F.regexp_replace(breaks, f"[^a-z0-9{_SENTENCE}{_PARAGRAPH}{_LINE}]+", " ")
     return F.replace(words, F.lit("licence"), F.lit("license"))
 
 
@@ -223,18 +242,21 @@ def _count(text, *marks: str) -> "F.Column":
 def units(plain, most: int) -> "F.Column":
     """Array of the distinct units of a ``plain_text``.
 
-    Whole texts and paragraphs that surely have more than ``most`` bigrams are left out
-    at once: between two words there is one blank more than marks at most.
+    Units of several lines that surely have more than ``most`` bigrams are left out at once:
+    between two words there is one blank more than marks at most.
     """
-    fits = lambda t: _count(t, " ") - _count(t, _SENTENCE, _PARAGRAPH) - 2 <= most
-    one = lambda t: F.regexp_replace(t, f"[ {_SENTENCE}{_PARAGRAPH}]+", " ")
+    fits = lambda t: _count(t, " ") - _count(t, _SENTENCE, _PARAGRAPH, _LINE) - 2 <= most
+    one = lambda t: F.regexp_replace(t, f"[ {_SENTENCE}{_PARAGRAPH}{_LINE}]+", " ")
     none = F.array().cast("array<string>")
     whole = F.when(fits(plain), F.array(one(plain))).otherwise(none)
     paragraphs = F.when(
         plain.contains(_PARAGRAPH), F.transform(F.filter(F.split(plain, _PARAGRAPH), fits), lambda p: one(p))
     ).otherwise(none)
-    sentences = F.split(F.replace(plain, F.lit(_PARAGRAPH), F.lit(_SENTENCE)), _SENTENCE)
-    return F.array_distinct(F.transform(F.concat(whole, paragraphs, sentences), lambda u: F.trim(u)))
+    ended = F.replace(plain, F.lit(_PARAGRAPH), F.lit(_SENTENCE))
+    wrapped = F.filter(F.split(ended, _SENTENCE), lambda t: t.contains(_LINE) & fits(t))
+    sentences = F.when(plain.contains(_LINE), F.transform(wrapped, lambda t: one(t))).otherwise(none)
+    lines = F.split(F.replace(ended, F.lit(_LINE), F.lit(_SENTENCE)), _SENTENCE)
+    return F.array_distinct(F.transform(F.concat(whole, paragraphs, sentences, lines), lambda u: F.trim(u)))
 
 
 def _template_rows(templates) -> list:
@@ -359,15 +381,16 @@ WITH t AS (
                unnest(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS gram FROM t)
   GROUP BY ALL
 ), plain AS (
-  SELECT doc_id, replace(regexp_replace(regexp_replace(regexp_replace(lower(text),
-    '\\n[^a-z0-9\\n]*\\n[^a-z0-9]*', chr(2), 'g'), '[.!?][ \\t\\r\\n]+|\\n', chr(1), 'g'),
-    '[^a-z0-9\\x01\\x02]+', ' ', 'g'), 'licence', 'license') AS p
+  SELECT doc_id, replace(regexp_replace(replace(regexp_replace(regexp_replace(lower(text),
+    '\\n[^a-z0-9\\n]*\\n[^a-z0-9]*', chr(2), 'g'), '[.!?][ \\t\\r\\n]+', chr(1), 'g'), chr(10), chr(3)),
+    '[^a-z0-9\\x01\\x02\\x03]+', ' ', 'g'), 'licence', 'license') AS p
   FROM documents WHERE text IS NOT NULL
 ), u AS (
   SELECT DISTINCT doc_id, trim(unit) AS unit FROM (
-    SELECT doc_id, regexp_replace(p, '[ \\x01\\x02]+', ' ', 'g') AS unit FROM plain
-    UNION ALL SELECT doc_id, unnest(string_split(regexp_replace(p, '[ \\x01]+', ' ', 'g'), chr(2))) FROM plain
-    UNION ALL SELECT doc_id, unnest(string_split_regex(p, '[\\x01\\x02]')) FROM plain)
+    SELECT doc_id, regexp_replace(p, '[ \\x01\\x02\\x03]+', ' ', 'g') AS unit FROM plain
+    UNION ALL SELECT doc_id, unnest(string_split(regexp_replace(p, '[ \\x01\\x03]+', ' ', 'g'), chr(2))) FROM plain
+    UNION ALL SELECT doc_id, unnest(string_split_regex(regexp_replace(p, '[ \\x03]+', ' ', 'g'), '[\\x01\\x02]')) FROM plain
+    UNION ALL SELECT doc_id, unnest(string_split_regex(p, '[\\x01\\x02\\x03]')) FROM plain)
 ), ug AS (
   SELECT doc_id, unit, a, gram, count(*) AS n FROM (
     SELECT doc_id, unit, len(w) - 1 AS a,

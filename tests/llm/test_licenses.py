@@ -5,14 +5,15 @@ from collections import Counter
 import pytest
 from tests.llm.helpers import awkward, documents, prose, rows_of
 
-from contrail.llm.licenses import LEAST, TEMPLATES, license_matches, normalised
+from contrail.llm.licenses import LEAST, NOTICES, TEMPLATES, license_matches, normalised
 
 
 def plain_units(text):
     low = (text or "").lower()
     paragraphs = re.split(r"\n[^a-z0-9\n]*\n[^a-z0-9]*|\x02", low)
-    sentences = [s for p in paragraphs for s in re.split(r"[.!?][ \t\r\n]+|\n|\x01", p)]
-    return {normalised(u) for u in [low, *paragraphs, *sentences]}
+    sentences = [s for p in paragraphs for s in re.split(r"[.!?][ \t\r\n]+|\x01", p)]
+    lines = [line for s in sentences for line in re.split(r"[\n\x03]", s)]
+    return {normalised(u) for u in [low, *paragraphs, *sentences, *lines]}
 
 
 def bag(text):
@@ -77,7 +78,7 @@ def test_notices_at_exactly_the_bound(spark):
 
 
 def test_a_whole_licence_text_in_a_comment_header(spark):
-    paragraphs = ["Copyright (c) 2024 Someone"] + [t for k, t in TEMPLATES if k == "MIT" and len(t) > 100]
+    paragraphs = ["Copyright (c) 2024 Someone"] + [t for k, t in NOTICES if k == "MIT" and len(t) > 100]
     for mark in ("// ", "# ", " * ", ""):
         lines = []
         for text in paragraphs:
@@ -85,7 +86,39 @@ def test_a_whole_licence_text_in_a_comment_header(spark):
             lines += [mark + " ".join(words[k : k + 12]) for k in range(0, len(words), 12)] + [mark.rstrip()]
         rows = [(1, "\n".join([*lines, "int main() { return 0; }"]))]
         got = rows_of(license_matches(documents(spark, rows)), "doc_id", "license", "matches", "best")
-        assert got == expected(rows) and (1, "MIT", 3, 1.0) in got
+        # Three paragraphs, and the two sentences of the last one.
+        assert got == expected(rows) and (1, "MIT", 5, 1.0) in got
+
+
+def notice(licence, start):
+    return next(t for k, t in NOTICES if k == licence and t.startswith(start))
+
+
+def test_a_header_directly_before_code(spark):
+    text = notice("MPL-2.0", "This Source Code Form")
+    for mark, width in (("// ", 9), ("# ", 5), (" * ", 12)):
+        words = text.split()
+        lines = [mark + " ".join(words[k : k + width]) for k in range(0, len(words), width)]
+        rows = [(1, "\n".join([*lines, "int main() { return 0; }", *["x = f(x, y);"] * 200]))]
+        got = rows_of(license_matches(documents(spark, rows)), "doc_id", "license", "best")
+        assert got == [(1, "MPL-2.0", 1.0)]
+
+
+def test_notices_wrapped_inside_a_paragraph(spark):
+    """However the lines fall, a notice is found by its sentences among other prose."""
+    rng = random.Random(7)
+    cases = [("MIT", "Released under"), ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the"), ("GPL-3.0", "This program")]
+    rows = []
+    for k, (licence, start) in enumerate(cases):
+        for width in (3, 4, 7, 11):
+            words = f"{prose(rng, 40)}. {notice(licence, start)} {prose(rng, 400)}".split()
+            wrapped = "\n".join(" ".join(words[i : i + width]) for i in range(0, len(words), width))
+            rows.append((100 * k + width, wrapped))
+    rows += [(900, prose(rng, 500)), (901, "Unless required by law you may not use this file. See the licence for more.")]
+    got = rows_of(license_matches(documents(spark, rows)), "doc_id", "license", "matches", "best")
+    assert got == expected(rows)
+    assert {(r[0], r[1]) for r in got} >= {(100 * k + w, c[0]) for k, c in enumerate(cases) for w in (3, 4, 7, 11)}
+    assert not {r[0] for r in got} & {900, 901}
 
 
 def test_templates_are_bounded(spark):
