@@ -5,8 +5,9 @@ they are read, into rows of one matrix each: tiles of the vectors, blocks of the
 Consecutive tiles of a task are a lane. Every block meets every lane by a join on (block,
 lane), which holds one block and a bounded number of tiles; there a block is multiplied with
 one tile at a time, the best k of each tile are selected and merged into running lists. The
-lists of the lanes are merged in rounds of ``FAN`` lanes, each round keeping k rows per query,
-until one list is left. Nothing but counts passes through the driver, and the vectors are read
+lists of the lanes are merged in rounds of ``FAN`` lanes, until one list is left. Lists hold one
+row more than asked for, since a query meets its own row too: at the end one row of its id and of
+its product with itself is taken out. Nothing but counts passes through the driver, and the vectors are read
 once, however many queries there are.
 
 Ranking is by (score, smaller vec_id). A tile's products are exact: they are done in
@@ -14,9 +15,9 @@ double precision when all sums stay below 2**53, and in Python integers otherwis
 
 Defined cases: vectors that are null, empty or hold null or non-finite components take
 no part; only vectors of equal length are compared; a null vec_id is neither query nor
-candidate; rows that carry the query's own vec_id are never its candidates; equal rows
-count once as queries and each as candidates; different vectors under one query id share
-its list; fewer candidates than k give all of them; very long vectors make tiles of fewer
+candidate; a query's own row alone is no candidate, so rows that repeat its vec_id are; every
+query row has a list of its own, also where rows or ids repeat (a query that is no row of the
+vectors takes the first row of its id and product as its own); fewer candidates than k give all of them; very long vectors make tiles of fewer
 rows; an empty table gives no rows; other columns are ignored. Scores beyond 64 bits fail.
 """
 
@@ -59,6 +60,13 @@ def _vectors(batch: pa.RecordBatch, scale: int):
         yield number[rows], np.floor(matrix * scale)
 
 
+def _squares(a: np.ndarray) -> np.ndarray:
+    """Exact product of every row with itself."""
+    if np.abs(a).max(initial=0) ** 2 * a.shape[1] < _EXACT:
+        return (a * a).sum(axis=1).astype(np.int64)
+    return np.array([sum(int(x) ** 2 for x in row) for row in a], dtype=np.int64)
+
+
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact a @ b.T of integers held as doubles, as 64-bit integers."""
     most = np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * a.shape[1]
@@ -73,36 +81,29 @@ class _Best:
 
     def __init__(self, queries: int, k: int):
         self.k = k
-        self.score = np.zeros((queries, 0), np.int64)  # partly filled lists have real = False
+        self.score = np.zeros((queries, 0), np.int64)
         self.vec = np.zeros((queries, 0), np.int64)
-        self.real = np.zeros((queries, 0), bool)
 
-    def add(self, score: np.ndarray, vec: np.ndarray, real: np.ndarray) -> None:
-        """Merge a list per query: a stable order by score over ids in ascending order."""
+    def add(self, score: np.ndarray, vec: np.ndarray) -> None:
+        """Merge a list per query."""
         score, vec = np.hstack([self.score, score]), np.hstack([self.vec, vec])
-        real = np.hstack([self.real, real])
-        order = np.lexsort((vec, -score, ~real), axis=1)[:, : self.k]
-        pick = lambda m: np.take_along_axis(m, order, axis=1)
-        self.score, self.vec, self.real = pick(score), pick(vec), pick(real)
+        order = np.lexsort((vec, -score), axis=1)[:, : self.k]
+        self.score, self.vec = np.take_along_axis(score, order, axis=1), np.take_along_axis(vec, order, axis=1)
 
 
-def _tile_best(score: np.ndarray, vec: np.ndarray, own: np.ndarray, k: int):
+def _tile_best(score: np.ndarray, vec: np.ndarray, k: int):
     """The k best columns of a tile for every query (partial selection, ties to the left).
 
     vec is ascending, so among the scores at the k-th value the first columns win.
     """
-    real = vec[None, :] != own[:, None]
     if score.shape[1] > k:
-        low = np.iinfo(np.int64).min
-        masked = np.where(real, score, low)
-        edge = np.partition(masked, score.shape[1] - k, axis=1)[:, -k][:, None]
-        above, level = masked > edge, masked == edge
+        edge = np.partition(score, score.shape[1] - k, axis=1)[:, -k][:, None]
+        above, level = score > edge, score == edge
         room = k - above.sum(axis=1, keepdims=True)
         take = above | (level & (np.cumsum(level, axis=1) <= room))
         cols = np.nonzero(take)[1].reshape(len(score), k)
-        real = np.take_along_axis(real, cols, axis=1)
-        return np.take_along_axis(score, cols, axis=1), vec[cols], real
-    return score, np.broadcast_to(vec, score.shape), real
+        return np.take_along_axis(score, cols, axis=1), vec[cols]
+    return score, np.broadcast_to(vec, score.shape)
 
 
 _PACKED = "number long, size int, ids binary, matrix binary"
@@ -143,7 +144,7 @@ def _matrix(row: dict) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _meet(k: int):
-    """Task: the k best candidates of a lane for every query of a block."""
+    """Task: the k best rows of a lane for every query of a block (its own row among them)."""
 
     def meet(block: pa.Table, lane: pa.Table) -> pa.Table:
         out = []
@@ -161,29 +162,40 @@ def _meet(k: int):
                     for n, rows in enumerate(best):
                         part = slice(n * TILE, n * TILE + TILE)
                         score = _products(wanted[part], matrix[some])
-                        rows.add(*_tile_best(score, vec[some], own[part], k))
+                        rows.add(*_tile_best(score, vec[some], k))
             number = lane.column("lane")[0].as_py() if lane.num_rows else 0
+            # A query is its block and its row there.
+            query = (given["block"] << 32) + np.arange(len(own))
+            square = _squares(wanted)
             for n, rows in enumerate(best):
-                keep = rows.real.ravel()
-                query = np.repeat(own[n * TILE : n * TILE + TILE], rows.score.shape[1])[keep]
-                out.append((query, rows.vec.ravel()[keep], rows.score.ravel()[keep], np.full(keep.sum(), number)))
+                part = slice(n * TILE, n * TILE + TILE)
+                of = [np.repeat(x[part], rows.score.shape[1]) for x in (query, own, square)]
+                out.append((*of, rows.vec.ravel(), rows.score.ravel(), np.full(rows.vec.size, number)))
         none = np.zeros(0, np.int64)
-        columns = [np.concatenate([none, *(x[c] for x in out)]).astype(np.int64) for c in range(4)]
-        return pa.table(dict(zip(("query_id", "vec_id", "score", "lane"), columns)))
+        columns = [np.concatenate([none, *(x[c] for x in out)]).astype(np.int64) for c in range(6)]
+        return pa.table(dict(zip(("query", "query_id", "own", "vec_id", "score", "lane"), columns)))
 
     return meet
 
 
 def query_vectors(vectors: DataFrame, every: int = EVERY) -> DataFrame:
-    """The distinct rows that are queries."""
-    return vectors.filter(F.col("vec_id") % every == 0).select("vec_id", "embedding").distinct()
+    """The rows that are queries."""
+    return vectors.filter(F.col("vec_id") % every == 0).select("vec_id", "embedding")
 
 
 def _best_rows(lists: DataFrame, k: int, *keys: str) -> DataFrame:
-    order = Window.partitionBy("query_id", *keys).orderBy(F.col("score").desc(), "vec_id")
+    order = Window.partitionBy("query", *keys).orderBy(F.col("score").desc(), "vec_id")
     return lists.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
+def _without_own(lists: DataFrame, k: int) -> DataFrame:
+    """Ranked lists of k + 1 rows without the query's own row, the first of its id and product."""
+    order = Window.partitionBy("query").orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hit = (F.col("vec_id") == F.col("query_id")) & (F.col("score") == F.col("own"))
+    met = lists.withColumns({"_hit": hit, "_hits": F.count_if(hit).over(order)}).filter("NOT (_hit AND _hits = 1)")
+    return met.withColumn("rank", F.col("rank") - (F.col("_hits") > 0).cast("int")).filter(F.col("rank") <= k)
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, scale: int = SCALE) -> DataFrame:
     """query_id, rank (from 1), vec_id, score of the k best rows of ``vectors`` for each query."""
     numbers = lambda df: df.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"))
@@ -204,12 +216,12 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, scale: int = SCALE
     left = blocks.join(named, ["part", "number"]).select("block", "size", "ids", "matrix", each("lane", n_lanes))
     right = tiles.select("lane", "size", "ids", "matrix", each("block", n_blocks))
     lists = left.groupBy("block", "lane").cogroup(right.groupBy("block", "lane")).applyInArrow(
-        _meet(k), "query_id long, vec_id long, score long, lane long"
+        _meet(k + 1), "query long, query_id long, own long, vec_id long, score long, lane long"
     )
     while n_lanes > FAN:
         n_lanes = -(-n_lanes // FAN)
-        lists = _best_rows(lists.withColumn("lane", F.expr(f"lane div {FAN}")), k, "lane").drop("rank")
-    return _best_rows(lists, k).select("query_id", "rank", "vec_id", "score")
+        lists = _best_rows(lists.withColumn("lane", F.expr(f"lane div {FAN}")), k + 1, "lane").drop("rank")
+    return _without_own(_best_rows(lists, k + 1), k).select("query_id", "rank", "vec_id", "score")
 
 
 _FEW = 100_000  # lanes whose numbers are handed to all tasks
@@ -222,18 +234,18 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL = """
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-), q AS (SELECT DISTINCT * FROM v WHERE vec_id % 50 = 0),
+), q AS (SELECT * FROM v WHERE vec_id % 50 = 0),
 pairs AS (
-  SELECT q.vec_id AS query_id, v.vec_id,
+  SELECT q.rid, q.vec_id AS query_id, v.vec_id,
          list_sum(list_transform(list_zip(q.e, v.e), lambda p: p[1] * p[2]))::BIGINT AS score
-  FROM q JOIN v ON v.vec_id <> q.vec_id AND len(v.e) = len(q.e)
+  FROM q JOIN v ON v.rid <> q.rid AND len(v.e) = len(q.e)
 ), r AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs
+  SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
