@@ -47,6 +47,15 @@ def test_query_matches_oracle(spark, con, name):
     assert canon(df.columns, rows) == canon(dcols, want)
 
 
+def test_the_report_comes_in_its_order(spark, con):
+    """The sequence of rows, which the comparison above leaves out."""
+    df = catalog.queries()["report_legs"](spark, SF)
+    cols = ", ".join(df.columns)
+    ordered = f"SELECT {cols} FROM ({oracle.oracle_sql()['report_legs']}) ORDER BY entity, flight_num"
+    want = con.execute(ordered).fetchall()
+    assert [tuple(map(norm, r)) for r in df.collect()] == [tuple(map(norm, r)) for r in want] and len(want) > 50
+
+
 def test_every_query_is_registered_with_an_oracle():
     assert set(catalog.queries()) == set(oracle.oracle_sql()) <= set(entry.queries())
 
