@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -139,15 +139,21 @@ def places_frame(spark: SparkSession, rules: Sequence[Place]) -> DataFrame:
     return spark.createDataFrame(rows, _PLACE_SCHEMA)
 
 
-def _table_match(lat: Column, lng: Column, alt: Column) -> Column:
-    """The rule of the joined place (columns prefixed ``_place_``) holds for the point."""
-    p = lambda name: F.col(f"_place_{name}")
+def _in_extent(lat: Column, lng: Column, prefix: str = "") -> Column:
+    """The point lies inside the open box of the place whose columns have the prefix."""
+    p = lambda name: F.col(f"{prefix}{name}")
     centre = p("tol").isNotNull() & (F.abs(lat - p("c_lat")) < p("tol")) & (F.abs(lng - p("c_lng")) < p("tol"))
     box = (
         p("tol").isNull() & (lat < p("lat_hi")) & (lat > p("lat_lo")) & (lng > p("lng_lo")) & (lng < p("lng_hi"))
     )
-    guard = p("min_alt").isNull() | (F.coalesce(alt, F.lit(GUARD_DEFAULT_ALT)) > p("min_alt"))
-    return (centre | box) & guard
+    return centre | box
+
+
+def _table_match(lat: Column, lng: Column, alt: Column) -> Column:
+    """The rule of the joined place (columns prefixed ``_place_``) holds for the point."""
+    floor = F.col("_place_min_alt")
+    guard = floor.isNull() | (F.coalesce(alt, F.lit(GUARD_DEFAULT_ALT)) > floor)
+    return _in_extent(lat, lng, "_place_") & guard
 
 
 # Cells of the label join are 4**k degrees wide; places wider than the largest cell
@@ -156,9 +162,10 @@ _CELL_POWERS = (-5, 5)
 _CELL = ["_level", "_depth", "_gy", "_gx"]
 _EPS = 1e-9  # a point within rounding distance of an edge still sees the cell
 
-# Looked-up rows of a cell beyond which it is split; halvings of a cell before rows that lie
-# on one spot are told apart by their number; full cells that are handed to all tasks.
+# Looked-up rows and places of a cell beyond which it is split; halvings of a cell before rows
+# that lie on one spot are told apart by their number; full cells that are handed to all tasks.
 CELL_BOUND = 1 << 20
+PLACE_BOUND = 128
 _HALVINGS = 12
 MOST_BROADCAST_CELLS = 1_000_000
 
@@ -197,6 +204,72 @@ def place_cells(places: DataFrame) -> DataFrame:
     return placed.withColumn("_gy", _touched("_y0", "_y1")).withColumn("_gx", _touched("_x0", "_x1"))
 
 
+_SHAPE = [c for c in _PLACE_SCHEMA.names if c not in ("priority", "label")]
+_NO_GUARD = -(1 << 40)  # below every altitude
+
+
+def ranked_places(places: DataFrame) -> DataFrame:
+    """Places with ``_rank``, a number that rises with (priority, label): the match of least rank wins."""
+    ordered = places.select(*_PLACE_SCHEMA.names).orderBy("priority", "label")
+    return materialised(ordered.withColumn("_rank", F.monotonically_increasing_id()), "ranked-places")
+
+
+def _quarters(cells: DataFrame) -> DataFrame:
+    """Rows of place cells moved into the quarters of their cell that the place touches."""
+    parent = cells.withColumns({"_py": F.col("_gy"), "_px": F.col("_gx"), "_depth": F.col("_depth") + 1})
+    quarter = parent.withColumn("_gy", _touched("_y0", "_y1")).withColumn("_gx", _touched("_x0", "_x1"))
+    # Only the quarters of the cell that was split: its other cells have their own rows.
+    own = (F.floor(F.col("_gy") / 2) == F.col("_py")) & (F.floor(F.col("_gx") / 2) == F.col("_px"))
+    return quarter.filter(own).drop("_py", "_px")
+
+
+def _undominated(cells: DataFrame) -> DataFrame:
+    """Place cells without the places that cannot win in their cell.
+
+    A place whose box holds the whole cell matches every row there that passes its guard, so a
+    place of higher rank whose guard is no lower never wins. Each side of a box is an interval
+    of the numbers, so the box holds the cell if it holds its least and greatest corner.
+    """
+    edge = lambda c, step: (F.col(c).cast("double") + F.lit(float(step))) * _width()
+    covers = _in_extent(edge("_gy", 0), edge("_gx", 0)) & _in_extent(edge("_gy", 1), edge("_gx", 1))
+    guarded = cells.withColumn("_guard", F.coalesce(F.col("min_alt").cast("bigint"), F.lit(_NO_GUARD)))
+    upto = Window.partitionBy(*_CELL).orderBy("_guard").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    best = guarded.groupBy(*_CELL, "_guard").agg(F.min(F.when(covers, F.col("_rank"))).alias("_cover"))
+    best = best.withColumn("_cover", F.min("_cover").over(upto))  # a row per guard in the cell
+    can_win = F.col("_cover").isNull() | (F.col("_rank") <= F.col("_cover"))
+    return guarded.join(best, [*_CELL, "_guard"]).filter(can_win).drop("_guard", "_cover")
+
+
+def _split_crowded_cells(cells: DataFrame, bound: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(cells, tables of the cells that were split, by depth): cells of at most ``bound`` places.
+
+    A cell with more is quartered, and each quarter keeps the places that can win there: the more
+    places overlap, the better the best of those that hold all of it, so what stays does not grow
+    with their number. What is still crowded after ``_HALVINGS`` stays as it is.
+    """
+    settled, splits = [], []
+    for _ in range(_HALVINGS):
+        full = cells.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > bound).select(*_CELL)
+        full = materialised(full, "crowded-cells")
+        n = full.count()
+        if not n:
+            break
+        splits.append(F.broadcast(full) if n <= MOST_BROADCAST_CELLS else full)
+        settled.append(cells.join(splits[-1], _CELL, "left_anti"))
+        cells = materialised(_undominated(_quarters(cells.join(splits[-1], _CELL, "left_semi"))), "crowded-places")
+    return reduce(DataFrame.unionByName, [*settled, cells]), splits
+
+
+def _deepened(look: DataFrame, splits: list[DataFrame]) -> DataFrame:
+    """Looked-up rows in the cells that are left where ``splits`` were split."""
+    for side in splits:
+        deeper = look.join(side.withColumn("_split", F.lit(True)), _CELL, "left")
+        look = deeper.withColumn("_depth", F.when(F.col("_split"), F.col("_depth") + 1).otherwise(F.col("_depth")))
+        look = look.withColumn("_gy", F.floor(F.col("_y") / _width())).withColumn("_gx", F.floor(F.col("_x") / _width()))
+        look = look.drop("_split")
+    return look
+
+
 def _split_full_cells(look: DataFrame, cells: DataFrame, bound: int) -> tuple[DataFrame, DataFrame]:
     """(look, cells) with no cell of more than ``bound`` looked-up rows.
 
@@ -225,25 +298,22 @@ def _split_full_cells(look: DataFrame, cells: DataFrame, bound: int) -> tuple[Da
         inner = look.join(side, _CELL, "left_semi").withColumn("_depth", F.col("_depth") + 1)
         inner = inner.withColumn("_gy", F.floor(F.col("_y") / _width())).withColumn("_gx", F.floor(F.col("_x") / _width()))
         look = materialised(inner, "full-cell-rows")
-        parent = cells.join(side, _CELL, "left_semi").withColumns({"_py": F.col("_gy"), "_px": F.col("_gx")})
-        parent = parent.withColumn("_depth", F.col("_depth") + 1)
-        quarter = parent.withColumn("_gy", _touched("_y0", "_y1")).withColumn("_gx", _touched("_x0", "_x1"))
-        # Only the quarters of the cell that was split: its other cells have their own rows.
-        own = (F.floor(F.col("_gy") / 2) == F.col("_py")) & (F.floor(F.col("_gx") / 2) == F.col("_px"))
-        cells = materialised(quarter.filter(own).drop("_py", "_px"), "full-cell-places")
+        cells = materialised(_quarters(cells.join(side, _CELL, "left_semi")), "full-cell-places")
     return reduce(DataFrame.unionByName, settled), reduce(DataFrame.unionByName, settled_cells)
 
 
 def label_by_join(
     df: DataFrame, lat: str, lng: str, alt: str | None, places: DataFrame, out: str = "location",
-    bound: int = CELL_BOUND,
+    bound: int = CELL_BOUND, place_bound: int = PLACE_BOUND,
 ) -> DataFrame:
     """Label every row of ``df`` through an equi-join with a places table of any size.
 
     Every place lies in the grid cells of its own size, every row looks up one cell per size
     that places have (11 at most), with its number and position only; the join is on (size,
-    cell), and the exact rule is checked on what meets. Cells with more than ``bound`` looked-up
-    rows are split by their counts. The match of least ``priority`` wins (among equal
+    cell), and the exact rule is checked on what meets. Of places with the same box and guard the
+    best one is looked at; cells with more than ``place_bound`` places are quartered and keep those
+    that can win there, so a row meets a bounded number however many places overlap. Cells with
+    more than ``bound`` looked-up rows are split by their counts. The match of least ``priority`` wins (among equal
     priorities the least label); the labels that were found join back on the row number, the
     other rows get ``UNKNOWN``. Rows are kept one by one, whatever they hold; ``df`` is
     evaluated once, and its row numbers are written with it, so a task that is run again
@@ -251,7 +321,9 @@ def label_by_join(
     """
     names = df.columns
     kept = materialised(df.withColumn("_row", F.monotonically_increasing_id()), "rows-to-label")
-    cells = place_cells(places)
+    ranked = ranked_places(places)
+    shapes = ranked.groupBy(*_SHAPE).agg(F.min("_rank").alias("_rank"))
+    cells = materialised(place_cells(shapes), "place-cells")
     levels = sorted(r[0] for r in cells.select("_level").distinct().collect())  # 11 at most
     altitude = F.col(alt).cast("int") if alt else F.lit(None).cast("int")
     look = kept.select("_row", F.col(lat).alias("_y"), F.col(lng).alias("_x"), altitude.alias("_alt")).filter(
@@ -260,13 +332,16 @@ def label_by_join(
     sizes = F.array(*[F.lit(k) for k in levels]).cast("array<int>")
     look = look.withColumn("_level", F.explode(sizes)).withColumn("_depth", F.lit(0))
     look = look.withColumn("_gy", F.floor(F.col("_y") / _width())).withColumn("_gx", F.floor(F.col("_x") / _width()))
+    cells, splits = _split_crowded_cells(cells, place_bound)
+    look = _deepened(look, splits)
     on = list(_CELL)
     if kept.count() > bound:
         look, cells = _split_full_cells(look, cells, bound)
         on.append("_salt")
-    cells = cells.select(*on, *[F.col(c).alias(f"_place_{c}") for c in _PLACE_SCHEMA.names])
+    cells = cells.select(*on, "_rank", *[F.col(c).alias(f"_place_{c}") for c in _SHAPE])
     met = look.join(cells, on).filter(_table_match(F.col("_y"), F.col("_x"), F.col("_alt")))
-    best = met.groupBy("_row").agg(F.min(F.struct("_place_priority", "_place_label")).alias("_best"))
-    return kept.join(best, "_row", "left").select(
-        *[n for n in names if n != out], F.coalesce(F.col("_best._place_label"), F.lit(UNKNOWN)).alias(out)
+    best = met.groupBy("_row").agg(F.min("_rank").alias("_rank"))
+    found = best.join(ranked.select("_rank", F.col("label").alias("_label")), "_rank").select("_row", "_label")
+    return kept.join(found, "_row", "left").select(
+        *[n for n in names if n != out], F.coalesce(F.col("_label"), F.lit(UNKNOWN)).alias(out)
     )

@@ -86,6 +86,38 @@ def test_full_cells_are_split_by_their_counts(spark):
     assert max(sizes) <= 90 and sum(sizes) == 2 * df.count()  # dealt by the row's number: near the bound
 
 
+def test_overlapping_places_do_not_all_meet_a_row(spark):
+    """Many places over one area: a row meets those that can win there, however many there are."""
+    rnd = random.Random(16)
+    rows = [(k, rnd.uniform(-27, -9), rnd.uniform(31, 42), rnd.choice([None, 0, 2500, 4000, 6000])) for k in range(600)]
+    edges = [-26.0, -25.5, -25.0, -16.0, 32.0, 32.5, 40.0]
+    rows += [(1000 + k, rnd.choice(edges[:4]), rnd.choice(edges[4:]), rnd.choice([None, 3000])) for k in range(60)]
+    rows += [(2000, None, 32.0, 1), (2001, float("nan"), 32.0, 1), (2002, -0.0, 0.0, 1)]
+    df = spark.createDataFrame(rows, "id long, lat double, lng double, alt int")
+    places = []
+    for k in range(700):
+        y, x, half = round(rnd.uniform(-27, -9), 1), round(rnd.uniform(31, 42), 1), rnd.choice([3.0, 3.0, 0.5, 0.25])
+        guard, prio = rnd.choice([None, None, 1000, 3000, 5000]), rnd.choice([k // 2, 900 - k])
+        if k % 2:
+            places.append((prio, f"c{k}", y, x, half, None, None, None, None, guard))
+        else:
+            places.append((prio, f"b{k}", None, None, None, y - half, y + half, x - half, x + half, guard))
+    places += [(950 + k % 3, f"same {k}", -20.0, 35.0, 6.0, None, None, None, None, None) for k in range(300)]
+    places += places[:50]
+    table = spark.createDataFrame(places, SCHEMA)
+    want = sorted((r.id, brute(r, places)) for r in df.collect() if r.lat == r.lat)
+    for kw in ({}, {"place_bound": 12, "bound": 200}):
+        got = label_by_join(df, "lat", "lng", "alt", table, **kw)
+        labels = {r.id: r.location for r in got.collect()}
+        assert len(labels) == len(rows) and labels.pop(2001) == "Unknown"
+        assert sorted(labels.items()) == want
+    # All of these share a cell; no cell is left in which a row meets more than the bound.
+    many = [(rnd.randrange(10**6), f"w{k}", rnd.uniform(-27, -9), rnd.uniform(31, 42), 3.0, None, None, None, None, None)
+            for k in range(1000)]
+    cells, splits = P._split_crowded_cells(place_cells(P.ranked_places(spark.createDataFrame(many, SCHEMA))), 32)
+    assert splits and max(r["count"] for r in cells.groupBy(*P._CELL).count().collect()) <= 32
+
+
 def test_one_row_is_looked_up_per_size_that_places_have(spark):
     df = points(spark, random.Random(15), 50)
     table = spark.createDataFrame([(1, "a", -20.0, 35.0, 0.1, None, None, None, None, None)] * 3
