@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from contrail.functions import epoch_seconds
 from contrail.operators.legs import LegParams, TrackCols
 from contrail.operators.ordering import ordinal, time_levels
+from contrail.session import materialised
 
 # Columns of the events-derived point table.
 EVENT_TRACK = TrackCols(keys=("entity",), order="idx", time="t", base=None, lat="lat", lng="lng", alt="alt")
@@ -340,9 +341,10 @@ def arriving_documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
     """The day documents as two micro-batches whose outcome is ``trace_shaped``.
 
     The first brings the first half only of the documents of users that divide by 2, and two
-    copies of those whose number ends in 3; the second brings all of both again.
+    copies of those whose number ends in 3; the second brings all of both again. The documents are
+    put together once and written: every batch reads them as it would read its files.
     """
-    docs = trace_shaped(spark, sf_dir)
+    docs = materialised(trace_shaped(spark, sf_dir), "arriving")
     user = F.col("user_id")
     half = F.slice("trace", F.lit(1), F.expr("size(trace) div 2"))
     early = docs.withColumn("trace", F.when(user % 2 == 0, half).otherwise(F.col("trace")))

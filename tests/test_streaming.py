@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from contrail.operators.ingest import latest_status
 from contrail.operators.legs import LegParams, TrackCols, leg_summary
+from contrail.sources import fixtures
 from contrail.sources.traces import TRACE_SCHEMA, day_documents, flatten, read_documents, read_traces, split_quarantine
 from contrail.streaming.incremental import current_legs, process_batch, stream_traces
 
@@ -144,3 +145,20 @@ def test_bad_points_do_not_stop_the_run(spark):
         process_batch(docs, 0, points, bad_points_path=bad)
     assert sorted(r.idx for r in spark.read.parquet(points).collect()) == [1, 4]
     assert sorted(r.idx for r in spark.read.parquet(bad).collect()) == [2, 3]
+
+
+def test_arriving_documents_are_put_together_once(spark):
+    """Both micro-batches read the written documents; neither gathers the events again."""
+    root = tempfile.mkdtemp(prefix="contrail-arriving-")
+    events = spark.range(60).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01 05:00:00' + make_interval(0, 0, 0, int(id % 3), int(id)) AS ts",
+        "if(id % 19 = 0, null, id % 14) AS user_id", "'view' AS event_type", "id * 1.5D AS value", "'' AS props")
+    events.union(events.limit(5)).write.parquet(os.path.join(root, "events.parquet"))
+    docs = fixtures.trace_shaped(spark, root)
+    early, late = fixtures.arriving_documents(spark, root)
+    for batch in (early, late):
+        assert "Aggregate" not in batch._jdf.queryExecution().optimizedPlan().toString()
+    text = lambda df: sorted(str(r) for r in df.collect())
+    assert text(late) == text(docs.filter("user_id % 2 = 0 OR user_id % 10 = 3").drop("user_id"))
+    halved = docs.withColumn("trace", F.expr("if(user_id % 2 = 0, slice(trace, 1, size(trace) div 2), trace)"))
+    assert text(early) == text(halved.union(docs.filter("user_id % 10 = 3")).drop("user_id"))
